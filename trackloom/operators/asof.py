@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.operators.ordered import Axis, latest, scan, soonest
+from trackloom.operators.ordered import Axis, latest, pick_by, scan, soonest
 
 
 def bracket(
@@ -23,19 +23,27 @@ def bracket(
 ) -> DataFrame:
     """`queries` plus `lo`, the last target before the query, and `hi`, the first target at or after it.
 
-    Both are structs (at, *payload), null where there is none. Targets that share an instant keep the row that is
-    last by `tie` (or by payload). With `collapse`, every distinct query instant is looked up once and joined
-    back, so repeated instants of a hot key cost one row; pass False when instants are unique already.
+    Both are structs (at, *payload), null where there is none. With `collapse`, targets that share an instant keep
+    the row that is last by `tie` (which must tell them apart; default: all of the payload), and every distinct
+    query instant is looked up once and joined back, so repeated instants of a hot key cost one row. Pass False
+    when the instants of both sides are unique already.
     """
     hit = F.struct(F.col(at), *payload)
-    found = targets.groupBy(*keys, at).agg(F.max_by(hit, F.struct(*(tie or payload or [at]))).alias("_hit"))
+    found = targets.select(*keys, at, hit.alias("_hit"), *[F.col(c).alias(f"_tie_{c}") for c in tie or []])
+    if collapse and not payload:
+        found = found.select(*keys, at).distinct().withColumn("_hit", F.struct(at))
+    elif collapse and tie:
+        rank = F.col(f"_tie_{tie[0]}") if len(tie) == 1 else F.struct(*[f"_tie_{c}" for c in tie])
+        found = found.groupBy(*keys, at).agg(pick_by(F.col("_hit"), _type(found, "_hit"), rank, False).alias("_hit"))
+    elif collapse:
+        found = found.groupBy(*keys, at).agg(F.max("_hit").alias("_hit"))
     others = [c for c in queries.columns if c not in (*keys, at)]
     asked = queries.select(*keys, at).distinct() if collapse else queries
     carried = [] if collapse else others
     rows = asked.select(
         *keys, at, F.lit(0).alias("_side"), F.lit(None).cast(_type(found, "_hit")).alias("_hit"), *carried
     ).unionByName(found.select(*keys, at, F.lit(1).alias("_side"), "_hit"), allowMissingColumns=True)
-    axis = Axis(tuple(keys), at, span, ("_side",))
+    axis = Axis(tuple(keys), at, span, ("_side",), ranked_by_at=True)
     both = scan(rows, axis, {"lo": latest("_hit"), "hi": soonest("_hit")}).where("_side = 0")
     answers = both.select(*keys, at, *carried, "lo", "hi")
     if not collapse:
@@ -167,28 +175,31 @@ def interpolate(
 
 
 def slerp(
-    at: str, lo: str = "lo", hi: str = "hi", names: tuple[str, str, str, str] = ("qw", "qx", "qy", "qz")
-) -> list[Column]:
-    """The four components (w, x, y, z) of the rotation between the two ends of a bracketed row.
+    bracketed: DataFrame, at: str, names: tuple[str, str, str, str] = ("qw", "qx", "qy", "qz")
+) -> DataFrame:
+    """Adds the quaternion `names` (w, x, y, z) between the two ends of bracketed rows; held at the ends.
 
-    The short way round is taken; nearly equal ends fall back to a normalized straight line.
+    The short way round is taken; nearly equal ends fall back to a normalized straight line. Each step is a column
+    of its own, so shared terms are computed once.
     """
-    a = [F.col(lo)[n] for n in names]
-    b = [F.col(hi)[n] for n in names]
-    dot = sum((x * y for x, y in zip(a[1:], b[1:])), a[0] * b[0])
-    sign = F.when(dot < 0, -1.0).otherwise(1.0)
-    cos = F.least(F.abs(dot), F.lit(1.0))
-    theta = F.acos(cos)
-    share = (F.col(at) - F.col(lo)[at]) / (F.col(hi)[at] - F.col(lo)[at])
-    near = cos > 1.0 - 1e-12
-    wa = F.when(near, 1.0 - share).otherwise(F.sin((1.0 - share) * theta) / F.sin(theta))
-    wb = F.when(near, share).otherwise(F.sin(share * theta) / F.sin(theta)) * sign
-    mixed = [wa * x + wb * y for x, y in zip(a, b)]
-    norm = F.sqrt(sum((m * m for m in mixed[1:]), mixed[0] * mixed[0]))
-    return [
-        F.when(F.col(lo).isNull() | (F.col(hi)[at] == F.col(at)), y).when(F.col(hi).isNull(), x).otherwise(m / norm)
-        for x, y, m in zip(a, b, mixed)
+    a, b = [F.col("lo")[n] for n in names], [F.col("hi")[n] for n in names]
+    df = bracketed.withColumn("_dot", sum((x * y for x, y in zip(a[1:], b[1:])), a[0] * b[0]))
+    df = df.withColumn("_cos", F.least(F.abs("_dot"), F.lit(1.0)))
+    df = df.withColumn("_theta", F.acos("_cos"))
+    df = df.withColumn("_s", (F.col(at) - F.col("lo")[at]) / (F.col("hi")[at] - F.col("lo")[at]))
+    near, s, th = F.col("_cos") > 1.0 - 1e-12, F.col("_s"), F.col("_theta")
+    df = df.withColumn("_wa", F.when(near, 1.0 - s).otherwise(F.sin((1.0 - s) * th) / F.sin(th)))
+    sign = F.when(F.col("_dot") < 0, -1.0).otherwise(1.0)
+    df = df.withColumn("_wb", F.when(near, s).otherwise(F.sin(s * th) / F.sin(th)) * sign)
+    df = df.select("*", *[(F.col("_wa") * x + F.col("_wb") * y).alias(f"_m_{n}") for x, y, n in zip(a, b, names)])
+    m = [F.col(f"_m_{n}") for n in names]
+    df = df.withColumn("_norm", F.sqrt(sum((c * c for c in m[1:]), m[0] * m[0])))
+    at_hi = F.col("lo").isNull() | (F.col("hi")[at] == F.col(at))
+    out = [
+        F.when(at_hi, y).when(F.col("hi").isNull(), x).otherwise(c / F.col("_norm")).alias(n)
+        for x, y, c, n in zip(a, b, m, names)
     ]
+    return df.select(*bracketed.columns, *out)
 
 
 def interpolate_pose(
@@ -209,12 +220,11 @@ def interpolate_pose(
     """
     b = bracket(queries, poses, keys, at, [*vector, *quaternion], span, **options)
     inside = F.col("hi").isNotNull() & (F.col("lo").isNotNull() | (F.col("hi")[at] == F.col(at)))
-    cols = [lerp(at, v).alias(v) for v in vector]
-    cols += [c.alias(n) for c, n in zip(slerp(at, names=quaternion), quaternion)]
     if outside == "error":
         message = F.concat(F.lit("frame outside pose coverage at "), F.col(at).cast("string"))
         b = b.withColumn(at, F.when(inside, F.col(at)).otherwise(F.raise_error(message).cast("long")))
-    out = b.select(*queries.columns, *cols, inside.alias("_inside"))
+    b = slerp(b, at, quaternion)
+    out = b.select(*queries.columns, *[lerp(at, v).alias(v) for v in vector], *quaternion, inside.alias("_inside"))
     if outside == "null":
         out = out.select(
             *queries.columns, *[F.when(F.col("_inside"), F.col(n)).alias(n) for n in (*vector, *quaternion)]

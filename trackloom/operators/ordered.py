@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BLOCK = "_block"
 
@@ -26,12 +27,13 @@ class Axis:
     at: str
     span: int
     tie: tuple[str, ...] = ()
+    ranked_by_at: bool = False  # the values scanned sit on distinct instants, so `at` alone ranks them
 
     def block(self) -> Column:
         return F.expr(f"(`{self.at}` - pmod(`{self.at}`, {self.span}L)) div {self.span}L")
 
     def rank(self) -> Column:
-        return F.struct(self.at, *self.tie)
+        return F.col(self.at) if self.ranked_by_at or not self.tie else F.struct(self.at, *self.tie)
 
     def window(self, back: bool = False) -> WindowSpec:
         cols = [F.col(c) for c in (self.at, *self.tie)]
@@ -105,7 +107,7 @@ def scan(df: DataFrame, axis: Axis, steps: dict[str, Step]) -> DataFrame:
         *df.columns, BLOCK, *[_local(axis, s, value[n]).alias(f"_l{i}") for i, (n, s) in enumerate(steps.items())]
     )
     blocks = base.groupBy(*keys, BLOCK).agg(
-        *[_summary(axis, s, value[n]).alias(f"_b{i}") for i, (n, s) in enumerate(steps.items())]
+        *[_summary(axis, s, value[n], base.schema[value[n]].dataType).alias(f"_b{i}") for i, (n, s) in enumerate(steps.items())]
     )
     carry = blocks.select(
         *keys, BLOCK, *[_carry(keys, s, f"_b{i}").alias(f"_c{i}") for i, s in enumerate(steps.values())]
@@ -126,13 +128,23 @@ def _local(axis: Axis, s: Step, v: str) -> Column:
     return {"sum": F.sum, "max": F.max, "min": F.min}[s.kind](v).over(frame)
 
 
-def _summary(axis: Axis, s: Step, v: str) -> Column:
+def _summary(axis: Axis, s: Step, v: str, dtype: T.DataType) -> Column:
     if s.kind in ("prev", "next", "seen"):
-        pick = F.min_by if s.back else F.max_by
-        return pick(F.col(v), F.when(F.col(v).isNotNull(), axis.rank()))
+        return pick_by(F.col(v), dtype, axis.rank(), first=s.back)
     return {"sum": F.sum, "max": F.max, "min": F.min}[s.kind](v)
 
 
+def pick_by(value: Column, dtype: T.DataType, rank: Column, first: bool) -> Column:
+    """The non-null `value` of the lowest or highest rank. Struct fields are picked one by one, so that plain
+    fields keep a hash aggregate (a struct buffer would force a sort of the input); ranks must be distinct."""
+    pick, best = (F.min_by, F.min) if first else (F.max_by, F.max)
+    ranked = F.when(value.isNotNull(), rank)
+    if not isinstance(dtype, T.StructType):
+        return pick(value, ranked)
+    fields = [pick(value[f], ranked).alias(f) for f in dtype.names]
+    return F.when(best(ranked).isNotNull(), F.struct(*fields))
+
+
 def _across(keys: list[str], back: bool) -> WindowSpec:
     order = F.col(BLOCK).desc() if back else F.col(BLOCK)
     return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
@@ -185,12 +197,13 @@ def islands(
     opens = F.coalesce(starts(field("_prev"), field("_row")), F.lit(False))
     rows = rows.withColumn("_open", F.when(F.col("_prev").isNotNull() & opens, 1).otherwise(0))
 
+    row_type = rows.schema["_row"].dataType
     blocks = rows.groupBy(*keys, BLOCK).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.sum("_open").alias("_opens"),
         F.max(F.when(F.col("_open") == 1, F.col("_n"))).alias("_last_open"),
-        F.min_by("_row", axis.rank()).alias("_first"),
-        F.max_by("_row", axis.rank()).alias("_last"),
+        pick_by(F.col("_row"), row_type, axis.rank(), first=True).alias("_first"),
+        pick_by(F.col("_row"), row_type, axis.rank(), first=False).alias("_last"),
     )
     step = Window.partitionBy(*keys).orderBy(BLOCK)
     before = step.rowsBetween(Window.unboundedPreceding, -1)
