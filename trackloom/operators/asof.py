@@ -94,17 +94,20 @@ def nearest_within(
     span: int,
     tolerance: Column | int,
     query_cols: list[str],
+    per: tuple[str, ...] = (),
     **options,
 ) -> DataFrame:
-    """One row per matched target: the nearest match within `tolerance`; of queries that share a target the latest wins."""
+    """One row per matched target: the nearest match within `tolerance`; of queries that share a target the latest
+    wins, separately for each value of the query columns `per`."""
     near = nearest(queries, targets, keys, at, payload, span, **options)
     near = near.where(F.col("distance") <= tolerance)
     near = near.withColumn("_target_at", F.col("match")[at])
-    best = near.groupBy(*keys, "_target_at").agg(
+    best = near.groupBy(*keys, *per, "_target_at").agg(
         F.max_by(F.struct(at, "match", "distance", *query_cols), F.struct(at, *query_cols)).alias("_b")
     )
     return best.select(
         *keys,
+        *per,
         F.col("_b")[at].alias(at),
         *[F.col("_b")[c].alias(c) for c in query_cols],
         F.col("_b")["match"].alias("match"),

@@ -192,52 +192,52 @@ def islands(
     def field(struct: str) -> Callable[[str], Column]:
         return lambda name: F.col(struct)[name]
 
-    rows = df.select("*", axis.block().alias(BLOCK), F.struct(*columns).alias("_row"))
-    rows = rows.select("*", F.lag("_row", 1).over(w).alias("_prev"), F.row_number().over(w).alias("_n"))
-    opens = F.coalesce(starts(field("_prev"), field("_row")), F.lit(False))
-    rows = rows.withColumn("_open", F.when(F.col("_prev").isNotNull() & opens, 1).otherwise(0))
+    rows = df.select("*", axis.block().alias(BLOCK), F.struct(*columns).alias("_run_row"))
+    rows = rows.select("*", F.lag("_run_row", 1).over(w).alias("_run_prev"), F.row_number().over(w).alias("_run_n"))
+    opens = F.coalesce(starts(field("_run_prev"), field("_run_row")), F.lit(False))
+    rows = rows.withColumn("_run_open", F.when(F.col("_run_prev").isNotNull() & opens, 1).otherwise(0))
 
-    row_type = rows.schema["_row"].dataType
+    row_type = rows.schema["_run_row"].dataType
     blocks = rows.groupBy(*keys, BLOCK).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.sum("_open").alias("_opens"),
-        F.max(F.when(F.col("_open") == 1, F.col("_n"))).alias("_last_open"),
-        pick_by(F.col("_row"), row_type, axis.rank(), first=True).alias("_first"),
-        pick_by(F.col("_row"), row_type, axis.rank(), first=False).alias("_last"),
+        F.count(F.lit(1)).alias("_run_rows"),
+        F.sum("_run_open").alias("_run_opens"),
+        F.max(F.when(F.col("_run_open") == 1, F.col("_run_n"))).alias("_run_last_open"),
+        pick_by(F.col("_run_row"), row_type, axis.rank(), first=True).alias("_run_first"),
+        pick_by(F.col("_run_row"), row_type, axis.rank(), first=False).alias("_run_last"),
     )
     step = Window.partitionBy(*keys).orderBy(BLOCK)
     before = step.rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_before", F.lag("_last", 1).over(step))
-    head = F.coalesce(starts(field("_before"), field("_first")), F.lit(False))
-    blocks = blocks.withColumn("_head", F.when(F.col("_before").isNull() | head, 1).otherwise(0))
-    blocks = blocks.withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    blocks = blocks.withColumn("_run_before", F.lag("_run_last", 1).over(step))
+    head = F.coalesce(starts(field("_run_before"), field("_run_first")), F.lit(False))
+    blocks = blocks.withColumn("_run_head", F.when(F.col("_run_before").isNull() | head, 1).otherwise(0))
+    blocks = blocks.withColumn("_run_offset", F.coalesce(F.sum("_run_rows").over(before), F.lit(0)))
     blocks = blocks.withColumn(
-        "_opened", F.coalesce(F.col("_last_open"), F.when(F.col("_head") == 1, 1)) + F.col("_offset")
+        "_run_opened", F.coalesce(F.col("_run_last_open"), F.when(F.col("_run_head") == 1, 1)) + F.col("_run_offset")
     )
     carry = blocks.select(
         *keys,
         BLOCK,
-        "_head",
-        "_offset",
-        F.coalesce(F.sum(F.col("_opens") + F.col("_head")).over(before), F.lit(0)).alias("_base"),
-        F.last("_opened", ignorenulls=True).over(before).alias("_carried"),
+        "_run_head",
+        "_run_offset",
+        F.coalesce(F.sum(F.col("_run_opens") + F.col("_run_head")).over(before), F.lit(0)).alias("_run_base"),
+        F.last("_run_opened", ignorenulls=True).over(before).alias("_run_carried"),
     )
 
     detail = rows.select(
         *df.columns,
         BLOCK,
-        "_n",
-        F.sum("_open").over(upto).alias("_opens_upto"),
-        F.max(F.when(F.col("_open") == 1, F.col("_n"))).over(upto).alias("_open_at"),
+        "_run_n",
+        F.sum("_run_open").over(upto).alias("_run_opens_upto"),
+        F.max(F.when(F.col("_run_open") == 1, F.col("_run_n"))).over(upto).alias("_run_open_at"),
     )
     out = detail.join(carry, [*keys, BLOCK])
-    number = (F.col("_base") + F.col("_head") + F.col("_opens_upto")).cast("long")
+    number = (F.col("_run_base") + F.col("_run_head") + F.col("_run_opens_upto")).cast("long")
     result = [*df.columns, number.alias(island)]
     if place:
         start = F.coalesce(
-            F.col("_open_at") + F.col("_offset"), F.when(F.col("_head") == 1, F.col("_offset") + 1), F.col("_carried")
+            F.col("_run_open_at") + F.col("_run_offset"), F.when(F.col("_run_head") == 1, F.col("_run_offset") + 1), F.col("_run_carried")
         )
-        result.append((F.col("_n") + F.col("_offset") - start + 1).cast("long").alias(place))
+        result.append((F.col("_run_n") + F.col("_run_offset") - start + 1).cast("long").alias(place))
     return out.select(*result)
 
 

@@ -184,7 +184,7 @@ yg as (select *, case when lag(at) over w is null or lag(valid) over w <> valid
 hh as (select *, sum(st) over (order by at) as run from yg),
 v as (select *, row_number() over (partition by run order by at) as place, count(*) over (partition by run) as len,
   dense_rank() over (order by run) as segment from hh where valid),
-cut as (select at, segment, case when (place - 1) // n < len // n then (place - 1) // n end as scene_no, n from v),
+cut as (select at, segment, place, case when (place - 1) // n < len // n then (place - 1) // n end as scene_no, n from v),
 cat as (select pl.*, case when not in_window then 'window' when not valid then 'camera' when cut.scene_no is not null then 'scene'
   else 'short' end as category from pl left join cut using (at))
 """

@@ -1 +1,265 @@
-"""pending"""
+"""Track features on event series: smoothing, standstills, turns, gaps, runs."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from trackloom.operators import segments, series
+from trackloom.operators.ordered import Axis
+from trackloom.operators.quota import decimate
+from trackloom.queries.registry import DAY, HOUR, events, query, r6, table
+
+_AX = Axis(("user_id",), "at", DAY)
+_E = "with e as (select user_id, epoch_us(ts) as at, event_type, value from events)"
+
+
+@query(
+    _E
+    + """ select user_id, at, round(coalesce(sum(value) over (partition by user_id order by at rows between 2 preceding and 2 following), 0) / 5, 6) as avg5,
+round(sum(value) over (partition by user_id order by at rows between 2 preceding and 1 following) / 4, 6) as avg4 from e"""
+)
+def moving_average_same(spark, sf):
+    e = events(spark, sf).select("user_id", "at", "value")
+    five = series.moving_average(e, _AX, {"avg5": "value"}, 5)
+    four = series.moving_average(five, _AX, {"avg4": "value"}, 4)
+    return four.select("user_id", "at", r6("avg5").alias("avg5"), r6("avg4").alias("avg4"))
+
+
+@query(
+    _E
+    + """ select user_id, at, min(value) over w < 1 and value > 10 as departing, max(value) over w > 10 and value < 1 as halting from e
+window w as (partition by user_id order by at rows unbounded preceding)"""
+)
+def cummax_departure(spark, sf):
+    e = events(spark, sf).select("user_id", "at", "value")
+    return series.departures(e, _AX, "value", 1.0, 10.0).select("user_id", "at", "departing", "halting")
+
+
+@query(
+    _E
+    + """, p as (select *, value < 40 as still, lag(at) over w as pa, lead(at) over w as na from e window w as (partition by user_id order by at)),
+g as (select *, case when lag(still) over w is null or lag(still) over w <> still then 1 else 0 end as s from p window w as (partition by user_id order by at)),
+h as (select *, sum(s) over (partition by user_id order by at) as run from g),
+b as (select user_id, run, arg_min(at - (at - coalesce(pa, at)), at) as f, arg_max(at + (coalesce(na, at) - at), at) as t from h where still group by user_id, run)
+select h.user_id, at, case when still then at - f else 0 end as run_before, case when still then t - at else 0 end as run_after
+from h left join b on h.user_id = b.user_id and h.run = b.run and still"""
+)
+def standstill_runs(spark, sf):
+    e = events(spark, sf).select("user_id", "at", (F.col("value") < 40).alias("still"))
+    s = series.standstill(e, _AX, "still")
+    return s.select("user_id", "at", "run_before", "run_after")
+
+
+@query(
+    _E
+    + f""", n as (select *, row_number() over w as pos, sum(value) over w as cum from e window w as (partition by user_id order by at)),
+q as (select user_id, at, at + {2 * DAY} as later, value, pos, cum from n),
+j as (select q.*, n.value as v1, n.pos as p1, n.cum - n.value as c1 from q asof left join n on q.user_id = n.user_id and q.later <= n.at)
+select user_id, at, round(case when (c1 - (cum - value)) / (p1 - pos) > 30 then v1 - value end, 6) as turn from j"""
+)
+def lookahead_change(spark, sf):
+    e = events(spark, sf).select("user_id", "at", "value", F.col("value").alias("speed"))
+    t = series.look_ahead(e, _AX, "value", "speed", 2 * DAY, 30.0)
+    return t.select("user_id", "at", r6("turn").alias("turn"))
+
+
+@query(
+    _E
+    + f""", f as (select user_id, min(at) as t0 from e group by user_id),
+s as (select user_id, unnest(range(30)) as w from f),
+m as (select e.user_id, (at - t0) // {DAY} as w, avg(value) as v from e join f using (user_id) group by 1, 2)
+select s.user_id, s.w::int as window, round(coalesce(v, 0), 6) as value from s left join m on s.user_id = m.user_id and s.w = m.w"""
+)
+def fixed_window_means(spark, sf):
+    e = events(spark, sf).select("user_id", "at", "value")
+    first = e.groupBy("user_id").agg(F.min("at").alias("t0"))
+    w = series.window_means(e.join(first, "user_id"), ["user_id"], "at", ["value"], F.col("t0"), DAY, 30)
+    return w.select("user_id", "window", r6("value").alias("value"))
+
+
+@query(
+    _E
+    + """, a as (select user_id, at, value % 6.283185307179586 as ang from e),
+d as (select *, ang - lag(ang) over (partition by user_id order by at) as d from a),
+f as (select *, case when d is null or abs(d) < pi() then 0 when d > 0 then -2 * pi() else 2 * pi() end as fix from d)
+select user_id, at, round(ang + sum(fix) over (partition by user_id order by at), 6) as unwrapped from f"""
+)
+def unwrap_angle(spark, sf):
+    e = events(spark, sf).select("user_id", "at", (F.col("value") % 6.283185307179586).alias("ang"))
+    return series.unwrap(e, _AX, "ang").select("user_id", "at", r6("unwrapped").alias("unwrapped"))
+
+
+_XY = """
+with e as (select user_id, epoch_us(ts) as at, value as x, (props ->> '$.k')::double as y from events),
+p as (select *, coalesce(sqrt((x - lag(x) over w) ** 2 + (y - lag(y) over w) ** 2), 0) as step_m from e window w as (partition by user_id order by at))
+"""
+
+
+def _xy(spark, sf):
+    e = events(spark, sf)
+    return e.select("user_id", "at", F.col("value").alias("x"), F.get_json_object("props", "$.k").cast("double").alias("y"), "event_id")
+
+
+@query(_XY + "select user_id, at, round(step_m, 6) as step_m, round(sum(step_m) over (partition by user_id order by at), 4) as arc_m from p")
+def arc_length(spark, sf):
+    a = series.arc_length(_xy(spark, sf), _AX, "x", "y")
+    return a.select("user_id", "at", r6("step_m").alias("step_m"), F.round("arc_m", 4).alias("arc_m"))
+
+
+@query(
+    _E
+    + """, g as (select *, (at - lag(at) over w)::double / 1e6 as hd, (lead(at) over w - at)::double / 1e6 as hs, lag(value) over w as pv, lead(value) over w as nv
+from e window w as (partition by user_id order by at))
+select user_id, at, round(case when pv is null then (nv - value) / hs when nv is null then (value - pv) / hd
+else (hd * hd * nv + (hs * hs - hd * hd) * value - hs * hs * pv) / (hs * hd * (hd + hs)) end, 8) as gradient from g"""
+)
+def gradient(spark, sf):
+    e = events(spark, sf).select("user_id", "at", "value")
+    g = series.gradient(e, _AX, "value")
+    return g.select("user_id", "at", F.round(F.col("gradient") * 1e6, 8).alias("gradient"))
+
+
+@query(
+    """
+with e as (select label, vec_id * 10 as at, embedding[1]::double as a, embedding[2]::double as b, embedding[3]::double as c, embedding[4]::double as d,
+  embedding[5]::double as x, embedding[6]::double as y, embedding[7]::double as z from embeddings),
+p as (select label, at, x, y, z, a / sqrt(a*a+b*b+c*c+d*d) as qw, b / sqrt(a*a+b*b+c*c+d*d) as qx, c / sqrt(a*a+b*b+c*c+d*d) as qy, d / sqrt(a*a+b*b+c*c+d*d) as qz from e),
+l as (select *, lag(at) over w as pt, sqrt((x - lag(x) over w)**2 + (y - lag(y) over w)**2 + (z - lag(z) over w)**2) as mv,
+  degrees(2 * acos(least(abs(qw * lag(qw) over w + qx * lag(qx) over w + qy * lag(qy) over w + qz * lag(qz) over w), 1.0))) as tn
+  from p window w as (partition by label order by at))
+select label, at, round(mv / ((at - pt) / 100.0), 6) as speed, round(tn / ((at - pt) / 100.0), 6) as turn_rate,
+  coalesce(mv / ((at - pt) / 100.0) > 0.3 or tn / ((at - pt) / 100.0) > 90, false) as jump from l"""
+)
+def pose_jumps(spark, sf):
+    from trackloom.queries.alignment import _poses
+
+    j = series.pose_jumps(_poses(spark, sf), Axis(("label",), "at", 1000), 100.0, 0.3, 90.0)
+    return j.select("label", "at", r6("speed").alias("speed"), r6("turn_rate").alias("turn_rate"), "jump")
+
+
+@query(
+    """select user_id, epoch_us(date_trunc('hour', ts)) as at, arg_max(event_id, event_id) as event_id, arg_max(value, event_id) as value
+from events group by 1, 2"""
+)
+def last_duplicate_wins(spark, sf):
+    e = events(spark, sf).select("user_id", F.expr(f"at - pmod(at, {HOUR}L)").alias("at"), "event_id", "value")
+    return series.unique_by_time(e, ["user_id"], "at", ["event_id"])
+
+
+@query(
+    """select user_id, event_id from (select user_id, event_id, row_number() over (partition by user_id order by ts) as rn from events)
+where (rn - 1) % 5 = 0"""
+)
+def stride_sample(spark, sf):
+    e = events(spark, sf).select("user_id", "at", "event_id")
+    return series.every_kth(e, _AX, 5).select("user_id", "event_id")
+
+
+@query(
+    """
+with s as (select o_custkey, epoch_us(o_orderdate) as at, arg_max(o_orderkey, o_orderkey) as token from orders group by 1, 2)
+select o_custkey, token, coalesce(lag(token::varchar) over w, '') as prev, coalesce(lead(token::varchar) over w, '') as next
+from s window w as (partition by o_custkey order by at)"""
+)
+def table_chain_links(spark, sf):
+    from trackloom.functions.clock import as_micros
+
+    o = table(spark, sf, "orders").select("o_custkey", as_micros("o_orderdate").alias("at"), "o_orderkey")
+    o = o.groupBy("o_custkey", "at").agg(F.max("o_orderkey").alias("token")).withColumn("t", F.col("token").cast("string"))
+    return series.link_chain(o, Axis(("o_custkey",), "at", 365 * DAY), "t").select("o_custkey", "token", "prev", "next")
+
+
+@query(
+    _E
+    + """ select user_id, at, case when abs(lag(value) over w - value) <= 0.2 * 0.5 + 3 or abs(lead(value) over w - value) <= 0.2 * 0.5 + 3 then value end as kept
+from e window w as (partition by user_id order by at)"""
+)
+def persistent_gaps(spark, sf):
+    e = events(spark, sf).select("user_id", "at", "value", F.lit(0.2).alias("v"))
+    return series.persistent(e, _AX, "value", "v").select("user_id", "at", "kept")
+
+
+@query(
+    """
+with e as (select distinct event_type, epoch_us(date_trunc('hour', ts)) as at from events),
+d as (select event_type, at - lag(at) over (partition by event_type order by at) as dt from e),
+p as (select event_type, quantile_cont(dt, 0.5) as period from d where dt is not null group by event_type),
+s as (select e.event_type, at, period, lag(at, 2) over w as p2, lag(at) over w as p1, lead(at) over w as n1, lead(at, 2) over w as n2,
+  count(*) over (partition by e.event_type) as n from e join p using (event_type) window w as (partition by e.event_type order by at)),
+x as (select *, abs((at - p1) / period - round_even((at - p1) / period, 0)) as dp, abs((n1 - at) / period - round_even((n1 - at) / period, 0)) as dn,
+  abs((n1 - p1) / period - round_even((n1 - p1) / period, 0)) as da, abs((n2 - n1) / period - round_even((n2 - n1) / period, 0)) as dh,
+  abs((p1 - p2) / period - round_even((p1 - p2) / period, 0)) as dt from s)
+select event_type, at, coalesce(n >= 3 and period > 0 and case when p1 is null then dn > 0.2 and dh <= 0.2 when n1 is null then dp > 0.2 and dt <= 0.2
+  else dp > 0.2 and dn > 0.2 and da <= 0.2 end, false) as off from x"""
+)
+def off_grid_frames(spark, sf):
+    e = events(spark, sf).select("event_type", F.expr(f"at - pmod(at, {HOUR}L)").alias("at")).distinct()
+    return series.off_grid(e, Axis(("event_type",), "at", DAY))
+
+
+_CLS = "case when value < 20 then 'low' when value < 60 then 'mid' else 'high' end"
+
+
+@query(
+    f"""
+with e as (select user_id, epoch_us(ts) as at, {_CLS} as cls from events),
+g as (select *, case when lag(cls) over w is null or lag(cls) over w <> cls or at - lag(at) over w > {DAY} then 1 else 0 end as s from e window w as (partition by user_id order by at)),
+h as (select *, sum(s) over (partition by user_id order by at) as run from g)
+select user_id, min(cls) as cls, min(at) as start_at, max(at) as end_at, count(*) as n from h group by user_id, run"""
+)
+def runlength_timeline(spark, sf):
+    e = events(spark, sf).select("user_id", "at", F.expr(_CLS).alias("cls"))
+    return segments.runlength(e, ["user_id"], "at", "cls", DAY, DAY).select("user_id", "cls", "start_at", "end_at", "n")
+
+
+@query(
+    f"""
+with e as (select user_id, epoch_us(ts) as at, {_CLS} as cls from events),
+g as (select *, lag(at) over w as pa, case when lag(cls) over w is null or lag(cls) over w <> cls or at - lag(at) over w > {DAY} then 1 else 0 end as s from e window w as (partition by user_id order by at)),
+h as (select *, sum(s) over (partition by user_id order by at) as run from g)
+select user_id, min(at) as start_at, max(at) + {HOUR} as end_at, min(cls) as cls from h group by user_id, run
+union all select user_id, pa + {HOUR}, at, 'gap' from g where at - pa > {DAY}"""
+)
+def timeline_with_gaps(spark, sf):
+    e = events(spark, sf).select("user_id", "at", F.expr(_CLS).alias("cls"))
+    return segments.timeline(e, ["user_id"], "at", "cls", HOUR, DAY, DAY, "gap")
+
+
+@query(
+    """
+with g as (select user_id, epoch_us(ts) as at, event_type, event_type <> 'view' as bad from events),
+h as (select *, case when lag(bad) over w is null or lag(bad) over w <> bad then 1 else 0 end as s from g window w as (partition by user_id order by at)),
+k as (select *, sum(s) over (partition by user_id order by at) as run from h),
+c as (select user_id, run, event_type, count(*) as n, min(at) as a, max(at) as b from k where bad group by all)
+select user_id, arg_min(event_type, (-n, event_type)) as dominant, min(a) as start_at, max(b) as end_at, cast(sum(n) as bigint) as n from c group by user_id, run"""
+)
+def status_runs(spark, sf):
+    e = events(spark, sf).select("user_id", "at", "event_type")
+    return segments.status_runs(e, ["user_id"], "at", "event_type", "view", DAY)
+
+
+@query(
+    f"""
+with e as (select user_id, epoch_us(ts) as s, epoch_us(ts) + cast(value as bigint) * 60000000 as e from events),
+m as (select *, max(e) over (partition by user_id order by s, e rows between unbounded preceding and 1 preceding) as upto from e),
+g as (select *, case when upto is null or s > upto + {HOUR} then 1 else 0 end as o from m),
+h as (select *, sum(o) over (partition by user_id order by s, e rows unbounded preceding) as run from g)
+select user_id, min(s) as s, max(e) as e, count(*) as n_merged from h group by user_id, run"""
+)
+def merged_intervals(spark, sf):
+    e = events(spark, sf)
+    spans = e.select("user_id", F.col("at").alias("s"), (F.col("at") + F.rint("value").cast("long") * 60_000_000).alias("e"))
+    return segments.merge_intervals(spans, ["user_id"], "s", "e", HOUR, DAY)
+
+
+@query(
+    f"""
+with recursive f as (select user_id, epoch_us(ts) as at, event_type = 'purchase' as key, row_number() over (partition by user_id order by ts) as rn from events),
+k as (select user_id, at, rn, at as last_at, true as kept from f where rn = 1
+union all select f.user_id, f.at, f.rn, case when f.key or f.at - k.last_at >= {DAY} then f.at else k.last_at end, f.key or f.at - k.last_at >= {DAY}
+from k join f on f.user_id = k.user_id and f.rn = k.rn + 1)
+select user_id, at from k where kept"""
+)
+def decimated_frames(spark, sf):
+    e = events(spark, sf).select("user_id", "at", (F.col("event_type") == "purchase").alias("key"))
+    return decimate(e, ["user_id"], "at", "key", DAY, DAY).select("user_id", "at")
