@@ -59,11 +59,15 @@ def pair_key(a: Column, b: Column) -> Column:
 
 
 def human_size(size: Column) -> Column:
-    """Bytes with a unit: whole B and KB, one decimal above."""
+    """Bytes with a unit: whole B and KB, one decimal above; ties round to even."""
     v = size.cast("double")
-    out = F.format_string("%.1f TB", v / 1024**4)
-    for unit, power, fmt in (("GB", 3, "%.1f"), ("MB", 2, "%.1f"), ("KB", 1, "%.0f"), ("B", 0, "%.0f")):
-        out = F.when(v < 1024.0 ** (power + 1), F.format_string(f"{fmt} {unit}", v / 1024.0**power)).otherwise(out)
+
+    def label(power: int, digits: int, unit: str) -> Column:
+        return F.format_string(f"%.{digits}f {unit}", F.bround(v / 1024.0**power, digits))
+
+    out = label(4, 1, "TB")
+    for power, digits, unit in ((3, 1, "GB"), (2, 1, "MB"), (1, 0, "KB"), (0, 0, "B")):
+        out = F.when(v < 1024.0 ** (power + 1), label(power, digits, unit)).otherwise(out)
     return out
 
 
