@@ -178,12 +178,15 @@ def islands(
     starts: Starts,
     island: str = "island",
     place: str | None = None,
+    size: str | None = None,
+    counted: Callable[[Callable[[str], Column]], Column] | None = None,
 ) -> DataFrame:
     """Number the runs of a series: a row opens a new run when `starts(prev, cur)` holds; the first row always does.
 
     `prev` and `cur` give the named `columns` of the previous and the current row. `place` adds the 1-based
-    position of the row in its run. One pass: flags are local except for each block's first row, which the
-    block summary settles.
+    position of the row in its run, `size` the run's length. With `counted(cur)`, only runs whose first row
+    satisfies it take a number (the others repeat the last one). One pass: flags are local except for each
+    block's first row, which the block summary settles.
     """
     keys = list(axis.keys)
     w = axis.window()
@@ -192,52 +195,69 @@ def islands(
     def field(struct: str) -> Callable[[str], Column]:
         return lambda name: F.col(struct)[name]
 
+    def counts(struct: str) -> Column:
+        return F.lit(1) if counted is None else F.when(counted(field(struct)), 1).otherwise(0)
+
     rows = df.select("*", axis.block().alias(BLOCK), F.struct(*columns).alias("_run_row"))
     rows = rows.select("*", F.lag("_run_row", 1).over(w).alias("_run_prev"), F.row_number().over(w).alias("_run_n"))
     opens = F.coalesce(starts(field("_run_prev"), field("_run_row")), F.lit(False))
     rows = rows.withColumn("_run_open", F.when(F.col("_run_prev").isNotNull() & opens, 1).otherwise(0))
+    opened_at = F.when(F.col("_run_open") == 1, F.col("_run_n"))
 
     row_type = rows.schema["_run_row"].dataType
     blocks = rows.groupBy(*keys, BLOCK).agg(
         F.count(F.lit(1)).alias("_run_rows"),
-        F.sum("_run_open").alias("_run_opens"),
-        F.max(F.when(F.col("_run_open") == 1, F.col("_run_n"))).alias("_run_last_open"),
+        F.sum(F.col("_run_open") * counts("_run_row")).alias("_run_opens"),
+        F.max(opened_at).alias("_run_last_open"),
+        F.min(opened_at).alias("_run_first_open"),
         pick_by(F.col("_run_row"), row_type, axis.rank(), first=True).alias("_run_first"),
         pick_by(F.col("_run_row"), row_type, axis.rank(), first=False).alias("_run_last"),
     )
     step = Window.partitionBy(*keys).orderBy(BLOCK)
     before = step.rowsBetween(Window.unboundedPreceding, -1)
+    later = _across(keys, back=True)
     blocks = blocks.withColumn("_run_before", F.lag("_run_last", 1).over(step))
     head = F.coalesce(starts(field("_run_before"), field("_run_first")), F.lit(False))
     blocks = blocks.withColumn("_run_head", F.when(F.col("_run_before").isNull() | head, 1).otherwise(0))
+    blocks = blocks.withColumn("_run_heads", F.col("_run_head") * counts("_run_first"))
     blocks = blocks.withColumn("_run_offset", F.coalesce(F.sum("_run_rows").over(before), F.lit(0)))
-    blocks = blocks.withColumn(
-        "_run_opened", F.coalesce(F.col("_run_last_open"), F.when(F.col("_run_head") == 1, 1)) + F.col("_run_offset")
-    )
+    first_row = F.when(F.col("_run_head") == 1, 1)
+    blocks = blocks.withColumn("_run_opened", F.coalesce("_run_last_open", first_row) + F.col("_run_offset"))
+    blocks = blocks.withColumn("_run_opening", F.coalesce(first_row, "_run_first_open") + F.col("_run_offset"))
     carry = blocks.select(
         *keys,
         BLOCK,
         "_run_head",
+        "_run_heads",
         "_run_offset",
-        F.coalesce(F.sum(F.col("_run_opens") + F.col("_run_head")).over(before), F.lit(0)).alias("_run_base"),
+        F.coalesce(F.sum(F.col("_run_opens") + F.col("_run_heads")).over(before), F.lit(0)).alias("_run_base"),
         F.last("_run_opened", ignorenulls=True).over(before).alias("_run_carried"),
+        F.last("_run_opening", ignorenulls=True).over(later).alias("_run_next"),
+        (F.sum("_run_rows").over(Window.partitionBy(*keys)) + 1).alias("_run_end"),
     )
 
+    after = axis.window(back=True).rowsBetween(Window.unboundedPreceding, -1)
     detail = rows.select(
         *df.columns,
         BLOCK,
         "_run_n",
-        F.sum("_run_open").over(upto).alias("_run_opens_upto"),
-        F.max(F.when(F.col("_run_open") == 1, F.col("_run_n"))).over(upto).alias("_run_open_at"),
+        F.sum(F.col("_run_open") * counts("_run_row")).over(upto).alias("_run_opens_upto"),
+        F.max(opened_at).over(upto).alias("_run_open_at"),
+        *([F.min(opened_at).over(after).alias("_run_open_next")] if size else []),
     )
     out = detail.join(carry, [*keys, BLOCK])
-    number = (F.col("_run_base") + F.col("_run_head") + F.col("_run_opens_upto")).cast("long")
+    number = (F.col("_run_base") + F.col("_run_heads") + F.col("_run_opens_upto")).cast("long")
     result = [*df.columns, number.alias(island)]
+    start = F.coalesce(
+        F.col("_run_open_at") + F.col("_run_offset"),
+        F.when(F.col("_run_head") == 1, F.col("_run_offset") + 1),
+        F.col("_run_carried"),
+    )
     if place:
-        start = F.coalesce(
-            F.col("_run_open_at") + F.col("_run_offset"), F.when(F.col("_run_head") == 1, F.col("_run_offset") + 1), F.col("_run_carried")
-        )
         result.append((F.col("_run_n") + F.col("_run_offset") - start + 1).cast("long").alias(place))
+    if size:
+        end = F.coalesce(F.col("_run_open_next") + F.col("_run_offset"), "_run_next", "_run_end")
+        result.append((end - start).cast("long").alias(size))
     return out.select(*result)
 
 

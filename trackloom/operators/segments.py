@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.operators.ordered import Axis, islands, position, prev, running_max, scan
+from trackloom.operators.ordered import Axis, islands, prev, running_max, scan
 
 
 def burst_instants(
@@ -36,37 +36,33 @@ def segments(
 ) -> DataFrame:
     """Unbroken runs of valid frames: an invalid frame or a step longer than `max_gap` starts a new one.
 
-    Returns the valid frames with `segment` (dense, from 1, per key) and `place` (1-based in the segment).
+    Returns the valid frames with `segment` (dense, from 1, per key), `place` (1-based in the segment) and `size`
+    (frames in the segment), all from one scan.
     """
     limit = max_gap if isinstance(max_gap, Column) else F.lit(max_gap)
     rows = frames.withColumn("_limit", limit)
-    axis = Axis(tuple(keys), at, span, tie)
     runs = islands(
         rows,
-        axis,
+        Axis(tuple(keys), at, span, tie),
         [at, valid, "_limit"],
         lambda p, c: (p(valid) != c(valid)) | (c(at) - p(at) > c("_limit")),
-        "_run",
+        "segment",
         "place",
+        "size",
+        counted=lambda c: c(valid),
     )
-    good = runs.where(valid)
-    firsts = good.where("place = 1").select(*keys, "_run", at)
-    order = scan(firsts, Axis(tuple(keys), at, span), {"segment": position()})
-    return good.join(order.select(*keys, "_run", "segment"), [*keys, "_run"]).select(*frames.columns, "segment", "place")
+    return runs.where(valid).select(*frames.columns, "segment", "place", "size")
 
 
-def fixed_scenes(runs: DataFrame, keys: list[str], size: Column | int) -> DataFrame:
+def fixed_scenes(runs: DataFrame, size: Column | int) -> DataFrame:
     """Cut every segment into scenes of exactly `size` frames; adds `scene_no` (0-based), null for the remainder.
 
-    Needs `segment` and `place`. A segment's length is the largest place in it.
+    Needs `place` and `size` (the segment's length) as `segments` gives them; no shuffle.
     """
     n = size if isinstance(size, Column) else F.lit(size)
-    rows = runs.withColumn("_size", n.cast("long"))
-    lengths = rows.groupBy(*keys, "segment").agg(F.max("place").alias("_len"))
-    full = rows.join(lengths, [*keys, "segment"])
-    chunk = F.expr("(place - 1) div _size")
-    whole = F.expr("_len div _size")
-    return full.select(*runs.columns, F.when(chunk < whole, chunk).alias("scene_no"))
+    rows = runs.withColumn("_n", n.cast("long"))
+    chunk, whole = F.expr("(place - 1) div _n"), F.expr("size div _n")
+    return rows.select(*runs.columns, F.when(chunk < whole, chunk).alias("scene_no"))
 
 
 def scene_stats(scenes: DataFrame, keys: list[str], size: int) -> DataFrame:

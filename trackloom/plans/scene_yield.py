@@ -61,8 +61,8 @@ def plan_frames(frames: DataFrame, p: YieldParams) -> DataFrame:
 
 def cut_scenes(planned: DataFrame, p: YieldParams) -> DataFrame:
     """Valid anchor frames with `segment`, `place` and `scene_no` (null in a segment's unused rest)."""
-    runs = stage(seg.segments(planned, list(p.keys), p.at, "valid", F.col("max_gap"), p.span), "segments")
-    return seg.fixed_scenes(runs, list(p.keys), F.col("frames_per_scene"))
+    runs = seg.segments(planned, list(p.keys), p.at, "valid", F.col("max_gap"), p.span)
+    return seg.fixed_scenes(runs, F.col("frames_per_scene"))
 
 
 def categorize(planned: DataFrame, scenes: DataFrame, p: YieldParams) -> DataFrame:

@@ -156,7 +156,7 @@ def gap_segments(spark, sf):
 def fixed_scenes(spark, sf):
     e = events(spark, sf).select("user_id", "at", (F.col("event_type") != "error").alias("ok"))
     runs = segments.segments(e, ["user_id"], "at", "ok", DAY, DAY)
-    return segments.fixed_scenes(runs, ["user_id"], 5).select("user_id", "at", "segment", "scene_no")
+    return segments.fixed_scenes(runs, 5).select("user_id", "at", "segment", "scene_no")
 
 
 _PARAMS = sy.YieldParams(
