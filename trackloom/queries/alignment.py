@@ -265,7 +265,7 @@ p as (select label, at, a / sqrt(a*a+b*b+c*c+d*d) as qw, b / sqrt(a*a+b*b+c*c+d*
 """
 
 
-def _poses(spark, sf):
+def poses_of(spark, sf):
     e = table(spark, sf, "embeddings")
     c = [F.col("embedding")[i].cast("double") for i in range(4)]
     n = F.sqrt(c[0] * c[0] + c[1] * c[1] + c[2] * c[2] + c[3] * c[3])
@@ -288,7 +288,7 @@ select label, at, round(case when b is null then ow else w / sqrt(w*w+x*x+y*y+z*
   round(case when b is null then oz else z / sqrt(w*w+x*x+y*y+z*z) end, 6) as qz from z"""
 )
 def slerp_pose(spark, sf):
-    poses = _poses(spark, sf)
+    poses = poses_of(spark, sf)
     q = poses.select("label", (F.col("at") + 3).alias("at"))
     out = asof.interpolate_pose(q, poses, ["label"], "at", 1000, outside="hold")
     return out.select("label", "at", *[r6(c).alias(c) for c in ("qw", "qx", "qy", "qz")])

@@ -131,9 +131,9 @@ select label, at, round(mv / ((at - pt) / 100.0), 6) as speed, round(tn / ((at -
   coalesce(mv / ((at - pt) / 100.0) > 0.3 or tn / ((at - pt) / 100.0) > 90, false) as jump from l"""
 )
 def pose_jumps(spark, sf):
-    from trackloom.queries.alignment import _poses
+    from trackloom.queries.alignment import poses_of
 
-    j = series.pose_jumps(_poses(spark, sf), Axis(("label",), "at", 1000), 100.0, 0.3, 90.0)
+    j = series.pose_jumps(poses_of(spark, sf), Axis(("label",), "at", 1000), 100.0, 0.3, 90.0)
     return j.select("label", "at", r6("speed").alias("speed"), r6("turn_rate").alias("turn_rate"), "jump")
 
 
@@ -263,3 +263,99 @@ select user_id, at from k where kept"""
 def decimated_frames(spark, sf):
     e = events(spark, sf).select("user_id", "at", (F.col("event_type") == "purchase").alias("key"))
     return decimate(e, ["user_id"], "at", "key", DAY, DAY).select("user_id", "at")
+
+
+_BEH = """
+with e as (select user_id, epoch_us(ts) as at, value as speed, (props ->> '$.k')::double * 0.0634665 - pi() as yaw, value / 100 - 1 as ax from events),
+dd as (select *, yaw - lag(yaw) over (partition by user_id order by at) as d from e),
+fx as (select *, case when d is null or abs(d) < pi() then 0 when d > 0 then -2 * pi() else 2 * pi() end as fix from dd),
+r as (select user_id, at, speed, ax, degrees(yaw + sum(fix) over (partition by user_id order by at)) as deg, row_number() over (partition by user_id order by at) as pos,
+  coalesce(sum(speed) over (partition by user_id order by at rows between 2 preceding and 1 following), 0) / 4 as v1,
+  coalesce(sum(ax) over (partition by user_id order by at rows between 2 preceding and 1 following), 0) / 4 as ax1,
+  sum(speed) over (partition by user_id order by at rows unbounded preceding) as cum from fx),
+la as (select a.user_id, a.pos, a.deg, b.deg as deg2, (b.cum - b.speed - (a.cum - a.speed)) / (b.pos - a.pos) as m
+  from (select *, at + 21600000000 as later from r) a asof join r b on a.user_id = b.user_id and a.later <= b.at),
+tu as (select user_id, greatest(coalesce(max(case when m > 3 then deg2 - deg end), 0), 0) as l, least(coalesce(min(case when m > 3 then deg2 - deg end), 0), 0) as r
+  from la where (pos - 1) % 4 = 0 group by user_id),
+b as (select user_id, avg(speed) as v_mean, max(speed) as v_max, avg(case when v1 < 1 then 1.0 else 0.0 end) as stop_frac, max(abs(ax1)) as max_acc, min(ax1) as min_ax,
+  arg_max(deg, at) - arg_min(deg, at) as net from r group by user_id)
+"""
+
+
+@query(
+    _BEH
+    + """ select b.user_id, round(v_mean, 6) as v_mean, v_max, round(stop_frac, 6) as stop_frac, round(max_acc, 6) as max_acc, round(min_ax, 6) as min_ax,
+round(net, 5) as net_turn, round(coalesce(tu.l, 0), 5) as left_deg, round(coalesce(tu.r, 0), 5) as right_deg from b left join tu using (user_id)"""
+)
+def behaviour_features(spark, sf):
+    """Behaviour features with users as scenes and hours as seconds."""
+    from trackloom.plans.behaviour import describe
+
+    k = F.get_json_object("props", "$.k").cast("double")
+    t = events(spark, sf).select(
+        "user_id", "at", F.col("value").alias("speed"), (k * 0.0634665 - F.pi()).alias("yaw"), (F.col("value") / 100 - 1).alias("ax"), F.lit(0.0).alias("ay")
+    )
+    d = describe(t, _AX, 4, HOUR)
+    return d.select("user_id", r6("v_mean").alias("v_mean"), "v_max", r6("stop_frac").alias("stop_frac"), r6("max_acc").alias("max_acc"), r6("min_ax").alias("min_ax"),
+                    F.round("net_turn", 5).alias("net_turn"), F.round("left_deg", 5).alias("left_deg"), F.round("right_deg", 5).alias("right_deg"))
+
+
+@query(
+    """
+with g as (select user_id, epoch_us(ts) as at, value as gap, (props ->> '$.k')::double / 3 as v from events),
+p as (select *, lag(gap) over w as g0, (at - lag(at) over w) / 3.6e9 as dt from g window w as (partition by user_id order by at)),
+c as (select *, -(gap - g0) / dt as c from p),
+n as (select user_id, min(case when v > 3 then gap / v end) as thw, min(case when abs(gap - g0) <= 8 and v > 3 and c > 0.5 and c <= v + 2 then gap / c end) as ttc,
+  min(case when v > 3 then gap end) as mg, min(1 - gap / 100) as ax, max(abs(v / 10)) as ay from c group by user_id)
+select user_id, round(thw, 6) as min_thw, round(ttc, 6) as min_ttc, mg as min_gap_moving, round(ax, 6) as min_ax, round(ay, 6) as max_ay,
+round_even(coalesce(greatest(case when ax <= -3.5 then 1 - 3.5 - ax end, case when ay >= 3.2 then 1 + ay - 3.2 end, case when thw <= 0.05 then 1 + (0.05 - thw) / 0.3 end,
+  case when ttc <= 1.5 then 1 + (1.5 - ttc) / 0.5 end), 0), 2) as score from n"""
+)
+def driving_risk(spark, sf):
+    from trackloom.plans.behaviour import risk
+
+    k = F.get_json_object("props", "$.k").cast("double")
+    e = events(spark, sf).select("user_id", "at", F.col("value").alias("gap"), (k / 3).alias("speed"))
+    motion = e.select("user_id", (1 - F.col("gap") / 100).alias("ax"), (F.col("speed") / 10).alias("ay"))
+    r = risk(e, motion, _AX, 3.6e9, {"brake": -3.5, "lat": 3.2, "thw": 0.05, "ttc": 1.5})
+    return r.select("user_id", r6("min_thw").alias("min_thw"), r6("min_ttc").alias("min_ttc"), "min_gap_moving", r6("min_ax").alias("min_ax"), r6("max_ay").alias("max_ay"), "score")
+
+
+@query(
+    """
+with e as (select user_id, epoch_us(ts) as at, (props ->> '$.k')::bigint % 3 as cnt, value as v from events),
+u as (select * from e where cnt > 0),
+h as (select user_id, (sum(cnt) - arg_min(cnt, at)) * 1e6 / (max(at) - min(at)) as hz from u group by user_id)
+select user_id, at, round(v * hz / cnt, 9) as ax, round(-v / 2 * hz / cnt, 9) as ay, round(hz, 9) as imu_hz from u join h using (user_id)"""
+)
+def imu_rates(spark, sf):
+    from trackloom.plans import ins
+
+    k = F.get_json_object("props", "$.k").cast("long")
+    rows = events(spark, sf).select(
+        "user_id", "at", "event_id", (k % 3).alias("count"), F.col("value").alias("lon_acc"), (F.col("value") / 2).alias("lat_acc"), F.lit(0.0).alias("vert_acc"),
+        F.lit(0.0).alias("pitch_rate"), F.lit(0.0).alias("roll_rate"), F.lit(0.0).alias("yaw_rate"),
+    )
+    r = ins.imu_rates(rows, ["user_id"], "at", ["event_id"], DAY, 1e6)
+    return r.select("user_id", "at", F.round("ax", 9).alias("ax"), F.round("ay", 9).alias("ay"), F.round("imu_hz", 9).alias("imu_hz"))
+
+
+@query(
+    """
+with p as (select user_id, epoch_us(ts) as at, value as x from events where event_type in ('view', 'click')),
+i as (select user_id, epoch_us(ts) as t, value as v from events where event_type not in ('view', 'click')),
+s as (select user_id, epoch_us(ts) as s, epoch_us(ts) + 86400000000 as e, event_id as scene from events where event_type = 'purchase'),
+lo as (select p.*, i.t as a, i.v as va from p asof left join i on p.user_id = i.user_id and p.at >= i.t),
+hi as (select p.user_id, p.at, i.t as b, i.v as vb from p asof left join i on p.user_id = i.user_id and p.at <= i.t),
+r as (select lo.user_id, at, x, case when a is null then vb when b is null then va when b = at then vb else va + (at - a) / (b - a) * (vb - va) end as ax from lo join hi using (user_id, at))
+select scene, r.user_id, at, x, round(ax, 6) as ax from r join s on r.user_id = s.user_id and at between s - 21600000000 and e + 21600000000"""
+)
+def scene_pose_messages(spark, sf):
+    from trackloom.plans import ins
+
+    e = events(spark, sf)
+    poses = e.where("event_type in ('view', 'click')").select("user_id", "at", F.col("value").alias("x"))
+    imu = e.where("event_type not in ('view', 'click')").select("user_id", "at", *[F.col("value").alias(c) for c in ins.RATES])
+    spans = e.where("event_type = 'purchase'").select("user_id", F.col("event_id").alias("scene"), F.col("at").alias("s"), (F.col("at") + DAY).alias("e"))
+    m = ins.scene_poses(poses, imu, spans, ["user_id"], "at", "s", "e", "scene", 6 * HOUR, DAY, DAY)
+    return m.select("scene", "user_id", "at", "x", r6("ax").alias("ax"))
