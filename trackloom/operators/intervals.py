@@ -47,10 +47,9 @@ def interval_join(
     filed = wide.withColumn("_w", width).withColumn(
         "_bin", F.explode(F.sequence(_bin("_lo", F.col("_w")), _bin("_hi", F.col("_w"))))
     )
-    used = wide.groupBy(*keys).agg(F.sort_array(F.collect_set("_level")).alias("_levels"))  # about a dozen per key
-    asked = points.join(used, keys) if keys else points.withColumn("_one", F.lit(1)).join(
-        F.broadcast(used.withColumn("_one", F.lit(1))), "_one"
-    ).drop("_one")
+    # the levels in use anywhere: one row with about a dozen numbers at most
+    used = wide.agg(F.sort_array(F.collect_set("_level")).alias("_levels")).withColumn("_one", F.lit(1))
+    asked = points.withColumn("_one", F.lit(1)).join(F.broadcast(used), "_one").drop("_one")
     asked = asked.withColumn("_level", F.explode("_levels")).drop("_levels")
     asked = asked.withColumn("_bin", _bin(at, width))
     found = salted_join(

@@ -40,6 +40,22 @@ class Axis:
         return Window.partitionBy(*self.keys, BLOCK).orderBy(*[c.desc() if back else c for c in cols])
 
 
+def fit_span(df: DataFrame, keys: list[str], at: str, span: int, rows: int = 1_000_000) -> int:
+    """The given block width, halved as often as it takes until no (key, block) holds more than `rows` rows.
+
+    One counting job per attempt; only the largest count reaches the driver. Stops at width 1, where a block is a
+    single instant.
+    """
+    while span > 1:
+        fullest = (
+            df.groupBy(*keys, Axis(tuple(keys), at, span).block().alias(BLOCK)).count().agg(F.max("count")).first()[0]
+        )
+        if fullest is None or fullest <= rows:
+            break
+        span = max(1, span >> max(1, (fullest // rows).bit_length() - 1))
+    return span
+
+
 @dataclass(frozen=True)
 class Step:
     """One running value of a scan; build with the functions below."""

@@ -23,31 +23,30 @@ def _around(df: DataFrame) -> DataFrame:
     )
 
 
-def candidate_pairs(points: DataFrame, scene: str, x: str, y: str, reach: float, share: float) -> DataFrame:
+def candidate_pairs(
+    points: DataFrame, scene: str, x: str, y: str, reach: float, share: float, within: tuple[str, ...] = ()
+) -> DataFrame:
     """Ordered pairs (a, b) that can still reach `share`: b has a point in or beside enough of a's rare cells.
 
     Exact pruning: if b covers at least `share` of a's points, it must touch any set of a's cells that holds more
     than (1 - share) of them. Taking a's rarest cells for that set keeps crowded places from pairing everyone with
-    everyone.
+    everyone. `within` names columns both scenes must share, such as the recording.
     """
+    place = [*within, "_cx", "_cy"]
     cells = stage(
-        _cells(points.select(scene, x, y), x, y, reach).groupBy(scene, "_cx", "_cy").agg(F.count(F.lit(1)).alias("_n")),
+        _cells(points.select(scene, *within, x, y), x, y, reach).groupBy(scene, *place).agg(F.count(F.lit(1)).alias("_n")),
         "cells",
     )
-    crowd = _around(cells.select(scene, "_cx", "_cy")).groupBy("_cx", "_cy").agg(
-        F.count_distinct(scene).alias("_crowd")
-    )
-    ranked = cells.join(crowd, ["_cx", "_cy"])
+    crowd = _around(cells.select(scene, *place)).groupBy(*place).agg(F.count_distinct(scene).alias("_crowd"))
+    ranked = cells.join(crowd, place)
     w = Window.partitionBy(scene).orderBy("_crowd", "_cx", "_cy")  # a scene is seconds long: few cells
     before = F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     total = F.sum("_n").over(Window.partitionBy(scene))
-    prefix = ranked.select(scene, "_cx", "_cy", before.alias("_before"), total.alias("_total"))
+    prefix = ranked.select(scene, *place, before.alias("_before"), total.alias("_total"))
     prefix = prefix.where(F.col("_before") <= (1.0 - share) * F.col("_total") + 1e-9)
-    probe = _around(prefix.select(F.col(scene).alias("a"), "_cx", "_cy")).distinct()
-    target = cells.select(F.col(scene).alias("b"), "_cx", "_cy")
-    return (
-        salted_join(probe, target, ["_cx", "_cy"], ["a"]).where("a <> b").select("a", "b").distinct()
-    )
+    probe = _around(prefix.select(F.col(scene).alias("a"), *place)).distinct()
+    target = cells.select(F.col(scene).alias("b"), *place)
+    return salted_join(probe, target, place, ["a"]).where("a <> b").select("a", "b").distinct()
 
 
 def place_cover(
@@ -60,14 +59,14 @@ def place_cover(
     place_m: float = 10.0,
     heading_deg: float = 30.0,
     share: float = 0.8,
-    pairs: DataFrame | None = None,
+    within: tuple[str, ...] = (),
 ) -> DataFrame:
     """(a, b, cover): share of a's points whose nearest point of b lies within place_m and heads within heading_deg.
 
-    The heading test uses b's nearest point only (the first one on a tie). Pairs below `share` are left out.
+    The heading test uses b's nearest point only (the first one on a tie). Pairs below `share` are left out, and
+    with `within` those that differ in one of these columns.
     """
-    if pairs is None:
-        pairs = candidate_pairs(points, scene, x, y, place_m, share)
+    pairs = candidate_pairs(points, scene, x, y, place_m, share, within)
     pairs = stage(pairs.select("a", "b"), "pairs")
     pts = _cells(points.select(scene, seq, x, y, heading), x, y, place_m)
     mine = _around(

@@ -27,8 +27,9 @@ def propose(
     s = stage(scenes, "scenes")
     stopped = s.where((F.col("cls") == "stopped") & ~F.col("locked")).select("scene", "log", "activity", "keep")
     inside = points.join(stopped.select("scene", "log"), "scene")
-    # a place is looked for inside the recording only: its name is part of the cell through an offset per recording
-    cover = stage(_covers_within(inside, place_m, heading_deg, share), "cover")
+    cover = stage(
+        pairs.place_cover(inside, "scene", "seq", "x", "y", "heading", place_m, heading_deg, share, within=("log",)), "cover"
+    )
     groups = stage(pairs.same_place_groups(cover, ego, stopped, "scene", share, tau), "groups")
     ranked = keep_most_active(groups.join(stopped, "scene"), ["component"], "scene", "activity")
     repeats = ranked.where("candidate and not keep").select("scene", F.lit("stops").alias("step"), F.col("rep").alias("by"))
@@ -58,13 +59,3 @@ def propose(
         "scene", F.lit("overlap").alias("step"), "by"
     )
     return repeats.unionByName(few).unionByName(overlap)
-
-
-def _covers_within(points: DataFrame, place_m: float, heading_deg: float, share: float) -> DataFrame:
-    """Path cover between scenes of one recording only."""
-    found = pairs.candidate_pairs(points, "scene", "x", "y", place_m, share)
-    log = points.select("scene", "log").distinct()
-    same = found.join(log.select(F.col("scene").alias("a"), F.col("log").alias("_la")), "a").join(
-        log.select(F.col("scene").alias("b"), F.col("log").alias("_lb")), "b"
-    ).where("_la = _lb")
-    return pairs.place_cover(points, "scene", "seq", "x", "y", "heading", place_m, heading_deg, share, pairs=same)

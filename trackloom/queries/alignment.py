@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from trackloom.operators import asof, segments
 from trackloom.operators.coverage import coverage_window as window_of
 from trackloom.operators.intervals import interval_join
+from trackloom.operators.ordered import fit_span
 from trackloom.plans import scene_yield as sy
 from trackloom.session import stage
 from trackloom.queries.registry import DAY, HOUR, events, query, r6, table
@@ -197,7 +200,8 @@ cat as (select pl.*, case when not in_window then 'window' when not valid then '
 union all select 'all', 'anchor_gap', count(*), round(sum(dt - period) / 1000000, 6) from d, p where dt > 1.5 * period"""
 )
 def scene_yield(spark, sf):
-    y = sy.yield_report(recording(spark, sf), _PARAMS)
+    f = recording(spark, sf)
+    y = sy.yield_report(f, replace(_PARAMS, span=fit_span(f, ["log"], "at", _PARAMS.span)))
     return y.select("log", "category", "frames", r6("seconds").alias("seconds"))
 
 

@@ -1,8 +1,8 @@
 """A data source for indexed recordings: spark.read.format("recording").
 
 A file is a sequence of records (header fields, data). Its index lists the connections (topic, type) and the chunks
-with their time ranges; chunks hold the messages. One partition covers a run of chunks of one file; topics and time
-ranges in filters skip connections and chunks before anything is read.
+with their time ranges; chunks hold the messages. One partition covers a share of one file's chunks; topics and time
+ranges in filters skip connections and chunks before a payload is read.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
@@ -112,16 +114,18 @@ def messages(path: str, positions: list[int], wanted: dict[int, tuple[str, str]]
 
 
 @dataclass
-class ChunkRun(InputPartition):
+class Slice(InputPartition):
+    """Part `number` of `count` of a file; the task reads the index itself and takes its share of the chunks."""
+
     path: str
-    positions: list[int]
-    wanted: dict[int, tuple[str, str]]
+    number: int
+    count: int
 
 
 class RecordingReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.path = options["path"]
-        self.per_task = int(options.get("chunkspertask", "64"))
+        self.task_bytes = int(options.get("bytespertask", str(256 << 20)))
         self.payload = options.get("payload", "true").lower() == "true"
         self.topics: set[str] | None = None
         self.low, self.high = -(2**63), 2**63 - 1
@@ -145,25 +149,34 @@ class RecordingReader(DataSourceReader):
         return sorted(glob.glob(self.path))
 
     def partitions(self) -> list[InputPartition]:
+        """Slices by file size alone; nothing is read on the driver."""
         out = []
         for path in self.files():
-            index = read_index(path)
-            wanted = {c: t for c, t in index.connections.items() if self.topics is None or t[0] in self.topics}
-            runs = [p for p, a, b in index.chunks if b >= self.low and a <= self.high] if wanted else []
-            for i in range(0, len(runs), self.per_task):
-                out.append(ChunkRun(path, runs[i : i + self.per_task], wanted))
-        return out or [ChunkRun("", [], {})]
-
-    def read(self, partition: ChunkRun) -> Iterator[tuple]:
+            count = max(1, -(-os.path.getsize(path) // self.task_bytes))
+            out += [Slice(path, i, count) for i in range(count)]
+        return out or [Slice("", 0, 1)]
+
+    def plan(self, part: Slice) -> tuple[list[int], dict[int, tuple[str, str]]]:
+        """The chunk positions and connections a slice has to read under the pushed filters."""
+        index = read_index(part.path)
+        wanted = {c: t for c, t in index.connections.items() if self.topics is None or t[0] in self.topics}
+        n = len(index.chunks)
+        share = index.chunks[n * part.number // part.count : n * (part.number + 1) // part.count]
+        return [p for p, a, b in share if b >= self.low and a <= self.high] if wanted else [], wanted
+
+    def read(self, partition: Slice) -> Iterator[tuple]:
+        if not partition.path:
+            return
         log = os.path.splitext(os.path.basename(partition.path))[0]
-        for topic, kind, bag_ns, header_ns, body in messages(partition.path, partition.positions, partition.wanted) if partition.path else ():
+        positions, wanted = self.plan(partition)
+        for topic, kind, bag_ns, header_ns, body in messages(partition.path, positions, wanted):
             if self.low <= bag_ns <= self.high:
                 yield log, topic, kind, bag_ns, header_ns, body if self.payload else None
 
 
 class RecordingSource(DataSource):
     """Options: path (file, glob or folder on a file system all executors mount), payload (false: stamps only),
-    chunksPerTask."""
+    bytesPerTask."""
 
     @classmethod
     def name(cls) -> str:
@@ -181,11 +194,17 @@ def register(spark) -> None:
     spark.dataSource.register(RecordingSource)
 
 
-def spans(path: str) -> list[tuple[str, int, int]]:
-    """(log, first ns, last ns) per file from the index alone."""
-    out = []
-    for p in RecordingReader({"path": path}).files():
-        chunks = read_index(p).chunks
-        if chunks:
-            out.append((os.path.splitext(os.path.basename(p))[0], min(c[1] for c in chunks), max(c[2] for c in chunks)))
-    return out
+def spans(spark: SparkSession, path: str) -> DataFrame:
+    """(log, first_ns, last_ns) per file from the index alone, one task per group of files."""
+    files = spark.createDataFrame([(f,) for f in RecordingReader({"path": path}).files()], "path string")
+
+    def extent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for p in pdf["path"]:
+                chunks = read_index(p).chunks
+                if chunks:
+                    rows.append((os.path.splitext(os.path.basename(p))[0], min(c[1] for c in chunks), max(c[2] for c in chunks)))
+            yield pd.DataFrame(rows, columns=["log", "first_ns", "last_ns"])
+
+    return files.repartition("path").mapInPandas(extent, "log string, first_ns long, last_ns long")
