@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 # Fixed value: how a recording is named (course, number, start time).
 RECORDING = r"^([A-Z][A-Z0-9]*)-(\d+)_(\d{4}(?:-\d\d){5})$"
 
+# Words that tell which sensor family a topic belongs to.
+LIDAR_WORDS = ("lidar", "velodyne", "ouster")
+INS_WORDS = ("novatel", "gnss", "gps", "/ins", "imu")
+
+
+def _any(text: Column, words: tuple[str, ...]) -> Column:
+    out = F.lit(False)
+    for w in words:
+        out = out | text.contains(w)
+    return out
+
 
 def route_key(name: Column) -> Column:
     """Sort key (course, number, name): A-2 comes before A-10, unnamed routes last."""
@@ -36,12 +47,8 @@ def sensor_group(topic: Column, kind: Column) -> Column:
     t, k = F.lower(topic), F.lower(kind)
     status = t.contains("camera_info") | k.endswith("camerainfo") | (t.contains("lidar") & t.contains("status"))
     image = k.endswith("compressedimage") | k.endswith("/image") | (t.contains("camera") & k.contains("image"))
-    lidar = (
-        (k.endswith("pointcloud2") & ~t.contains("radar")) | t.contains("lidar") | t.contains("velodyne") | t.contains("ouster")
-    )
-    ins = F.lit(False)
-    for word in ("novatel", "gnss", "gps", "/ins", "imu"):
-        ins = ins | t.contains(word)
+    lidar = (k.endswith("pointcloud2") & ~t.contains("radar")) | _any(t, LIDAR_WORDS)
+    ins = _any(t, INS_WORDS)
     can = F.replace(t, F.lit("scan"), F.lit("")).contains("can")
     return (
         F.when(status, 5).when(image, 0).when(lidar, 1).when(t.contains("radar"), 2).when(ins, 3).when(can, 4).otherwise(6)

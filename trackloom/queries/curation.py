@@ -313,3 +313,33 @@ def component_options(spark, sf):
     )
     r = quota.component_options(members, cost)
     return r.select("component", "n_removed", r6("cost").alias("cost"), F.array_join("kept", ",").alias("kept"))
+
+
+@query(
+    """
+with recursive n as (select c_nationkey as k, count(*) as n from customer group by 1),
+o as (select *, row_number() over (order by k) as rn from n),
+lim as (select cast(floor(sum(n) / 3) as bigint) as room from n),
+w as (select 0::bigint as rn, room as left_, 0::integer as k, 0::bigint as n, false as took from lim
+ union all select o.rn, case when o.n <= w.left_ then w.left_ - o.n else w.left_ end, o.k, o.n, o.n <= w.left_ from w join o on o.rn = w.rn + 1)
+select k, n from w where took"""
+)
+def first_fit(spark, sf):
+    c = table(spark, sf, "customer")
+    n = c.groupBy(F.col("c_nationkey").alias("k")).agg(F.count(F.lit(1)).alias("n")).withColumn("o", F.col("k").cast("long"))
+    return quota.first_fit(n, "o", "n", int(c.count() // 3), 8).select("k", "n")
+
+
+@query(
+    """
+select n_name, count(*) as n, epoch_us(min(o_orderdate)) as first_at, row_number() over (order by min(o_orderdate), n_name) as rank
+from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey group by n_name"""
+)
+def log_order(spark, sf):
+    from trackloom.operators.mutate import numbered
+
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
+    o = table(spark, sf, "orders").select("o_custkey", as_micros("o_orderdate").alias("at")).join(c, "o_custkey")
+    j = o.join(table(spark, sf, "nation").select("n_nationkey", "n_name"), "n_nationkey")
+    g = j.groupBy("n_name").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first_at"))
+    return numbered(g, ["first_at", "n_name"])
