@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,12 +41,12 @@ def anchor_period(frames: DataFrame, p: YieldParams) -> DataFrame:
     )
 
 
-def plan_frames(frames: DataFrame, p: YieldParams) -> DataFrame:
+def plan_frames(frames: DataFrame, p: YieldParams, margin: int | None = None) -> DataFrame:
     """Every anchor frame with `in_window`, the stamps of its camera set (null without one), `dev`, `valid`,
-    and the recording's period and limits."""
+    and the recording's period and limits. The coverage window is shrunk by `margin` (default: the sync tolerance)."""
     keys = list(p.keys)
     wanted = frames.where(F.col(p.channel).isin(p.anchor, *p.gating, p.pose)).select(*keys, p.channel, p.at)
-    window = coverage_window(wanted, keys, p.at, p.channel, [p.anchor, *p.gating, p.pose], p.sync)
+    window = coverage_window(wanted, keys, p.at, p.channel, [p.anchor, *p.gating, p.pose], p.sync if margin is None else margin)
     anchors = wanted.where(F.col(p.channel) == p.anchor).select(*keys, p.at).distinct()
     instants = seg.burst_instants(wanted, keys, p.at, p.channel, list(p.gating), p.group_gap, p.span)
     whole = stage(seg.complete_only(instants, list(p.gating)), "instants")
@@ -106,28 +106,23 @@ def camera_blame(frames: DataFrame, planned: DataFrame, p: YieldParams) -> DataF
 
 
 def yield_at_tolerances(frames: DataFrame, p: YieldParams, tolerances: list[int]) -> DataFrame:
-    """Usable frames, breaks and scenes per sync tolerance; the window keeps the margin of `p.sync`."""
-    from dataclasses import replace
-
-    keys = list(p.keys)
-    out = None
-    for tol in tolerances:
-        q = replace(p, sync=tol)
-        planned = plan_frames(frames, q)
-        window = coverage_window(frames, keys, p.at, p.channel, [p.anchor, *p.gating, p.pose], p.sync)
-        planned = planned.join(window.select(*keys, "start_at", "end_at"), keys)
-        planned = planned.withColumn("in_window", F.col(p.at).between(F.col("start_at"), F.col("end_at")))
-        planned = stage(planned.withColumn("valid", F.col("in_window") & F.col("instant").isNotNull()).drop("start_at", "end_at"), "tolerance")
-        cut = cut_scenes(planned, q)
-        scenes = cut.groupBy(*keys).agg(
-            F.expr("count_if(scene_no is not null) div any_value(frames_per_scene)").alias("scenes"),
-            F.greatest(F.max("segment") - 1, F.lit(0)).alias("breaks"),
-        )
-        row = planned.groupBy(*keys).agg(
-            F.count_if("in_window").alias("in_window"), F.count_if("valid").alias("valid")
-        ).join(scenes, keys, "left").select(
-            *keys, F.lit(tol).alias("tolerance"), "in_window", "valid",
-            F.coalesce("breaks", F.lit(0)).alias("breaks"), F.coalesce("scenes", F.lit(0)).alias("scenes"),
-        )
-        out = row if out is None else out.unionByName(row)
-    return out
+    """Usable frames, breaks and scenes per sync tolerance; the window keeps the margin of `p.sync`.
+
+    The nearest set within the widest tolerance is also the nearest within a narrower one it still meets, so the
+    frames are planned once and the tolerance becomes a key of the cut.
+    """
+    keys = [*p.keys, "tolerance"]
+    widest = replace(p, sync=max(tolerances))
+    planned = plan_frames(frames, widest, margin=p.sync)
+    each = planned.withColumn("tolerance", F.explode(F.array(*[F.lit(t).cast("long") for t in tolerances])))
+    within = F.col("in_window") & F.coalesce(F.col("dev") <= F.col("tolerance"), F.lit(False))
+    each = stage(each.withColumn("valid", within), "tolerances")
+    cut = cut_scenes(each, replace(p, keys=tuple(keys)))
+    scenes = cut.groupBy(*keys).agg(
+        F.expr("count_if(scene_no is not null) div any_value(frames_per_scene)").alias("scenes"),
+        F.greatest(F.max("segment") - 1, F.lit(0)).alias("breaks"),
+    )
+    counts = each.groupBy(*keys).agg(F.count_if("in_window").alias("in_window"), F.count_if("valid").alias("valid"))
+    return counts.join(scenes, keys, "left").select(
+        *keys, "in_window", "valid", F.coalesce("breaks", F.lit(0)).alias("breaks"), F.coalesce("scenes", F.lit(0)).alias("scenes")
+    )
