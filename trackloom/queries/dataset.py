@@ -317,13 +317,13 @@ def blob_twins(spark, sf):
 
 @query(
     """
-with m as (select url as path, sha256(html) as sha256 from pages), s as (select url as path, sha256(trim(html)) as sha256 from pages where page_id >= 20)
+with m as (select url as path, sha256(html) as sha256 from pages), s as (select url as path, sha256(trim(html)) as sha256 from pages where length(html) > 1000)
 select path, sha256 from m where (path, sha256) not in (select (path, sha256) from s)"""
 )
 def outdated_shards(spark, sf):
     p = table(spark, sf, "pages")
     m = p.select(F.col("url").alias("path"), F.sha2(F.col("html").cast("binary"), 256).alias("sha256"))
-    s = p.where("page_id >= 20").select(F.col("url").alias("path"), F.sha2(F.btrim("html", F.lit(" ")).cast("binary"), 256).alias("sha256"))
+    s = p.where("length(html) > 1000").select(F.col("url").alias("path"), F.sha2(F.btrim("html", F.lit(" ")).cast("binary"), 256).alias("sha256"))
     return mutate.outdated_shards(m, s)
 
 

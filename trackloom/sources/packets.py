@@ -170,15 +170,21 @@ def decode_packets(sweeps: DataFrame, keys: list[str], at: str, seq: str, model:
         newer = model is not None and model.data_id == DOME.data_id and row.data[31:33] == b"\x03\x04"
         return decode_spinning(row.data, row.info, stamp, DOME_NEW if newer else model)
 
+    def table(rows: list, arrays: list[np.ndarray]) -> pd.DataFrame:
+        pts = np.concatenate(arrays)
+        counts = [len(a) for a in arrays]
+        out = pd.DataFrame({k: np.repeat([getattr(r, k) for r in rows], counts) for k in names})
+        out["point_idx"] = np.concatenate([np.arange(n, dtype="int32") for n in counts])
+        for i, c in enumerate(COLUMNS):
+            out[c] = pts[:, i].astype("float32")
+        out["t"] = pts[:, 5]
+        return out
+
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                pts = points(row)
-                out = pd.DataFrame(pts[:, :5].astype("float32"), columns=COLUMNS)
-                out["t"] = pts[:, 5]
-                out.insert(0, "point_idx", np.arange(len(out), dtype="int32"))
-                for i, k in enumerate(names):
-                    out.insert(i, k, [getattr(row, k)] * len(out))
-                yield out
+            rows = list(pdf.itertuples(index=False))
+            for k in range(0, len(rows), 64):  # some 25,000 points per output batch
+                part = rows[k : k + 64]
+                yield table(part, [points(r) for r in part])
 
     return sweeps.select(*names, "data", *(["info"] if model is not None else [])).mapInPandas(decode, schema)
