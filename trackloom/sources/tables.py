@@ -108,8 +108,9 @@ def fingerprint(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def write_sidecars(messages: DataFrame, scene: str, topic: str, path: str) -> None:
-    """One folder per scene and topic with the messages as JSON lines, rows of a folder spread by hash if many."""
-    messages.write.partitionBy(scene, topic).mode("append").json(path)
+    """One folder per scene and topic with the messages as JSON lines. Only the folders in `messages` are replaced, so
+    a repeated run leaves the same files."""
+    messages.write.partitionBy(scene, topic).mode("overwrite").option("partitionOverwriteMode", "dynamic").json(path)
 
 
 def write_report(df: DataFrame, path: str, as_text: str | None = None) -> None:
