@@ -159,10 +159,10 @@ with d as (
   select distinct item_id, least(len(ws), 10) as k, array_to_string(ws[i:i + least(len(ws), 10) - 1], ' ') as g
   from (select item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) as i from b where len(ws) > 0)
 ), sizes as (select distinct k from win),
-at as (
+spot as (
   select doc_id, k, i, array_to_string(ws[i:i + k - 1], ' ') as g
   from (select doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) as i from d, sizes where len(ws) >= k)
-), hit as (select at.doc_id, at.i, at.k, win.item_id from at join win on at.k = win.k and at.g = win.g),
+), hit as (select spot.doc_id, spot.i, spot.k, win.item_id from spot join win on spot.k = win.k and spot.g = win.g),
 n as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + k)) as p from hit) group by doc_id),
 it as (
   select doc_id, count(*) as n_items, string_agg(s, ',' order by s) as names
