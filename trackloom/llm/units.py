@@ -12,7 +12,7 @@ import re
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Unicode's White_Space characters
-WHITE = "\t-\r \x85\xa0  -     　"
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _UNIT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 _DOUBLE = re.compile(f"[{WHITE}][ \n]")
 
