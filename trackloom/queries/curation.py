@@ -297,24 +297,6 @@ def jaccard(spark, sf):
     return c.select("both", "either", r6(F.col("both") / F.col("either")).alias("jaccard"))
 
 
-@query()
-def component_options(spark, sf):
-    """Best kept sets of every small run of close orders; no SQL form (exhaustive search per component)."""
-    o, e = _neighbours(spark, sf, 30)
-    comp = stage(graph.components(o, e, "o_orderkey", "o_orderkey", "p"), "runs")
-    linked = e.select(F.col("o_orderkey").alias("a"), F.col("p").alias("b"))
-    covers = linked.unionByName(linked.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    price = o.select("o_orderkey", "o_totalprice")
-    cost = covers.join(price.select(F.col("o_orderkey").alias("a"), F.col("o_totalprice").alias("pa")), "a").join(
-        price.select(F.col("o_orderkey").alias("b"), F.col("o_totalprice").alias("pb")), "b"
-    ).select(F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"), (F.abs(F.col("pa") - F.col("pb")) / 1e5).alias("cost"))
-    members = comp.join(price, "o_orderkey").select(
-        F.col("component").cast("string").alias("component"), F.col("o_orderkey").cast("string").alias("scene"), (F.col("o_totalprice") > 400_000).alias("must")
-    )
-    r = quota.component_options(members, cost)
-    return r.select("component", "n_removed", r6("cost").alias("cost"), F.array_join("kept", ",").alias("kept"))
-
-
 @query(
     """
 with recursive n as (select c_nationkey as k, count(*) as n from customer group by 1),
