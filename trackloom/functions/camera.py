@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,40 +46,61 @@ def project_radial(p: Vec, k: tuple[float, float, float, float], d: tuple[float,
     return fx * xd + cx, fy * yd + cy
 
 
-def unproject_fisheye(u: Column, v: Column, k: tuple[float, float, float, float], d: tuple[float, float, float, float], rounds: int = 20) -> Column:
-    """Struct (x, y, z) of the unit ray through a pixel: Newton steps for the angle, folded over a fixed sequence."""
-    fx, fy, cx, cy = k
-    mx, my = (u - cx) / fx, (v - cy) / fy
-    thd = F.greatest(F.sqrt(mx * mx + my * my), F.lit(1e-12))
+def _ray(x: Column, y: Column, z: Column) -> Column:
+    return F.struct(x.alias("x"), y.alias("y"), z.alias("z"))
 
-    def newton(th: Column, goal: Column) -> Column:
-        t2 = th * th
-        step = (th * _odd(t2, d) - goal) / _odd(t2, d, (3.0, 5.0, 7.0, 9.0))
-        return F.least(F.greatest(th - step, F.lit(0.0)), F.lit(3.1))
 
-    th = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), thd, lambda acc, _: newton(acc, thd))
-    s = F.sin(th) / thd
-    return F.struct((s * mx).alias("x"), (s * my).alias("y"), F.cos(th).alias("z"))
+def unproject_fisheye(u: Column, v: Column, k: tuple[float, float, float, float], d: tuple[float, float, float, float], rounds: int = 50) -> Column:
+    """Struct (x, y, z) of the unit ray through a pixel.
 
+    The distance from the image centre grows with the ray's angle, so the angle is bracketed in [0, pi] and the
+    bracket is halved `rounds` times; the ray then leans that far from the axis towards the pixel.
+    """
+    a, b = (u - k[2]) / k[0], (v - k[3]) / k[1]
+    away = F.hypot(a, b)
 
-def unproject_radial(u: Column, v: Column, k: tuple[float, float, float, float], d: tuple[float, ...], rounds: int = 30) -> Column:
-    """Struct (x, y, z) of the unit ray through a pixel: fixed-point steps, folded over a fixed sequence."""
-    fx, fy, cx, cy = k
-    k1, k2, p1, p2, k3 = d[:5]
-    xd, yd = (u - cx) / fx, (v - cy) / fy
+    def halve(bracket: Column, _: Column) -> Column:
+        mid = (bracket["low"] + bracket["high"]) / 2
+        inside = mid * _odd(mid * mid, d) < away
+        return F.struct(
+            F.when(inside, mid).otherwise(bracket["low"]).alias("low"), F.when(inside, bracket["high"]).otherwise(mid).alias("high")
+        )
+
+    whole = F.struct(F.lit(0.0).alias("low"), F.lit(math.pi).alias("high"))
+    angle = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), whole, halve, lambda r: (r["low"] + r["high"]) / 2)
+    bearing = F.atan2(b, a)
+    return _ray(F.sin(angle) * F.cos(bearing), F.sin(angle) * F.sin(bearing), F.cos(angle))
+
+
+def _slope(r2: Column, ks: tuple[float, ...]) -> Column:
+    """Derivative of 1 + k1 r2 + k2 r2^2 + ... after r2."""
+    return sum((n * c * F.pow(r2, F.lit(n - 1)) for n, c in enumerate(ks, 1)), F.lit(0.0))
+
+
+def unproject_radial(u: Column, v: Column, k: tuple[float, float, float, float], d: tuple[float, ...], rounds: int = 12) -> Column:
+    """Struct (x, y, z) of the unit ray through a pixel: Newton's method in two variables on `project_radial`."""
+    t1, t2 = d[2:4]
+    upper, lower = (d[0], d[1], d[4]), tuple(d[5:])
+    goal_x, goal_y = (u - k[2]) / k[0], (v - k[3]) / k[1]
 
-    def step(acc: Column) -> Column:
-        x, y = acc["x"], acc["y"]
+    def newton(at: Column, _: Column) -> Column:
+        x, y = at["x"], at["y"]
         r2 = x * x + y * y
-        rad = _odd(r2, (k1, k2, k3)) / (_odd(r2, tuple(d[5:])) if len(d) > 5 else F.lit(1.0))
-        dx = 2 * p1 * x * y + p2 * (r2 + 2 * x * x)
-        dy = p1 * (r2 + 2 * y * y) + 2 * p2 * x * y
-        return F.struct(((xd - dx) / rad).alias("x"), ((yd - dy) / rad).alias("y"))
-
-    start = F.struct(xd.alias("x"), yd.alias("y"))
-    p = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, lambda acc, _: step(acc))
-    n = F.sqrt(p["x"] * p["x"] + p["y"] * p["y"] + 1)
-    return F.struct((p["x"] / n).alias("x"), (p["y"] / n).alias("y"), (1 / n).alias("z"))
+        num, den = _odd(r2, upper), _odd(r2, lower) if lower else F.lit(1.0)
+        gain = num / den
+        bend = 2 * (_slope(r2, upper) - gain * (_slope(r2, lower) if lower else F.lit(0.0))) / den
+        # what is missing to the goal, and how both coordinates answer to a small step
+        miss_x = goal_x - (gain * x + 2 * t1 * x * y + t2 * (r2 + 2 * x * x))
+        miss_y = goal_y - (gain * y + 2 * t2 * x * y + t1 * (r2 + 2 * y * y))
+        xx = gain + bend * x * x + 2 * t1 * y + 6 * t2 * x
+        yy = gain + bend * y * y + 2 * t2 * x + 6 * t1 * y
+        xy = bend * x * y + 2 * t1 * x + 2 * t2 * y
+        area = xx * yy - xy * xy
+        return F.struct((x + (yy * miss_x - xy * miss_y) / area).alias("x"), (y + (xx * miss_y - xy * miss_x) / area).alias("y"))
+
+    p = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.struct(goal_x.alias("x"), goal_y.alias("y")), newton)
+    length = F.sqrt(1 + p["x"] * p["x"] + p["y"] * p["y"])
+    return _ray(p["x"] / length, p["y"] / length, 1 / length)
 
 
 def spline_weights(f: Column) -> list[Column]:
