@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
@@ -27,23 +29,29 @@ def last_of_each(frames: DataFrame, keys: list[str], ts: str, seq: str, values:
     return best.select(*keys, ts, *[F.col("_v")[v].alias(v) for v in values])
 
 
-def scenes_by_count(frames: DataFrame, key: str, at: str, size: int, max_gap: int) -> DataFrame:
-    """Scenes of exactly `size` frames from a stream that is ordered per key: (key, scene_no, start_at, end_at).
+def scenes_by_count(
+    frames: DataFrame, key: str, at: str, size: int, max_gap: int, late: str, per_second: int = 1_000_000
+) -> DataFrame:
+    """Scenes of exactly `size` frames, whatever order the frames arrive in: (key, scene_no, start_at, end_at).
 
-    A step above `max_gap` drops the open scene. Four numbers of state per key, whatever the length of the stream:
-    last stamp, frames in the open scene, its start, and the number of closed scenes. Frames at or before the last
-    stamp are late and left out.
+    Frames wait in state until the watermark (`late` behind the newest stamp, in whole milliseconds) has passed them,
+    then they are taken in the order of their stamps, duplicates included; a timer does the same for a key that gets
+    no more data. A step above `max_gap` drops the open scene. State per key: the waiting stamps, that is those of the
+    last `late`, and four numbers. A frame behind the watermark cannot be placed any more: Spark leaves it out and
+    counts it, `late_rows` gives the number.
     """
     kind = frames.schema[key].dataType.simpleString()
     out = f"{key} {kind}, scene_no bigint, start_at bigint, end_at bigint"
-    state = "last bigint, n int, start bigint, scene bigint"
+    state = "waiting array<bigint>, last bigint, n int, start bigint, scene bigint"
+    per_ms = per_second // 1_000
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], st: GroupState) -> Iterator[pd.DataFrame]:
-        last, n, start, scene = st.get if st.exists else (None, 0, None, 0)
+        waiting, last, n, start, scene = st.get if st.exists else ([], None, 0, None, 0)
+        waiting = sorted([*waiting, *(int(x) for b in batches for x in b[at])])
+        passed = st.getCurrentWatermarkMs()
+        ready = bisect.bisect_left(waiting, (passed + 1) * per_ms)  # the watermark's own millisecond is passed too
         rows = []
-        for t in sorted(x for b in batches for x in b[at].tolist()):
-            if last is not None and t <= last:
-                continue
+        for t in waiting[:ready]:
             if last is None or t - last > max_gap:
                 n = 0
             if n == 0:
@@ -52,10 +60,19 @@ def scenes_by_count(frames: DataFrame, key: str, at: str, size: int, max_gap: in
             if n == size:
                 rows.append((k[0], scene, start, t))
                 scene, n = scene + 1, 0
-        st.update((last, n, start, scene))
+        waiting = waiting[ready:]
+        st.update((waiting, last, n, start, scene))
+        if waiting:
+            st.setTimeoutTimestamp(max(waiting[0] // per_ms, passed + 1))
         yield pd.DataFrame(rows, columns=[key, "scene_no", "start_at", "end_at"])
 
-    return frames.select(key, at).groupBy(key).applyInPandasWithState(step, out, state, "append", GroupStateTimeout.NoTimeout)
+    stamped = frames.select(key, at, F.timestamp_millis(F.floor(F.col(at) / per_ms)).alias("_at")).withWatermark("_at", late)
+    return stamped.groupBy(key).applyInPandasWithState(step, out, state, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def late_rows(run: StreamingQuery) -> int:
+    """Rows of a query that came behind the watermark and were left out, as its recent progress counts them."""
+    return sum(s.numRowsDroppedByWatermark for p in run.recentProgress for s in p.stateOperators)
 
 
 def fan_out(messages: DataFrame, spans: DataFrame, key: str, at: str, start: str, end: str, width: int, margin: int) -> DataFrame:
