@@ -27,7 +27,7 @@ def route_key(name: Column) -> Column:
     named = course != ""
     return F.struct(
         F.when(named, course).otherwise("~").alias("course"),
-        F.when(named, F.try_to_number(number, F.lit("999999999")).cast("int")).otherwise(0).alias("number"),
+        F.when(named, number.try_cast("decimal(38,0)")).otherwise(0).alias("number"),
         name.alias("name"),
     )
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackloom.operators.ordered import Axis, latest, running_sum, scan
@@ -77,24 +77,37 @@ SOLID = {
 }
 
 
+def _calibrates(data: Column, model: Spinning) -> Column:
+    """Whether an information packet is whole and holds valid angles only (a sign byte of 0xFF marks an invalid one)."""
+    signs = [o + 3 * i for o in (model.vertical, model.horizontal) for i in range(model.channels)]
+    valid = F.forall(F.array(*[F.lit(i + 1) for i in signs]), lambda i: F.substring(data, i, F.lit(1)) != F.lit(bytearray([0xFF])))
+    return (F.substring(data, 1, len(INFO_ID)) == F.lit(bytearray(INFO_ID))) & (F.length(data) >= model.length) & valid
+
+
 def number_sweeps(
-    packets: DataFrame, keys: list[str], at: str, begins: str, seq: str, span: int, data_id: bytes, length: int, calibrated: bool = True
+    packets: DataFrame, keys: list[str], at: str, begins: str, seq: str, span: int, data_id: bytes, length: int,
+    model: Spinning | None = None,
 ) -> DataFrame:
-    """Data packets with `frame`, counted up at every packet that begins a sweep, and `info`, the last information
-    packet before them.
+    """Data packets with `frame`, counted up at every packet that begins a sweep, and `info`, the last valid
+    information packet before them.
 
-    `packets`: keys, at (ns), seq, data, `begins`. With `calibrated`, packets before any information packet are
-    left out, as they cannot be placed.
+    `packets`: keys, at (ns), seq, data, `begins`. With a `model`, packets before any valid information packet are
+    left out, as they cannot be placed; short information packets and such with invalid angles change nothing. The
+    scan carries the place of the information packet, its bytes are joined back once.
     """
-    head = F.substring("data", 1, len(INFO_ID)) == F.lit(bytearray(INFO_ID))
     is_data = (F.substring("data", 1, len(data_id)) == F.lit(bytearray(data_id))) & (F.length("data") >= length)
+    valid = _calibrates(F.col("data"), model) if model else F.lit(False)
     rows = packets.select(
-        *keys, at, seq, "data", is_data.alias("_is_data"), F.when(head, F.col("data")).alias("_info"),
+        *keys, at, seq, "data", is_data.alias("_is_data"), F.when(valid, F.struct(F.col(at).alias("at"), F.col(seq).alias("seq"))).alias("_info"),
         F.when(is_data & F.col(begins), 1).otherwise(0).alias("_begin"),
     )
-    s = scan(rows, Axis(tuple(keys), at, span, (seq,)), {"info": latest("_info"), "frame": running_sum("_begin")})
-    usable = F.col("_is_data") & (F.col("info").isNotNull() if calibrated else F.lit(True))
-    return s.where(usable).select(*keys, at, seq, "frame", "data", "info")
+    s = scan(rows, Axis(tuple(keys), at, span, (seq,)), {"_place": latest("_info"), "frame": running_sum("_begin")})
+    s = s.where("_is_data")
+    if model is None:
+        return s.select(*keys, at, seq, "frame", "data", F.lit(None).cast("binary").alias("info"))
+    infos = packets.where(valid).select(*keys, F.col(at).alias("_at"), F.col(seq).alias("_seq"), F.col("data").alias("info"))
+    placed = s.where("_place is not null").withColumns({"_at": F.col("_place.at"), "_seq": F.col("_place.seq")})
+    return placed.join(infos, [*keys, "_at", "_seq"]).select(*keys, at, seq, "frame", "data", "info")
 
 
 def _angles(info: np.ndarray, offset: int, count: int) -> np.ndarray | None:
