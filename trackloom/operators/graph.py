@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.session import stage
+from trackloom.session import discard, stage
 
 
 def _fingerprint(df: DataFrame, cols: list[str]) -> tuple:
@@ -18,23 +20,26 @@ def components(nodes: DataFrame, edges: DataFrame, node: str, a: str, b: str) ->
 
     Alternates two star contractions until the edge set stops changing: every node's larger neighbours are hung
     on its smallest neighbour, then the same for the smaller ones. Hubs are reduced by a map-side minimum, no
-    neighbour list is ever gathered. A logarithmic number of rounds in practice.
+    neighbour list is ever gathered. The minima are written before they are joined to the links, so that both
+    inputs of that join are plain exchanges, which Spark splits where a hub is skewed. A round's tables are deleted
+    once the next one is written. A logarithmic number of rounds in practice.
     """
     links = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     links = stage(links, "components")
     mark = _fingerprint(links, ["u", "v"])
     while mark[0]:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("_m")).select("u", F.least("u", "_m").alias("m"))
+        low = stage(both.groupBy("u").agg(F.min("v").alias("_m")).select("u", F.least("u", "_m").alias("m")), "components")
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = stage(large.where("u <> v").distinct(), "components")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        hung = large.join(low, "u")
-        small = hung.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            low.select("u", F.col("m").alias("v"))
+        least = stage(large.groupBy("u").agg(F.min("v").alias("m")), "components")
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
+            least.select("u", F.col("m").alias("v"))
         )
-        links = stage(small.where("u <> v").distinct(), "components")
-        now = _fingerprint(links, ["u", "v"])
+        after = stage(small.where("u <> v").distinct(), "components")
+        for done in (links, low, large, least):
+            discard(done)
+        links, now = after, _fingerprint(after, ["u", "v"])
         if now == mark:
             break
         mark = now
@@ -47,32 +52,33 @@ def components(nodes: DataFrame, edges: DataFrame, node: str, a: str, b: str) ->
 def greedy_keep(nodes: DataFrame, covers: DataFrame, node: str, rank: str, a: str, b: str) -> DataFrame:
     """What a one-by-one pass in `rank` order keeps: a node is dropped iff a node kept before it covers it.
 
-    `covers` holds directed rows: `b` covers `a`. Each round settles every node whose earlier coverers are all
-    settled, so the result equals the sequential pass. Returns (node, kept). Ranks must be distinct.
+    `covers` holds directed rows: `b` covers `a`. A round keeps every open node without an open coverer before it,
+    drops what these cover, and carries on with the open nodes and the covers between them alone, so the result
+    equals the sequential pass and settled rows are never read again. Returns (node, kept). Ranks must be distinct.
     """
     r = nodes.select(node, rank)
     edge = covers.select(F.col(a).alias(node), F.col(b).alias("_by")).distinct()
     edge = edge.join(r, node).join(r.select(F.col(node).alias("_by"), F.col(rank).alias("_by_rank")), "_by")
+    if not edge.where((F.col(rank) == F.col("_by_rank")) & (F.col(node) != F.col("_by"))).isEmpty():
+        raise ValueError("ranks are not distinct: the pass cannot be ordered")
     edge = stage(edge.where(F.col("_by_rank") < F.col(rank)).select(node, "_by"), "greedy")
-    state = stage(r.select(node, F.lit(None).cast("boolean").alias("kept")), "greedy")
-    open_before = None
-    while True:
-        kept = state.where("kept").select(F.col(node).alias("_by"))
-        pending = state.where("kept is null")
-        waiting = edge.join(pending.select(F.col(node).alias("_by")), "_by", "left_semi").select(node).distinct()
-        hit = edge.join(kept, "_by", "left_semi").select(node).distinct()
-        marks = hit.withColumn("_mark", F.lit(0)).unionByName(waiting.withColumn("_mark", F.lit(1)))
-        marks = marks.groupBy(node).agg(F.min("_mark").alias("_mark"))
-        settled = F.when(F.col("kept").isNotNull(), F.col("kept")).when(F.col("_mark") == 0, False).when(
-            F.col("_mark").isNull(), True
-        )
-        state = stage(state.join(marks, node, "left").select(node, settled.alias("kept")), "greedy")
-        left = state.where("kept is null").count()
-        if left == 0:
-            return state
-        if left == open_before:
-            raise ValueError("ranks are not distinct: the pass cannot be ordered")
-        open_before = left
+    left = stage(r.select(node), "greedy")
+    settled: list[DataFrame] = []
+    while not left.isEmpty():
+        kept = stage(left.join(edge, node, "left_anti"), "greedy")
+        dropped = stage(edge.join(kept.select(F.col(node).alias("_by")), "_by", "left_semi").select(node).distinct(), "greedy")
+        settled += [kept.withColumn("kept", F.lit(True)), dropped.withColumn("kept", F.lit(False))]
+        gone = kept.union(dropped)
+        more = stage(left.join(gone, node, "left_anti"), "greedy")
+        closed = dropped.select(F.col(node).alias("_by"))
+        open_edges = stage(edge.join(dropped, node, "left_anti").join(closed, "_by", "left_anti").select(node, "_by"), "greedy")
+        discard(left)
+        discard(edge)
+        left, edge = more, open_edges
+        if len(settled) > 32:
+            settled = [stage(reduce(DataFrame.unionByName, settled), "greedy")]
+    none = r.select(node, F.lit(True).alias("kept")).where(F.lit(False))
+    return reduce(DataFrame.unionByName, settled, none)
 
 
 def follow_chain(jumps: DataFrame, starts: DataFrame, node: str, to: str) -> DataFrame:

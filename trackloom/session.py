@@ -57,3 +57,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(spark)}/trackloom/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that `stage` wrote and no later step reads."""
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    spark = df.sparkSession
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
