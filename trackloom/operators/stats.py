@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackloom.operators.ordered import Axis, position, prev, scan
+from trackloom.session import stage
 
 _SMALL = 20_000  # groups up to this size skip the sketch: all their rows are candidates
 _REACH = 0.0005  # half width of the candidate band around a probability
@@ -162,22 +163,19 @@ def clock_fit(df: DataFrame, keys: list[str], at: str, delta: str) -> DataFrame:
 
     offset_ms, skew_ppm, span_s, resid_std_us (population), resid_p99_us, n. Time counts from the key's first row.
     """
-    first = df.groupBy(*keys).agg(F.min(at).alias("_t0"), F.max(at).alias("_t1"))
-    rel = df.join(first, keys).withColumn("_t", F.col(at) - F.col("_t0"))
-    # centred second pass: mean first, so that the sums of squares keep their digits
-    mean = rel.groupBy(*keys).agg(F.avg("_t").alias("_mt"), F.avg(delta).alias("_md"))
-    dt, dd = F.col("_t") - F.col("_mt"), F.col(delta) - F.col("_md")
-    fit = rel.join(mean, keys).groupBy(*keys).agg(
-        (F.sum(dt * dd) / F.sum(dt * dt)).alias("_slope"),
-        F.any_value("_mt").alias("_mt"),
-        F.any_value("_md").alias("_md"),
+    first = df.groupBy(*keys).agg(F.min(at).alias("_t0"))
+    t = F.col(at) - F.col("_t0")
+    # sums are taken about the key's first row, so they keep their digits
+    fit = df.join(first, keys).withColumn("_t", t).groupBy(*keys).agg(
+        F.any_value("_t0").alias("_t0"),
+        F.regr_slope(F.col(delta), F.col("_t")).alias("_slope"),
+        F.regr_intercept(F.col(delta), F.col("_t")).alias("_icpt"),
+        F.max("_t").alias("span_s"),
         F.count(F.lit(1)).alias("n"),
-        F.any_value(F.col("_t1") - F.col("_t0")).alias("span_s"),
-    )
-    fit = fit.withColumn("_icpt", F.col("_md") - F.col("_slope") * F.col("_mt"))
-    resid = rel.join(fit, keys).withColumn(
-        "_r", F.col(delta) - (F.col("_slope") * F.col("_t") + F.col("_icpt"))
     )
+    fit = stage(fit, "clock")
+    resid = F.col(delta) - (F.col("_slope") * t + F.col("_icpt"))
+    resid = stage(df.join(fit, keys).select(*keys, resid.alias("_r")), "clock")
     spread = resid.groupBy(*keys).agg(F.stddev_pop("_r").alias("_std"))
     tail = quantiles(resid.withColumn("_abs", F.abs("_r")), keys, "_abs", {"_p99": 0.99})
     return fit.join(spread, keys).join(tail, keys).select(
