@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackloom.operators.ordered import Axis, position, scan
@@ -193,3 +195,28 @@ def trusted_first(chunks: DataFrame, keys: list[str], trusted: str, seq: str) ->
     order = F.struct((~F.col(trusted)).alias("t"), F.col(seq).alias("s"))
     best = chunks.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_r"))
     return best.select(*keys, *[F.col("_r")[c].alias(c) for c in rest]).select(*chunks.columns)
+
+
+def first_names(pool: DataFrame, name: str, n: int) -> DataFrame:
+    """The first `n` names of a pool in order; an error if the pool is too small. Only its size reaches the driver."""
+    names = pool.select(name).distinct()
+    if names.count() < n:
+        raise ValueError(f"fewer than {n} free names")
+    return numbered(names, [name], "_rank").where(F.col("_rank") <= n).select(name)
+
+
+def ordered_union(lists: list[tuple[DataFrame, str]], name: str) -> DataFrame:
+    """(name, place): the names of several lists in order of first appearance, without repeats.
+
+    Each list comes with the column that orders it; earlier lists go first.
+    """
+    rows = [df.select(F.col(name), F.lit(i).alias("_list"), F.col(order).cast("long").alias("_at")) for i, (df, order) in enumerate(lists)]
+    first = reduce(DataFrame.unionByName, rows).groupBy(name).agg(F.min(F.struct("_list", "_at")).alias("_f"))
+    flat = first.select(name, F.col("_f._list").alias("_list"), F.col("_f._at").alias("_at"))
+    return numbered(flat, ["_list", "_at", name], "place").select(name, "place")
+
+
+def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int, out: str = "place") -> DataFrame:
+    """The first `k` rows of every key in a total order, with their place. Spark limits each group before it shuffles."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn(out, F.row_number().over(w).cast("long")).where(F.col(out) <= k)

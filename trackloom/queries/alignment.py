@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 from trackloom.operators import asof, segments
 from trackloom.operators.coverage import coverage_window as window_of
 from trackloom.operators.intervals import interval_join
-from trackloom.operators.ordered import fit_span
 from trackloom.plans import scene_yield as sy
 from trackloom.session import stage
-from trackloom.queries.registry import DAY, HOUR, events, query, r6, table
+from trackloom.queries.registry import DAY, HOUR, events, query, r6, table, width
 
 _QT = """
 with q as (select user_id, epoch_us(ts) as at from events where event_type = 'click'),
@@ -34,7 +33,7 @@ def _clicks_and_views(spark, sf):
 @query(_QT + "select user_id, at, match_at, match_value, abs(at - match_at) as distance from near")
 def nearest_asof(spark, sf):
     q, t = _clicks_and_views(spark, sf)
-    n = asof.nearest(q, t, ["user_id"], "at", ["value"], DAY)
+    n = asof.nearest(q, t, ["user_id"], "at", ["value"], width(spark, sf, "user_id"))
     return n.select("user_id", "at", F.col("match.at").alias("match_at"), F.col("match.value").alias("match_value"), "distance")
 
 
@@ -44,7 +43,7 @@ def nearest_asof(spark, sf):
 )
 def nearest_later_on_tie(spark, sf):
     q, t = _clicks_and_views(spark, sf)
-    n = asof.nearest(q, t, ["user_id"], "at", ["value"], DAY, later_wins=True)
+    n = asof.nearest(q, t, ["user_id"], "at", ["value"], width(spark, sf, "user_id"), later_wins=True)
     return n.select("user_id", "at", F.col("match.at").alias("match_at"), "distance")
 
 
@@ -55,7 +54,7 @@ select user_id, max(at) as at, match_at, min(match_value) as match_value from wi
 )
 def nearest_asof_tolerance(spark, sf):
     q, t = _clicks_and_views(spark, sf)
-    n = asof.nearest_within(q, t, ["user_id"], "at", ["value"], DAY, 6 * HOUR, [])
+    n = asof.nearest_within(q, t, ["user_id"], "at", ["value"], width(spark, sf, "user_id"), 6 * HOUR, [])
     return n.select("user_id", "at", F.col("match.at").alias("match_at"), F.col("match.value").alias("match_value"))
 
 
@@ -71,7 +70,7 @@ def forward_asof(spark, sf):
     e = events(spark, sf)
     q = e.where("event_type <> 'purchase'").select("event_id", "user_id", "at")
     t = e.where("event_type = 'purchase'").select("user_id", "at")
-    f = asof.forward(q, t, ["user_id"], "at", [], DAY)
+    f = asof.forward(q, t, ["user_id"], "at", [], width(spark, sf, "user_id"))
     return f.select("event_id", "user_id", "at", F.col("match.at").alias("sample_at"))
 
 
@@ -89,7 +88,7 @@ _GATING = ["view", "purchase", "signup"]
 @query(_BURSTS + "select at, view, purchase, signup from inst")
 def burst_instants(spark, sf):
     e = events(spark, sf).select("at", "event_type")
-    return segments.burst_instants(e, [], "at", "event_type", _GATING, HOUR // 4, DAY)
+    return segments.burst_instants(e, [], "at", "event_type", _GATING, HOUR // 4, width(spark, sf))
 
 
 def _dev(side):
@@ -113,10 +112,10 @@ _SYNC = HOUR
 @query(_CHOSEN.format(sync=_SYNC) + "select at, instant, dev, view, purchase, signup from chosen")
 def complete_set_asof(spark, sf):
     e = events(spark, sf).select("at", "event_type")
-    inst = segments.burst_instants(e, [], "at", "event_type", _GATING, HOUR // 4, DAY)
+    inst = segments.burst_instants(e, [], "at", "event_type", _GATING, HOUR // 4, width(spark, sf))
     whole = stage(segments.complete_only(inst, _GATING), "instants")
     q = e.where("event_type = 'click'").select("at")
-    c = asof.complete_set(q, whole, [], "at", _GATING, _SYNC, DAY)
+    c = asof.complete_set(q, whole, [], "at", _GATING, _SYNC, width(spark, sf))
     return c.select("at", "instant", "dev", *_GATING)
 
 
@@ -149,7 +148,7 @@ v as (select *, row_number() over (partition by user_id, run order by at) as pla
 @query(_SEGMENTS + "select user_id, at, segment, place from v")
 def gap_segments(spark, sf):
     e = events(spark, sf).select("user_id", "at", (F.col("event_type") != "error").alias("ok"))
-    return segments.segments(e, ["user_id"], "at", "ok", DAY, DAY).select("user_id", "at", "segment", "place")
+    return segments.segments(e, ["user_id"], "at", "ok", DAY, width(spark, sf, "user_id")).select("user_id", "at", "segment", "place")
 
 
 @query(
@@ -158,7 +157,7 @@ def gap_segments(spark, sf):
 )
 def fixed_scenes(spark, sf):
     e = events(spark, sf).select("user_id", "at", (F.col("event_type") != "error").alias("ok"))
-    runs = segments.segments(e, ["user_id"], "at", "ok", DAY, DAY)
+    runs = segments.segments(e, ["user_id"], "at", "ok", DAY, width(spark, sf, "user_id"))
     return segments.fixed_scenes(runs, 5).select("user_id", "at", "segment", "scene_no")
 
 
@@ -168,6 +167,11 @@ _PARAMS = sy.YieldParams(
 )
 
 
+def params(spark, sf) -> sy.YieldParams:
+    """The rules of the recording below, with the block width its density asks for."""
+    return replace(_PARAMS, span=width(spark, sf))
+
+
 def recording(spark, sf):
     """All events as one recording: the most skewed case, one key holds every frame."""
     return events(spark, sf).select(F.lit("all").alias("log"), "event_type", "at")
@@ -201,7 +205,7 @@ union all select 'all', 'anchor_gap', count(*), round(sum(dt - period) / 1000000
 )
 def scene_yield(spark, sf):
     f = recording(spark, sf)
-    y = sy.yield_report(f, replace(_PARAMS, span=fit_span(f, ["log"], "at", _PARAMS.span)))
+    y = sy.yield_report(f, params(spark, sf))
     return y.select("log", "category", "frames", r6("seconds").alias("seconds"))
 
 
@@ -221,7 +225,8 @@ select 'all' as log, channel, frames_lost from (
 )
 def camera_blame(spark, sf):
     f = recording(spark, sf)
-    return sy.camera_blame(f, sy.plan_frames(f, _PARAMS), _PARAMS)
+    p = params(spark, sf)
+    return sy.camera_blame(f, sy.plan_frames(f, p), p)
 
 
 def _at_tolerance(tol):
@@ -243,7 +248,7 @@ _TOLERANCES = [HOUR // 2, HOUR, 2 * HOUR]
     + ")"
 )
 def yield_by_tolerance(spark, sf):
-    y = sy.yield_at_tolerances(recording(spark, sf), _PARAMS, _TOLERANCES)
+    y = sy.yield_at_tolerances(recording(spark, sf), params(spark, sf), _TOLERANCES)
     return y.select("log", F.col("tolerance").cast("long").alias("tolerance"), "in_window", "valid", F.col("breaks").cast("long").alias("breaks"), "scenes")
 
 
@@ -258,7 +263,7 @@ select user_id, at, round(case when a is null then vb when b is null then va whe
 )
 def interp_value(spark, sf):
     q, t = _clicks_and_views(spark, sf)
-    i = asof.interpolate(q, t, ["user_id"], "at", ["value"], DAY)
+    i = asof.interpolate(q, t, ["user_id"], "at", ["value"], width(spark, sf, "user_id"))
     return i.select("user_id", "at", r6("value").alias("value"))
 
 

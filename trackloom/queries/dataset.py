@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from trackloom.operators import audit, mutate
 from trackloom.plans import dataset_build as db
 from trackloom.plans import scene_yield as sy
-from trackloom.queries.alignment import _PARAMS, _SYNC, _YIELD, recording
+from trackloom.queries.alignment import _PARAMS, _SYNC, _YIELD, params, recording
 from trackloom.queries.registry import HOUR, events, query, r6, table
 from trackloom.session import stage
 
 _BUILD = db.BuildParams(_PARAMS, stride=2, tolerance={"error": HOUR}, modality={"click": "lidar", "error": "radar"}, sizes={"view": (1080, 1920)})
 
+
+def _build(spark, sf) -> db.BuildParams:
+    return replace(_BUILD, yields=params(spark, sf))
+
 _KEYS = (
     _YIELD.format(sync=_SYNC)
     + """, kf as (select cut.at, c.view, c.purchase, c.signup, sha256('all/' || segment || '/' || scene_no) as scene_token,
@@ -24,12 +30,12 @@ _KEYS = (
 
 def _keys(spark, sf):
     f = recording(spark, sf)
-    planned = stage(sy.plan_frames(f, _PARAMS), "planned")
-    return stage(db.key_frames(sy.cut_scenes(planned, _PARAMS), _BUILD), "keys")
+    planned = stage(sy.plan_frames(f, params(spark, sf)), "planned")
+    return stage(db.key_frames(sy.cut_scenes(planned, params(spark, sf)), _build(spark, sf)), "keys")
 
 
 def _rows(spark, sf, keys):
-    return stage(db.sample_data_rows(recording(spark, sf), keys, _BUILD, _poses(spark, sf)), "rows")
+    return stage(db.sample_data_rows(recording(spark, sf), keys, _build(spark, sf), _poses(spark, sf)), "rows")
 
 
 @query(
@@ -38,7 +44,7 @@ def _rows(spark, sf, keys):
 from kf window w as (partition by scene_token order by at)"""
 )
 def build_samples(spark, sf):
-    return db.sample_table(_keys(spark, sf), _BUILD)
+    return db.sample_table(_keys(spark, sf), _build(spark, sf))
 
 
 @query(
@@ -47,7 +53,7 @@ def build_samples(spark, sf):
 cast(count(*) as integer) as nbr_samples, arg_min(token, at) as first_sample_token, arg_max(token, at) as last_sample_token from kf group by scene_token"""
 )
 def build_scenes(spark, sf):
-    return db.scene_table(_keys(spark, sf), _BUILD)
+    return db.scene_table(_keys(spark, sf), _build(spark, sf))
 
 
 _DATA = (
@@ -80,7 +86,7 @@ case when channel = 'view' then 1920 else 0 end as width, at as timestamp, coale
 from rw window w as (partition by scene_token, channel order by at)"""
 )
 def build_sample_data(spark, sf):
-    return db.sample_data_table(_rows(spark, sf, _keys(spark, sf)), _BUILD)
+    return db.sample_data_table(_rows(spark, sf, _keys(spark, sf)), _build(spark, sf))
 
 
 def _poses(spark, sf):
@@ -100,7 +106,7 @@ from rw join po on rw.at = po.t"""
 )
 def build_ego_poses(spark, sf):
     keys = _keys(spark, sf)
-    p = db.ego_pose_rows(_rows(spark, sf, keys), keys.select("log", "scene_token").distinct(), _poses(spark, sf), _BUILD)
+    p = db.ego_pose_rows(_rows(spark, sf, keys), keys.select("log", "scene_token").distinct(), _poses(spark, sf), _build(spark, sf))
     return p.select("token", r6("x").alias("x"), r6("y").alias("y"), r6("qw").alias("qw"), r6("qz").alias("qz"), "timestamp")
 
 
@@ -110,13 +116,13 @@ def build_ego_poses(spark, sf):
 )
 def dataset_audit(spark, sf):
     f = recording(spark, sf)
-    planned = stage(sy.plan_frames(f, _PARAMS), "planned")
-    scenes = stage(sy.cut_scenes(planned, _PARAMS), "scenes")
+    planned = stage(sy.plan_frames(f, params(spark, sf)), "planned")
+    scenes = stage(sy.cut_scenes(planned, params(spark, sf)), "scenes")
     calib = spark.createDataFrame(
-        [(c, [0.0] * 3, [1.0, 0.0, 0.0, 0.0], []) for c in _BUILD.channels()],
+        [(c, [0.0] * 3, [1.0, 0.0, 0.0, 0.0], []) for c in _build(spark, sf).channels()],
         "channel string, translation array<double>, rotation array<double>, camera_intrinsic array<array<double>>",
     )
-    t = {k: stage(v, k) for k, v in db.build_tables(f, _poses(spark, sf), scenes, calib, _BUILD).items()}
+    t = {k: stage(v, k) for k, v in db.build_tables(f, _poses(spark, sf), scenes, calib, _build(spark, sf)).items()}
     bad = audit.dataset_problems(t).agg(F.count(F.lit(1)).alias("n_problems"))
     one = bad.withColumn("k", F.lit(1))
     for name, df in (("n_scenes", t["scene"]), ("n_samples", t["sample"]), ("n_data", t["sample_data"])):

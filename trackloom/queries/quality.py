@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from trackloom.operators import stats
-from trackloom.operators.ordered import Axis
 from trackloom.plans.screening import screening_verdicts
-from trackloom.queries.registry import DAY, events, query, r6, table
+from trackloom.queries.registry import DAY, events, query, r6, table, width
 
 _T = 1_000_000.0
 _D = """
@@ -25,7 +24,7 @@ round(mx / 1e6, 6) as max_gap_s, (select count(*) from d where d.event_type = x.
 1000000 / med > 1.3 * x.n / ((l - f) / 1e6) as unreliable from x join m using (event_type) where x.n >= 10"""
 )
 def delivery_stats(spark, sf):
-    d = stats.delivery_stats(events(spark, sf), ["event_type"], "at", DAY, _T)
+    d = stats.delivery_stats(events(spark, sf), ["event_type"], "at", width(spark, sf, "event_type"), _T)
     return d.select("event_type", "n", F.round("nominal_hz", 9).alias("nominal_hz"), r6("delivery").alias("delivery"),
                     r6("max_gap_s").alias("max_gap_s"), "n_gaps", "unreliable")
 
@@ -36,7 +35,7 @@ with d as (select user_id, lag(epoch_us(ts)) over w as start_at, epoch_us(ts) -
 select user_id, start_at, gap from d where gap > 86400000000"""
 )
 def gap_report(spark, sf):
-    return stats.long_gaps(events(spark, sf), ["user_id"], "at", DAY, DAY)
+    return stats.long_gaps(events(spark, sf), ["user_id"], "at", width(spark, sf, "user_id"), DAY)
 
 
 @query(
@@ -45,7 +44,7 @@ def gap_report(spark, sf):
 mx as longest from x join m using (event_type)"""
 )
 def frame_drops(spark, sf):
-    return stats.frame_drops(events(spark, sf), ["event_type"], "at", DAY)
+    return stats.frame_drops(events(spark, sf), ["event_type"], "at", width(spark, sf, "event_type"))
 
 
 @query(
@@ -61,7 +60,7 @@ select 'all', x.n, round((x.n - 1) * 1e6 / (l - f), 9), med, mx, x.n >= 20 and m
 def regular_streams(spark, sf):
     e = events(spark, sf).select("event_type", "at")
     both = e.unionByName(e.withColumn("event_type", F.lit("all")))
-    r = stats.regular_streams(both, ["event_type"], "at", DAY, _T)
+    r = stats.regular_streams(both, ["event_type"], "at", width(spark, sf, "event_type"), _T)
     return r.select("event_type", "n", F.round("hz", 9).alias("hz"), "period", "max_gap", "regular", "n_gaps")
 
 
@@ -93,7 +92,7 @@ select event_type, round(max(j), 6) as max_step, round(quantile_cont(j, 0.5), 6)
 max(j) > 1e-3 and max(j) > 4 * quantile_cont(j, 0.5) as has_step from j where j is not null group by event_type"""
 )
 def clock_steps(spark, sf):
-    c = stats.clock_steps(events(spark, sf), ["event_type"], "at", "value", DAY)
+    c = stats.clock_steps(events(spark, sf), ["event_type"], "at", "value", width(spark, sf, "event_type"))
     return c.select("event_type", r6("max_step").alias("max_step"), r6("typical_step").alias("typical_step"), "has_step")
 
 
@@ -219,7 +218,7 @@ def verdict_rules(spark, sf):
     e = events(spark, sf).select("user_id", "event_type", "at")
     required = ["click", "view", "purchase", "signup", "error"]
     return screening_verdicts(
-        e, ["user_id"], "event_type", "at", required, DAY,
+        e, ["user_id"], "event_type", "at", required, width(spark, sf, "user_id"),
         drop_gap={"error": 10 * DAY}, warn_gap={"click": 5 * DAY}, few=10,
     )
 
@@ -244,7 +243,7 @@ def sync_deviation(spark, sf):
     channels = F.array(*[F.lit(c) for c in ("view", "purchase", "signup", "error")])
     q = e.where("event_type = 'click'").select("user_id", "at", F.explode(channels).alias("event_type"))
     t = e.where("event_type <> 'click'")
-    d = stage(nearest(q, t, ["user_id", "event_type"], "at", [], DAY).where("match is not null"), "sync")
+    d = stage(nearest(q, t, ["user_id", "event_type"], "at", [], width(spark, sf, "user_id", "event_type")).where("match is not null"), "sync")
     base = d.groupBy("event_type").agg(F.count_if(F.col("distance") > 6 * 3_600_000_000).alias("over"), F.count(F.lit(1)).alias("n"))
     p = stats.quantiles(d, ["event_type"], "distance", {"p50": 0.5, "p99": 0.99})
     return base.join(p, "event_type").select("event_type", F.round(F.col("p50") / 1e3, 3).alias("p50_ms"), F.round(F.col("p99") / 1e3, 3).alias("p99_ms"), "over", "n")

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackloom.functions.clock import as_micros
+from trackloom.operators.ordered import fit_span
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,5 +44,16 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@cache
+def _width(application: str, sf: str, keys: tuple[str, ...]) -> int:
+    spark = SparkSession.active()
+    return fit_span(events(spark, sf), list(keys), "at", DAY)
+
+
+def width(spark: SparkSession, sf: str, *keys: str) -> int:
+    """Block width for scans of the event table per `keys`: measured once, halved until the fullest block is small."""
+    return _width(spark.sparkContext.applicationId, sf, keys)
+
+
 def r6(c: Column | str) -> Column:
     return F.round(c, 6)

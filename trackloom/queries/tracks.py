@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from trackloom.operators import segments, series
 from trackloom.operators.ordered import Axis
 from trackloom.operators.quota import decimate
-from trackloom.queries.registry import DAY, HOUR, events, query, r6, table
+from trackloom.queries.registry import DAY, HOUR, events, query, r6, table, width
 
-_AX = Axis(("user_id",), "at", DAY)
+def _axis(spark, sf):
+    return Axis(("user_id",), "at", width(spark, sf, "user_id"))
 _E = "with e as (select user_id, epoch_us(ts) as at, event_type, value from events)"
 
 
@@ -20,8 +21,8 @@ round(sum(value) over (partition by user_id order by at rows between 2 preceding
 )
 def moving_average_same(spark, sf):
     e = events(spark, sf).select("user_id", "at", "value")
-    five = series.moving_average(e, _AX, {"avg5": "value"}, 5)
-    four = series.moving_average(five, _AX, {"avg4": "value"}, 4)
+    five = series.moving_average(e, _axis(spark, sf), {"avg5": "value"}, 5)
+    four = series.moving_average(five, _axis(spark, sf), {"avg4": "value"}, 4)
     return four.select("user_id", "at", r6("avg5").alias("avg5"), r6("avg4").alias("avg4"))
 
 
@@ -32,7 +33,7 @@ window w as (partition by user_id order by at rows unbounded preceding)"""
 )
 def cummax_departure(spark, sf):
     e = events(spark, sf).select("user_id", "at", "value")
-    return series.departures(e, _AX, "value", 1.0, 10.0).select("user_id", "at", "departing", "halting")
+    return series.departures(e, _axis(spark, sf), "value", 1.0, 10.0).select("user_id", "at", "departing", "halting")
 
 
 @query(
@@ -46,7 +47,7 @@ from h left join b on h.user_id = b.user_id and h.run = b.run and still"""
 )
 def standstill_runs(spark, sf):
     e = events(spark, sf).select("user_id", "at", (F.col("value") < 40).alias("still"))
-    s = series.standstill(e, _AX, "still")
+    s = series.standstill(e, _axis(spark, sf), "still")
     return s.select("user_id", "at", "run_before", "run_after")
 
 
@@ -59,7 +60,7 @@ select user_id, at, round(case when (c1 - (cum - value)) / (p1 - pos) > 30 then
 )
 def lookahead_change(spark, sf):
     e = events(spark, sf).select("user_id", "at", "value", F.col("value").alias("speed"))
-    t = series.look_ahead(e, _AX, "value", "speed", 2 * DAY, 30.0)
+    t = series.look_ahead(e, _axis(spark, sf), "value", "speed", 2 * DAY, 30.0)
     return t.select("user_id", "at", r6("turn").alias("turn"))
 
 
@@ -73,7 +74,7 @@ select s.user_id, s.w::int as window, round(coalesce(v, 0), 6) as value from s l
 def fixed_window_means(spark, sf):
     e = events(spark, sf).select("user_id", "at", "value")
     first = e.groupBy("user_id").agg(F.min("at").alias("t0"))
-    w = series.window_means(e.join(first, "user_id"), ["user_id"], "at", ["value"], F.col("t0"), DAY, 30)
+    w = series.window_means(e.join(first, "user_id"), ["user_id"], "at", ["value"], F.col("t0"), width(spark, sf, "user_id"), 30)
     return w.select("user_id", "window", r6("value").alias("value"))
 
 
@@ -86,7 +87,7 @@ select user_id, at, round(ang + sum(fix) over (partition by user_id order by at)
 )
 def unwrap_angle(spark, sf):
     e = events(spark, sf).select("user_id", "at", (F.col("value") % 6.283185307179586).alias("ang"))
-    return series.unwrap(e, _AX, "ang").select("user_id", "at", r6("unwrapped").alias("unwrapped"))
+    return series.unwrap(e, _axis(spark, sf), "ang").select("user_id", "at", r6("unwrapped").alias("unwrapped"))
 
 
 _XY = """
@@ -102,7 +103,7 @@ def _xy(spark, sf):
 
 @query(_XY + "select user_id, at, round(step_m, 6) as step_m, round(sum(step_m) over (partition by user_id order by at), 4) as arc_m from p")
 def arc_length(spark, sf):
-    a = series.arc_length(_xy(spark, sf), _AX, "x", "y")
+    a = series.arc_length(_xy(spark, sf), _axis(spark, sf), "x", "y")
     return a.select("user_id", "at", r6("step_m").alias("step_m"), F.round("arc_m", 4).alias("arc_m"))
 
 
@@ -115,7 +116,7 @@ else (hd * hd * nv + (hs * hs - hd * hd) * value - hs * hs * pv) / (hs * hd * (h
 )
 def gradient(spark, sf):
     e = events(spark, sf).select("user_id", "at", "value")
-    g = series.gradient(e, _AX, "value")
+    g = series.gradient(e, _axis(spark, sf), "value")
     return g.select("user_id", "at", F.round(F.col("gradient") * 1e6, 8).alias("gradient"))
 
 
@@ -152,7 +153,7 @@ where (rn - 1) % 5 = 0"""
 )
 def stride_sample(spark, sf):
     e = events(spark, sf).select("user_id", "at", "event_id")
-    return series.every_kth(e, _AX, 5).select("user_id", "event_id")
+    return series.every_kth(e, _axis(spark, sf), 5).select("user_id", "event_id")
 
 
 @query(
@@ -176,7 +177,7 @@ from e window w as (partition by user_id order by at)"""
 )
 def persistent_gaps(spark, sf):
     e = events(spark, sf).select("user_id", "at", "value", F.lit(0.2).alias("v"))
-    return series.persistent(e, _AX, "value", "v").select("user_id", "at", "kept")
+    return series.persistent(e, _axis(spark, sf), "value", "v").select("user_id", "at", "kept")
 
 
 @query(
@@ -194,7 +195,7 @@ select event_type, at, coalesce(n >= 3 and period > 0 and case when p1 is null t
 )
 def off_grid_frames(spark, sf):
     e = events(spark, sf).select("event_type", F.expr(f"at - pmod(at, {HOUR}L)").alias("at")).distinct()
-    return series.off_grid(e, Axis(("event_type",), "at", DAY))
+    return series.off_grid(e, Axis(("event_type",), "at", width(spark, sf, "event_type")))
 
 
 _CLS = "case when value < 20 then 'low' when value < 60 then 'mid' else 'high' end"
@@ -209,7 +210,7 @@ select user_id, min(cls) as cls, min(at) as start_at, max(at) as end_at, count(*
 )
 def runlength_timeline(spark, sf):
     e = events(spark, sf).select("user_id", "at", F.expr(_CLS).alias("cls"))
-    return segments.runlength(e, ["user_id"], "at", "cls", DAY, DAY).select("user_id", "cls", "start_at", "end_at", "n")
+    return segments.runlength(e, ["user_id"], "at", "cls", DAY, width(spark, sf, "user_id")).select("user_id", "cls", "start_at", "end_at", "n")
 
 
 @query(
@@ -222,7 +223,7 @@ union all select user_id, pa + {HOUR}, at, 'gap' from g where at - pa > {DAY}"""
 )
 def timeline_with_gaps(spark, sf):
     e = events(spark, sf).select("user_id", "at", F.expr(_CLS).alias("cls"))
-    return segments.timeline(e, ["user_id"], "at", "cls", HOUR, DAY, DAY, "gap")
+    return segments.timeline(e, ["user_id"], "at", "cls", HOUR, DAY, width(spark, sf, "user_id"), "gap")
 
 
 @query(
@@ -235,7 +236,7 @@ select user_id, arg_min(event_type, (-n, event_type)) as dominant, min(a) as sta
 )
 def status_runs(spark, sf):
     e = events(spark, sf).select("user_id", "at", "event_type")
-    return segments.status_runs(e, ["user_id"], "at", "event_type", "view", DAY)
+    return segments.status_runs(e, ["user_id"], "at", "event_type", "view", width(spark, sf, "user_id"))
 
 
 @query(
@@ -249,7 +250,7 @@ select user_id, min(s) as s, max(e) as e, count(*) as n_merged from h group by u
 def merged_intervals(spark, sf):
     e = events(spark, sf)
     spans = e.select("user_id", F.col("at").alias("s"), (F.col("at") + F.rint("value").cast("long") * 60_000_000).alias("e"))
-    return segments.merge_intervals(spans, ["user_id"], "s", "e", HOUR, DAY)
+    return segments.merge_intervals(spans, ["user_id"], "s", "e", HOUR, width(spark, sf, "user_id"))
 
 
 @query(
@@ -262,7 +263,7 @@ select user_id, at from k where kept"""
 )
 def decimated_frames(spark, sf):
     e = events(spark, sf).select("user_id", "at", (F.col("event_type") == "purchase").alias("key"))
-    return decimate(e, ["user_id"], "at", "key", DAY, DAY).select("user_id", "at")
+    return decimate(e, ["user_id"], "at", "key", DAY, width(spark, sf, "user_id")).select("user_id", "at")
 
 
 _BEH = """
@@ -295,7 +296,7 @@ def behaviour_features(spark, sf):
     t = events(spark, sf).select(
         "user_id", "at", F.col("value").alias("speed"), (k * 0.0634665 - F.pi()).alias("yaw"), (F.col("value") / 100 - 1).alias("ax"), F.lit(0.0).alias("ay")
     )
-    d = describe(t, _AX, 4, HOUR)
+    d = describe(t, _axis(spark, sf), 4, HOUR)
     return d.select("user_id", r6("v_mean").alias("v_mean"), "v_max", r6("stop_frac").alias("stop_frac"), r6("max_acc").alias("max_acc"), r6("min_ax").alias("min_ax"),
                     F.round("net_turn", 5).alias("net_turn"), F.round("left_deg", 5).alias("left_deg"), F.round("right_deg", 5).alias("right_deg"))
 
@@ -317,7 +318,7 @@ def driving_risk(spark, sf):
     k = F.get_json_object("props", "$.k").cast("double")
     e = events(spark, sf).select("user_id", "at", F.col("value").alias("gap"), (k / 3).alias("speed"))
     motion = e.select("user_id", (1 - F.col("gap") / 100).alias("ax"), (F.col("speed") / 10).alias("ay"))
-    r = risk(e, motion, _AX, 3.6e9, {"brake": -3.5, "lat": 3.2, "thw": 0.05, "ttc": 1.5})
+    r = risk(e, motion, _axis(spark, sf), 3.6e9, {"brake": -3.5, "lat": 3.2, "thw": 0.05, "ttc": 1.5})
     return r.select("user_id", r6("min_thw").alias("min_thw"), r6("min_ttc").alias("min_ttc"), "min_gap_moving", r6("min_ax").alias("min_ax"), r6("max_ay").alias("max_ay"), "score")
 
 
@@ -336,7 +337,7 @@ def imu_rates(spark, sf):
         "user_id", "at", "event_id", (k % 3).alias("count"), F.col("value").alias("lon_acc"), (F.col("value") / 2).alias("lat_acc"), F.lit(0.0).alias("vert_acc"),
         F.lit(0.0).alias("pitch_rate"), F.lit(0.0).alias("roll_rate"), F.lit(0.0).alias("yaw_rate"),
     )
-    r = ins.imu_rates(rows, ["user_id"], "at", ["event_id"], DAY, 1e6)
+    r = ins.imu_rates(rows, ["user_id"], "at", ["event_id"], width(spark, sf, "user_id"), 1e6)
     return r.select("user_id", "at", F.round("ax", 9).alias("ax"), F.round("ay", 9).alias("ay"), F.round("imu_hz", 9).alias("imu_hz"))
 
 
@@ -357,5 +358,5 @@ def scene_pose_messages(spark, sf):
     poses = e.where("event_type in ('view', 'click')").select("user_id", "at", F.col("value").alias("x"))
     imu = e.where("event_type not in ('view', 'click')").select("user_id", "at", *[F.col("value").alias(c) for c in ins.RATES])
     spans = e.where("event_type = 'purchase'").select("user_id", F.col("event_id").alias("scene"), F.col("at").alias("s"), (F.col("at") + DAY).alias("e"))
-    m = ins.scene_poses(poses, imu, spans, ["user_id"], "at", "s", "e", "scene", 6 * HOUR, DAY, DAY)
+    m = ins.scene_poses(poses, imu, spans, ["user_id"], "at", "s", "e", "scene", 6 * HOUR, DAY, width(spark, sf, "user_id"))
     return m.select("scene", "user_id", "at", "x", r6("ax").alias("ax"))

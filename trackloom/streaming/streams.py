@@ -86,3 +86,10 @@ def fan_out(messages: DataFrame, spans: DataFrame, key: str, at: str, start: str
     asked = messages.withColumn("_bin", F.floor(F.col(at) / width))
     j = asked.join(filed, [key, "_bin"])
     return j.where((F.col(at) >= lo) & (F.col(at) <= hi)).drop("_bin")
+
+
+def windows_by_time(frames: DataFrame, key: str, ts: str, width: str, late: str) -> DataFrame:
+    """Frames per key and fixed stretch of time, final once the watermark (`late`) has passed it: (key, start, n, first, last)."""
+    grouped = frames.withWatermark(ts, late).groupBy(F.window(ts, width).alias("_w"), F.col(key))
+    counts = grouped.agg(F.count(F.lit(1)).alias("n"), F.min(ts).alias("first"), F.max(ts).alias("last"))
+    return counts.select(key, F.col("_w.start").alias("start"), "n", "first", "last")
