@@ -17,6 +17,7 @@ HEADLINE = [
     "slerp_pose", "interval_fanout", "fixed_scenes", "moving_average_same", "off_grid_frames", "delivery_stats", "clock_fit",
     "percentile_table", "runlength_timeline", "build_sample_data", "prune_cascade", "fk_audit", "content_dedup", "components",
     "greedy_overlap", "grid_occupancy", "box_flags", "iou_pairs", "geodetic_enu",
+    "stream_scenes", "pair_cover", "contiguous_fill", "clock_steps", "percentiles_overall",
 ]
 
 
