@@ -12,7 +12,7 @@ Two kinds of paragraphs are matched on shingles of five words, A-Z lower-cased:
   be equal, which a hash of all their words decides.
 
 Of each match the first occurrence in (key, position) order stays and the others are removed, but for words that
-belong to a first occurrence. Documents that share a paragraph form components.
+belong to the first occurrence of what a text repeats of itself. Documents that share a paragraph form components.
 
 Defined cases: null and short texts have no paragraphs and are kept; a paragraph repeated inside one document loses
 its later copies; of rows that repeat a key and text none counts as a copy of the other; a row with a null key
@@ -249,8 +249,10 @@ def less(ranges: list[tuple[int, int]], kept: list[tuple[int, int]]) -> list[tup
 def spans(found: DataFrame) -> DataFrame:
     """(key, removed ARRAY<STRUCT<s, e>>): the word ranges each document loses; documents that lose none are left out."""
     gone = found.select("key", "start", "words", F.lit(True).alias("gone"))
-    # the first occurrence is as long as what repeats it; of a similar line it is the line that stays
-    stay = found.select(F.col("to_key").alias("key"), F.col("to_start").alias("start"), "words", F.lit(False).alias("gone"))
+    # What another text holds earlier may go whole: that text, or the one it repeats itself, keeps it. Of a text that
+    # repeats itself the first occurrence stays whole, though later ones may overlap it.
+    own = found.where("key = to_key")
+    stay = own.select("key", F.col("to_start").alias("start"), "words", F.lit(False).alias("gone"))
     # distinct places of one text: the list is as long as the text at most
     per = gone.union(stay).distinct().groupBy("key").agg(F.collect_list(F.struct("start", "words", "gone")).alias("places"))
     kind = found.schema["key"].dataType.simpleString()
