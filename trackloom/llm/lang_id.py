@@ -168,11 +168,13 @@ def predict(docs: DataFrame, model: Filters, key: str = "doc_id", text: str = "t
     return docs.mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, lang_pred string, score double")
 
 
-def keep_known(docs: DataFrame, model: Filters, text: str = "text", least: float = 0.0) -> DataFrame:
-    """The documents, all columns, that have a language and a score of at least `least`."""
+def keep_known(docs: DataFrame, model: Filters, text: str = "text", margin: float = 1.08) -> DataFrame:
+    """The documents, all columns, that are in some language: they have a letter, and the best language's score is at
+    least `margin` times the score that all languages would share alike (any score if only one was learned)."""
     spark = docs.sparkSession
     ship(spark)
     share = spark.sparkContext.broadcast(model)
+    least = margin / len(model.langs) if len(model.langs) > 1 else 0.0
 
     def run(batches):
         for batch in slices(batches, text):
@@ -180,7 +182,3 @@ def keep_known(docs: DataFrame, model: Filters, text: str = "text", least: float
             yield batch.filter(pa.array([t != UND and s >= least for t, s in zip(tags, score)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
-
-
-def training_rows(docs: DataFrame, held_out: Column) -> DataFrame:
-    return docs.where(~held_out)
