@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from trackloom.operators import stats
-from trackloom.plans.screening import screening_verdicts
+from trackloom.plans.screening import ScreenRules, findings, screening_verdicts, verdicts
 from trackloom.queries.registry import DAY, events, query, r6, table, width
 
 _T = 1_000_000.0
@@ -247,3 +247,82 @@ def sync_deviation(spark, sf):
     base = d.groupBy("event_type").agg(F.count_if(F.col("distance") > 6 * 3_600_000_000).alias("over"), F.count(F.lit(1)).alias("n"))
     p = stats.quantiles(d, ["event_type"], "distance", {"p50": 0.5, "p99": 0.99})
     return base.join(p, "event_type").select("event_type", F.round(F.col("p50") / 1e3, 3).alias("p50_ms"), F.round(F.col("p99") / 1e3, 3).alias("p99_ms"), "over", "n")
+
+
+# Roles: user = recording, click = anchor, view and purchase = cameras, signup = pose, error = odometry. Streams of some
+# users are taken away or shifted so that every rule is broken by somebody.
+_SCREEN = ScreenRules(
+    required=("click", "view", "purchase", "signup"), cameras=("view", "purchase"), anchor="click", pose="signup", odometry="error",
+    ticks=1_000_000, nominal_hz=5e-6, off_clock=20 * DAY, margin=DAY, max_anchor_gap=8 * DAY, max_pose_gap=9 * DAY, max_cut=8 * DAY,
+    max_bad_run=2 * DAY, good="view", max_bad_share=0.75,
+)
+_SCREEN_FRAMES = f"""
+with raw as (select user_id, event_type, epoch_us(ts) as at from events),
+fr as (select user_id, event_type, case when user_id % 17 = 3 and event_type = 'purchase' then at + {100 * DAY} else at end as at from raw
+ where not (user_id % 13 = 5 and event_type = 'signup') and not (user_id % 13 = 5 and user_id % 2 = 0 and event_type = 'error')
+ and user_id % 41 <> 7 and not (user_id % 19 = 4 and event_type = 'view' and at > (select min(at) from raw) + {3 * DAY})
+ and not (user_id % 19 = 4 and event_type = 'click' and at < (select min(at) from raw) + {6 * DAY})),
+rec as (select user_id, min(at) as started from raw group by user_id),
+st as (select user_id, event_type, min(at) as f, max(at) as l, count(*) as n, any_value(started) as started from fr join rec using (user_id) group by all),
+req as (select unnest(['click', 'view', 'purchase', 'signup']) as event_type),
+state as (select rec.user_id, req.event_type, st.n, st.f, st.l, st.started from rec cross join req left join st on st.user_id = rec.user_id and st.event_type = req.event_type),
+ok as (select user_id, event_type from st where event_type <> 'error' and abs(f - started) <= {20 * DAY}),
+us as (select fr.* from fr join ok using (user_id, event_type)),
+gap as (select user_id, event_type, max(dt) as gap from (select *, at - lag(at) over (partition by user_id, event_type order by at) as dt from us) where dt is not null group by all),
+e2 as (select user_id, event_type, min(at) as f, max(at) as l from us group by all),
+win as (select user_id, max(f) + {DAY} as a, min(l) - {DAY} as b, min(f) as e, max(l) as t from e2 group by user_id),
+del as (select user_id, min(n * 1000000 / ((l - f) * 5e-6)) as worst from st where event_type in ('view', 'purchase') and abs(f - started) <= {20 * DAY} and n >= 10 group by user_id),
+g as (select user_id, at, event_type <> 'view' as bad from raw),
+h as (select *, case when lag(bad) over w is null or lag(bad) over w <> bad then 1 else 0 end as s from g window w as (partition by user_id order by at)),
+k as (select *, sum(s) over (partition by user_id order by at) as run from h),
+c as (select user_id, run, min(at) as ra, max(at) as rb from k where bad group by all),
+lng as (select c.user_id, max(rb - ra) as run from c join win using (user_id) where rb >= a and ra <= b group by c.user_id),
+shr as (select g.user_id, avg(case when bad then 1.0 else 0.0 end) as bad, any_value(run) as run from g left join lng using (user_id) group by g.user_id),
+sc as (select user_id, n * {2 * DAY} as scene_time from (select user_id, count(*) // 20 as n from raw group by user_id)),
+found as (
+select user_id, 2 as level, 'no streams' as rule, '' as subject from rec where user_id not in (select user_id from st)
+union all select user_id, 2, 'off clock', event_type from st where abs(f - started) > {20 * DAY}
+union all select user_id, 2, 'missing', event_type from state where n is null and not (event_type = 'signup' and user_id in (select user_id from st where event_type = 'error'))
+union all select user_id, 1, 'odometry only', event_type from state where n is null and event_type = 'signup' and user_id in (select user_id from st where event_type = 'error')
+union all select user_id, 1, 'anchor gap', event_type from gap where event_type = 'click' and gap > {8 * DAY}
+union all select user_id, 2, 'pose gap', event_type from gap where event_type = 'signup' and gap > {9 * DAY}
+union all select user_id, case when worst >= 0.9 then 1 else 2 end, 'camera delivery', '' from del where worst < 0.98
+union all select user_id, 2, 'no common window', '' from win where b <= a
+union all select user_id, 1, 'window cut', '' from win where b > a and (a - e) + (t - b) > {8 * DAY}
+union all select user_id, 2, 'bad status run', '' from shr where coalesce(run, -1) >= {2 * DAY}
+union all select user_id, 1, 'bad status share', '' from shr where coalesce(run, -1) < {2 * DAY} and bad > 0.75
+union all select win.user_id, 1, 'few scenes', '' from win left join sc using (user_id) where b > a and coalesce(scene_time, 0) < 0.5 * (b - a))
+"""
+
+
+def _screened(spark, sf):
+    e = events(spark, sf).select("user_id", "event_type", "at")
+    start = e.agg(F.min("at")).first()[0] or 0
+    is_type = lambda t: F.col("event_type") == t
+    u = F.col("user_id")
+    taken = (
+        (u % 13 == 5) & is_type("signup") | (u % 13 == 5) & (u % 2 == 0) & is_type("error") | (u % 41 == 7)
+        | (u % 19 == 4) & is_type("view") & (F.col("at") > start + 3 * DAY) | (u % 19 == 4) & is_type("click") & (F.col("at") < start + 6 * DAY)
+    )
+    shifted = F.when((u % 17 == 3) & is_type("purchase"), F.col("at") + 100 * DAY).otherwise(F.col("at"))
+    frames = e.where(~taken).withColumn("at", shifted)
+    recordings = e.groupBy("user_id").agg(F.min("at").alias("started"))
+    scenes = e.groupBy("user_id").agg((F.expr("count(1) div 20") * (2 * DAY)).alias("scene_time"))
+    status = e.select("user_id", "at", F.col("event_type").alias("status"))
+    return recordings, findings(frames, recordings, status, scenes, ["user_id"], "event_type", "at", _SCREEN, width(spark, sf, "user_id", "event_type"))
+
+
+@query(_SCREEN_FRAMES + "select user_id, level, rule, subject from found")
+def screening_findings(spark, sf):
+    return _screened(spark, sf)[1]
+
+
+@query(
+    _SCREEN_FRAMES
+    + """, v as (select user_id, max(level) as lvl, string_agg(distinct reason, '; ' order by reason) as reasons from (select user_id, level, trim(rule || ' ' || subject) as reason from found) group by user_id)
+select user_id, case coalesce(lvl, 0) when 2 then 'DROP' when 1 then 'MARGINAL' else 'PASS' end as verdict, coalesce(reasons, '') as reasons from rec left join v using (user_id)"""
+)
+def screening_verdict(spark, sf):
+    recordings, found = _screened(spark, sf)
+    reasons = found.select("user_id", "level", F.trim(F.concat_ws(" ", "rule", "subject")).alias("reason"))
+    return verdicts(recordings, ["user_id"], reasons)
