@@ -254,7 +254,7 @@ def sync_deviation(spark, sf):
 _SCREEN = ScreenRules(
     required=("click", "view", "purchase", "signup"), cameras=("view", "purchase"), anchor="click", pose="signup", odometry="error",
     ticks=1_000_000, nominal_hz=5e-6, off_clock=20 * DAY, margin=DAY, max_anchor_gap=8 * DAY, max_pose_gap=9 * DAY, max_cut=8 * DAY,
-    max_bad_run=2 * DAY, good="view", max_bad_share=0.75,
+    max_bad_run=6 * DAY, good="view", max_bad_share=0.75, min_scene_share=0.3,
 )
 _SCREEN_FRAMES = f"""
 with raw as (select user_id, event_type, epoch_us(ts) as at from events),
@@ -289,9 +289,9 @@ union all select user_id, 2, 'pose gap', event_type from gap where event_type =
 union all select user_id, case when worst >= 0.9 then 1 else 2 end, 'camera delivery', '' from del where worst < 0.98
 union all select user_id, 2, 'no common window', '' from win where b <= a
 union all select user_id, 1, 'window cut', '' from win where b > a and (a - e) + (t - b) > {8 * DAY}
-union all select user_id, 2, 'bad status run', '' from shr where coalesce(run, -1) >= {2 * DAY}
-union all select user_id, 1, 'bad status share', '' from shr where coalesce(run, -1) < {2 * DAY} and bad > 0.75
-union all select win.user_id, 1, 'few scenes', '' from win left join sc using (user_id) where b > a and coalesce(scene_time, 0) < 0.5 * (b - a))
+union all select user_id, 2, 'bad status run', '' from shr where coalesce(run, -1) >= {6 * DAY}
+union all select user_id, 1, 'bad status share', '' from shr where coalesce(run, -1) < {6 * DAY} and bad > 0.75
+union all select win.user_id, 1, 'few scenes', '' from win left join sc using (user_id) where b > a and coalesce(scene_time, 0) < 0.3 * (b - a))
 """
 
 
