@@ -36,7 +36,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 _CHROME = frozenset("nav aside footer form header dialog menu search".split())
 _NAMES = re.compile(
     r"(?:^|[^a-z])(?:nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|aside|footer|foot|header|masthead|banner|ads?|advert\w*|sponsor\w*|"
-    r"promo\w*|cookies?|consent|gdpr|notice|popup|modal|overlay|comments?|replies|reply|disqus|respond|share|sharing|social|related|"
+    r"promo\w*|cookies?|consent|gdpr|notices?|alert|disclaimer|popup|modal|overlay|comments?|replies|reply|disqus|respond|share|sharing|social|related|"
     r"recommend\w*|newsletter|subscribe|signup|login|search|widget|toolbar|pagination|pager|tags?|copyright|legal|skip|hidden)(?:$|[^a-z])"
 )
 _TOKEN = re.compile(
@@ -184,6 +184,9 @@ def _labelled() -> list[str]:
         f'<div class="newsletter"><p>{_say(16)}</p></div><div class="sidebar"><p>{_say(50)}</p><ul>{_links(5)}</ul></div>{foot}</body>',
         f'<body>{nav}<article data-main><blockquote><p>{_say(28)}</p></blockquote><p>{_say(12)} <a href=/q>{_say(10)}</a></p>{_paragraphs(2, 2)}</article>'
         f'<div class="related"><h3>{_say(2)}</h3><ul>{_links(6)}</ul></div>{foot}</body>',
+        f'<body>{nav}<article><header data-main><h1>{_say(5)}</h1></header><div data-main>{_paragraphs(44)}</div><form><p>{_say(3)}</p><p>{_say(18)}</p></form>'
+        f"<div data-main>{_paragraphs(50, 9)}</div><form><label>{_say(2)}</label></form><dialog><p>{_say(33)}</p></dialog></article>{foot}</body>",
+        f'<body>{nav}<main><div data-main>{_paragraphs(38, 6)}</div><form><p>{_say(60)}</p></form><div data-main>{_paragraphs(12)}</div></main>{foot}</body>',
     ]
 
 
