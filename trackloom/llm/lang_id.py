@@ -62,7 +62,7 @@ def gram_counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
     ship(docs.sparkSession)
 
     def run(batches):
-        for batch in slices(batches, text, 16 << 20):
+        for batch in slices(batches, text, 4 << 20):
             tags, of = np.unique(np.array(batch.column(0).to_pylist(), object).astype(str), return_inverse=True)
             codes, doc, _ = trigrams(strings(batch, text))
             for k, tag in enumerate(tags):
