@@ -13,8 +13,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trackloom.session import stage
+
 #: bytes of text one slice may hold; a longer single text is a slice of its own
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _shipped: set[str] = set()
 
@@ -79,8 +81,8 @@ def strings(batch: pa.RecordBatch, name: str) -> list[str]:
     return [b.decode("utf-8", "replace") for b in texts(batch, name)]
 
 
-_WHITE = np.zeros(256, bool)
-_WHITE[[32, *range(9, 14)]] = True
+ASCII_WHITE = np.zeros(256, bool)
+ASCII_WHITE[[32, *range(9, 14)]] = True
 
 _powers: dict[str, np.ndarray] = {}
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
@@ -89,7 +91,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 def _power_table(kind: str, base: int, n: int) -> np.ndarray:
     have = _powers.get(kind)
     if have is None or len(have) < n:
-        factors = np.full(max(n, SLICE_BYTES * 2), base % 2**64, np.uint64)
+        factors = np.full(1 << max(n - 1, SLICE_BYTES).bit_length(), base % 2**64, np.uint64)
         factors[0] = 1
         have = _powers[kind] = np.cumprod(factors, dtype=np.uint64)
     return have
@@ -111,7 +113,7 @@ def hashed_words(docs: list[bytes], first: int | None = None) -> tuple[np.ndarra
     position zero with the base's inverse.
     """
     flat = np.frombuffer(b"\n".join(docs) + b"\n", np.uint8)
-    white = _WHITE[flat]
+    white = ASCII_WHITE[flat]
     before = np.empty_like(white)
     before[0], before[1:] = True, white[:-1]
     starts = np.flatnonzero(before & ~white)
@@ -134,6 +136,31 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return (sums[ends] - sums[starts]) * down[starts]
 
 
+#: positions of the filter below: 2**24 bits are 262,144 words of 64, the most that is broadcast
+FILTER_BITS = 24
+
+
+def split_by_ids(docs: DataFrame, key: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key may be among the ids, rows whose key surely is not); `ids` has one column.
+
+    The hashes of the ids set bits of a table of fixed size, which is broadcast, so that only the first part has to
+    be shuffled for a join with the ids. With very many ids the first part grows towards all rows; no row is lost.
+    """
+    name = ids.columns[0]
+    bit = lambda c: F.xxhash64(c).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    word, mask = fresh(docs, "filter_word"), fresh(docs, "filter_mask")
+    at = bit(F.col(name))
+    low = lambda c: c.bitwiseAND(F.lit(63).cast("long")).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), low(at))
+    masks = ids.where(F.col(name).isNotNull()).groupBy(F.shiftright(at, 6).alias(word)).agg(F.bit_or(one).alias(mask))
+    masks = stage(masks, "filter")
+    here = bit(F.col(key))
+    marked = docs.join(F.broadcast(masks), F.shiftright(here, 6) == F.col(word), "left")
+    set_ = F.call_function("shiftright", F.col(mask), low(here)).bitwiseAND(F.lit(1).cast("long")) == 1
+    may = F.coalesce(set_, F.lit(False))
+    return marked.where(may).select(*docs.columns), marked.where(~may).select(*docs.columns)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, label: str, most: int) -> DataFrame:
     """`docs` joined with at most `most` of the labelled ids, chosen by the ids' hash; column `label` is added.
 

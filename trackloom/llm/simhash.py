@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import column_bytes, fresh, ship, slices, texts
+from trackloom.llm.common import column_bytes, fresh, ship, slices, split_by_ids, texts
 from trackloom.operators.graph import components
 from trackloom.session import stage
 
@@ -230,4 +230,6 @@ def drop_near_copies(
     """The documents, all columns, without those whose class has a smaller key. Rows with equal keys stay together."""
     classes = near_classes(docs, key, text, shingle, radius)
     gone = classes.where(F.col(key) != F.col("component_id")).select(F.col(key).alias(fresh(docs, "gone"))).distinct()
-    return docs.join(gone, F.col(key) == F.col(gone.columns[0]), "left_anti")
+    gone = stage(gone, "simhash")
+    asked, sure = split_by_ids(docs, key, gone)
+    return sure.unionByName(asked.join(gone, F.col(key) == F.col(gone.columns[0]), "left_anti"))

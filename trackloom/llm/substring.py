@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import column_bytes, fresh, hashed_words, mix, ship, slices, span_hashes, strings, texts
+from trackloom.llm.common import column_bytes, fresh, hashed_words, mix, ship, slices, span_hashes, split_by_ids, strings, texts
 from trackloom.operators.graph import components
 from trackloom.session import stage
 
@@ -75,16 +75,14 @@ def anchors(sh: np.ndarray, edges: np.ndarray, window: int) -> np.ndarray:
     return np.flatnonzero((sh <= top) & (np.arange(len(sh)) < ends))
 
 
-def paragraphs(docs: list[bytes]) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
-    """(lines: doc, start, words, same, bands; runs: doc, start, same) of a list of texts."""
+def lines_of(docs: list[bytes]) -> dict[str, np.ndarray]:
+    """doc, start, words, same, bands of every long line of a list of texts."""
     words, edges, line_edges = hashed_words([d.lower() for d in docs])
     sh = shingles(words)
     first, last = line_edges[:-1], line_edges[1:]
     long = last - first >= LINE_WORDS
     first, last = first[long], last[long]
     doc = np.searchsorted(edges, first, "right") - 1
-    lines = {"doc": doc, "start": first - edges[doc], "words": last - first}
-    lines["same"] = mix(span_hashes(mix(words), first, last))
     bands = np.zeros((len(first), BANDS), np.uint64)
     if len(first):
         # minimum over each line's shingles: from its first to its last, and from there to the next line, alternating
@@ -94,17 +92,19 @@ def paragraphs(docs: list[bytes]) -> tuple[dict[str, np.ndarray], dict[str, np.n
             low = np.minimum.reduceat(salted, bounds)[::2]
             b = k // ROWS
             bands[:, b] = mix(bands[:, b] * np.uint64(31) + low + np.uint64(b))
-    lines["bands"] = bands
-    at = anchors(sh, edges, PASSAGE - SHINGLE + 1)
-    of = np.searchsorted(edges, at, "right") - 1
-    starts = np.concatenate([at - (UNIT - SHINGLE), at])
-    of = np.concatenate([of, of])
-    inside = (starts >= edges[of]) & (starts + UNIT <= edges[of + 1])
+    same = mix(span_hashes(mix(words), first, last))
+    return {"doc": doc, "start": first - edges[doc], "words": last - first, "same": same, "bands": bands}
+
+
+def runs_of(docs: list[bytes]) -> dict[str, np.ndarray]:
+    """doc, start, same of the runs that end and start with an anchor."""
+    words, edges, _ = hashed_words([d.lower() for d in docs])
+    at = anchors(shingles(words), edges, PASSAGE - SHINGLE + 1)
+    starts = np.unique(np.concatenate([at - (UNIT - SHINGLE), at]))
+    of = np.searchsorted(edges, starts, "right") - 1
+    inside = (starts >= 0) & (starts + UNIT <= edges[np.minimum(of + 1, len(edges) - 1)])
     starts, of = starts[inside], of[inside]
-    starts, where = np.unique(starts, return_index=True)
-    of = of[where]
-    runs = {"doc": of, "start": starts - edges[of], "same": mix(span_hashes(mix(words), starts, starts + UNIT))}
-    return lines, runs
+    return {"doc": of, "start": starts - edges[of], "same": mix(span_hashes(mix(words), starts, starts + UNIT))}
 
 
 def _line_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -112,7 +112,7 @@ def _line_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     def run(batches):
         for batch in slices(batches, text):
-            lines, _ = paragraphs(texts(batch, text))
+            lines = lines_of(texts(batch, text))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(lines["doc"])), pa.array(lines["start"].astype(np.int32)),
@@ -130,7 +130,7 @@ def _run_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     def run(batches):
         for batch in slices(batches, text):
-            _, runs = paragraphs(texts(batch, text))
+            runs = runs_of(texts(batch, text))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(runs["doc"])), pa.array(runs["start"].astype(np.int32)), pa.array(runs["same"].view(np.int64))],
                 ["key", "start", "same"],
@@ -150,7 +150,9 @@ def _contents(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFr
     """(key, start, shingles BINARY: sorted distinct hashes) of the wanted lines (key, start, words)."""
     kind = docs.schema[key].dataType.simpleString()
     per_doc = wanted.groupBy("key").agg(F.collect_set(F.struct("start", "words")).alias("lines"))
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(per_doc, "key")
+    per_doc = stage(per_doc, "wanted")
+    asked, _ = split_by_ids(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "key", per_doc.select("key"))
+    rows = asked.join(per_doc, "key")
 
     def run(batches):
         for batch in slices(batches, "text"):
@@ -315,7 +317,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", cha
     """`docs`, all columns and rows, with the removed ranges cut from the text and `chars`, if there, counted anew."""
     cut = stage(spans(matches(docs, key, text)), "cuts")
     name, spot = fresh(docs, "cut_key"), fresh(docs, "cut_spans")
-    joined = docs.join(cut.select(F.col("key").alias(name), F.col("removed").alias(spot)), F.col(key) == F.col(name), "left")
+    asked, whole = split_by_ids(docs, key, cut.select("key"))
+    joined = asked.join(cut.select(F.col("key").alias(name), F.col("removed").alias(spot)), F.col(key) == F.col(name), "left")
 
     def run(batches):
         for batch in slices(batches, text):
@@ -332,4 +335,4 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", cha
             kept = [i for i, f in enumerate(batch.schema) if f.name not in (name, spot)]
             yield pa.RecordBatch.from_arrays([columns[i] for i in kept], names=[batch.schema[i].name for i in kept])
 
-    return joined.mapInArrow(run, docs.schema)
+    return whole.unionByName(joined.mapInArrow(run, docs.schema))
