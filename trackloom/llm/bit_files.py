@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackloom.llm.common import ship, slices, strings
-from trackloom.llm.units import Cache, definition, tokenizer, units
+from trackloom.llm.units import definition, tokenizer, worker_cache
 from trackloom.session import shared_dir, stage
 
 _HEAD = struct.Struct("<8sII")
@@ -154,16 +154,16 @@ def write(
     def run(batches):
         from pyspark import TaskContext
 
-        cache = Cache(tokenizer(share.value))
+        cache = worker_cache(share.value)
         out, keys, number = None, [], TaskContext.get().partitionId()
-        end = int(end_id).to_bytes(4, "little")
-        for batch in slices(batches, text):
+        end = np.uint32(end_id)
+        for batch in slices(batches, text, 2 << 20):
             if out is None:
                 path = f"{folder}/part-{number:06d}-{uuid.uuid4().hex}.bits"
                 stream, _ = _open(path, "w")
                 out = Writer(stream, bits)
-            for s in strings(batch, text):
-                out.add(np.frombuffer(b"".join(map(cache.__getitem__, units(s))) + end, "<u4"))
+            for ids in cache.encode(strings(batch, text)):
+                out.add(np.append(ids, end))
             keys.append(batch.column(0))
         if out is not None:
             out.close()
@@ -229,6 +229,6 @@ def _each(manifest: DataFrame, key: str, fields: str, columns) -> DataFrame:
                         )
                         k = e
 
-    # one file to a task, whatever small files the manifest itself was written in
-    m = manifest.select("keys", "path", "start").repartition("path")
+    # a task per file, whatever small files the manifest itself was written in
+    m = manifest.select("keys", "path", "start").repartition(max(1, manifest.count()), "path")
     return m.mapInArrow(run, f"`{key}` {kind}, start long, {fields}")

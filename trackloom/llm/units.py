@@ -8,6 +8,12 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
+from functools import cache
+
+import numpy as np
+
+from trackloom.llm.common import ASCII_WHITE, span_hashes
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -59,18 +65,66 @@ def pieces(t) -> list[bytes]:
     return out
 
 
-class Cache(dict):
-    """unit -> its ids as little-endian 32-bit integers; a unit is encoded when it is first met.
+#: UTF-8 of the white space that is not ASCII; texts without it are cut bytewise
+_WIDE_WHITE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
-    Holds at most `most` units: what comes later is encoded each time it is met.
-    """
 
-    def __init__(self, t, most: int = 300_000):
-        super().__init__()
-        self.t, self.most = t, most
+class Cache:
+    """Encodes texts by their distinct units; ids of units are kept for the life of a Python worker.
+
+    A batch of texts is cut into units at once, its distinct units are looked up or encoded, and the ids go back to
+    every place of a unit by index. At most `most` units are kept; others are encoded again with the next batch.
+    """
 
-    def __missing__(self, unit: str) -> bytes:
-        ids = b"".join(i.to_bytes(4, "little") for i in self.t.encode(unit, add_special_tokens=False).ids)
-        if len(self) < self.most:
-            self[unit] = ids
-        return ids
+    def __init__(self, definition: str, most: int = 600_000):
+        self.t, self.most, self.known = tokenizer(definition), most, {}
+
+    def _ids(self, parts: list[bytes]) -> list[bytes]:
+        """The ids of distinct units as little-endian 32-bit integers."""
+        got = list(map(self.known.get, parts))
+        new = [i for i, g in enumerate(got) if g is None]
+        texts = [parts[i].decode("utf-8", "surrogatepass") for i in new]
+        for i, e in zip(new, self.t.encode_batch_fast(texts, add_special_tokens=False)):
+            got[i] = array("I", e.ids).tobytes()
+        for i in new[: max(0, self.most - len(self.known))]:
+            self.known[parts[i]] = got[i]
+        return got
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+        wide = {i for i, t in enumerate(raw) if _WIDE_WHITE.search(t)}
+        out = self._plain([b"" if i in wide else t for i, t in enumerate(raw)])
+        for i in wide:
+            parts = [u.encode("utf-8", "surrogatepass") for u in units(texts[i])]
+            found = dict(zip(distinct := list(set(parts)), self._ids(distinct)))
+            out[i] = np.frombuffer(b"".join([found[u] for u in parts]), "<u4")
+        return out
+
+    def _plain(self, raw: list[bytes]) -> list[np.ndarray]:
+        joined = b"".join(raw)
+        edges = np.concatenate([[0], np.cumsum([len(t) for t in raw])]).astype(np.int64)
+        if not joined:
+            return [np.zeros(0, np.uint32) for _ in raw]
+        flat = np.frombuffer(joined, np.uint8)
+        white = ASCII_WHITE[flat]
+        opens = np.zeros(len(flat) + 1, bool)
+        opens[1:-1] = white[1:] & ~white[:-1]
+        opens[edges] = True
+        bounds = np.flatnonzero(opens)
+        starts, ends = bounds[:-1], bounds[1:]
+        _, first, unit = np.unique(span_hashes(flat.astype(np.uint64) + np.uint64(1), starts, ends), return_index=True, return_inverse=True)
+        ids = self._ids([joined[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())])
+        table = np.frombuffer(b"".join(ids), "<u4")
+        size = np.array([len(i) // 4 for i in ids])
+        begin = np.cumsum(size) - size
+        many = size[unit]
+        upto = np.cumsum(many)
+        every = table[np.repeat(begin[unit] - (upto - many), many) + np.arange(int(upto[-1]))]
+        cuts = np.concatenate([[0], upto])[np.searchsorted(starts, edges)]
+        return [every[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
+@cache
+def worker_cache(definition: str) -> Cache:
+    return Cache(definition)
