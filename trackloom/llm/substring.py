@@ -38,6 +38,9 @@ SIMILAR = 0.8
 LINE_WORDS = 20
 PASSAGE = 50
 UNIT = (PASSAGE + SHINGLE - 1) // 2
+TILE = 128
+_COLUMNS = 8_192
+_MATCH = (("key", "key"), ("start", "start"), ("words", "words"), ("to_key", "key"), ("to_start", "start"))
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _MAX = np.uint64(2**64 - 1)
 
@@ -171,17 +174,99 @@ def _contents(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFr
     return rows.mapInArrow(run, f"key {kind}, start int, set binary").dropDuplicates(["key", "start"])
 
 
-def similar_lines(docs: DataFrame, lines: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, start, words, to_key, to_start): unlike lines verified to be similar to an earlier line."""
+def _alike(sets: list[np.ndarray]) -> np.ndarray:
+    """Which of the sets have a Jaccard similarity of SIMILAR: a square of booleans, false on the diagonal."""
+    size = np.array([len(s) for s in sets])
+    of = np.repeat(np.arange(len(sets)), size)
+    _, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count[at] > 1
+    of, at = of[shared], (np.cumsum(count > 1) - 1)[at[shared]]
+    order = np.argsort(at, kind="stable")
+    of, at = of[order], at[order]
+    both = np.zeros((len(sets), len(sets)), np.float64)
+    for lo in range(0, int(at[-1]) + 1 if len(at) else 0, _COLUMNS):
+        a, b = np.searchsorted(at, [lo, lo + _COLUMNS])
+        grid = np.zeros((len(sets), int(at[b - 1]) - lo + 1), np.float32)
+        grid[of[a:b], at[a:b] - lo] = 1
+        both += grid @ grid.T
+    out = both >= SIMILAR * (size[:, None] + size[None, :] - both)
+    np.fill_diagonal(out, False)
+    return out
+
+
+def links_of(alike: np.ndarray) -> set[tuple[int, int]]:
+    """(later, earlier): the first like one of each that has an earlier one, and links that span what chains connect."""
+    before = np.tril(alike)
+    out = {(int(i), int(before[i].argmax())) for i in np.flatnonzero(before.any(axis=1))}
+    seen = np.zeros(len(alike), bool)
+    for root in range(len(alike)):
+        ahead = [] if seen[root] else [root]
+        seen[root] = True
+        while ahead:
+            x = ahead.pop()
+            more = np.flatnonzero(alike[x] & ~seen)
+            seen[more] = True
+            out |= {(max(x, y), min(x, y)) for y in more.tolist()}
+            ahead += more.tolist()
+    return out
+
+
+def _like_others(members: DataFrame, sets: DataFrame, kind: str, tile: int) -> DataFrame:
+    """The pairs of a band that the comparison with its first line leaves open: open lines against all others.
+
+    The lines of a band are dealt into tiles of about `tile`; every tile of open lines meets every tile of the band in
+    a row of its own, and a row returns the first match of each line and spanning links, never all pairs.
+    """
+    n = members.groupBy("band", "hash").agg(
+        F.ceil(F.count("*") / tile).cast("int").alias("tiles"), F.ceil(F.count_if("open") / tile).cast("int").alias("open_tiles"), F.count("*").alias("n")
+    )
+    n = stage(n.where("n > 1 and open_tiles > 0").drop("n"), "open")
+    rows = stage(members.join(n, ["band", "hash"]).join(sets, ["key", "start"]), "open")
+    one = F.struct("key", "start", "words", "set")
+    deal = lambda tiles: F.pmod(F.xxhash64("key", "start"), F.col(tiles)).cast("int")
+
+    def dealt(rows: DataFrame, own: str, other: str, at: str, meets: str, name: str) -> DataFrame:
+        per = rows.groupBy("band", "hash", deal(own).alias(at), other).agg(F.collect_list(one).alias(name))
+        return per.select("band", "hash", at, F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(meets), name)
+
+    a = dealt(rows.where("open"), "open_tiles", "tiles", "a", "b", "lines_a")
+    b = dealt(rows, "tiles", "open_tiles", "b", "a", "lines_b")
+    met = a.join(b, ["band", "hash", "a", "b"]).select("lines_a", "lines_b")
+
+    def compare(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                lines = {}
+                for c in batch.columns:
+                    for ln in c[i].as_py():
+                        lines[ln["key"], ln["start"]] = ln
+                ordered = [lines[k] for k in sorted(lines)]
+                pairs = sorted(links_of(_alike([np.frombuffer(ln["set"], np.uint64) for ln in ordered])))
+                if pairs:
+                    x, y = ([ordered[p[k]] for p in pairs] for k in (0, 1))
+                    yield pa.RecordBatch.from_pylist(
+                        [
+                            {"key": p["key"], "start": p["start"], "words": p["words"], "to_key": q["key"], "to_start": q["start"]}
+                            for p, q in zip(x, y)
+                        ],
+                        pa.schema([(k, batch.column(0).type.value_type.field(f).type) for k, f in _MATCH]),
+                    )
+
+    return met.mapInArrow(compare, f"key {kind}, start int, words int, to_key {kind}, to_start int").distinct()
+
+
+def similar_lines(docs: DataFrame, lines: DataFrame, key: str, text: str, tile: int = TILE) -> DataFrame:
+    """(key, start, words, to_key, to_start): unlike lines verified to be similar to an earlier line of their band."""
     kind = docs.schema[key].dataType.simpleString()
     one = lines.groupBy("same").agg(F.min(F.struct("key", "start", "words", "bands")).alias("m")).select("m.*")
     banded = stage(one.select("key", "start", "words", F.posexplode("bands").alias("band", "hash")), "bands")
     heads = stage(_repeated(banded, ["band", "hash"], ["words"]), "bands")
-    pairs = banded.join(heads, ["band", "hash"]).where("key <> first.key or start <> first.start")
-    pairs = stage(
-        pairs.select("key", "start", "words", F.col("first.key").alias("to_key"), F.col("first.start").alias("to_start"), F.col("first.words").alias("to_words")).distinct(),
+    after = banded.join(heads, ["band", "hash"]).where("key <> first.key or start <> first.start")
+    after = stage(
+        after.select("band", "hash", "key", "start", "words", F.col("first.key").alias("to_key"), F.col("first.start").alias("to_start"), F.col("first.words").alias("to_words")),
         "pairs",
     )
+    pairs = stage(after.drop("band", "hash").distinct(), "pairs")
     wanted = pairs.select("key", "start", "words").union(pairs.select("to_key", "to_start", "to_words")).distinct()
     sets = stage(_contents(docs, wanted, key, text), "pairs")
     both = pairs.join(sets, ["key", "start"]).join(
@@ -199,7 +284,12 @@ def similar_lines(docs: DataFrame, lines: DataFrame, key: str, text: str) -> Dat
             yield batch.filter(pa.array(keep, pa.bool_())).select(["key", "start", "words", "to_key", "to_start"])
 
     both = both.select("key", "start", "words", "to_key", "to_start", "set", "to_set")
-    return both.mapInArrow(verify, f"key {kind}, start int, words int, to_key {kind}, to_start int")
+    like = stage(both.mapInArrow(verify, f"key {kind}, start int, words int, to_key {kind}, to_start int"), "pairs")
+    taken = like.select("key", "start", "to_key", "to_start", F.lit(True).alias("taken"))
+    members = after.join(taken, ["key", "start", "to_key", "to_start"], "left").select(
+        "band", "hash", "key", "start", F.col("taken").isNull().alias("open"), "words"
+    )
+    return like.union(_like_others(stage(members, "open"), sets, kind, tile))
 
 
 def matches(docs: DataFrame, key: str, text: str) -> DataFrame:
