@@ -9,7 +9,8 @@ Two kinds of paragraphs are matched on shingles of five words, A-Z lower-cased:
   Each stretch is banded by its MinHash shingle, the anchor (a band of one row that overlapping stretches share), and
   the runs of `unit` words that end and start with the anchor are the paragraphs. Two texts that share `passage` words
   share an anchor, and with it at least one of the two runs, so every repeat of that length is found. These runs must
-  be equal, which a hash of all their words decides.
+  be equal, which a hash of all their words decides. Around them the words are compared with those of all earlier
+  places of the run, so that a repeated passage goes from its first word to its last.
 
 Of each match the first occurrence in (key, position) order stays and the others are removed, but for words that
 belong to the first occurrence of what a text repeats of itself. Documents that share a paragraph form components.
@@ -22,6 +23,7 @@ neither loses nor gives a paragraph; extra columns are kept by `remove_repeats`
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,8 @@ SIMILAR = 0.8
 LINE_WORDS = 20
 PASSAGE = 50
 UNIT = (PASSAGE + SHINGLE - 1) // 2
+REACH = PASSAGE - UNIT  # a repeated stretch of PASSAGE words ends at most so many words from a run that repeats
+CROWD = 20_000  # places of one run that are compared in one task; more are compared by grouping
 TILE = 128
 _COLUMNS = 8_192
 _MATCH = (("key", "key"), ("start", "start"), ("words", "words"), ("to_key", "key"), ("to_start", "start"))
@@ -292,8 +296,140 @@ def similar_lines(docs: DataFrame, lines: DataFrame, key: str, text: str, tile:
     return like.union(_like_others(stage(members, "open"), sets, kind, tile))
 
 
+def _edge_runs(found: DataFrame) -> DataFrame:
+    """(same, side): the runs near an end, 0 left or 1 right, of what the repeated runs of a text cover."""
+    per = found.groupBy("key").agg(F.collect_set(F.struct("start", "same")).alias("runs"))
+
+    def run(batches):
+        for batch in batches:
+            same, side = [], []
+            for runs in batch.column(0).to_pylist():
+                cover = merged([(r["start"], r["start"] + UNIT) for r in runs])
+                begins = [c[0] for c in cover]
+                for r in runs:
+                    lo, hi = cover[bisect_right(begins, r["start"]) - 1]
+                    ends = [k for k, near in enumerate((r["start"] - REACH < lo, r["start"] + UNIT + REACH > hi)) if near]
+                    same += [r["same"]] * len(ends)
+                    side += ends
+            yield pa.RecordBatch.from_arrays([pa.array(same, pa.int64()), pa.array(side, pa.int32())], ["same", "side"])
+
+    return per.select("runs").mapInArrow(run, "same long, side int").distinct()
+
+
+def _context_rows(docs: DataFrame, places: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, start, side, same, near ARRAY<LONG>) of the places (key, start, same, side).
+
+    `near` hashes the run together with the 1, 2, ... REACH words before (side 0) or after it (side 1), as far as there are.
+    """
+    kind = docs.schema[key].dataType.simpleString()
+    per_doc = stage(places.groupBy("key").agg(F.collect_set(F.struct("start", "same", "side")).alias("runs")), "edges")
+    asked, _ = split_by_ids(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "key", per_doc.select("key"))
+
+    def run(batches):
+        for batch in slices(batches, "text"):
+            words, edges, _ = hashed_words([t.lower() for t in texts(batch, "text")])
+            at, flat = [], []
+            for i, runs in enumerate(batch.column(batch.schema.get_field_index("runs")).to_pylist()):
+                at += [i] * len(runs)
+                flat += runs
+            doc = np.array(at, np.int64)
+            side = np.array([r["side"] for r in flat], np.int64)
+            start = edges[doc] + np.array([r["start"] for r in flat], np.int64)
+            h = np.array([r["same"] for r in flat], np.int64).view(np.uint64) + side.astype(np.uint64)
+            grid = np.zeros((len(flat), REACH), np.uint64)
+            for k in range(REACH):
+                word = np.where(side == 1, start + UNIT + k, start - 1 - k)
+                h = grid[:, k] = mix(h * np.uint64(31) + words[np.clip(word, 0, max(len(words) - 1, 0))]) if len(words) else h
+            room = np.where(side == 1, edges[doc + 1] - start - UNIT, start - edges[doc])
+            size = np.clip(room, 0, REACH)
+            inside = np.arange(REACH)[None, :] < size[:, None]
+            offsets = pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32())
+            near = pa.ListArray.from_arrays(offsets, pa.array(grid[inside].view(np.int64)))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(batch.schema.get_field_index("key")).take(pa.array(doc)), pa.array([r["start"] for r in flat], pa.int32()),
+                    pa.array(side.astype(np.int32)), pa.array([r["same"] for r in flat], pa.int64()), near,
+                ],
+                ["key", "start", "side", "same", "near"],
+            )
+
+    return asked.join(per_doc, "key").mapInArrow(run, f"key {kind}, start int, side int, same long, near array<long>")
+
+
+def _longest(rows: DataFrame, kind: str) -> DataFrame:
+    """(key, start, side, k, to_key, to_start): the most words around a run that an earlier place has too, and the first such.
+
+    A partition holds all places of its runs. In place order the first row of a context is its first place.
+    """
+
+    def run(batches):
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
+            return
+        t = pa.Table.from_batches(batches)
+        key, start = t.column("key").combine_chunks(), t.column("start").to_numpy()
+        spot = np.zeros(t.num_rows, np.int64)
+        names = key.to_pylist()
+        spot[1:] = np.cumsum([names[i] != names[i - 1] or start[i] != start[i - 1] for i in range(1, len(names))])
+        lists = t.column("near").combine_chunks()
+        first, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+        size = np.diff(first)
+        best, to = np.zeros(len(size), np.int32), np.zeros(len(size), np.int64)
+        for k in range(REACH):
+            rows = np.flatnonzero(size > k)
+            if not len(rows):
+                break
+            _, lead, at = np.unique(flat[first[rows] + k], return_index=True, return_inverse=True)
+            lead = rows[lead][at]
+            again = spot[lead] != spot[rows]
+            best[rows[again]], to[rows[again]] = k + 1, lead[again]
+        got = np.flatnonzero(best)
+        yield pa.RecordBatch.from_arrays(
+            [
+                key.take(pa.array(got)), pa.array(start[got]), t.column("side").combine_chunks().take(pa.array(got)), pa.array(best[got]),
+                key.take(pa.array(to[got])), pa.array(start[to[got]]),
+            ],
+            ["key", "start", "side", "k", "to_key", "to_start"],
+        )
+
+    dealt = rows.repartition("same", "side").sortWithinPartitions("key", "start")
+    return dealt.mapInArrow(run, f"key {kind}, start int, side int, k int, to_key {kind}, to_start int")
+
+
+def _longest_of_crowds(rows: DataFrame) -> DataFrame:
+    """As `_longest`, by grouping every context: for runs with more places than one task should hold."""
+    each = stage(rows.select("key", "start", "side", F.posexplode("near").alias("k", "h")), "crowds")
+    firsts = stage(_repeated(each, ["side", "k", "h"], []), "crowds")
+    again = each.join(firsts, ["side", "k", "h"]).where("key <> first.key or start <> first.start")
+    most = again.groupBy("key", "start", "side").agg(F.max_by(F.struct(F.col("k") + 1, "first.key", "first.start"), "k").alias("m"))
+    return most.select("key", "start", "side", F.col("m.col1").cast("int").alias("k"), F.col("m.key").alias("to_key"), F.col("m.start").alias("to_start"))
+
+
+def ends(docs: DataFrame, runs: DataFrame, found: DataFrame, key: str, text: str, crowd: int = CROWD) -> DataFrame:
+    """(key, start, words, to_key, to_start): the words before and after repeated runs up to where the repeat ends.
+
+    Every place of a run is compared with all earlier places of it, not with the first alone: two texts may share more
+    with each other than with the first text that has the run.
+    """
+    kind = docs.schema[key].dataType.simpleString()
+    edge = stage(_edge_runs(found), "edges")
+    places = stage(runs.join(edge, "same").select("key", "start", "same", "side"), "edges")
+    rows = stage(_context_rows(docs, places, key, text), "edges")
+    many = stage(rows.groupBy("same", "side").count().where(F.col("count") > crowd).select("same", "side"), "crowds")
+    few = rows.join(F.broadcast(many), ["same", "side"], "left_anti")
+    crowds = rows.join(F.broadcast(many), ["same", "side"], "left_semi")
+    more = _longest(few, kind).union(_longest_of_crowds(crowds))
+    shift = F.when(F.col("side") == 1, F.lit(UNIT)).otherwise(-F.col("k"))
+    return more.select(
+        "key", (F.col("start") + shift).alias("start"), F.col("k").alias("words"), "to_key", (F.col("to_start") + shift).alias("to_start")
+    )
+
+
 def matches(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, start, words, to_key, to_start): every paragraph that repeats an earlier one, and that one."""
+    """(key, start, words, to_key, to_start, whole): every paragraph that repeats an earlier one, and that one.
+
+    `whole` is false for the words around runs that complete a repeated passage.
+    """
     ship(docs.sparkSession)
     docs = docs.select(key, text).where(F.col(key).isNotNull())
     lines = stage(_line_rows(docs, key, text), "lines")
@@ -304,10 +440,12 @@ def matches(docs: DataFrame, key: str, text: str) -> DataFrame:
         firsts = stage(_repeated(rows, ["same"], []), "firsts")
         parts.append(
             rows.join(firsts, "same").where("key <> first.key or start <> first.start").select(
-                "key", "start", words.cast("int").alias("words"), F.col("first.key").alias("to_key"), F.col("first.start").alias("to_start")
+                "key", "start", words.cast("int").alias("words"), F.col("first.key").alias("to_key"), F.col("first.start").alias("to_start"), "same"
             )
         )
-    return stage(parts[0].union(parts[1]).union(similar_lines(docs, lines, key, text)), "matches")
+    again = stage(parts[1], "matches")
+    whole = parts[0].union(again).drop("same").union(similar_lines(docs, lines, key, text)).withColumn("whole", F.lit(True))
+    return stage(whole.union(ends(docs, runs, again, key, text).withColumn("whole", F.lit(False))), "matches")
 
 
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -343,7 +481,8 @@ def spans(found: DataFrame) -> DataFrame:
     gone = found.select("key", "start", "words", F.lit(True).alias("gone"))
     # What another text holds earlier may go whole: that text, or the one it repeats itself, keeps it. Of a text that
     # repeats itself the first occurrence stays whole, though later ones may overlap it.
-    own = found.where("key = to_key")
+    # The ends of passages need no such care: each repeats an earlier word, back to one that stays.
+    own = found.where("whole and key = to_key")
     stay = own.select("key", F.col("to_start").alias("start"), "words", F.lit(False).alias("gone"))
     # distinct places of one text: the list is as long as the text at most
     per = gone.union(stay).distinct().groupBy("key").agg(F.collect_list(F.struct("start", "words", "gone")).alias("places"))
