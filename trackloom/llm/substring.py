@@ -37,7 +37,7 @@ from trackloom.session import stage
 SHINGLE = 5
 BANDS, ROWS = 8, 3
 SIMILAR = 0.8
-LINE_WORDS = 20
+LINE_WORDS = SHINGLE
 PASSAGE = 50
 UNIT = (PASSAGE + SHINGLE - 1) // 2
 REACH = PASSAGE - UNIT  # a repeated stretch of PASSAGE words ends at most so many words from a run that repeats
