@@ -16,7 +16,8 @@ Of each match the first occurrence in (key, position) order stays and the others
 belong to the first occurrence of what a text repeats of itself. Documents that share a paragraph form components.
 
 Defined cases: null and short texts have no paragraphs and are kept; a paragraph repeated inside one document loses
-its later copies; of rows that repeat a key and text none counts as a copy of the other; a row with a null key
+its later copies; of rows that repeat a key and text none counts as a copy of the other; of rows that repeat a key with
+unlike texts each is a document of its own, but they are one in components; a row with a null key
 neither loses nor gives a paragraph; extra columns are kept by `remove_repeats` and ignored by `find_repeats`.
 """
 
@@ -27,7 +28,7 @@ from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackloom.llm.common import column_bytes, fresh, hashed_words, mix, ship, slices, span_hashes, split_by_ids, strings, texts
@@ -243,7 +244,8 @@ def _like_others(members: DataFrame, sets: DataFrame, kind: str, tile: int) -> D
                 lines = {}
                 for c in batch.columns:
                     for ln in c[i].as_py():
-                        lines[ln["key"], ln["start"]] = ln
+                        name = ln["key"]
+                        lines[tuple(name.values()) if isinstance(name, dict) else name, ln["start"]] = ln
                 ordered = [lines[k] for k in sorted(lines)]
                 pairs = sorted(links_of(_alike([np.frombuffer(ln["set"], np.uint64) for ln in ordered])))
                 if pairs:
@@ -425,13 +427,20 @@ def ends(docs: DataFrame, runs: DataFrame, found: DataFrame, key: str, text: str
     )
 
 
+def identity(docs: DataFrame, key: str, text: str) -> Column:
+    """STRUCT<id, digest>: what tells a document from others, also where rows repeat an id with unlike texts."""
+    return F.struct(F.col(key).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("digest"))
+
+
 def matches(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, start, words, to_key, to_start, whole): every paragraph that repeats an earlier one, and that one.
 
-    `whole` is false for the words around runs that complete a repeated passage.
+    Keys are identities. `whole` is false for the words around runs that complete a repeated passage.
     """
     ship(docs.sparkSession)
-    docs = docs.select(key, text).where(F.col(key).isNotNull())
+    own = fresh(docs, "identity")
+    docs = docs.where(F.col(key).isNotNull()).select(identity(docs, key, text).alias(own), text)
+    key = own
     lines = stage(_line_rows(docs, key, text), "lines")
     runs = stage(_run_rows(docs, key, text), "runs")
     parts = []
@@ -510,18 +519,17 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     shares a paragraph with another one or repeats its own; `removed` are word ranges, end excluded.
     """
     found = matches(docs, key, text)
-    links = stage(found.select(F.col("key").alias("a"), F.col("to_key").alias("b")).where("a <> b").distinct(), "links")
+    links = stage(found.select(F.col("key.id").alias("a"), F.col("to_key.id").alias("b")).where("a <> b").distinct(), "links")
     member = links.select(F.col("a").alias("key")).union(links.select(F.col("b").alias("key"))).distinct()
     root = components(member, links, "key", "a", "b").withColumnRenamed("component", "root")
-    cut = spans(found)
-    per_key = stage(
-        root.join(cut, "key", "full_outer").select(F.col("key").alias("_key"), "root", "removed"), "repeats"
-    )
+    root = stage(root.withColumnRenamed("key", "_key"), "repeats")
+    cut = stage(spans(found).withColumnRenamed("key", "_cut"), "repeats")
     none = F.array().cast("array<struct<s:int,e:int>>")
-    return docs.select(key).join(per_key, F.col(key) == F.col("_key"), "left").select(
+    own = docs.select(key, identity(docs, key, text).alias("_identity"))
+    return own.join(root, F.col(key) == F.col("_key"), "left").join(cut, F.col("_identity") == F.col("_cut"), "left").select(
         key,
         F.coalesce("root", key).alias("component_id"),
-        F.col("_key").isNotNull().alias("repeats"),
+        (F.col("_key").isNotNull() | F.col("_cut").isNotNull()).alias("repeats"),
         F.expr("aggregate(coalesce(removed, array()), 0L, (n, x) -> n + x.e - x.s)").alias("n_removed"),
         F.coalesce("removed", none).alias("removed"),
     )
@@ -546,8 +554,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", cha
     """`docs`, all columns and rows, with the removed ranges cut from the text and `chars`, if there, counted anew."""
     cut = stage(spans(matches(docs, key, text)), "cuts")
     name, spot = fresh(docs, "cut_key"), fresh(docs, "cut_spans")
-    asked, whole = split_by_ids(docs, key, cut.select("key"))
-    joined = asked.join(cut.select(F.col("key").alias(name), F.col("removed").alias(spot)), F.col(key) == F.col(name), "left")
+    own = fresh(docs, "cut_identity")
+    asked, whole = split_by_ids(docs.withColumn(own, identity(docs, key, text)), own, cut.select("key"))
+    joined = asked.join(cut.select(F.col("key").alias(name), F.col("removed").alias(spot)), F.col(own) == F.col(name), "left").drop(own, name)
 
     def run(batches):
         for batch in slices(batches, text):
@@ -561,7 +570,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", cha
                 elif field.name == chars:
                     c = pa.array([len(n) if r else o for n, r, o in zip(new, lists, c.to_pylist())], field.type)
                 columns.append(c)
-            kept = [i for i, f in enumerate(batch.schema) if f.name not in (name, spot)]
+            kept = [i for i, f in enumerate(batch.schema) if f.name != spot]
             yield pa.RecordBatch.from_arrays([columns[i] for i in kept], names=[batch.schema[i].name for i in kept])
 
-    return whole.unionByName(joined.mapInArrow(run, docs.schema))
+    return whole.drop(own).unionByName(joined.mapInArrow(run, docs.schema))
