@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from trackloom.llm.common import column_bytes, fresh, hashed_words, mix, ship, slices, span_hashes, split_by_ids, strings, texts
 from trackloom.operators.graph import components
-from trackloom.session import stage
+from trackloom.session import discard, stage
 
 SHINGLE = 5
 BANDS, ROWS = 8, 3
@@ -272,6 +272,7 @@ def similar_lines(docs: DataFrame, lines: DataFrame, key: str, text: str, tile:
         after.select("band", "hash", "key", "start", "words", F.col("first.key").alias("to_key"), F.col("first.start").alias("to_start"), F.col("first.words").alias("to_words")),
         "pairs",
     )
+    discard(banded)
     pairs = stage(after.drop("band", "hash").distinct(), "pairs")
     wanted = pairs.select("key", "start", "words").union(pairs.select("to_key", "to_start", "to_words")).distinct()
     sets = stage(_contents(docs, wanted, key, text), "pairs")
@@ -295,7 +296,11 @@ def similar_lines(docs: DataFrame, lines: DataFrame, key: str, text: str, tile:
     members = after.join(taken, ["key", "start", "to_key", "to_start"], "left").select(
         "band", "hash", "key", "start", F.col("taken").isNull().alias("open"), "words"
     )
-    return like.union(_like_others(stage(members, "open"), sets, kind, tile))
+    members = stage(members, "open")
+    out = stage(like.union(_like_others(members, sets, kind, tile)), "matches")
+    for done in (heads, after, pairs, sets, like, members):
+        discard(done)
+    return out
 
 
 def _edge_runs(found: DataFrame) -> DataFrame:
@@ -453,7 +458,9 @@ def matches(docs: DataFrame, key: str, text: str) -> DataFrame:
             )
         )
     again = stage(parts[1], "matches")
-    whole = parts[0].union(again).drop("same").union(similar_lines(docs, lines, key, text)).withColumn("whole", F.lit(True))
+    same = stage(parts[0], "matches")
+    whole = same.union(again).drop("same").union(similar_lines(docs, lines, key, text)).withColumn("whole", F.lit(True))
+    discard(lines)
     return stage(whole.union(ends(docs, runs, again, key, text).withColumn("whole", F.lit(False))), "matches")
 
 
