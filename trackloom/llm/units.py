@@ -12,8 +12,9 @@ from array import array
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 
-from trackloom.llm.common import ASCII_WHITE, span_hashes
+from trackloom.llm.common import ASCII_WHITE
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -69,23 +70,36 @@ def pieces(t) -> list[bytes]:
 _WIDE_WHITE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
 
+def segments(flat: bytes, bounds: np.ndarray) -> pa.BinaryArray:
+    """The byte strings between neighbouring bounds, which cover `flat`, without a copy."""
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(flat)])
+
+
 class Cache:
     """Encodes texts by their distinct units; ids of units are kept for the life of a Python worker.
 
     A batch of texts is cut into units at once, its distinct units are looked up or encoded, and the ids go back to
-    every place of a unit by index. At most `most` units are kept; others are encoded again with the next batch.
+    every place of a unit by index. Units are told apart by all their bytes. At most `most` units are kept; others are
+    encoded again with the next batch. `plain`: special tokens' strings are ordinary text.
     """
 
-    def __init__(self, definition: str, most: int = 600_000):
+    white = ASCII_WHITE
+
+    def __init__(self, definition: str, most: int = 600_000, plain: bool = False):
         self.t, self.most, self.known = tokenizer(definition), most, {}
+        self.t.encode_special_tokens = plain
+
+    def _new(self, parts: list[bytes]) -> list[bytes]:
+        """The ids of units that are not known, as little-endian 32-bit integers."""
+        texts = [p.decode("utf-8", "surrogatepass") for p in parts]
+        return [array("I", e.ids).tobytes() for e in self.t.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _ids(self, parts: list[bytes]) -> list[bytes]:
         """The ids of distinct units as little-endian 32-bit integers."""
         got = list(map(self.known.get, parts))
         new = [i for i, g in enumerate(got) if g is None]
-        texts = [parts[i].decode("utf-8", "surrogatepass") for i in new]
-        for i, e in zip(new, self.t.encode_batch_fast(texts, add_special_tokens=False)):
-            got[i] = array("I", e.ids).tobytes()
+        for i, ids in zip(new, self._new([parts[i] for i in new])):
+            got[i] = ids
         for i in new[: max(0, self.most - len(self.known))]:
             self.known[parts[i]] = got[i]
         return got
@@ -94,35 +108,35 @@ class Cache:
         """The ids of each text."""
         raw = [t.encode("utf-8", "surrogatepass") for t in texts]
         wide = {i for i, t in enumerate(raw) if _WIDE_WHITE.search(t)}
-        out = self._plain([b"" if i in wide else t for i, t in enumerate(raw)])
+        ids, cuts = self.flat([b"" if i in wide else t for i, t in enumerate(raw)])
+        out = [ids[a:b] for a, b in zip(cuts, cuts[1:])]
         for i in wide:
             parts = [u.encode("utf-8", "surrogatepass") for u in units(texts[i])]
             found = dict(zip(distinct := list(set(parts)), self._ids(distinct)))
             out[i] = np.frombuffer(b"".join([found[u] for u in parts]), "<u4")
         return out
 
-    def _plain(self, raw: list[bytes]) -> list[np.ndarray]:
+    def flat(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, first id of each text and the end): texts without wide white space."""
         joined = b"".join(raw)
         edges = np.concatenate([[0], np.cumsum([len(t) for t in raw])]).astype(np.int64)
         if not joined:
-            return [np.zeros(0, np.uint32) for _ in raw]
-        flat = np.frombuffer(joined, np.uint8)
-        white = ASCII_WHITE[flat]
-        opens = np.zeros(len(flat) + 1, bool)
+            return np.zeros(0, np.uint32), np.zeros(len(edges), np.int64)
+        white = self.white[np.frombuffer(joined, np.uint8)]
+        opens = np.zeros(len(joined) + 1, bool)
         opens[1:-1] = white[1:] & ~white[:-1]
         opens[edges] = True
         bounds = np.flatnonzero(opens)
-        starts, ends = bounds[:-1], bounds[1:]
-        _, first, unit = np.unique(span_hashes(flat.astype(np.uint64) + np.uint64(1), starts, ends), return_index=True, return_inverse=True)
-        ids = self._ids([joined[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())])
+        coded = segments(joined, bounds).dictionary_encode()
+        unit = coded.indices.to_numpy()
+        ids = self._ids(coded.dictionary.to_pylist())
         table = np.frombuffer(b"".join(ids), "<u4")
         size = np.array([len(i) // 4 for i in ids])
         begin = np.cumsum(size) - size
         many = size[unit]
         upto = np.cumsum(many)
         every = table[np.repeat(begin[unit] - (upto - many), many) + np.arange(int(upto[-1]))]
-        cuts = np.concatenate([[0], upto])[np.searchsorted(starts, edges)]
-        return [every[a:b] for a, b in zip(cuts, cuts[1:])]
+        return every, np.concatenate([[0], upto])[np.searchsorted(bounds[:-1], edges)]
 
 
 @cache
