@@ -1,4 +1,4 @@
-"""The ten operators on the tables: one query each, and DuckDB SQL where SQL can say the same."""
+"""The operators on the tables: one query each, and DuckDB SQL where SQL can say the same."""
 
 from __future__ import annotations
 
@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackloom.llm import bit_files, decontaminate, html_text, lang_id, quality_fm, quality_rules, simhash, substring, toxicity, word_table
+from trackloom.llm import (
+    bit_files, decontaminate, html_text, lang_id, lexical, quality_fm, quality_rules, simhash, substring, toxicity, word_table,
+)
 from trackloom.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -200,3 +202,31 @@ def op10_toxicity_ftrl(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score(docs, model).select(
         "doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
     )
+
+
+OP12 = r"""
+with d as (
+  select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as ws from documents
+), q as (
+  select row_number() over () as q, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as ws from benchmark
+), c as (select cast(count(*) as bigint) as docs, cast(sum(len(ws)) as bigint) as terms from d where len(ws) > 0),
+tf as (select r, t, count(*) as tf from (select r, unnest(ws) as t from d) group by r, t),
+w as (
+  select t, cast(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) as bigint) as w from tf, c group by t
+), s as (
+  select q.q, q.item_id, tf.r, cast(sum(w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 12 * (75 + (25 * len(d.ws) * c.docs) // c.terms)))) as bigint) as score
+  from (select q, item_id, unnest(ws) as t from q) q join tf using (t) join w using (t) join d using (r), c
+  group by q.q, q.item_id, tf.r
+), k as (
+  select item_id, doc_id, score, row_number() over (partition by q order by score desc, doc_id nulls last) as rank
+  from s join d using (r) where score > 0
+)
+select item_id, cast(rank as integer) as rank, doc_id, score from k where rank <= 20
+"""
+
+
+@query(OP12)
+def op12_hybrid_search(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
