@@ -171,6 +171,21 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, label: str, mo
     return docs.join(F.broadcast(chosen), key)
 
 
+def pack(**columns) -> bytes:
+    """Columns of equal length as one compressed Arrow table."""
+    sink = pa.BufferOutputStream()
+    table = pa.table(columns)
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+        w.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def unpack(data: bytes) -> dict[str, pa.Array]:
+    """The columns of a packed table."""
+    table = pa.ipc.open_stream(data).read_all()
+    return {n: table[n].combine_chunks() for n in table.column_names}
+
+
 def widen(table: pa.Schema, *more: tuple[str, pa.DataType]) -> pa.Schema:
     """`table` with further fields."""
     for name, kind in more:

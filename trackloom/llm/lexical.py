@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import column_bytes, ship, slices, texts
+from trackloom.llm.common import column_bytes, pack, ship, slices, texts, unpack
 from trackloom.session import stage
 
 SHARD_BYTES = 8 << 20
@@ -62,19 +62,6 @@ def terms_of(docs: list[bytes]) -> tuple[pa.BinaryArray, np.ndarray]:
     return terms, np.searchsorted(starts, edges)
 
 
-def _pack(**columns) -> bytes:
-    sink = pa.BufferOutputStream()
-    table = pa.table(columns)
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
-        w.write_table(table)
-    return sink.getvalue().to_pybytes()
-
-
-def _unpack(data: bytes) -> dict[str, pa.Array]:
-    table = pa.ipc.open_stream(data).read_all()
-    return {n: table[n].combine_chunks() for n in table.column_names}
-
-
 def index(docs: DataFrame, key: str = "doc_id", text: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(n_docs, n_terms LONG, docs, lexicon, postings BINARY): a row per shard, each column an Arrow table.
 
@@ -100,9 +87,9 @@ def index(docs: DataFrame, key: str = "doc_id", text: str = "text", shard_bytes:
             keys = batch.column(batch.schema.get_field_index(key)).take(pa.array(with_terms)).cast(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([len(n)], pa.int64()), pa.array([len(terms)], pa.int64()), pa.array([_pack(key=keys, n=n)]),
-                    pa.array([_pack(term=coded.dictionary, df=np.bincount(term).astype(np.int32))]),
-                    pa.array([_pack(doc=doc.astype(np.int32), tf=tf.astype(np.int32))]),
+                    pa.array([len(n)], pa.int64()), pa.array([len(terms)], pa.int64()), pa.array([pack(key=keys, n=n)]),
+                    pa.array([pack(term=coded.dictionary, df=np.bincount(term).astype(np.int32))]),
+                    pa.array([pack(doc=doc.astype(np.int32), tf=tf.astype(np.int32))]),
                 ],
                 ["n_docs", "n_terms", "docs", "lexicon", "postings"],
             )
@@ -135,7 +122,7 @@ class Shard:
     """The lists of one shard that some query of the block asks for, with impacts and their bounds by window."""
 
     def __init__(self, docs: bytes, lexicon: bytes, postings: bytes, vocabulary: pa.Array, n_docs: int, n_terms: int):
-        docs, lexicon, postings = _unpack(docs), _unpack(lexicon), _unpack(postings)
+        docs, lexicon, postings = unpack(docs), unpack(lexicon), unpack(postings)
         n = docs["n"].to_numpy()
         self.null = docs["key"].is_null().to_numpy(zero_copy_only=False)
         self.key = pc.fill_null(docs["key"], 0).to_numpy()
@@ -225,7 +212,7 @@ def _block(rows: list, shards: DataFrame, n_docs: int, n_terms: int, top: int) -
     def holders(batches):
         for batch in batches:
             for data in column_bytes(batch, "lexicon"):
-                lexicon = _unpack(data.as_py())
+                lexicon = unpack(data.as_py())
                 at = pc.index_in(words.value, value_set=lexicon["term"])
                 here = pa.array(np.flatnonzero(at.is_valid()), pa.int32())
                 yield pa.RecordBatch.from_arrays([here, lexicon["df"].take(at.drop_null()).cast(pa.int64())], ["term", "df"])

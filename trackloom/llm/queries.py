@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackloom.llm import (
-    bit_files, decontaminate, html_text, lang_id, lexical, quality_fm, quality_rules, simhash, substring, toxicity, word_table,
+    alignment, bit_files, decontaminate, html_text, lang_id, lexical, quality_fm, quality_rules, simhash, substring, toxicity, word_table,
 )
 from trackloom.llm.common import fold
 
@@ -19,10 +19,10 @@ ORACLES: dict[str, str] = {}
 END_ID = 2
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def query(sql: str | None = None):
@@ -204,6 +204,11 @@ def op10_toxicity_ftrl(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query()
+def op11_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.align(table(spark, sf, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 OP12 = r"""
 with d as (
   select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
