@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackloom.llm import (
-    alignment, bit_files, decontaminate, html_text, lang_id, lexical, quality_fm, quality_rules, simhash, substring, toxicity, word_table,
+    alignment, bit_files, decontaminate, html_text, lang_id, lexical, pii, quality_fm, quality_rules, simhash, substring, toxicity, word_table,
 )
 from trackloom.llm.common import fold
 
@@ -235,3 +235,8 @@ select item_id, cast(rank as integer) as rank, doc_id, score from k where rank <
 @query(OP12)
 def op12_hybrid_search(spark: SparkSession, sf: str) -> DataFrame:
     return lexical.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query()
+def op13_personal_crf(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.digests(table(spark, sf, "documents"))
