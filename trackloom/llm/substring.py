@@ -1,53 +1,60 @@
 """Substring dedup by paragraph MinHash banding, with exact Jaccard verification and clusters of removals.
 
-Two kinds of paragraphs are matched on shingles of five words, A-Z lower-cased:
-
-* lines of at least `line_words` words. A line's MinHash signature is cut into bands tuned for recall (8 bands of 3
-  rows find 99.7 % of the pairs at a Jaccard similarity of 0.8). Equal lines are one; lines that collide in a band are
-  joined with the band's first line and verified by exact Jaccard similarity over their shingle sets.
-* stretches of `passage` words, for passages copied into the middle of other lines, which no line similarity shows.
+Texts are told apart by a 128-bit digest; a text that an earlier row holds under another key is a copy and goes whole.
+Of the distinct texts two kinds of paragraphs are matched, A-Z lower-cased:
+
+* lines of at least `line_words` words, on shingles of five words. A line's MinHash signature is cut into bands tuned for
+  recall (8 bands of 3 rows find 99.7 % of the pairs at a Jaccard similarity of 0.8). Equal lines are one; lines that
+  collide in a band are joined with one line of the band and verified by exact Jaccard similarity of their shingle sets.
+  Those unlike it are joined with all others of the band that share one of their rarest shingles, as any pair at that
+  similarity must, and verified too.
+* stretches of `PASSAGE` words, for passages copied into the middle of other lines, which no line similarity shows.
   Each stretch is banded by its MinHash shingle, the anchor (a band of one row that overlapping stretches share), and
-  the runs of `unit` words that end and start with the anchor are the paragraphs. Two texts that share `passage` words
+  the runs of `UNIT` words that end and start with the anchor are the paragraphs. Two texts that share `PASSAGE` words
   share an anchor, and with it at least one of the two runs, so every repeat of that length is found. These runs must
-  be equal, which a hash of all their words decides. Around them the words are compared with those of all earlier
-  places of the run, so that a repeated passage goes from its first word to its last.
+  be equal by a 128-bit digest of their words. Around them the words themselves are compared with those of all earlier
+  places of the run, by halving the number of words, so that a repeated passage goes from its first word to its last.
 
 Of each match the first occurrence in (key, position) order stays and the others are removed, but for words that
 belong to the first occurrence of what a text repeats of itself. Documents that share a paragraph form components.
 
 Defined cases: null and short texts have no paragraphs and are kept; a paragraph repeated inside one document loses
-its later copies; of rows that repeat a key and text none counts as a copy of the other; of rows that repeat a key with
-unlike texts each is a document of its own, but they are one in components; a row with a null key
-neither loses nor gives a paragraph; extra columns are kept by `remove_repeats` and ignored by `find_repeats`.
+its later copies; lines under `line_words` words are only removed as parts of passages or copies; of rows that repeat a
+key and text none counts as a copy of the other; of rows that repeat a key with unlike texts each is a document of its
+own, but they are one in components; a row with a null key neither loses nor gives a paragraph; very long texts are
+handled like others, one at a time; extra columns, whatever their names, are kept by `remove_repeats` and ignored by
+`find_repeats`; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 import re
 from bisect import bisect_right
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import column_bytes, fresh, hashed_words, mix, ship, slices, span_hashes, split_by_ids, strings, texts
+from trackloom.llm.common import ASCII_WHITE, fresh, mix, ship, slices, split_by_ids, strings, texts
 from trackloom.operators.graph import components
 from trackloom.session import discard, stage
 
 SHINGLE = 5
 BANDS, ROWS = 8, 3
 SIMILAR = 0.8
-LINE_WORDS = SHINGLE
+#: lines of fewer words are no paragraphs: ordinary short lines are common to texts that have nothing else in common
+LINE_WORDS = 20
 PASSAGE = 50
 UNIT = (PASSAGE + SHINGLE - 1) // 2
 REACH = PASSAGE - UNIT  # a repeated stretch of PASSAGE words ends at most so many words from a run that repeats
-CROWD = 20_000  # places of one run that are compared in one task; more are compared by grouping
-TILE = 128
-_COLUMNS = 8_192
-_MATCH = (("key", "key"), ("start", "start"), ("words", "words"), ("to_key", "key"), ("to_start", "start"))
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-_MAX = np.uint64(2**64 - 1)
+LINE, RUN, OWN, TEXT = range(4)
+GONE, OTHER, STAY = range(3)
+_ROW = "doc binary, kind int, start int, words int, same binary, bands array<long>, to_start int"
 
 
 def shingles(words: np.ndarray) -> np.ndarray:
@@ -83,16 +90,46 @@ def anchors(sh: np.ndarray, edges: np.ndarray, window: int) -> np.ndarray:
     return np.flatnonzero((sh <= top) & (np.arange(len(sh)) < ends))
 
 
-def lines_of(docs: list[bytes]) -> dict[str, np.ndarray]:
-    """doc, start, words, same, bands of every long line of a list of texts."""
-    words, edges, line_edges = hashed_words([d.lower() for d in docs])
-    sh = shingles(words)
-    first, last = line_edges[:-1], line_edges[1:]
-    long = last - first >= LINE_WORDS
+class Words:
+    """The words of some texts, A-Z lower-cased: exact numbers in this slice, 64-bit hashes, and their bytes."""
+
+    def __init__(self, docs: list[bytes]):
+        flat = np.frombuffer(b"\n".join([*docs, b""]).lower(), np.uint8)
+        white = ASCII_WHITE[flat]
+        before = np.empty_like(white)
+        before[:1], before[1:] = True, white[:-1]
+        starts, after = np.flatnonzero(before & ~white), white & ~before
+        ends = np.flatnonzero(after)
+        self.offsets = np.concatenate([[0], np.cumsum(ends - starts)])
+        packed = pa.Array.from_buffers(
+            pa.binary(), len(starts), [None, pa.py_buffer(self.offsets.astype(np.int32)), pa.py_buffer(flat[~white])]
+        )
+        coded = packed.dictionary_encode()
+        self.code = coded.indices.to_numpy()
+        table = np.array([xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()], np.uint64)
+        self.hash = table[self.code] if len(table) else np.zeros(0, np.uint64)
+        spaced = flat[~white | after].copy()
+        spaced[ASCII_WHITE[spaced]] = 32
+        self.spaced = spaced.tobytes()  # every word and a space
+        self.edges = np.searchsorted(starts, np.cumsum([0, *(len(d) + 1 for d in docs)]))
+        self.lines = np.searchsorted(starts, np.concatenate([[0], np.flatnonzero(flat == 10) + 1]))
+
+    def text(self, first: int, end: int) -> bytes:
+        """The words [first, end), a space between."""
+        return self.spaced[self.offsets[first] + first : self.offsets[end] + end - 1] if first < end else b""
+
+    def digest(self, first: int, end: int) -> bytes:
+        return hashlib.sha256(self.text(first, end)).digest()[:16]
+
+
+def lines_of(w: Words, line_words: int = LINE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, end, bands) of every long line."""
+    first, last = w.lines[:-1], w.lines[1:]
+    long = last - first >= max(line_words, SHINGLE)
     first, last = first[long], last[long]
-    doc = np.searchsorted(edges, first, "right") - 1
     bands = np.zeros((len(first), BANDS), np.uint64)
     if len(first):
+        sh = shingles(w.hash)
         # minimum over each line's shingles: from its first to its last, and from there to the next line, alternating
         bounds = np.stack([first, last - SHINGLE + 1], axis=1).reshape(-1)
         for k in range(BANDS * ROWS):
@@ -100,212 +137,214 @@ def lines_of(docs: list[bytes]) -> dict[str, np.ndarray]:
             low = np.minimum.reduceat(salted, bounds)[::2]
             b = k // ROWS
             bands[:, b] = mix(bands[:, b] * np.uint64(31) + low + np.uint64(b))
-    same = mix(span_hashes(mix(words), first, last))
-    return {"doc": doc, "start": first - edges[doc], "words": last - first, "same": same, "bands": bands}
+    return first, last, bands
 
 
-def runs_of(docs: list[bytes]) -> dict[str, np.ndarray]:
-    """doc, start, same of the runs that end and start with an anchor."""
-    words, edges, _ = hashed_words([d.lower() for d in docs])
-    at = anchors(shingles(words), edges, PASSAGE - SHINGLE + 1)
+def runs_of(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(document, first word) of the runs that end and start with an anchor."""
+    at = anchors(shingles(w.hash), w.edges, PASSAGE - SHINGLE + 1)
     starts = np.unique(np.concatenate([at - (UNIT - SHINGLE), at]))
-    of = np.searchsorted(edges, starts, "right") - 1
-    inside = (starts >= 0) & (starts + UNIT <= edges[np.minimum(of + 1, len(edges) - 1)])
-    starts, of = starts[inside], of[inside]
-    return {"doc": of, "start": starts - edges[of], "same": mix(span_hashes(mix(words), starts, starts + UNIT))}
+    of = np.searchsorted(w.edges, starts, "right") - 1
+    inside = (starts >= 0) & (starts + UNIT <= w.edges[np.minimum(of + 1, len(w.edges) - 1)])
+    return of[inside], starts[inside]
 
 
-def _line_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
-    kind = docs.schema[key].dataType.simpleString()
+def repeated_inside(w: Words, doc: np.ndarray, start: np.ndarray, same: list[bytes]) -> np.ndarray:
+    """For each run the place of an earlier one of its text with the same run and the same REACH words around, or -1.
 
-    def run(batches):
-        for batch in slices(batches, text):
-            lines = lines_of(texts(batch, text))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(pa.array(lines["doc"])), pa.array(lines["start"].astype(np.int32)),
-                    pa.array(lines["words"].astype(np.int32)), pa.array(lines["same"].view(np.int64)),
-                    pa.FixedSizeListArray.from_arrays(pa.array(lines["bands"].reshape(-1).view(np.int64)), BANDS).cast(pa.list_(pa.int64())),
-                ],
-                ["key", "start", "words", "same", "bands"],
-            )
+    Only runs that a text repeats are looked at; what is compared are the words' exact numbers.
+    """
+    out = np.full(len(start), -1)
+    first: dict[tuple[int, bytes], int] = {}
+    again = {}
+    for i, k in enumerate(zip(doc.tolist(), same)):
+        if first.setdefault(k, i) != i:
+            again.setdefault(k, [first[k]]).append(i)
+    seen: dict[tuple[int, bytes], int] = {}
+    for (d, _), places in again.items():
+        lo, hi = int(w.edges[d]), int(w.edges[d + 1])
+        for i in places:
+            a, b = max(lo, int(start[i]) - REACH), min(hi, int(start[i]) + UNIT + REACH)
+            near = bytes([int(start[i]) - a]) + w.code[a:b].tobytes()
+            j = seen.setdefault((d, near), i)
+            if j != i:
+                out[i] = start[j]
+    return out
 
-    return docs.mapInArrow(run, f"key {kind}, start int, words int, same long, bands array<long>")
 
+def paragraphs(docs: DataFrame, line_words: int = LINE_WORDS) -> DataFrame:
+    """The paragraphs of every row of (doc, text).
 
-def _run_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
-    kind = docs.schema[key].dataType.simpleString()
+    LINE and RUN: start, words and digest. OWN: a stretch around a run that repeats an earlier one of its own text from
+    `to_start`. TEXT: a whole text of `line_words` words or more.
+    """
 
     def run(batches):
-        for batch in slices(batches, text):
-            runs = runs_of(texts(batch, text))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(runs["doc"])), pa.array(runs["start"].astype(np.int32)), pa.array(runs["same"].view(np.int64))],
-                ["key", "start", "same"],
-            )
-
-    return docs.mapInArrow(run, f"key {kind}, start int, same long")
-
-
-def _repeated(rows: DataFrame, by: list[str], keep: list[str]) -> DataFrame:
-    """(by, first STRUCT<key, start, ...>) of every value that stands at two places or more."""
-    place = F.struct("key", "start", *keep)
-    g = rows.groupBy(*by).agg(F.min(place).alias("first"), F.max(F.struct("key", "start")).alias("last"))
-    return g.where("first.key <> last.key or first.start <> last.start").select(*by, "first")
-
-
-def _contents(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, start, shingles BINARY: sorted distinct hashes) of the wanted lines (key, start, words)."""
-    kind = docs.schema[key].dataType.simpleString()
-    per_doc = wanted.groupBy("key").agg(F.collect_set(F.struct("start", "words")).alias("lines"))
-    per_doc = stage(per_doc, "wanted")
-    asked, _ = split_by_ids(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "key", per_doc.select("key"))
-    rows = asked.join(per_doc, "key")
+        for batch in slices(batches, "text"):
+            w = Words(texts(batch, "text"))
+            size = np.diff(w.edges)
+            first, last, bands = lines_of(w, line_words)
+            doc, start = runs_of(w)
+            same = [w.digest(a, a + UNIT) for a in start.tolist()]
+            to = repeated_inside(w, doc, start, same)
+            new, own = np.flatnonzero(to < 0), np.flatnonzero(to >= 0)
+            whole = np.flatnonzero(size >= max(line_words, 1))
+            # the words around are the same, so the stretch begins as far before both places
+            lead = np.minimum(start[own] - w.edges[doc[own]], REACH)
+            tail = np.minimum(w.edges[doc[own] + 1] - start[own] - UNIT, REACH)
+            line_doc = np.searchsorted(w.edges, first, "right") - 1
+            parts = [
+                (LINE, line_doc, first, last - first, [w.digest(a, b) for a, b in zip(first.tolist(), last.tolist())], None),
+                (RUN, doc[new], start[new], np.full(len(new), UNIT), [same[i] for i in new.tolist()], None),
+                (OWN, doc[own], start[own] - lead, lead + UNIT + tail, [None] * len(own), to[own] - lead - w.edges[doc[own]]),
+                (TEXT, whole, w.edges[whole], size[whole], [None] * len(whole), None),
+            ]
+            for kind, d, at, n, digest, origin in parts:
+                rows = len(d)
+                lists = pa.nulls(rows, pa.list_(pa.int64()))
+                if kind == LINE and rows:
+                    lists = pa.FixedSizeListArray.from_arrays(pa.array(bands.reshape(-1).view(np.int64)), BANDS).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(pa.array(d)), pa.array(np.full(rows, kind, np.int32)), pa.array((at - w.edges[d]).astype(np.int32)),
+                        pa.array(n.astype(np.int32)), pa.array(digest, pa.binary()), lists,
+                        pa.nulls(rows, pa.int32()) if origin is None else pa.array(origin.astype(np.int32)),
+                    ],
+                    ["doc", "kind", "start", "words", "same", "bands", "to_start"],
+                )
+
+    return docs.select("doc", "text").mapInArrow(run, _ROW)
+
+
+def _among(rows: DataFrame, column: str, values: DataFrame) -> DataFrame:
+    """The rows whose `column` is among the values; a filter of fixed size spares most others the shuffle."""
+    may, _ = split_by_ids(rows, column, values.select(column))
+    return may.join(values.select(column), column, "left_semi")
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    """The distinct rows (kind, doc, start, words, same) whose `same` stands at two places or more."""
+    hashed = rows.select("kind", "doc", "start", "words", "same", F.xxhash64("kind", "same").alias("h"))
+    place = F.xxhash64("doc", "start")
+    twice = hashed.groupBy("h").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("h")
+    # equal hashes of unlike paragraphs only cost a row: what follows groups by `same`
+    return _among(hashed, "h", stage(twice, "twice")).drop("h").distinct()
+
+
+_PLACE = ["key", "doc", "start"]
+
+
+def _place(prefix: str = "") -> Column:
+    return F.struct(*(F.col(f"{prefix}{c}").alias(c) for c in _PLACE))
+
+
+def _to(struct: str) -> list[Column]:
+    return [F.col(f"{struct}.{c}").alias(f"to_{c}") for c in _PLACE]
+
+
+def _again(places: DataFrame, by: list[str]) -> DataFrame:
+    """Every place that is not the first of its group, with the first: to_key, to_doc, to_start."""
+    firsts = stage(places.groupBy(*by).agg(F.min(_place()).alias("first")), "firsts")
+    met = places.join(firsts, by).where(_place() != F.col("first"))
+    return met.select(*places.columns, *_to("first"))
+
+
+def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """`docs` (key, doc, text) joined with the wanted rows (key, doc, ...): one row per text, copies are not asked for."""
+    wanted = stage(wanted.withColumn("identity", F.struct("key", "doc")), "wanted")
+    own = docs.withColumn("identity", F.struct("key", "doc")).select("identity", "text")
+    asked, _ = split_by_ids(own, "identity", wanted.select("identity"))
+    return asked.join(wanted.drop("key", "doc"), "identity").select("identity.doc", *(c for c in wanted.columns if c not in ("identity", "key", "doc")), "text")
+
+
+def line_sets(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """(same, set ARRAY<LONG>): the distinct shingles of the lines (key, doc, start, words, same)."""
+    per = lines.groupBy("key", "doc").agg(F.collect_set(F.struct("start", "words", "same")).alias("lines"))
 
     def run(batches):
         for batch in slices(batches, "text"):
-            words, edges, _ = hashed_words([t.lower() for t in texts(batch, "text")])
-            sh = shingles(words)
-            at, starts, sets = [], [], []
-            for i, lines in enumerate(batch.column(batch.schema.get_field_index("lines")).to_pylist()):
+            w = Words(texts(batch, "text"))
+            sh = shingles(w.hash)
+            same, sets = [], []
+            for i, lines in enumerate(batch.column(1).to_pylist()):
                 for ln in lines:
-                    a = edges[i] + ln["start"]
-                    at.append(i)
-                    starts.append(ln["start"])
-                    sets.append(np.unique(sh[a : a + ln["words"] - SHINGLE + 1]).tobytes())
-            keys = batch.column(batch.schema.get_field_index("key")).take(pa.array(at, pa.int64()))
-            yield pa.RecordBatch.from_arrays([keys, pa.array(starts, pa.int32()), pa.array(sets, pa.binary())], ["key", "start", "set"])
-
-    return rows.mapInArrow(run, f"key {kind}, start int, set binary").dropDuplicates(["key", "start"])
-
-
-def _alike(sets: list[np.ndarray]) -> np.ndarray:
-    """Which of the sets have a Jaccard similarity of SIMILAR: a square of booleans, false on the diagonal."""
-    size = np.array([len(s) for s in sets])
-    of = np.repeat(np.arange(len(sets)), size)
-    _, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = count[at] > 1
-    of, at = of[shared], (np.cumsum(count > 1) - 1)[at[shared]]
-    order = np.argsort(at, kind="stable")
-    of, at = of[order], at[order]
-    both = np.zeros((len(sets), len(sets)), np.float64)
-    for lo in range(0, int(at[-1]) + 1 if len(at) else 0, _COLUMNS):
-        a, b = np.searchsorted(at, [lo, lo + _COLUMNS])
-        grid = np.zeros((len(sets), int(at[b - 1]) - lo + 1), np.float32)
-        grid[of[a:b], at[a:b] - lo] = 1
-        both += grid @ grid.T
-    out = both >= SIMILAR * (size[:, None] + size[None, :] - both)
-    np.fill_diagonal(out, False)
-    return out
+                    a = int(w.edges[i]) + ln["start"]
+                    same.append(ln["same"])
+                    sets.append(np.unique(sh[a : a + ln["words"] - SHINGLE + 1]).view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(same, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], ["same", "set"])
 
+    return _texts_of(docs, per).mapInArrow(run, "same binary, set array<long>").dropDuplicates(["same"])
 
-def links_of(alike: np.ndarray) -> set[tuple[int, int]]:
-    """(later, earlier): the first like one of each that has an earlier one, and links that span what chains connect."""
-    before = np.tril(alike)
-    out = {(int(i), int(before[i].argmax())) for i in np.flatnonzero(before.any(axis=1))}
-    seen = np.zeros(len(alike), bool)
-    for root in range(len(alike)):
-        ahead = [] if seen[root] else [root]
-        seen[root] = True
-        while ahead:
-            x = ahead.pop()
-            more = np.flatnonzero(alike[x] & ~seen)
-            seen[more] = True
-            out |= {(max(x, y), min(x, y)) for y in more.tolist()}
-            ahead += more.tolist()
-    return out
 
+def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (same, other) whose shingle sets have a Jaccard similarity of SIMILAR."""
+    both = F.size(F.array_intersect("set", "other_set"))
+    n, m = F.size("set"), F.size("other_set")
+    met = pairs.join(sets, "same").join(sets.select(F.col("same").alias("other"), F.col("set").alias("other_set")), "other")
+    return met.where(both >= SIMILAR * (n + m - both)).select("same", "other")
 
-def _like_others(members: DataFrame, sets: DataFrame, kind: str, tile: int) -> DataFrame:
-    """The pairs of a band that the comparison with its first line leaves open: open lines against all others.
 
-    The lines of a band are dealt into tiles of about `tile`; every tile of open lines meets every tile of the band in
-    a row of its own, and a row returns the first match of each line and spanning links, never all pairs.
-    """
-    n = members.groupBy("band", "hash").agg(
-        F.ceil(F.count("*") / tile).cast("int").alias("tiles"), F.ceil(F.count_if("open") / tile).cast("int").alias("open_tiles"), F.count("*").alias("n")
-    )
-    n = stage(n.where("n > 1 and open_tiles > 0").drop("n"), "open")
-    rows = stage(members.join(n, ["band", "hash"]).join(sets, ["key", "start"]), "open")
-    one = F.struct("key", "start", "words", "set")
-    deal = lambda tiles: F.pmod(F.xxhash64("key", "start"), F.col(tiles)).cast("int")
-
-    def dealt(rows: DataFrame, own: str, other: str, at: str, meets: str, name: str) -> DataFrame:
-        per = rows.groupBy("band", "hash", deal(own).alias(at), other).agg(F.collect_list(one).alias(name))
-        return per.select("band", "hash", at, F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(meets), name)
-
-    a = dealt(rows.where("open"), "open_tiles", "tiles", "a", "b", "lines_a")
-    b = dealt(rows, "tiles", "open_tiles", "b", "a", "lines_b")
-    met = a.join(b, ["band", "hash", "a", "b"]).select("lines_a", "lines_b")
+def _rarest_shared(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(same, other): pairs of a band, one of them open, that share one of their rarest shingles.
 
-    def compare(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                lines = {}
-                for c in batch.columns:
-                    for ln in c[i].as_py():
-                        name = ln["key"]
-                        lines[tuple(name.values()) if isinstance(name, dict) else name, ln["start"]] = ln
-                ordered = [lines[k] for k in sorted(lines)]
-                pairs = sorted(links_of(_alike([np.frombuffer(ln["set"], np.uint64) for ln in ordered])))
-                if pairs:
-                    x, y = ([ordered[p[k]] for p in pairs] for k in (0, 1))
-                    yield pa.RecordBatch.from_pylist(
-                        [
-                            {"key": p["key"], "start": p["start"], "words": p["words"], "to_key": q["key"], "to_start": q["start"]}
-                            for p, q in zip(x, y)
-                        ],
-                        pa.schema([(k, batch.column(0).type.value_type.field(f).type) for k, f in _MATCH]),
-                    )
-
-    return met.mapInArrow(compare, f"key {kind}, start int, words int, to_key {kind}, to_start int").distinct()
-
-
-def similar_lines(docs: DataFrame, lines: DataFrame, key: str, text: str, tile: int = TILE) -> DataFrame:
-    """(key, start, words, to_key, to_start): unlike lines verified to be similar to an earlier line of their band."""
-    kind = docs.schema[key].dataType.simpleString()
-    one = lines.groupBy("same").agg(F.min(F.struct("key", "start", "words", "bands")).alias("m")).select("m.*")
-    banded = stage(one.select("key", "start", "words", F.posexplode("bands").alias("band", "hash")), "bands")
-    heads = stage(_repeated(banded, ["band", "hash"], ["words"]), "bands")
-    after = banded.join(heads, ["band", "hash"]).where("key <> first.key or start <> first.start")
-    after = stage(
-        after.select("band", "hash", "key", "start", "words", F.col("first.key").alias("to_key"), F.col("first.start").alias("to_start"), F.col("first.words").alias("to_words")),
-        "pairs",
+    Of two sets at the similarity the smaller has, in one order of all shingles, one of its first n - ceil(8n/9) + 1 among
+    the first m - ceil(4m/5) + 1 of the larger; the places in that order bound what they can share.
+    """
+    each = stage(members.join(sets, "same").select("h", "same", "open", F.size("set").alias("n"), F.explode("set").alias("shingle")), "rare")
+    count = each.groupBy("h", "shingle").agg(F.count("*").alias("times"))
+    order = Window.partitionBy("h", "same").orderBy("times", "shingle")  # as many rows as the line has words
+    most = lambda share: F.col("n") - F.ceil(F.col("n") * share - 1e-9) + 1
+    placed = each.join(count, ["h", "shingle"]).withColumn("at", F.row_number().over(order))
+    large = stage(placed.where(F.col("at") <= most(SIMILAR)).drop("times"), "rare")
+    small = large.where(F.col("at") <= most(2 * SIMILAR / (1 + SIMILAR)))
+    x = small.select("h", "shingle", F.col("same").alias("x"), F.col("open").alias("x_open"), F.col("n").alias("x_n"), F.col("at").alias("x_at"))
+    y = large.select("h", "shingle", F.col("same").alias("y"), F.col("open").alias("y_open"), F.col("n").alias("y_n"), F.col("at").alias("y_at"))
+    fits = "x <> y and (x_open or y_open) and x_n <= y_n and x_n >= {t} * y_n - 1e-9 and 1 + least(x_n - x_at, y_n - y_at) >= {t} / (1 + {t}) * (x_n + y_n) - 1e-9"
+    met = x.join(y, ["h", "shingle"]).where(fits.format(t=SIMILAR))
+    return met.select(F.greatest("x", "y").alias("same"), F.least("x", "y").alias("other")).distinct()
+
+
+def similar_lines(docs: DataFrame, lines: DataFrame, contents: DataFrame) -> DataFrame:
+    """(key, doc, start, words, to_key, to_doc, to_start): the first place of a line, and that of a similar earlier line.
+
+    `lines`: (doc, start, words, same, bands).
+    """
+    each = lines.select("doc", "start", "words", "same", F.explode("bands").alias("h"))
+    line = F.xxhash64("same")
+    twice = each.groupBy("h").agg(F.min(line).alias("lo"), F.max(line).alias("hi")).where("lo <> hi").select("h")
+    banded = stage(_among(each, "h", stage(twice, "bands")), "bands")
+    own = stage(banded.select("same").distinct(), "lines")
+    places = stage(_among(lines.select("doc", "start", "words", "same"), "same", own).distinct().join(contents, "doc"), "lines")
+    firsts = stage(places.groupBy("same").agg(F.min(F.struct(*_PLACE, "words")).alias("f")).select("same", "f.*"), "lines")
+    sets = stage(line_sets(docs, firsts), "sets")
+    members = banded.select("h", "same").distinct()
+    heads = stage(members.groupBy("h").agg(F.min("same").alias("other"), F.count("*").alias("n")).where("n > 1").drop("n"), "bands")
+    met = stage(members.join(heads, "h"), "bands")
+    like = stage(_alike(met.where("same <> other").select("same", "other").distinct(), sets), "pairs")
+    opened = met.join(like.withColumn("taken", F.lit(True)), ["same", "other"], "left").select(
+        "h", "same", (F.col("taken").isNull() & (F.col("same") != F.col("other"))).alias("open")
     )
-    discard(banded)
-    pairs = stage(after.drop("band", "hash").distinct(), "pairs")
-    wanted = pairs.select("key", "start", "words").union(pairs.select("to_key", "to_start", "to_words")).distinct()
-    sets = stage(_contents(docs, wanted, key, text), "pairs")
-    both = pairs.join(sets, ["key", "start"]).join(
-        sets.select(F.col("key").alias("to_key"), F.col("start").alias("to_start"), F.col("set").alias("to_set")), ["to_key", "to_start"]
+    opened = stage(opened, "bands")
+    bands = opened.groupBy("h").agg(F.max("open").alias("any")).where("any").select("h")
+    more = _alike(_rarest_shared(opened.join(bands, "h"), sets), sets)
+    pairs = stage(like.union(more).distinct(), "pairs")
+    two = pairs.join(firsts, "same").join(
+        firsts.select(F.col("same").alias("other"), *(F.col(c).alias(f"o_{c}") for c in (*_PLACE, "words"))), "other"
     )
-
-    def verify(batches):
-        for batch in batches:
-            sets = zip(column_bytes(batch, "set"), column_bytes(batch, "to_set"))
-            keep = []
-            for a, b in sets:
-                a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(both >= SIMILAR * (len(a) + len(b) - both))
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["key", "start", "words", "to_key", "to_start"])
-
-    both = both.select("key", "start", "words", "to_key", "to_start", "set", "to_set")
-    like = stage(both.mapInArrow(verify, f"key {kind}, start int, words int, to_key {kind}, to_start int"), "pairs")
-    taken = like.select("key", "start", "to_key", "to_start", F.lit(True).alias("taken"))
-    members = after.join(taken, ["key", "start", "to_key", "to_start"], "left").select(
-        "band", "hash", "key", "start", F.col("taken").isNull().alias("open"), "words"
+    later = _place() > _place("o_")
+    pick = lambda c, mine: F.when(later == F.lit(mine), F.col(c)).otherwise(F.col(f"o_{c}"))
+    out = two.select(
+        *(pick(c, True).alias(c) for c in (*_PLACE, "words")), *(pick(c, False).alias(f"to_{c}") for c in _PLACE)
     )
-    members = stage(members, "open")
-    out = stage(like.union(_like_others(members, sets, kind, tile)), "matches")
-    for done in (heads, after, pairs, sets, like, members):
+    out = stage(out, "matches")
+    for done in (banded, own, places, firsts, sets, heads, met, like, opened, pairs):
         discard(done)
     return out
 
 
 def _edge_runs(found: DataFrame) -> DataFrame:
     """(same, side): the runs near an end, 0 left or 1 right, of what the repeated runs of a text cover."""
-    per = found.groupBy("key").agg(F.collect_set(F.struct("start", "same")).alias("runs"))
+    per = found.groupBy("doc").agg(F.collect_set(F.struct("start", "same")).alias("runs"))
 
     def run(batches):
         for batch in batches:
@@ -318,150 +357,111 @@ def _edge_runs(found: DataFrame) -> DataFrame:
                     ends = [k for k, near in enumerate((r["start"] - REACH < lo, r["start"] + UNIT + REACH > hi)) if near]
                     same += [r["same"]] * len(ends)
                     side += ends
-            yield pa.RecordBatch.from_arrays([pa.array(same, pa.int64()), pa.array(side, pa.int32())], ["same", "side"])
+            yield pa.RecordBatch.from_arrays([pa.array(same, pa.binary()), pa.array(side, pa.int32())], ["same", "side"])
 
-    return per.select("runs").mapInArrow(run, "same long, side int").distinct()
+    return per.select("runs").mapInArrow(run, "same binary, side int").distinct()
 
 
-def _context_rows(docs: DataFrame, places: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, start, side, same, near ARRAY<LONG>) of the places (key, start, same, side).
-
-    `near` hashes the run together with the 1, 2, ... REACH words before (side 0) or after it (side 1), as far as there are.
-    """
-    kind = docs.schema[key].dataType.simpleString()
-    per_doc = stage(places.groupBy("key").agg(F.collect_set(F.struct("start", "same", "side")).alias("runs")), "edges")
-    asked, _ = split_by_ids(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "key", per_doc.select("key"))
+def _contexts(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """(key, doc, start, side, same, near STRING, room INT): the REACH words before (side 0, last one first) or after a run."""
+    per = places.groupBy("key", "doc").agg(F.collect_set(F.struct("key", "start", "side", "same")).alias("runs"))
+    kind = places.schema["key"].dataType
 
     def run(batches):
         for batch in slices(batches, "text"):
-            words, edges, _ = hashed_words([t.lower() for t in texts(batch, "text")])
-            at, flat = [], []
-            for i, runs in enumerate(batch.column(batch.schema.get_field_index("runs")).to_pylist()):
-                at += [i] * len(runs)
-                flat += runs
-            doc = np.array(at, np.int64)
-            side = np.array([r["side"] for r in flat], np.int64)
-            start = edges[doc] + np.array([r["start"] for r in flat], np.int64)
-            h = np.array([r["same"] for r in flat], np.int64).view(np.uint64) + side.astype(np.uint64)
-            grid = np.zeros((len(flat), REACH), np.uint64)
-            for k in range(REACH):
-                word = np.where(side == 1, start + UNIT + k, start - 1 - k)
-                h = grid[:, k] = mix(h * np.uint64(31) + words[np.clip(word, 0, max(len(words) - 1, 0))]) if len(words) else h
-            room = np.where(side == 1, edges[doc + 1] - start - UNIT, start - edges[doc])
-            size = np.clip(room, 0, REACH)
-            inside = np.arange(REACH)[None, :] < size[:, None]
-            offsets = pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32())
-            near = pa.ListArray.from_arrays(offsets, pa.array(grid[inside].view(np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(batch.schema.get_field_index("key")).take(pa.array(doc)), pa.array([r["start"] for r in flat], pa.int32()),
-                    pa.array(side.astype(np.int32)), pa.array([r["same"] for r in flat], pa.int64()), near,
-                ],
-                ["key", "start", "side", "same", "near"],
-            )
-
-    return asked.join(per_doc, "key").mapInArrow(run, f"key {kind}, start int, side int, same long, near array<long>")
-
-
-def _longest(rows: DataFrame, kind: str) -> DataFrame:
-    """(key, start, side, k, to_key, to_start): the most words around a run that an earlier place has too, and the first such.
-
-    A partition holds all places of its runs. In place order the first row of a context is its first place.
+            w = Words(texts(batch, "text"))
+            docs_, rows = batch.column(0).to_pylist(), []
+            for i, runs in enumerate(batch.column(1).to_pylist()):
+                lo, hi = int(w.edges[i]), int(w.edges[i + 1])
+                for r in runs:
+                    a = lo + r["start"]
+                    words = w.text(a + UNIT, min(hi, a + UNIT + REACH)).split(b" ") if r["side"] else w.text(max(lo, a - REACH), a).split(b" ")[::-1]
+                    words = words if words != [b""] else []
+                    rows.append({**r, "doc": docs_[i], "near": b" ".join(words).decode("utf-8", "replace"), "room": len(words)})
+            item = batch.schema.field("runs").type.value_type
+            key_type = item.field("key").type
+            fields = [("key", key_type), ("doc", pa.binary()), ("start", pa.int32()), ("side", pa.int32()), ("same", pa.binary()), ("near", pa.string()), ("room", pa.int32())]
+            yield pa.RecordBatch.from_pylist(rows, pa.schema(fields))
+
+    fields = f"key {kind.simpleString()}, doc binary, start int, side int, same binary, near string, room int"
+    return _texts_of(docs, per).mapInArrow(run, fields).distinct()
+
+
+def ends(docs: DataFrame, runs: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, doc, start, words, to_key, to_doc, to_start): the words around repeated runs up to where the repeat ends.
+
+    `runs`: all places of repeated runs; `found`: those that have an earlier one. For each place the most words around it
+    that an earlier place of the run has too are searched by halving. A place that is the first with its next words
+    stays behind with the other firsts, and any later place it may share fewer words with is among these; the rest, and
+    the first beside them as a witness, go on to more words. Each round is one grouping of about a row per place.
     """
-
-    def run(batches):
-        batches = [b for b in batches if b.num_rows]
-        if not batches:
-            return
-        t = pa.Table.from_batches(batches)
-        key, start = t.column("key").combine_chunks(), t.column("start").to_numpy()
-        spot = np.zeros(t.num_rows, np.int64)
-        names = key.to_pylist()
-        spot[1:] = np.cumsum([names[i] != names[i - 1] or start[i] != start[i - 1] for i in range(1, len(names))])
-        lists = t.column("near").combine_chunks()
-        first, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-        size = np.diff(first)
-        best, to = np.zeros(len(size), np.int32), np.zeros(len(size), np.int64)
-        for k in range(REACH):
-            rows = np.flatnonzero(size > k)
-            if not len(rows):
-                break
-            _, lead, at = np.unique(flat[first[rows] + k], return_index=True, return_inverse=True)
-            lead = rows[lead][at]
-            again = spot[lead] != spot[rows]
-            best[rows[again]], to[rows[again]] = k + 1, lead[again]
-        got = np.flatnonzero(best)
-        yield pa.RecordBatch.from_arrays(
-            [
-                key.take(pa.array(got)), pa.array(start[got]), t.column("side").combine_chunks().take(pa.array(got)), pa.array(best[got]),
-                key.take(pa.array(to[got])), pa.array(start[to[got]]),
-            ],
-            ["key", "start", "side", "k", "to_key", "to_start"],
+    edge = stage(_edge_runs(found), "edges")
+    places = runs.join(edge, "same").select(*_PLACE, "side", "same")
+    nothing = [F.lit(None).cast(runs.schema[c].dataType).alias(f"to_{c}") for c in _PLACE]
+    state = stage(_contexts(docs, places).select("*", F.lit(0).alias("d"), *nothing), "ends")
+    step = 1 << (REACH.bit_length() - 1)
+    while step:
+        probe = state.withColumn("next", F.when(F.col("room") >= F.col("d") + step, F.expr(f"substring_index(near, ' ', d + {step})")))
+        by = ["same", "side", "d", "next"]
+        firsts = stage(probe.where("next is not null").groupBy(*by).agg(F.min(_place()).alias("first"), F.count("*").alias("n")), "ends")
+        met = probe.join(firsts.where("n > 1"), by, "left")
+        is_first = F.col("first") == _place()
+        stays = met.where(F.col("first").isNull() | is_first).select(*state.columns)
+        more = F.when(is_first, F.lit(None))
+        goes = met.where("first is not null").select(
+            *(c for c in state.columns if c != "d" and not c.startswith("to_")), (F.col("d") + step).alias("d"),
+            *(more.otherwise(F.col(f"first.{c}")).alias(f"to_{c}") for c in _PLACE),
         )
+        after = stage(stays.unionByName(goes), "ends")
+        discard(state)
+        discard(firsts)
+        state, step = after, step // 2
+    shift = F.when(F.col("side") == 1, F.lit(UNIT)).otherwise(-F.col("d"))
+    out = state.where("to_doc is not null").select(
+        "key", "doc", (F.col("start") + shift).alias("start"), F.col("d").alias("words"), "to_key", "to_doc", (F.col("to_start") + shift).alias("to_start")
+    )
+    return out
 
-    dealt = rows.repartition("same", "side").sortWithinPartitions("key", "start")
-    return dealt.mapInArrow(run, f"key {kind}, start int, side int, k int, to_key {kind}, to_start int")
-
-
-def _longest_of_crowds(rows: DataFrame) -> DataFrame:
-    """As `_longest`, by grouping every context: for runs with more places than one task should hold."""
-    each = stage(rows.select("key", "start", "side", F.posexplode("near").alias("k", "h")), "crowds")
-    firsts = stage(_repeated(each, ["side", "k", "h"], []), "crowds")
-    again = each.join(firsts, ["side", "k", "h"]).where("key <> first.key or start <> first.start")
-    most = again.groupBy("key", "start", "side").agg(F.max_by(F.struct(F.col("k") + 1, "first.key", "first.start"), "k").alias("m"))
-    return most.select("key", "start", "side", F.col("m.col1").cast("int").alias("k"), F.col("m.key").alias("to_key"), F.col("m.start").alias("to_start"))
 
+def digest(text: Column) -> Column:
+    """The first 16 bytes of the text's SHA-256; null counts as empty."""
+    return F.unhex(F.substring(F.sha2(F.coalesce(text, F.lit("")), 256), 1, 32))
 
-def ends(docs: DataFrame, runs: DataFrame, found: DataFrame, key: str, text: str, crowd: int = CROWD) -> DataFrame:
-    """(key, start, words, to_key, to_start): the words before and after repeated runs up to where the repeat ends.
 
-    Every place of a run is compared with all earlier places of it, not with the first alone: two texts may share more
-    with each other than with the first text that has the run.
-    """
-    kind = docs.schema[key].dataType.simpleString()
-    edge = stage(_edge_runs(found), "edges")
-    places = stage(runs.join(edge, "same").select("key", "start", "same", "side"), "edges")
-    rows = stage(_context_rows(docs, places, key, text), "edges")
-    many = stage(rows.groupBy("same", "side").count().where(F.col("count") > crowd).select("same", "side"), "crowds")
-    few = rows.join(F.broadcast(many), ["same", "side"], "left_anti")
-    crowds = rows.join(F.broadcast(many), ["same", "side"], "left_semi")
-    more = _longest(few, kind).union(_longest_of_crowds(crowds))
-    shift = F.when(F.col("side") == 1, F.lit(UNIT)).otherwise(-F.col("k"))
-    return more.select(
-        "key", (F.col("start") + shift).alias("start"), F.col("k").alias("words"), "to_key", (F.col("to_start") + shift).alias("to_start")
-    )
+def own_columns(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), digest(F.col(text)).alias("doc"), F.col(text).alias("text"))
 
 
-def identity(docs: DataFrame, key: str, text: str) -> Column:
-    """STRUCT<id, digest>: what tells a document from others, also where rows repeat an id with unlike texts."""
-    return F.struct(F.col(key).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("digest"))
+_MATCH = [*_PLACE, "words", "to_key", "to_doc", "to_start"]
 
 
-def matches(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, start, words, to_key, to_start, whole): every paragraph that repeats an earlier one, and that one.
+def matches(docs: DataFrame, line_words: int = LINE_WORDS) -> tuple[DataFrame, DataFrame]:
+    """For `docs` (key, doc, text): the paragraphs that repeat an earlier one, and the distinct texts.
 
-    Keys are identities. `whole` is false for the words around runs that complete a repeated passage.
+    (key, doc, start, words, to_key, to_doc, to_start, whole); `whole` is false for the words around runs that complete a
+    repeated passage. (doc, key, words): the first key of every text, and its words if it is a paragraph.
     """
     ship(docs.sparkSession)
-    own = fresh(docs, "identity")
-    docs = docs.where(F.col(key).isNotNull()).select(identity(docs, key, text).alias(own), text)
-    key = own
-    lines = stage(_line_rows(docs, key, text), "lines")
-    runs = stage(_run_rows(docs, key, text), "runs")
-    parts = []
-    for rows, words in ((lines, F.col("words")), (runs, F.lit(UNIT))):
-        # written: a paragraph with a third of all places is a skewed join of two inputs, which Spark splits
-        firsts = stage(_repeated(rows, ["same"], []), "firsts")
-        parts.append(
-            rows.join(firsts, "same").where("key <> first.key or start <> first.start").select(
-                "key", "start", words.cast("int").alias("words"), F.col("first.key").alias("to_key"), F.col("first.start").alias("to_start"), "same"
-            )
-        )
-    again = stage(parts[1], "matches")
-    same = stage(parts[0], "matches")
-    whole = same.union(again).drop("same").union(similar_lines(docs, lines, key, text)).withColumn("whole", F.lit(True))
-    discard(lines)
-    return stage(whole.union(ends(docs, runs, again, key, text).withColumn("whole", F.lit(False))), "matches")
+    rows = stage(paragraphs(docs, line_words), "paragraphs")
+    keys = docs.groupBy("doc").agg(F.min("key").alias("key"))
+    whole = rows.where(F.col("kind") == TEXT).groupBy("doc").agg(F.min("words").alias("words"))
+    contents = stage(keys.join(whole, "doc", "left"), "contents")
+    named = contents.select("doc", "key")
+    places = stage(_repeated(rows.where(F.col("kind").isin(LINE, RUN))).join(named, "doc"), "places")
+    again = stage(_again(places, ["kind", "same"]), "again")
+    own = rows.where(F.col("kind") == OWN).distinct().join(named, "doc").select(
+        *_PLACE, "words", F.col("key").alias("to_key"), F.col("doc").alias("to_doc"), "to_start"
+    )
+    lines = rows.where(F.col("kind") == LINE)
+    like = similar_lines(docs, lines.select("doc", "start", "words", "same", "bands"), named)
+    runs = F.col("kind") == RUN
+    tails = ends(docs, places.where(runs), again.where(runs))
+    parts = [again.select(*_MATCH), own.select(*_MATCH), like.select(*_MATCH)]
+    out = reduce(DataFrame.unionByName, parts).withColumn("whole", F.lit(True)).unionByName(tails.withColumn("whole", F.lit(False)))
+    out = stage(out, "matches")
+    for done in (rows, places, again, like):
+        discard(done)
+    return out, contents
 
 
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -493,50 +493,63 @@ def less(ranges: list[tuple[int, int]], kept: list[tuple[int, int]]) -> list[tup
 
 
 def spans(found: DataFrame) -> DataFrame:
-    """(key, removed ARRAY<STRUCT<s, e>>): the word ranges each document loses; documents that lose none are left out."""
-    gone = found.select("key", "start", "words", F.lit(True).alias("gone"))
+    """(doc, removed ARRAY<STRUCT<s, e>>): the word ranges each text loses; texts that lose none are left out."""
     # What another text holds earlier may go whole: that text, or the one it repeats itself, keeps it. Of a text that
-    # repeats itself the first occurrence stays whole, though later ones may overlap it.
-    # The ends of passages need no such care: each repeats an earlier word, back to one that stays.
-    own = found.where("whole and key = to_key")
-    stay = own.select("key", F.col("to_start").alias("start"), "words", F.lit(False).alias("gone"))
+    # repeats itself the first occurrence stays, though later ones may overlap it, but for what another text holds earlier.
+    other = F.col("doc") != F.col("to_doc")
+    gone = found.select("doc", "start", "words", F.when(other, OTHER).otherwise(GONE).alias("why"))
+    own = found.where("whole and doc = to_doc")
+    stay = own.select("doc", F.col("to_start").alias("start"), "words", F.lit(STAY).alias("why"))
     # distinct places of one text: the list is as long as the text at most
-    per = gone.union(stay).distinct().groupBy("key").agg(F.collect_list(F.struct("start", "words", "gone")).alias("places"))
-    kind = found.schema["key"].dataType.simpleString()
+    per = gone.union(stay).distinct().groupBy("doc").agg(F.collect_list(F.struct("start", "words", "why")).alias("places"))
 
     def run(batches):
         for batch in batches:
             rows, keep = [], []
             for i, places in enumerate(batch.column(1).to_pylist()):
-                both = [merged([(p["start"], p["start"] + p["words"]) for p in places if p["gone"] is g]) for g in (True, False)]
-                left = less(*both)
+                of = [[(p["start"], p["start"] + p["words"]) for p in places if p["why"] == k] for k in (GONE, OTHER, STAY)]
+                left = less(merged(of[GONE] + of[OTHER]), less(merged(of[STAY]), merged(of[OTHER])))
                 if left:
                     keep.append(i)
                     rows.append([{"s": a, "e": b} for a, b in left])
             kind_of = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())), pa.array(rows, kind_of)], ["key", "removed"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())), pa.array(rows, kind_of)], ["doc", "removed"])
+
+    return per.mapInArrow(run, "doc binary, removed array<struct<s:int,e:int>>")
 
-    return per.mapInArrow(run, f"key {kind}, removed array<struct<s:int,e:int>>")
+
+def cuts(docs: DataFrame, found: DataFrame, contents: DataFrame) -> DataFrame:
+    """(key, doc, removed): what each distinct row (key, doc) loses, copies all of it; rows that lose nothing are left out."""
+    none = F.array().cast("array<struct<s:int,e:int>>")
+    all_ = F.array(F.struct(F.lit(0).alias("s"), F.col("words").alias("e")))
+    named = contents.select("doc", F.col("key").alias("first"), "words").join(spans(found), "doc", "left")
+    lost = F.when(F.col("key") == F.col("first"), F.coalesce("removed", none)).when(F.col("words").isNotNull(), all_).otherwise(none)
+    own = docs.select("key", "doc").distinct().join(named, "doc").select("key", "doc", lost.alias("removed"))
+    return own.where(F.size("removed") > 0)
 
 
-def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", line_words: int = LINE_WORDS) -> DataFrame:
     """One row per document: (key, component_id, repeats BOOLEAN, n_removed LONG, removed ARRAY<STRUCT<s, e>>).
 
     component_id is the smallest key that chains of shared paragraphs reach; `repeats` is true where the document
     shares a paragraph with another one or repeats its own; `removed` are word ranges, end excluded.
     """
-    found = matches(docs, key, text)
-    links = stage(found.select(F.col("key.id").alias("a"), F.col("to_key.id").alias("b")).where("a <> b").distinct(), "links")
-    member = links.select(F.col("a").alias("key")).union(links.select(F.col("b").alias("key"))).distinct()
-    root = components(member, links, "key", "a", "b").withColumnRenamed("component", "root")
-    root = stage(root.withColumnRenamed("key", "_key"), "repeats")
-    cut = stage(spans(found).withColumnRenamed("key", "_cut"), "repeats")
+    own = own_columns(docs, key, text)
+    found, contents = matches(own, line_words)
+    copies = own.select("key", "doc").distinct().join(contents.where("words is not null").select("doc", F.col("key").alias("b")), "doc")
+    links = found.select(F.col("key").alias("a"), F.col("to_key").alias("b")).union(copies.select(F.col("key").alias("a"), "b"))
+    links = stage(links.where("a <> b").distinct(), "links")
+    member = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    root = stage(components(member, links, "node", "a", "b").select(F.col("node").alias("root_key"), F.col("component").alias("root")), "repeats")
+    cut = stage(cuts(own, found, contents).select(F.col("key").alias("cut_key"), F.col("doc").alias("cut_doc"), "removed"), "repeats")
     none = F.array().cast("array<struct<s:int,e:int>>")
-    own = docs.select(key, identity(docs, key, text).alias("_identity"))
-    return own.join(root, F.col(key) == F.col("_key"), "left").join(cut, F.col("_identity") == F.col("_cut"), "left").select(
-        key,
-        F.coalesce("root", key).alias("component_id"),
-        (F.col("_key").isNotNull() | F.col("_cut").isNotNull()).alias("repeats"),
+    rows = docs.select(F.col(key).alias("own_key"), digest(F.col(text)).alias("own_doc"))
+    rows = rows.join(root, F.col("own_key") == F.col("root_key"), "left")
+    rows = rows.join(cut, (F.col("own_key") == F.col("cut_key")) & (F.col("own_doc") == F.col("cut_doc")), "left")
+    return rows.select(
+        F.col("own_key").alias(key),
+        F.coalesce("root", "own_key").alias("component_id"),
+        (F.col("root_key").isNotNull() | F.col("cut_key").isNotNull()).alias("repeats"),
         F.expr("aggregate(coalesce(removed, array()), 0L, (n, x) -> n + x.e - x.s)").alias("n_removed"),
         F.coalesce("removed", none).alias("removed"),
     )
@@ -557,13 +570,17 @@ def cut_words(text: str, removed: list[tuple[int, int]]) -> str:
 _TEXT_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", chars: str | None = "n_chars") -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", chars: str | None = "n_chars", line_words: int = LINE_WORDS) -> DataFrame:
     """`docs`, all columns and rows, with the removed ranges cut from the text and `chars`, if there, counted anew."""
-    cut = stage(spans(matches(docs, key, text)), "cuts")
-    name, spot = fresh(docs, "cut_key"), fresh(docs, "cut_spans")
+    mine = own_columns(docs, key, text)
+    found, contents = matches(mine, line_words)
+    cut = stage(cuts(mine, found, contents).select(F.struct("key", "doc").alias("row"), "removed"), "cuts")
+    discard(found)
+    name, spot = fresh(docs, "cut_row"), fresh(docs, "cut_spans")
     own = fresh(docs, "cut_identity")
-    asked, whole = split_by_ids(docs.withColumn(own, identity(docs, key, text)), own, cut.select("key"))
-    joined = asked.join(cut.select(F.col("key").alias(name), F.col("removed").alias(spot)), F.col(own) == F.col(name), "left").drop(own, name)
+    marked = docs.withColumn(own, F.struct(F.col(key).alias("key"), digest(F.col(text)).alias("doc")))
+    asked, whole = split_by_ids(marked, own, cut.select("row"))
+    joined = asked.join(cut.select(F.col("row").alias(name), F.col("removed").alias(spot)), F.col(own) == F.col(name), "left").drop(own, name)
 
     def run(batches):
         for batch in slices(batches, text):
