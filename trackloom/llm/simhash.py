@@ -230,18 +230,18 @@ def drop_near_copies(
     """The documents, all columns, without those whose class has a smaller key; rows that repeat a key are judged by text."""
     prints = near_classes(docs, key, text, shingle, radius)
     later = F.coalesce(F.col(key) != F.col("component_id"), F.lit(False))
-    prints = stage(prints.select(F.col(key).alias("_gone"), F.col("fp").alias("_fp"), later.alias("later")), "simhash")
-    fate = prints.groupBy("_gone").agg(F.max("later").alias("some"), F.min("later").alias("all"))
-    fate = stage(fate.where("some").select("_gone", "all"), "simhash")
-    asked, sure = split_by_ids(docs, key, fate.select("_gone"))
-    clear = asked.join(fate.select("_gone"), F.col(key) == F.col("_gone"), "left_anti")
+    gone, at, identity, cut = (fresh(docs, n) for n in ("gone_key", "gone_fp", "gone_row", "gone_cut"))
+    prints = stage(prints.select(F.col(key).alias(gone), F.col("fp").alias(at), later.alias("later")), "simhash")
+    fate = prints.groupBy(gone).agg(F.max("later").alias("some"), F.min("later").alias("all"))
+    fate = stage(fate.where("some").select(gone, "all"), "simhash")
+    asked, sure = split_by_ids(docs, key, fate.select(gone))
+    clear = asked.join(fate.select(gone), F.col(key) == F.col(gone), "left_anti")
     # ids on several texts of which some go: the row's own fingerprint decides
-    mixed = fate.where("not all").select("_gone")
-    own, place = fresh(docs, "identity"), F.struct(F.col(key).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("digest"))
-    rows = asked.join(mixed, F.col(key) == F.col("_gone"), "left_semi").withColumn(own, place)
-    drop = fingerprints(rows, own, text, shingle).join(
-        prints.where("later"), (F.col(f"{own}.id") == F.col("_gone")) & (F.col("fp") == F.col("_fp")), "left_semi"
+    mixed = fate.where("not all").select(gone)
+    place = F.struct(F.col(key).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("digest"))
+    rows = asked.join(mixed, F.col(key) == F.col(gone), "left_semi").withColumn(identity, place)
+    drop = fingerprints(rows, identity, text, shingle).join(
+        prints.where("later"), (F.col(f"`{identity}`.id") == F.col(gone)) & (F.col("fp") == F.col(at)), "left_semi"
     )
-    drop = drop.select(F.col(own).alias("_identity"))
-    kept = rows.join(drop, F.col(own) == F.col("_identity"), "left_anti").drop(own)
+    kept = rows.join(drop.select(F.col(identity).alias(cut)), F.col(identity) == F.col(cut), "left_anti").drop(identity)
     return sure.unionByName(clear).unionByName(kept)

@@ -6,7 +6,7 @@ Of the distinct texts two kinds of paragraphs are matched, A-Z lower-cased:
 * lines of at least `line_words` words, on shingles of five words. A line's MinHash signature is cut into bands tuned for
   recall (8 bands of 3 rows find 99.7 % of the pairs at a Jaccard similarity of 0.8). Equal lines are one; lines that
   collide in a band are joined with one line of the band and verified by exact Jaccard similarity of their shingle sets.
-  Those unlike it are joined with all others of the band that share one of their rarest shingles, as any pair at that
+  Those unlike it are joined with all others that collided and share one of their rarest shingles, as any pair at that
   similarity must, and verified too.
 * stretches of `PASSAGE` words, for passages copied into the middle of other lines, which no line similarity shows.
   Each stretch is banded by its MinHash shingle, the anchor (a band of one row that overlapping stretches share), and
@@ -28,10 +28,8 @@ handled like others, one at a time; extra columns, whatever their names, are kep
 
 from __future__ import annotations
 
-import hashlib
-import math
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from functools import reduce
 
 import numpy as np
@@ -40,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import ASCII_WHITE, fresh, mix, ship, slices, split_by_ids, strings, texts
+from trackloom.llm.common import ASCII_WHITE, fresh, mix, ship, slices, span_hashes, split_by_ids, strings, texts
 from trackloom.operators.graph import components
 from trackloom.session import discard, stage
 
@@ -52,9 +50,9 @@ LINE_WORDS = 20
 PASSAGE = 50
 UNIT = (PASSAGE + SHINGLE - 1) // 2
 REACH = PASSAGE - UNIT  # a repeated stretch of PASSAGE words ends at most so many words from a run that repeats
-LINE, RUN, OWN, TEXT = range(4)
+LINE, RUN, TEXT, LOST, KEPT = range(5)
 GONE, OTHER, STAY = range(3)
-_ROW = "doc binary, kind int, start int, words int, same binary, bands array<long>, to_start int"
+_ROW = "doc binary, kind int, start int, words int, same binary, bands array<long>"
 
 
 def shingles(words: np.ndarray) -> np.ndarray:
@@ -91,7 +89,10 @@ def anchors(sh: np.ndarray, edges: np.ndarray, window: int) -> np.ndarray:
 
 
 class Words:
-    """The words of some texts, A-Z lower-cased: exact numbers in this slice, 64-bit hashes, and their bytes."""
+    """The words of some texts, A-Z lower-cased: where they lie, and a 64-bit hash of each.
+
+    The hashes only choose bands and anchors; what is equal is decided by 128-bit digests of the words themselves.
+    """
 
     def __init__(self, docs: list[bytes]):
         flat = np.frombuffer(b"\n".join([*docs, b""]).lower(), np.uint8)
@@ -100,26 +101,25 @@ class Words:
         before[:1], before[1:] = True, white[:-1]
         starts, after = np.flatnonzero(before & ~white), white & ~before
         ends = np.flatnonzero(after)
-        self.offsets = np.concatenate([[0], np.cumsum(ends - starts)])
-        packed = pa.Array.from_buffers(
-            pa.binary(), len(starts), [None, pa.py_buffer(self.offsets.astype(np.int32)), pa.py_buffer(flat[~white])]
-        )
-        coded = packed.dictionary_encode()
-        self.code = coded.indices.to_numpy()
-        table = np.array([xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()], np.uint64)
-        self.hash = table[self.code] if len(table) else np.zeros(0, np.uint64)
-        spaced = flat[~white | after].copy()
-        spaced[ASCII_WHITE[spaced]] = 32
+        self.hash = mix(span_hashes(flat.astype(np.uint64) + np.uint64(1), starts, ends))
+        spaced = flat[~white | after]
+        spaced[np.cumsum(ends - starts + 1) - 1] = 32
         self.spaced = spaced.tobytes()  # every word and a space
+        self.at = np.concatenate([[0], np.cumsum(ends - starts + 1)])  # where each word begins in it
         self.edges = np.searchsorted(starts, np.cumsum([0, *(len(d) + 1 for d in docs)]))
         self.lines = np.searchsorted(starts, np.concatenate([[0], np.flatnonzero(flat == 10) + 1]))
 
     def text(self, first: int, end: int) -> bytes:
         """The words [first, end), a space between."""
-        return self.spaced[self.offsets[first] + first : self.offsets[end] + end - 1] if first < end else b""
+        return self.spaced[self.at[first] : self.at[end] - 1] if first < end else b""
 
-    def digest(self, first: int, end: int) -> bytes:
-        return hashlib.sha256(self.text(first, end)).digest()[:16]
+    def texts(self, first: np.ndarray, end: np.ndarray) -> list[bytes]:
+        """As `text` for many stretches, none of them empty."""
+        s = self.spaced
+        return [s[a:b] for a, b in zip(self.at[first].tolist(), (self.at[end] - 1).tolist())]
+
+    def digests(self, first: np.ndarray, end: np.ndarray) -> list[bytes]:
+        return list(map(xxhash.xxh3_128_digest, self.texts(first, end)))
 
 
 def lines_of(w: Words, line_words: int = LINE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -152,7 +152,7 @@ def runs_of(w: Words) -> tuple[np.ndarray, np.ndarray]:
 def repeated_inside(w: Words, doc: np.ndarray, start: np.ndarray, same: list[bytes]) -> np.ndarray:
     """For each run the place of an earlier one of its text with the same run and the same REACH words around, or -1.
 
-    Only runs that a text repeats are looked at; what is compared are the words' exact numbers.
+    Only runs that a text repeats are looked at; what is compared are the words.
     """
     out = np.full(len(start), -1)
     first: dict[tuple[int, bytes], int] = {}
@@ -165,18 +165,28 @@ def repeated_inside(w: Words, doc: np.ndarray, start: np.ndarray, same: list[byt
         lo, hi = int(w.edges[d]), int(w.edges[d + 1])
         for i in places:
             a, b = max(lo, int(start[i]) - REACH), min(hi, int(start[i]) + UNIT + REACH)
-            near = bytes([int(start[i]) - a]) + w.code[a:b].tobytes()
+            near = bytes([int(start[i]) - a]) + w.text(a, b)
             j = seen.setdefault((d, near), i)
             if j != i:
                 out[i] = start[j]
     return out
 
 
+def _joined(first: np.ndarray, end: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, first word, end) of what the stretches cover, overlapping ones of a document as one."""
+    order = np.argsort(first, kind="stable")
+    doc, first, end = doc[order], first[order], np.maximum.accumulate(end[order]) if len(order) else end
+    new = np.ones(len(first), bool)
+    new[1:] = (first[1:] > end[:-1]) | (doc[1:] != doc[:-1])
+    at = np.flatnonzero(new)
+    return doc[at], first[at], end[np.append(at[1:], len(first)) - 1] if len(at) else end[:0]
+
+
 def paragraphs(docs: DataFrame, line_words: int = LINE_WORDS) -> DataFrame:
     """The paragraphs of every row of (doc, text).
 
-    LINE and RUN: start, words and digest. OWN: a stretch around a run that repeats an earlier one of its own text from
-    `to_start`. TEXT: a whole text of `line_words` words or more.
+    LINE and RUN: start, words and digest. TEXT: a whole text of `line_words` words or more. LOST and KEPT: stretches around
+    runs that repeat earlier ones of their own text with the same words around, and the stretches that these repeat.
     """
 
     def run(batches):
@@ -185,21 +195,22 @@ def paragraphs(docs: DataFrame, line_words: int = LINE_WORDS) -> DataFrame:
             size = np.diff(w.edges)
             first, last, bands = lines_of(w, line_words)
             doc, start = runs_of(w)
-            same = [w.digest(a, a + UNIT) for a in start.tolist()]
+            same = w.digests(start, start + UNIT)
             to = repeated_inside(w, doc, start, same)
             new, own = np.flatnonzero(to < 0), np.flatnonzero(to >= 0)
             whole = np.flatnonzero(size >= max(line_words, 1))
             # the words around are the same, so the stretch begins as far before both places
             lead = np.minimum(start[own] - w.edges[doc[own]], REACH)
             tail = np.minimum(w.edges[doc[own] + 1] - start[own] - UNIT, REACH)
+            lost, kept = (_joined(at - lead, at + UNIT + tail, doc[own]) for at in (start[own], to[own]))
             line_doc = np.searchsorted(w.edges, first, "right") - 1
             parts = [
-                (LINE, line_doc, first, last - first, [w.digest(a, b) for a, b in zip(first.tolist(), last.tolist())], None),
-                (RUN, doc[new], start[new], np.full(len(new), UNIT), [same[i] for i in new.tolist()], None),
-                (OWN, doc[own], start[own] - lead, lead + UNIT + tail, [None] * len(own), to[own] - lead - w.edges[doc[own]]),
-                (TEXT, whole, w.edges[whole], size[whole], [None] * len(whole), None),
+                (LINE, line_doc, first, last - first, w.digests(first, last)),
+                (RUN, doc[new], start[new], np.full(len(new), UNIT), [same[i] for i in new.tolist()]),
+                (TEXT, whole, w.edges[whole], size[whole], [None] * len(whole)),
+                *((kind, d, at, end - at, [None] * len(d)) for kind, (d, at, end) in ((LOST, lost), (KEPT, kept))),
             ]
-            for kind, d, at, n, digest, origin in parts:
+            for kind, d, at, n, digest in parts:
                 rows = len(d)
                 lists = pa.nulls(rows, pa.list_(pa.int64()))
                 if kind == LINE and rows:
@@ -208,9 +219,8 @@ def paragraphs(docs: DataFrame, line_words: int = LINE_WORDS) -> DataFrame:
                     [
                         batch.column(0).take(pa.array(d)), pa.array(np.full(rows, kind, np.int32)), pa.array((at - w.edges[d]).astype(np.int32)),
                         pa.array(n.astype(np.int32)), pa.array(digest, pa.binary()), lists,
-                        pa.nulls(rows, pa.int32()) if origin is None else pa.array(origin.astype(np.int32)),
                     ],
-                    ["doc", "kind", "start", "words", "same", "bands", "to_start"],
+                    ["doc", "kind", "start", "words", "same", "bands"],
                 )
 
     return docs.select("doc", "text").mapInArrow(run, _ROW)
@@ -243,10 +253,12 @@ def _to(struct: str) -> list[Column]:
 
 
 def _again(places: DataFrame, by: list[str]) -> DataFrame:
-    """Every place that is not the first of its group, with the first: to_key, to_doc, to_start."""
-    firsts = stage(places.groupBy(*by).agg(F.min(_place()).alias("first")), "firsts")
+    """Every place that is not the first of its group, with the first, to_key, to_doc, to_start, and a hash of the texts
+    that hold the group."""
+    holders = F.sum(F.xxhash64("doc").cast("decimal(20,0)"))
+    firsts = stage(places.groupBy(*by).agg(F.min(_place()).alias("first"), F.xxhash64(F.count("*"), holders).alias("holders")), "firsts")
     met = places.join(firsts, by).where(_place() != F.col("first"))
-    return met.select(*places.columns, *_to("first"))
+    return met.select(*places.columns, *_to("first"), "holders")
 
 
 def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -258,19 +270,18 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def line_sets(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """(same, set ARRAY<LONG>): the distinct shingles of the lines (key, doc, start, words, same)."""
+    """(same, set ARRAY<LONG>): hashes of the distinct shingles of the lines (key, doc, start, words, same)."""
     per = lines.groupBy("key", "doc").agg(F.collect_set(F.struct("start", "words", "same")).alias("lines"))
 
     def run(batches):
         for batch in slices(batches, "text"):
             w = Words(texts(batch, "text"))
-            sh = shingles(w.hash)
             same, sets = [], []
             for i, lines in enumerate(batch.column(1).to_pylist()):
                 for ln in lines:
-                    a = int(w.edges[i]) + ln["start"]
+                    at = np.arange(ln["words"] - SHINGLE + 1) + int(w.edges[i]) + ln["start"]
                     same.append(ln["same"])
-                    sets.append(np.unique(sh[a : a + ln["words"] - SHINGLE + 1]).view(np.int64))
+                    sets.append(np.unique(np.array(list(map(xxhash.xxh3_64_intdigest, w.texts(at, at + SHINGLE))), np.uint64)).view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(same, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], ["same", "set"])
 
     return _texts_of(docs, per).mapInArrow(run, "same binary, set array<long>").dropDuplicates(["same"])
@@ -284,23 +295,24 @@ def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return met.where(both >= SIMILAR * (n + m - both)).select("same", "other")
 
 
-def _rarest_shared(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """(same, other): pairs of a band, one of them open, that share one of their rarest shingles.
+def _rarest_shared(lines: DataFrame, sets: DataFrame) -> DataFrame:
+    """(same, other): pairs of the lines (same, open), one of them open, that share one of their rarest shingles.
 
     Of two sets at the similarity the smaller has, in one order of all shingles, one of its first n - ceil(8n/9) + 1 among
     the first m - ceil(4m/5) + 1 of the larger; the places in that order bound what they can share.
     """
-    each = stage(members.join(sets, "same").select("h", "same", "open", F.size("set").alias("n"), F.explode("set").alias("shingle")), "rare")
-    count = each.groupBy("h", "shingle").agg(F.count("*").alias("times"))
-    order = Window.partitionBy("h", "same").orderBy("times", "shingle")  # as many rows as the line has words
+    each = stage(lines.join(sets, "same").select("same", "open", F.size("set").alias("n"), F.explode("set").alias("shingle")), "rare")
+    count = each.groupBy("shingle").agg(F.count("*").alias("times"))
+    order = Window.partitionBy("same").orderBy("times", "shingle")  # as many rows as the line has words
     most = lambda share: F.col("n") - F.ceil(F.col("n") * share - 1e-9) + 1
-    placed = each.join(count, ["h", "shingle"]).withColumn("at", F.row_number().over(order))
+    # a shingle of one line alone is in no pair, but keeps its place in the order
+    placed = each.join(count, "shingle").withColumn("at", F.row_number().over(order)).where("times > 1")
     large = stage(placed.where(F.col("at") <= most(SIMILAR)).drop("times"), "rare")
     small = large.where(F.col("at") <= most(2 * SIMILAR / (1 + SIMILAR)))
-    x = small.select("h", "shingle", F.col("same").alias("x"), F.col("open").alias("x_open"), F.col("n").alias("x_n"), F.col("at").alias("x_at"))
-    y = large.select("h", "shingle", F.col("same").alias("y"), F.col("open").alias("y_open"), F.col("n").alias("y_n"), F.col("at").alias("y_at"))
+    x = small.select("shingle", F.col("same").alias("x"), F.col("open").alias("x_open"), F.col("n").alias("x_n"), F.col("at").alias("x_at"))
+    y = large.select("shingle", F.col("same").alias("y"), F.col("open").alias("y_open"), F.col("n").alias("y_n"), F.col("at").alias("y_at"))
     fits = "x <> y and (x_open or y_open) and x_n <= y_n and x_n >= {t} * y_n - 1e-9 and 1 + least(x_n - x_at, y_n - y_at) >= {t} / (1 + {t}) * (x_n + y_n) - 1e-9"
-    met = x.join(y, ["h", "shingle"]).where(fits.format(t=SIMILAR))
+    met = x.join(y, "shingle").where(fits.format(t=SIMILAR))
     return met.select(F.greatest("x", "y").alias("same"), F.least("x", "y").alias("other")).distinct()
 
 
@@ -326,7 +338,8 @@ def similar_lines(docs: DataFrame, lines: DataFrame, contents: DataFrame) -> Dat
     )
     opened = stage(opened, "bands")
     bands = opened.groupBy("h").agg(F.max("open").alias("any")).where("any").select("h")
-    more = _alike(_rarest_shared(opened.join(bands, "h"), sets), sets)
+    among = opened.join(bands, "h").groupBy("same").agg(F.max("open").alias("open"))
+    more = _alike(_rarest_shared(among, sets), sets)
     pairs = stage(like.union(more).distinct(), "pairs")
     two = pairs.join(firsts, "same").join(
         firsts.select(F.col("same").alias("other"), *(F.col(c).alias(f"o_{c}") for c in (*_PLACE, "words"))), "other"
@@ -343,20 +356,29 @@ def similar_lines(docs: DataFrame, lines: DataFrame, contents: DataFrame) -> Dat
 
 
 def _edge_runs(found: DataFrame) -> DataFrame:
-    """(same, side): the runs near an end, 0 left or 1 right, of what the repeated runs of a text cover."""
-    per = found.groupBy("doc").agg(F.collect_set(F.struct("start", "same")).alias("runs"))
+    """(same, side): the runs near an end, 0 left or 1 right, of what the repeated runs of a text cover.
+
+    A passage that goes on beyond the end holds the outermost run; of the others only those that other texts hold count.
+    """
+    per = found.groupBy("doc").agg(F.collect_set(F.struct("start", "same", "holders")).alias("runs"))
 
     def run(batches):
         for batch in batches:
             same, side = [], []
             for runs in batch.column(0).to_pylist():
+                runs.sort(key=lambda r: r["start"])
                 cover = merged([(r["start"], r["start"] + UNIT) for r in runs])
-                begins = [c[0] for c in cover]
-                for r in runs:
-                    lo, hi = cover[bisect_right(begins, r["start"]) - 1]
-                    ends = [k for k, near in enumerate((r["start"] - REACH < lo, r["start"] + UNIT + REACH > hi)) if near]
-                    same += [r["same"]] * len(ends)
-                    side += ends
+                begins = [r["start"] for r in runs]
+                for lo, hi in cover:
+                    left = runs[bisect_left(begins, lo) : bisect_left(begins, lo + REACH)]
+                    right = runs[bisect_right(begins, hi - UNIT - REACH) : bisect_left(begins, hi)][::-1]
+                    for k, near in enumerate((left, right)):
+                        seen = set()
+                        for r in near:
+                            if r["holders"] not in seen:
+                                seen.add(r["holders"])
+                                same.append(r["same"])
+                                side.append(k)
             yield pa.RecordBatch.from_arrays([pa.array(same, pa.binary()), pa.array(side, pa.int32())], ["same", "side"])
 
     return per.select("runs").mapInArrow(run, "same binary, side int").distinct()
@@ -397,8 +419,15 @@ def ends(docs: DataFrame, runs: DataFrame, found: DataFrame) -> DataFrame:
     """
     edge = stage(_edge_runs(found), "edges")
     places = runs.join(edge, "same").select(*_PLACE, "side", "same")
+    whole = ["same", "side", "near", "room"]
+    near = stage(_contexts(docs, places), "near")
+    # places with all the same words around are settled at once; only the first of them goes on
+    firsts = near.groupBy(*whole).agg(F.min(_place()).alias("first"), F.count("*").alias("n"))
+    equal = near.join(firsts.where("n > 1"), whole).where((_place() != F.col("first")) & (F.col("room") > 0))
+    equal = stage(equal.select(*_PLACE, "side", F.col("room").alias("d"), *_to("first")), "ends")
     nothing = [F.lit(None).cast(runs.schema[c].dataType).alias(f"to_{c}") for c in _PLACE]
-    state = stage(_contexts(docs, places).select("*", F.lit(0).alias("d"), *nothing), "ends")
+    state = stage(firsts.select("first.*", "same", "side", "near", "room", F.lit(0).alias("d"), *nothing), "ends")
+    discard(near)
     step = 1 << (REACH.bit_length() - 1)
     while step:
         probe = state.withColumn("next", F.when(F.col("room") >= F.col("d") + step, F.expr(f"substring_index(near, ' ', d + {step})")))
@@ -417,10 +446,10 @@ def ends(docs: DataFrame, runs: DataFrame, found: DataFrame) -> DataFrame:
         discard(firsts)
         state, step = after, step // 2
     shift = F.when(F.col("side") == 1, F.lit(UNIT)).otherwise(-F.col("d"))
-    out = state.where("to_doc is not null").select(
+    found = state.where("to_doc is not null").select(*equal.columns).unionByName(equal)
+    return found.select(
         "key", "doc", (F.col("start") + shift).alias("start"), F.col("d").alias("words"), "to_key", "to_doc", (F.col("to_start") + shift).alias("to_start")
     )
-    return out
 
 
 def digest(text: Column) -> Column:
@@ -435,11 +464,12 @@ def own_columns(docs: DataFrame, key: str, text: str) -> DataFrame:
 _MATCH = [*_PLACE, "words", "to_key", "to_doc", "to_start"]
 
 
-def matches(docs: DataFrame, line_words: int = LINE_WORDS) -> tuple[DataFrame, DataFrame]:
-    """For `docs` (key, doc, text): the paragraphs that repeat an earlier one, and the distinct texts.
+def matches(docs: DataFrame, line_words: int = LINE_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """For `docs` (key, doc, text): the paragraphs that repeat an earlier one, the distinct texts, and their own repeats.
 
     (key, doc, start, words, to_key, to_doc, to_start, whole); `whole` is false for the words around runs that complete a
-    repeated passage. (doc, key, words): the first key of every text, and its words if it is a paragraph.
+    repeated passage. (doc, key, words): the first key of every text, and its words if it is a paragraph. (doc, start,
+    words, why): ranges in which a text repeats itself, GONE, and what they repeat, STAY.
     """
     ship(docs.sparkSession)
     rows = stage(paragraphs(docs, line_words), "paragraphs")
@@ -449,19 +479,18 @@ def matches(docs: DataFrame, line_words: int = LINE_WORDS) -> tuple[DataFrame, D
     named = contents.select("doc", "key")
     places = stage(_repeated(rows.where(F.col("kind").isin(LINE, RUN))).join(named, "doc"), "places")
     again = stage(_again(places, ["kind", "same"]), "again")
-    own = rows.where(F.col("kind") == OWN).distinct().join(named, "doc").select(
-        *_PLACE, "words", F.col("key").alias("to_key"), F.col("doc").alias("to_doc"), "to_start"
-    )
+    own = rows.where(F.col("kind").isin(LOST, KEPT)).select("doc", "start", "words", F.when(F.col("kind") == LOST, GONE).otherwise(STAY).alias("why"))
+    own = stage(own.distinct(), "own")
     lines = rows.where(F.col("kind") == LINE)
     like = similar_lines(docs, lines.select("doc", "start", "words", "same", "bands"), named)
     runs = F.col("kind") == RUN
     tails = ends(docs, places.where(runs), again.where(runs))
-    parts = [again.select(*_MATCH), own.select(*_MATCH), like.select(*_MATCH)]
+    parts = [again.select(*_MATCH), like.select(*_MATCH)]
     out = reduce(DataFrame.unionByName, parts).withColumn("whole", F.lit(True)).unionByName(tails.withColumn("whole", F.lit(False)))
     out = stage(out, "matches")
     for done in (rows, places, again, like):
         discard(done)
-    return out, contents
+    return out, contents, own
 
 
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -492,7 +521,7 @@ def less(ranges: list[tuple[int, int]], kept: list[tuple[int, int]]) -> list[tup
     return out
 
 
-def spans(found: DataFrame) -> DataFrame:
+def spans(found: DataFrame, own_ranges: DataFrame) -> DataFrame:
     """(doc, removed ARRAY<STRUCT<s, e>>): the word ranges each text loses; texts that lose none are left out."""
     # What another text holds earlier may go whole: that text, or the one it repeats itself, keeps it. Of a text that
     # repeats itself the first occurrence stays, though later ones may overlap it, but for what another text holds earlier.
@@ -501,7 +530,7 @@ def spans(found: DataFrame) -> DataFrame:
     own = found.where("whole and doc = to_doc")
     stay = own.select("doc", F.col("to_start").alias("start"), "words", F.lit(STAY).alias("why"))
     # distinct places of one text: the list is as long as the text at most
-    per = gone.union(stay).distinct().groupBy("doc").agg(F.collect_list(F.struct("start", "words", "why")).alias("places"))
+    per = gone.union(stay).union(own_ranges).distinct().groupBy("doc").agg(F.collect_list(F.struct("start", "words", "why")).alias("places"))
 
     def run(batches):
         for batch in batches:
@@ -518,11 +547,11 @@ def spans(found: DataFrame) -> DataFrame:
     return per.mapInArrow(run, "doc binary, removed array<struct<s:int,e:int>>")
 
 
-def cuts(docs: DataFrame, found: DataFrame, contents: DataFrame) -> DataFrame:
+def cuts(docs: DataFrame, found: DataFrame, contents: DataFrame, own_ranges: DataFrame) -> DataFrame:
     """(key, doc, removed): what each distinct row (key, doc) loses, copies all of it; rows that lose nothing are left out."""
     none = F.array().cast("array<struct<s:int,e:int>>")
     all_ = F.array(F.struct(F.lit(0).alias("s"), F.col("words").alias("e")))
-    named = contents.select("doc", F.col("key").alias("first"), "words").join(spans(found), "doc", "left")
+    named = contents.select("doc", F.col("key").alias("first"), "words").join(spans(found, own_ranges), "doc", "left")
     lost = F.when(F.col("key") == F.col("first"), F.coalesce("removed", none)).when(F.col("words").isNotNull(), all_).otherwise(none)
     own = docs.select("key", "doc").distinct().join(named, "doc").select("key", "doc", lost.alias("removed"))
     return own.where(F.size("removed") > 0)
@@ -535,13 +564,13 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", line_
     shares a paragraph with another one or repeats its own; `removed` are word ranges, end excluded.
     """
     own = own_columns(docs, key, text)
-    found, contents = matches(own, line_words)
+    found, contents, inside = matches(own, line_words)
     copies = own.select("key", "doc").distinct().join(contents.where("words is not null").select("doc", F.col("key").alias("b")), "doc")
     links = found.select(F.col("key").alias("a"), F.col("to_key").alias("b")).union(copies.select(F.col("key").alias("a"), "b"))
     links = stage(links.where("a <> b").distinct(), "links")
     member = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
     root = stage(components(member, links, "node", "a", "b").select(F.col("node").alias("root_key"), F.col("component").alias("root")), "repeats")
-    cut = stage(cuts(own, found, contents).select(F.col("key").alias("cut_key"), F.col("doc").alias("cut_doc"), "removed"), "repeats")
+    cut = stage(cuts(own, found, contents, inside).select(F.col("key").alias("cut_key"), F.col("doc").alias("cut_doc"), "removed"), "repeats")
     none = F.array().cast("array<struct<s:int,e:int>>")
     rows = docs.select(F.col(key).alias("own_key"), digest(F.col(text)).alias("own_doc"))
     rows = rows.join(root, F.col("own_key") == F.col("root_key"), "left")
@@ -573,8 +602,8 @@ _TEXT_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", chars: str | None = "n_chars", line_words: int = LINE_WORDS) -> DataFrame:
     """`docs`, all columns and rows, with the removed ranges cut from the text and `chars`, if there, counted anew."""
     mine = own_columns(docs, key, text)
-    found, contents = matches(mine, line_words)
-    cut = stage(cuts(mine, found, contents).select(F.struct("key", "doc").alias("row"), "removed"), "cuts")
+    found, contents, inside = matches(mine, line_words)
+    cut = stage(cuts(mine, found, contents, inside).select(F.struct("key", "doc").alias("row"), "removed"), "cuts")
     discard(found)
     name, spot = fresh(docs, "cut_row"), fresh(docs, "cut_spans")
     own = fresh(docs, "cut_identity")
