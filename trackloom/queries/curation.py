@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from trackloom.functions.clock import as_micros
-from trackloom.operators import graph, pairs, quota, series
+from trackloom.operators import cover, graph, pairs, quota, series
 from trackloom.operators.ordered import Axis, prev, scan
 from trackloom.queries.registry import DAY, events, query, r6, table
 from trackloom.session import stage
@@ -325,3 +325,19 @@ def log_order(spark, sf):
     j = o.join(table(spark, sf, "nation").select("n_nationkey", "n_name"), "n_nationkey")
     g = j.groupBy("n_name").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first_at"))
     return numbered(g, ["first_at", "n_name"])
+
+
+@query()
+def group_representatives(spark, sf):
+    """Parts of a brand as scenes of one place. Two parts in one order are labelled the same if their lines went the same way.
+
+    Each pick depends on all earlier ones of its group, which SQL cannot say; tests hold the operator against a pass over
+    each group."""
+    p = table(spark, sf, "part").select("p_brand", "p_partkey", "p_size", "p_retailprice", (F.length("p_name") * 1.0).alias("name_length"))
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
+    other = li.select("l_orderkey", F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("b"), F.col("l_returnflag").alias("flag"))
+    labels = li.join(other, "l_orderkey").where("l_linenumber < n and l_partkey <> b").select(  # the few lines of an order
+        F.col("l_partkey").alias("a"), "b", (F.col("l_returnflag") == F.col("flag")).alias("same")
+    )
+    out = cover.representatives(p, labels, "p_brand", "p_partkey", {"p_size": 6.0, "p_retailprice": 150.0, "name_length": 4.0})
+    return out.select("p_brand", "p_partkey", "status", "ref", "place", "human")

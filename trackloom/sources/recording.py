@@ -1,21 +1,29 @@
-"""A data source for indexed recordings: spark.read.format("recording").
-
-A file is a sequence of records (header fields, data). Its index lists the connections (topic, type) and the chunks
-with their time ranges; chunks hold the messages. One partition covers a share of one file's chunks; topics and time
-ranges in filters skip connections and chunks before a payload is read.
+"""A data source for indexed recordings: spark.read.format("recording"), and a writer of such files.
+
+A file is a sequence of records (header fields, data). Its index lists the connections (topic, type, message
+definition) and the chunks with their time ranges; chunks hold the messages, and behind each chunk stand, per connection,
+the receive time and place of its messages. One partition covers a share of one file's chunks. Topics and time ranges in
+filters skip connections, chunks and messages by the index alone. Without payloads only the index records and the first
+bytes of each message are read, unless a chunk is compressed or its messages are so small that one read is cheaper.
+A header stamp is given for types whose definition begins with a header, else null.
 """
 
 from __future__ import annotations
 
 import bz2
-import glob
+import fnmatch
 import os
 import struct
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
@@ -68,49 +76,196 @@ def _ns(raw: bytes) -> int:
     return sec * 1_000_000_000 + nsec
 
 
+def filesystem(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or URI and the path in it."""
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
+@dataclass
+class Connection:
+    topic: str
+    kind: str
+    has_header: bool
+
+
 @dataclass
 class Index:
-    """Topic and type per connection, and (position, first ns, last ns) per chunk."""
+    """Connections, (position, first ns, last ns) per chunk in order of position, and where the last chunk's records end."""
 
-    connections: dict[int, tuple[str, str]]
+    connections: dict[int, Connection]
     chunks: list[tuple[int, int, int]]
+    end: int
+
+
+def has_header(definition: str) -> bool:
+    """Whether the first field of a message definition is a header; comments, blank lines and constants are no fields."""
+    for line in definition.splitlines():
+        line = line.split("#")[0].strip()
+        if line.startswith("==="):
+            return False
+        if line and "=" not in line:
+            return line.split()[0] in ("Header", "std_msgs/Header")
+    return False
+
+
+class Source:
+    """A seekable file that counts what is read."""
+
+    def __init__(self, path: str):
+        system, name = filesystem(path)
+        self.path, self.file, self.bytes_read = path, system.open_input_file(name), 0
 
+    def at(self, position: int, size: int) -> bytes:
+        self.file.seek(position)
+        data = self.file.read(max(0, size))
+        self.bytes_read += len(data)
+        return data
 
-def read_index(path: str) -> Index:
+    def size(self) -> int:
+        return self.file.size()
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        self.file.close()
+
+
+def read_index(source: Source | str) -> Index:
     """Connections and chunks from the records behind the last chunk; payloads are not touched."""
-    with open(path, "rb") as f:
-        if f.read(len(MAGIC)) != MAGIC:
-            raise ValueError(f"{path}: not a recording")
-        head, _ = _record(f)
-        f.seek(struct.unpack("<Q", head["index_pos"])[0])
-        conns, chunks = {}, []
-        for fields, data in _records(f.read()):
-            op = fields["op"][0]
-            if op == OP_CONNECTION:
-                inner = _fields(data)
-                conns[struct.unpack("<I", fields["conn"])[0]] = (fields["topic"].decode(), inner.get("type", b"").decode())
-            elif op == OP_CHUNK_INFO:
-                chunks.append((struct.unpack("<Q", fields["chunk_pos"])[0], _ns(fields["start_time"]), _ns(fields["end_time"])))
-    return Index(conns, sorted(chunks))
-
-
-def messages(path: str, positions: list[int], wanted: dict[int, tuple[str, str]]) -> Iterator[tuple]:
-    """(topic, kind, receive ns, header ns, payload) of the wanted connections in the given chunks."""
-    with open(path, "rb") as f:
-        for pos in positions:
-            f.seek(pos)
-            fields, data = _record(f)
-            if fields.get("compression", b"none") == b"bz2":
-                data = bz2.decompress(data)
-            elif fields.get("compression", b"none") not in (b"none", b""):
-                raise ValueError(f"{path}: chunk compression {fields['compression'].decode()} is not supported")
-            for head, body in _records(data):
-                if head["op"][0] != OP_MESSAGE:
-                    continue
-                conn = wanted.get(struct.unpack("<I", head["conn"])[0])
-                if conn is not None:
-                    stamp = _ns(body[4:12]) if len(body) >= 12 else None
-                    yield conn[0], conn[1], _ns(head["time"]), stamp, body
+    if isinstance(source, str):
+        with Source(source) as opened:
+            return read_index(opened)
+    head = source.at(0, len(MAGIC) + 4096)
+    if not head.startswith(MAGIC):
+        raise ValueError(f"{source.path}: not a recording")
+    (n,) = struct.unpack_from("<I", head, len(MAGIC))
+    (end,) = struct.unpack("<Q", _fields(head[len(MAGIC) + 4 : len(MAGIC) + 4 + n])["index_pos"])
+    if not end:
+        raise ValueError(f"{source.path}: no index, the recording was not closed")
+    conns, chunks = {}, []
+    for fields, data in _records(source.at(end, source.size() - end)):
+        op = fields["op"][0]
+        if op == OP_CONNECTION:
+            inner = _fields(data)
+            definition = inner.get("message_definition", b"").decode(errors="replace")
+            conns[struct.unpack("<I", fields["conn"])[0]] = Connection(
+                fields["topic"].decode(), inner.get("type", b"").decode(), has_header(definition)
+            )
+        elif op == OP_CHUNK_INFO:
+            chunks.append((struct.unpack("<Q", fields["chunk_pos"])[0], _ns(fields["start_time"]), _ns(fields["end_time"])))
+    return Index(conns, sorted(chunks), end)
+
+
+_ENTRY = np.dtype([("sec", "<u4"), ("nsec", "<u4"), ("offset", "<u4")])
+#: first bytes of a message that are read; more if its record header is longer
+HEAD_BYTES = 512
+#: a chunk whose messages are smaller than so many heads is read at once
+HEADS = 10
+
+
+@dataclass
+class Chunk:
+    """Where a chunk's data lies, how it is packed, and its messages: connection, receive ns and offset in the data."""
+
+    start: int
+    size: int
+    compression: str
+    unpacked: int
+    conn: np.ndarray
+    bag_ns: np.ndarray
+    offset: np.ndarray
+
+    def data(self, source: Source) -> bytes:
+        raw = source.at(self.start, self.size)
+        if self.compression in ("none", ""):
+            return raw
+        if self.compression == "bz2":
+            return bz2.decompress(raw)
+        if self.compression == "lz4":
+            return pa.decompress(raw, self.unpacked, "lz4", asbytes=True)
+        raise ValueError(f"{source.path}: the chunk at {self.start} has an unknown compression, {self.compression}")
+
+
+def read_chunk(source: Source, position: int, end: int) -> Chunk:
+    """A chunk from its record header and the index records between its data and `end`; messages in order of place."""
+    head = source.at(position, 256)
+    (h,) = struct.unpack_from("<I", head, 0)
+    if h + 8 > len(head):
+        head += source.at(position + len(head), h + 8 - len(head))
+    fields, (size,) = _fields(head[4 : 4 + h]), struct.unpack_from("<I", head, 4 + h)
+    start = position + 8 + h
+    conns, entries = [], []
+    for index, data in _records(source.at(start + size, end - start - size)):
+        if index["op"][0] == OP_INDEX:
+            entries.append(np.frombuffer(data, _ENTRY, len(data) // _ENTRY.itemsize))
+            conns.append(np.full(len(entries[-1]), struct.unpack("<I", index["conn"])[0]))
+    compression = fields.get("compression", b"none").decode()
+    (unpacked,) = struct.unpack("<I", fields["size"]) if "size" in fields else (size,)
+    chunk = Chunk(start, size, compression, unpacked, *(np.zeros(0, np.int64) for _ in range(3)))
+    if entries:
+        at, conn = np.concatenate(entries), np.concatenate(conns)
+        order = np.argsort(at["offset"], kind="stable")
+        chunk.conn, chunk.offset = conn[order], at["offset"][order].astype(np.int64)
+        chunk.bag_ns = (at["sec"].astype(np.int64) * 1_000_000_000 + at["nsec"])[order]
+    else:  # no index records: the messages themselves say what they are
+        found = [(struct.unpack("<I", f["conn"])[0], _ns(f["time"]), at) for f, at in _walk(chunk.data(source)) if f["op"][0] == OP_MESSAGE]
+        if found:
+            chunk.conn, chunk.bag_ns, chunk.offset = (np.array(c, np.int64) for c in zip(*found))
+    return chunk
+
+
+def _walk(buf: bytes) -> Iterator[tuple[dict[str, bytes], int]]:
+    """Header fields and place of every record."""
+    at = 0
+    while at + 8 <= len(buf):
+        (h,) = struct.unpack_from("<I", buf, at)
+        (d,) = struct.unpack_from("<I", buf, at + 4 + h)
+        yield _fields(buf[at + 4 : at + 4 + h]), at
+        at += 8 + h + d
+
+
+def _body_at(buf: bytes, at: int) -> tuple[int, int] | None:
+    """(first byte, length) of the data of the message record at `at`, past connection records in front of it; None
+    where the buffer ends before."""
+    while at + 4 <= len(buf):
+        (h,) = struct.unpack_from("<I", buf, at)
+        if at + 8 + h > len(buf):
+            return None
+        (d,) = struct.unpack_from("<I", buf, at + 4 + h)
+        op = _fields(buf[at + 4 : at + 4 + h])["op"][0]
+        if op == OP_MESSAGE:
+            return at + 8 + h, d
+        if op != OP_CONNECTION:
+            raise ValueError(f"a record of kind {op} where a message is expected")
+        at += 8 + h + d
+    return None
+
+
+def _stamp(buf: bytes, at: int) -> int | None:
+    """The header stamp of a message: after a 32-bit count, seconds and nanoseconds. None where the buffer ends before."""
+    body = _body_at(buf, at)
+    if body is None or body[0] + 12 > len(buf):
+        return None
+    return _ns(buf[body[0] + 4 : body[0] + 12])
+
+
+def stamps(source: Source, chunk: Chunk, rows: np.ndarray) -> list[int | None]:
+    """The header stamps of the chunk's messages `rows`."""
+    if not len(rows):
+        return []
+    if chunk.compression not in ("none", "") or chunk.size < len(rows) * HEADS * HEAD_BYTES:
+        data = chunk.data(source)
+        return [_stamp(data, at) for at in chunk.offset[rows].tolist()]
+    out = []
+    for at in chunk.offset[rows].tolist():
+        size, left = HEAD_BYTES, chunk.size - at
+        found = _stamp(source.at(chunk.start + at, min(size, left)), 0)
+        while found is None and size < left:
+            size *= 8
+            found = _stamp(source.at(chunk.start + at, min(size, left)), 0)
+        out.append(found)
+    return out
 
 
 @dataclass
@@ -143,40 +298,78 @@ class RecordingReader(DataSourceReader):
                 self.high = min(self.high, flt.value)
             yield flt
 
-    def files(self) -> list[str]:
-        if os.path.isdir(self.path):
-            return sorted(glob.glob(os.path.join(self.path, "**", "*.bag"), recursive=True))
-        return sorted(glob.glob(self.path))
+    def files(self) -> list[tuple[str, int]]:
+        """(path, size) of the file, or of every recording in the folder and below it, or of those that match a pattern."""
+        system, name = filesystem(self.path)
+        scheme = f"{self.path.split('://')[0]}://" if "://" in self.path else ""
+        folder = name
+        if any(c in name for c in "*?["):
+            folder = os.path.dirname(name[: min(name.index(c) for c in "*?[" if c in name)] + "x")
+        info = system.get_file_info(folder)
+        if info.is_file:
+            return [(scheme + info.path, info.size)]
+        found = system.get_file_info(fs.FileSelector(folder, recursive=True, allow_not_found=True))
+        match = (lambda p: fnmatch.fnmatch(p, name)) if folder != name else (lambda p: p.endswith(".bag"))
+        return sorted((scheme + i.path, i.size) for i in found if i.is_file and match(i.path))
 
     def partitions(self) -> list[InputPartition]:
         """Slices by file size alone; nothing is read on the driver."""
         out = []
-        for path in self.files():
-            count = max(1, -(-os.path.getsize(path) // self.task_bytes))
+        for path, size in self.files():
+            count = max(1, -(-size // self.task_bytes))
             out += [Slice(path, i, count) for i in range(count)]
         return out or [Slice("", 0, 1)]
 
-    def plan(self, part: Slice) -> tuple[list[int], dict[int, tuple[str, str]]]:
-        """The chunk positions and connections a slice has to read under the pushed filters."""
-        index = read_index(part.path)
-        wanted = {c: t for c, t in index.connections.items() if self.topics is None or t[0] in self.topics}
+    def plan(self, part: Slice, index: Index | None = None) -> tuple[list[tuple[int, int]], dict[int, Connection]]:
+        """(chunk position, end of its index records) and the connections a slice has to read under the pushed filters."""
+        index = index or read_index(part.path)
+        wanted = {c: t for c, t in index.connections.items() if self.topics is None or t.topic in self.topics}
+        ends = [*(c[0] for c in index.chunks[1:]), index.end]
         n = len(index.chunks)
-        share = index.chunks[n * part.number // part.count : n * (part.number + 1) // part.count]
-        return [p for p, a, b in share if b >= self.low and a <= self.high] if wanted else [], wanted
+        share = [*zip(index.chunks, ends)][n * part.number // part.count : n * (part.number + 1) // part.count]
+        return [(p, end) for (p, a, b), end in share if b >= self.low and a <= self.high] if wanted else [], wanted
 
-    def read(self, partition: Slice) -> Iterator[tuple]:
+    def read(self, partition: Slice) -> Iterator[pa.RecordBatch]:
         if not partition.path:
             return
-        log = os.path.splitext(os.path.basename(partition.path))[0]
-        positions, wanted = self.plan(partition)
-        for topic, kind, bag_ns, header_ns, body in messages(partition.path, positions, wanted):
-            if self.low <= bag_ns <= self.high:
-                yield log, topic, kind, bag_ns, header_ns, body if self.payload else None
+        with Source(partition.path) as source:
+            yield from self.batches(source, partition)
+
+    def batches(self, source: Source, part: Slice) -> Iterator[pa.RecordBatch]:
+        """One batch per chunk."""
+        log = os.path.splitext(os.path.basename(part.path))[0]
+        places, wanted = self.plan(part, read_index(source))
+        for position, end in places:
+            chunk = read_chunk(source, position, end)
+            keep = np.isin(chunk.conn, list(wanted)) & (chunk.bag_ns >= self.low) & (chunk.bag_ns <= self.high)
+            rows = np.flatnonzero(keep)
+            if not len(rows):
+                continue
+            of = [wanted[c] for c in chunk.conn[rows].tolist()]
+            stamped = np.array([c.has_header for c in of])
+            header: list[int | None] = [None] * len(rows)
+            payload: list[bytes | None] = [None] * len(rows)
+            if self.payload:
+                data = chunk.data(source)
+                for i, at in enumerate(chunk.offset[rows].tolist()):
+                    body = _body_at(data, at)
+                    if body is None:
+                        raise ValueError(f"{source.path}: the message at {at} of the chunk at {position} is cut short")
+                    payload[i] = data[body[0] : body[0] + body[1]]
+                    header[i] = _stamp(data, at) if stamped[i] else None
+            else:
+                for i, stamp in zip(np.flatnonzero(stamped).tolist(), stamps(source, chunk, rows[stamped])):
+                    header[i] = stamp
+            columns = [
+                pa.array([log] * len(rows)), pa.array([c.topic for c in of]), pa.array([c.kind for c in of]), pa.array(chunk.bag_ns[rows]),
+                pa.array(header, pa.int64()), pa.array(payload, pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["log", "topic", "kind", "bag_ns", "header_ns", "payload"])
 
 
 class RecordingSource(DataSource):
-    """Options: path (file, glob or folder on a file system all executors mount), payload (false: stamps only),
-    bytesPerTask."""
+    """Options: path (file, pattern or folder, as a path that all executors mount or a URI that pyarrow opens), payload
+    (false: stamps only), bytesPerTask."""
 
     @classmethod
     def name(cls) -> str:
@@ -196,7 +389,7 @@ def register(spark) -> None:
 
 def spans(spark: SparkSession, path: str) -> DataFrame:
     """(log, first_ns, last_ns) per file from the index alone, one task per group of files."""
-    files = spark.createDataFrame([(f,) for f in RecordingReader({"path": path}).files()], "path string")
+    files = spark.createDataFrame([(f,) for f, _ in RecordingReader({"path": path}).files()], "path string")
 
     def extent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -208,3 +401,113 @@ def spans(spark: SparkSession, path: str) -> DataFrame:
             yield pd.DataFrame(rows, columns=["log", "first_ns", "last_ns"])
 
     return files.repartition("path").mapInPandas(extent, "log string, first_ns long, last_ns long")
+
+
+def _head(**fields: bytes) -> bytes:
+    items = [k.encode() + b"=" + v for k, v in fields.items()]
+    return b"".join(struct.pack("<I", len(i)) + i for i in items)
+
+
+def _packed(data: bytes, **fields: bytes) -> bytes:
+    h = _head(**fields)
+    return struct.pack("<I", len(h)) + h + struct.pack("<I", len(data)) + data
+
+
+def _time(ns: int) -> bytes:
+    return struct.pack("<II", *divmod(ns, 1_000_000_000))
+
+
+class Writer:
+    """Streams messages into one recording, chunk by chunk. The file's head is only known at the end."""
+
+    HEAD = 4096
+
+    def __init__(self, out, compression: str = "none", chunk_bytes: int = 768 << 10):
+        self.out, self.compression, self.limit = out, compression, chunk_bytes
+        self.conns: dict[tuple[str, str, str], int] = {}
+        self.chunks: list[bytes] = []
+        self.body, self.entries = bytearray(), {}
+        self.first = self.last = None
+        out.write(MAGIC + b"\0" * self.HEAD)
+        self.at = len(MAGIC) + self.HEAD
+
+    def add(self, topic: str, kind: str, definition: str, bag_ns: int, payload: bytes) -> None:
+        conn = self.conns.setdefault((topic, kind, definition), len(self.conns))
+        self.entries.setdefault(conn, []).append(_time(bag_ns) + struct.pack("<I", len(self.body)))
+        self.body += _packed(payload, op=bytes([OP_MESSAGE]), conn=struct.pack("<I", conn), time=_time(bag_ns))
+        self.first, self.last = min(bag_ns, self.first or bag_ns), max(bag_ns, self.last or bag_ns)
+        if len(self.body) >= self.limit:
+            self._flush()
+
+    def _flush(self) -> None:
+        if not self.entries:
+            return
+        raw = bytes(self.body)
+        data = {"none": lambda: raw, "bz2": lambda: bz2.compress(raw), "lz4": lambda: pa.compress(raw, "lz4", asbytes=True)}[self.compression]()
+        record = _packed(data, op=bytes([OP_CHUNK]), compression=self.compression.encode(), size=struct.pack("<I", len(raw)))
+        for conn, rows in self.entries.items():
+            record += _packed(b"".join(rows), op=bytes([OP_INDEX]), ver=struct.pack("<I", 1), conn=struct.pack("<I", conn), count=struct.pack("<I", len(rows)))
+        counts = b"".join(struct.pack("<II", c, len(r)) for c, r in self.entries.items())
+        self.chunks.append(_packed(
+            counts, op=bytes([OP_CHUNK_INFO]), ver=struct.pack("<I", 1), chunk_pos=struct.pack("<Q", self.at), start_time=_time(self.first),
+            end_time=_time(self.last), count=struct.pack("<I", len(self.entries)),
+        ))
+        self.out.write(record)
+        self.at += len(record)
+        self.body, self.entries, self.first, self.last = bytearray(), {}, None, None
+
+    def close(self) -> bytes:
+        """Write the index; the file's head, which belongs at its begin, is returned."""
+        self._flush()
+        for (topic, kind, definition), conn in self.conns.items():
+            inner = _head(topic=topic.encode(), type=kind.encode(), md5sum=b"*", message_definition=definition.encode())
+            self.out.write(_packed(inner, op=bytes([OP_CONNECTION]), conn=struct.pack("<I", conn), topic=topic.encode()))
+        self.out.write(b"".join(self.chunks))
+        head = _head(
+            op=bytes([OP_FILE]), index_pos=struct.pack("<Q", self.at), conn_count=struct.pack("<I", len(self.conns)),
+            chunk_count=struct.pack("<I", len(self.chunks)),
+        )
+        return MAGIC + struct.pack("<I", len(head)) + head + struct.pack("<I", self.HEAD - 8 - len(head)) + b" " * (self.HEAD - 8 - len(head))
+
+
+#: the size at which `write` begins another file
+FILE_BYTES = 64 << 20
+
+
+def write(messages: DataFrame, folder: str, log: str = "log", compression: str = "none", chunk_bytes: int = 768 << 10) -> DataFrame:
+    """Write (log, topic, kind, definition, bag_ns, payload) as recordings, cut by log and time; (log, path, messages) of the files.
+
+    Rows are dealt by ranges of (log, time), so a log of any length is spread over several files `<log>~<unique>.bag` of
+    at most some 64 MB, and a task holds one file at a time. Files that a repeated task leaves behind are not in the result.
+    """
+    import io
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, path, out, buffer, count = None, "", None, None, 0
+
+        def finish():
+            head = out.close()
+            system, name = filesystem(path)
+            system.create_dir(os.path.dirname(name), recursive=True)
+            with system.open_output_stream(name) as f:
+                data = buffer.getbuffer()
+                f.write(head)
+                f.write(data[len(head) :])
+            return pa.RecordBatch.from_pydict({"log": [now], "path": [path], "messages": [count]})
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                # a new log or a full file
+                if out is None or row["log"] != now or out.at >= FILE_BYTES:
+                    if out is not None:
+                        yield finish()
+                    now, count, buffer = row["log"], 0, io.BytesIO()
+                    path, out = f"{folder}/{now}~{uuid.uuid4().hex}.bag", Writer(buffer, compression, chunk_bytes)
+                out.add(row["topic"], row["kind"], row["definition"], row["bag_ns"], row["payload"])
+                count += 1
+        if out is not None:
+            yield finish()
+
+    names = [F.col(log).alias("log"), "topic", "kind", "definition", "bag_ns", "payload"]
+    dealt = messages.select(*names).repartitionByRange("log", "bag_ns").sortWithinPartitions("log", "bag_ns")
+    return dealt.mapInArrow(run, f"log {messages.schema[log].dataType.simpleString()}, path string, messages long")

@@ -97,12 +97,15 @@ def undo(spark: SparkSession, root: str) -> int:
 
 
 def fingerprint(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table, rows, checksum): equal for equal content in any order; the key under which derived results are kept."""
+    """(table, rows, checksum): equal for equal content in any order; the key under which derived results are kept.
+
+    The checksum holds the exclusive or and the sum of the rows' hashes: repeated rows cancel in the one, not in the other.
+    """
     out = None
     for name, df in sorted(tables.items()):
-        one = df.agg(
-            F.count(F.lit(1)).alias("rows"), F.coalesce(F.expr(f"bit_xor(xxhash64({', '.join(f'`{c}`' for c in df.columns)}))"), F.lit(0)).alias("checksum")
-        ).select(F.lit(name).alias("table"), "rows", "checksum")
+        row = F.xxhash64(*(F.col(f"`{c}`") for c in df.columns))
+        both = F.concat_ws(":", F.coalesce(F.bit_xor(row), F.lit(0)), F.coalesce(F.sum(row.cast("decimal(20,0)")), F.lit(0)))
+        one = df.agg(F.count(F.lit(1)).alias("rows"), both.alias("checksum")).select(F.lit(name).alias("table"), "rows", "checksum")
         out = one if out is None else out.unionByName(one)
     return out
 
