@@ -66,3 +66,19 @@ def stream_fan_out(spark, sf):
     spans = e.select("user_id", F.col("event_id").alias("scene"), as_micros("ts").alias("s")).withColumn("e", F.col("s") + DAY)
     out = streams.fan_out(_event_stream(spark, sf), spans, "user_id", "at", "s", "e", DAY, HOUR)
     return _drain(out.select("event_id", "scene"), "fanout")
+
+
+@query(
+    f"""
+with m as (select user_id, event_id, epoch_us(ts) as at from events where event_type <> 'signup'),
+s as (select user_id, event_id as span, epoch_us(ts) as s, epoch_us(ts) + cast(floor(value) as bigint) % 48 * {HOUR} as e from events where event_type = 'signup')
+select event_id, span from m join s on m.user_id = s.user_id and at between s - {HOUR} and e + {HOUR}"""
+)
+def stream_spans(spark, sf):
+    """Both sides as streams: signups open spans of up to two days, all other events are messages."""
+    wide = table(spark, sf, "events").schema
+    raw = lambda: spark.readStream.schema(wide).parquet(f"{sf}/events*.parquet")
+    spans = raw().where("event_type = 'signup'").select("user_id", F.col("event_id").alias("span"), as_micros("ts").alias("s"), "value")
+    spans = spans.select("user_id", "span", "s", (F.col("s") + F.floor("value").cast("long") % 48 * HOUR).alias("e"))
+    out = streams.fan_out_streams(_events(raw()).where("event_type <> 'signup'"), spans, "user_id", "at", "s", "e", 2 * DAY, HOUR, "1 day")
+    return _drain(out.select("event_id", "span"), "spans")

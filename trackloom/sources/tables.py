@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackloom.schema import TABLES
+from trackloom.sources import json_array
 
 POINTER = "CURRENT"
 
@@ -26,13 +27,14 @@ def exists(spark: SparkSession, path: str) -> bool:
 def read_json_tables(spark: SparkSession, root: str) -> dict[str, DataFrame] | None:
     """The 13 tables from `<root>/<table>.json` (one JSON array each); a missing file is an empty table.
 
-    None when there is no scene. A JSON array cannot be split, so land it once with `commit` before heavy use.
+    None when there is no scene. Large files are read by ranges, by many tasks; land the tables with `commit` before heavy
+    use, since every use of what is returned parses them again.
     """
     out = {}
     for name, schema in TABLES.items():
         path = f"{root}/{name}.json"
         if exists(spark, path):
-            out[name] = spark.read.schema(schema).option("multiLine", True).json(path)
+            out[name] = json_array.read(spark, path, schema)
         else:
             out[name] = spark.createDataFrame([], schema)
     return None if out["scene"].isEmpty() else out

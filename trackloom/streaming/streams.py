@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
@@ -70,8 +70,32 @@ def scenes_by_count(
     return stamped.groupBy(key).applyInPandasWithState(step, out, state, "append", GroupStateTimeout.EventTimeTimeout)
 
 
+class LateRows(StreamingQueryListener):
+    """Counts the rows that queries leave out because they came behind the watermark, over whole runs.
+
+    Add it with `spark.streams.addListener` before a query starts; `rows` maps query ids to counts.
+    """
+
+    def __init__(self):
+        self.rows: dict[str, int] = {}
+
+    def onQueryStarted(self, event):
+        self.rows.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        self.rows[str(p.id)] = self.rows.get(str(p.id), 0) + sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
 def late_rows(run: StreamingQuery) -> int:
-    """Rows of a query that came behind the watermark and were left out, as its recent progress counts them."""
+    """Rows of a query that came behind the watermark and were left out, as its last hundred batches count them; `LateRows`
+    counts those of longer runs."""
     return sum(s.numRowsDroppedByWatermark for p in run.recentProgress for s in p.stateOperators)
 
 
@@ -93,3 +117,23 @@ def windows_by_time(frames: DataFrame, key: str, ts: str, width: str, late: str)
     grouped = frames.withWatermark(ts, late).groupBy(F.window(ts, width).alias("_w"), F.col(key))
     counts = grouped.agg(F.count(F.lit(1)).alias("n"), F.min(ts).alias("first"), F.max(ts).alias("last"))
     return counts.select(key, F.col("_w.start").alias("start"), "n", "first", "last")
+
+
+def fan_out_streams(
+    messages: DataFrame, spans: DataFrame, key: str, at: str, start: str, end: str, longest: int, margin: int, late: str
+) -> DataFrame:
+    """Two streams: every message (`at`, microseconds) with every span of its key that contains it, widened by `margin`.
+
+    Either side may come first, by up to `late` of event time. The state is bounded: a span is kept until no message of
+    its time can come any more, a message until no span can. For that a span must not be longer than `longest`; a longer
+    one stops the query, since its later messages would be lost silently. Spans that end before they start match
+    nothing; rows without key or time are left out.
+    """
+    stamp = lambda c: F.timestamp_micros(F.col(c))
+    told = F.when(F.col(end) - F.col(start) > longest, F.raise_error(F.lit(f"a span is longer than {longest}"))).otherwise(True)
+    m = messages.where(F.col(key).isNotNull() & F.col(at).isNotNull()).withColumn("_at", stamp(at)).withWatermark("_at", late)
+    s = spans.where(F.col(key).isNotNull() & F.col(start).isNotNull() & told.cast("boolean"))
+    s = s.withColumnRenamed(key, "_key").withColumn("_start", stamp(start)).withWatermark("_start", late)
+    near = F.expr(f"_at >= _start - interval {margin} microseconds and _at <= _start + interval {longest + margin} microseconds")
+    inside = (F.col(at) >= F.col(start) - margin) & (F.col(at) <= F.col(end) + margin)
+    return m.join(s, (F.col(key) == F.col("_key")) & near & inside).drop("_key", "_at", "_start")
