@@ -1,11 +1,13 @@
 """Main text of web pages: flat text blocks, classified by a decision tree over their and their neighbours' features.
 
 A page is cut at block-level tags into a flat list of text blocks. A block has its word count, its link density, the
-same of the block before and after, and what its open elements and their class, id and role names say. A decision
-tree, grown once on a small labelled table of blocks (`LABELLED`), tells main text from the rest.
+same of the block before and after, and what its open elements and their class, id and role names say. An element that is
+named or made like a menu, a form or the like but holds nearly all words of the page says nothing. A decision tree, grown
+once on a table of blocks that rules make from page layouts and contents (`labelled_pages`), tells main text from the rest.
 
 Defined cases: null html and pages without main text give an empty text; tags that never close end with the page;
-a page cut anywhere keeps what stands before the cut; scripts, styles, comments and forms never give text; `<br>`
+a page cut anywhere keeps what stands before the cut; scripts, styles, comments and controls of forms never give text;
+very long pages are read in one pass; `<br>`
 is white space inside a block; white space of any kind becomes one space; equal rows are extracted one by one;
 extra columns are ignored.
 """
@@ -13,6 +15,7 @@ extra columns are ignored.
 from __future__ import annotations
 
 import html
+import random
 import re
 from functools import cache
 
@@ -29,16 +32,21 @@ BLOCKS = frozenset(
     "td template tfoot th thead title tr ul".split()
 )
 #: elements whose content is never text of the page
-SILENT = frozenset("script style noscript template svg math iframe object canvas audio video select textarea button title".split())
+SILENT = frozenset("script style noscript template svg math iframe object canvas audio video select textarea button title label legend datalist".split())
 #: of these the content is read up to the end tag, whatever it looks like
 RAW = frozenset("script style textarea title iframe noscript".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CHROME = frozenset("nav aside footer form header dialog menu search".split())
-_NAMES = re.compile(
-    r"(?:^|[^a-z])(?:nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|aside|footer|foot|header|masthead|banner|ads?|advert\w*|sponsor\w*|"
-    r"promo\w*|cookies?|consent|gdpr|notices?|alert|disclaimer|popup|modal|overlay|comments?|replies|reply|disqus|respond|share|sharing|social|related|"
-    r"recommend\w*|newsletter|subscribe|signup|login|search|widget|toolbar|pagination|pager|tags?|copyright|legal|skip|hidden)(?:$|[^a-z])"
+# fixed words of class, id and role names: what ends the name of a part that is not main text, what begins one, and what
+# makes a name speak of the whole page instead
+_PARTS = frozenset(
+    "nav navbar navigation menu breadcrumb breadcrumbs sidebar side aside footer foot header masthead banner ad ads advert advertisement "
+    "sponsor sponsored promo cookie cookies consent gdpr notice notices alert disclaimer popup modal overlay comments comment replies reply disqus "
+    "respond share sharing social related recommended recommendations newsletter subscribe signup login search widget widgets toolbar pagination "
+    "pager tags copyright legal skip".split()
 )
+_BEGINS = frozenset("ad ads advert cookie consent gdpr comment comments newsletter related share social sponsor promo popup sidebar nav menu footer breadcrumb".split())
+_WHOLE = frozenset("has no with without is enabled disabled page layout open closed content body main site wrapper template".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|$)", re.S
 )
@@ -47,32 +55,42 @@ _CLOSES_P = BLOCKS - {"p"} | {"p"}
 
 FEATURES = (
     "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "chrome", "named",
-    "article", "heading", "list_item",
+    "article", "heading", "list_item", "paragraph", "has_article",
 )
+#: an element with more than this share of the page's unlinked words is the page, whatever it is called
+PAGE_SHARE = 0.8
+
+
+def is_part(name: str) -> bool:
+    """Whether one class, id or role names a part of the page that is not its text."""
+    words = re.split(r"[-_]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower().strip("-_"))
+    if words[0] in _WHOLE or words[-1] in _WHOLE:
+        return False
+    return words[-1] in _PARTS or words[0] in _BEGINS
 
 
 class _Block:
-    __slots__ = ("parts", "linked", "context", "marked")
+    __slots__ = ("parts", "linked", "flags", "context", "marked")
 
-    def __init__(self, context, marked):
-        self.parts, self.linked, self.context, self.marked = [], [], context, marked
+    def __init__(self, flags, context, marked):
+        self.parts, self.linked, self.flags, self.context, self.marked = [], [], flags, context, marked
 
 
 def blocks(page: str) -> list[tuple[str, list[float], bool]]:
     """(text, features, carries the label attribute data-main) of every non-empty block in page order."""
     found: list[_Block] = []
-    # per open element: (tag, chrome, named, article, heading, list item, silent, marked)
-    stack: list[tuple] = [("", False, False, False, False, False, False, False)]
-    links = 0
+    # per open element: tag, flags (number, by name) of it and those around it, (article, heading, list item, paragraph), silent, marked
+    stack: list[tuple] = [("", (), (False,) * 4, False, False)]
+    links = number = 0
     block = None
 
     def text(raw: str) -> None:
         nonlocal block
         top = stack[-1]
-        if top[6] or not raw:
+        if top[3] or not raw:
             return
         if block is None:
-            block = _Block(top[1:6], top[7])
+            block = _Block(top[1], top[2], top[4])
             found.append(block)
         (block.linked if links else block.parts).append(raw)
         if links:
@@ -110,18 +128,24 @@ def blocks(page: str) -> list[tuple[str, list[float], bool]]:
             stack.pop()
         if tag in ("li", "dt", "dd", "td", "th", "tr", "option") and stack[-1][0] == tag:
             stack.pop()
-        _, chrome, named, article, heading, item, silent, marked = stack[-1]
+        _, flags, (article, heading, item, paragraph), silent, marked = stack[-1]
         attributes = {a.lower(): b or c or d for a, b, c, d in _ATTRIBUTE.findall(m[3])} if m[3].strip() else {}
-        names = " ".join(attributes.get(a, "") for a in ("class", "id", "role", "aria-label")).lower()
-        own = bool(names) and tag not in ("html", "body", "article", "main") and bool(_NAMES.search(names))
+        names = [n for a in ("class", "id", "role") for n in attributes.get(a, "").split()]
         hidden = "hidden" in attributes or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", "")) is not None
+        chrome = tag in _CHROME and not (tag == "header" and article) or attributes.get("role") in ("navigation", "banner", "contentinfo", "search", "complementary")
+        named = tag not in ("html", "body", "article", "main") and any(map(is_part, names))
+        if chrome or named:
+            number += 1
+            flags = (*flags, (number, named and not chrome))
         stack.append((
             tag,
-            chrome or tag in _CHROME and not (tag == "header" and article) or attributes.get("role") in ("navigation", "banner", "contentinfo", "search", "complementary"),
-            named or own or hidden,
-            (article or tag in ("article", "main") or attributes.get("role") == "main") and tag not in ("aside", "nav", "footer"),
-            tag in ("h1", "h2", "h3", "h4", "h5", "h6") or heading,
-            item or tag in ("li", "dd", "dt"),
+            flags,
+            (
+                (article or tag in ("article", "main") or attributes.get("role") == "main") and tag not in ("aside", "nav", "footer"),
+                tag in ("h1", "h2", "h3", "h4", "h5", "h6") or heading,
+                item or tag in ("li", "dd", "dt"),
+                paragraph or tag in ("p", "blockquote", "pre"),
+            ),
             silent or tag in SILENT or hidden and tag not in ("html", "body"),
             marked or "data-main" in attributes,
         ))
@@ -129,17 +153,25 @@ def blocks(page: str) -> list[tuple[str, list[float], bool]]:
             end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, at)
             at = end.start() if end else len(page)
 
-    flat = []
+    flat, held, total = [], {}, 0
     for b in found:
         words = html.unescape("".join(b.parts)).split()
         if words:
             linked = len(html.unescape("".join(b.linked)).split())
-            flat.append((" ".join(words), len(words), min(1.0, linked / len(words)), b.context, b.marked))
+            own = max(0, len(words) - linked)
+            total += own
+            for k, _ in b.flags:
+                held[k] = held.get(k, 0) + own
+            flat.append((" ".join(words), len(words), min(1.0, linked / len(words)), b))
+    page_wide = {k for k, n in held.items() if n > PAGE_SHARE * total}
+    has_article = any(b.context[0] for *_, b in flat)
     out = []
-    for i, (t, n, density, context, marked) in enumerate(flat):
+    for i, (t, n, density, b) in enumerate(flat):
         before = flat[i - 1][1:3] if i else (0, 0.0)
         after = flat[i + 1][1:3] if i + 1 < len(flat) else (0, 0.0)
-        out.append((t, [float(n), density, *map(float, before), *map(float, after), *map(float, context)], marked))
+        flags = [by_name for k, by_name in b.flags if k not in page_wide]
+        row = [n, density, *before, *after, not all(flags), any(flags), *b.context, has_article]
+        out.append((t, list(map(float, row)), b.marked))
     return out
 
 
@@ -159,7 +191,7 @@ def _paragraphs(*sizes: int) -> str:
     return "".join(f"<p>{_say(n, n)}</p>" for n in sizes)
 
 
-def _labelled() -> list[str]:
+def _own_pages() -> list[str]:
     nav, foot = f"<nav><ul>{_links(6)}</ul></nav>", "<footer>&copy; example &middot; " + _say(8) + "</footer>"
     return [
         f'<body>{nav}<div class="ad">{_say(12)}</div><article data-main><h1>{_say(8)}</h1>{_paragraphs(60, 4, 90, 1, 30)}</article>{foot}</body>',
@@ -190,10 +222,54 @@ def _labelled() -> list[str]:
     ]
 
 
+def _contents() -> list[str]:
+    """What the main text of a page can be made of."""
+    items = lambda *sizes: "".join(f"<li>{_say(n, n)}</li>" for n in sizes)
+    sizes = random.Random(7)
+    mixed = [[round(sizes.choice((1, 3, 9, 27, 81, 243)) * sizes.uniform(1, 3)) for _ in range(7)] for _ in range(12)]
+    return [
+        *(f"<h1>{_say(4 + len(m) % 5)}</h1>{_paragraphs(*m)}" for m in mixed),
+        f"<h1>{_say(8)}</h1>{_paragraphs(60, 4, 90, 1, 30)}",
+        _paragraphs(20, 20, 20),
+        f"<h2>{_say(3)}</h2><ul>{items(9, 13, 14)}</ul>{_paragraphs(25)}",
+        f"<h1>{_say(5)}</h1><p>{_say(20)} <a href=/z>{_say(3)}</a> {_say(14)}</p><p><a href=/y>{_say(6)}</a> {_say(16)}</p>{_paragraphs(33)}",
+        f"<h1>{_say(4)}</h1><blockquote>{_say(28)}</blockquote><pre>{_say(12)}</pre>{_paragraphs(45, 8, 12)}",
+        _paragraphs(120),
+        f"<h2>{_say(4)}</h2>{_paragraphs(18)}<h3>{_say(2)}</h3>{_paragraphs(31, 15)}<ol>{items(16, 11)}</ol>",
+    ]
+
+
+def _layouts(c: str) -> list[str]:
+    """Pages of unlike make around the main text `c`."""
+    nav, foot = f"<nav><ul>{_links(6)}</ul></nav>", f"<footer>&copy; example &middot; {_say(8)}</footer>"
+    menu, teaser = f"<ul>{_links(7)}</ul>", f"<p><a href=/m>{_say(14)}</a></p>"
+    main = f"<div data-main>{c}</div>"
+    return [
+        f'<body>{nav}<div class="ad">{_say(12)}</div><article data-main>{c}</article>{foot}</body>',
+        f"<body>{menu}{main}{menu}<p><a href=/t>{_say(4)}</a></p></body>",
+        f'<body><div class="has-sidebar">{menu}{main}<div class="sidebar"><h3>{_say(2)}</h3><p>{_say(25)}</p>{menu}</div></div></body>',
+        f"<body><form action=/><label>{_say(3)}</label><input name=q><button>{_say(1)}</button>{menu}{main}</form></body>",
+        f'<body>{nav}<article class="post share-enabled">{main}<div class="share">{_say(4)}</div><section id="comments"><p>{_say(24)}</p><p>{_say(11)}</p></section></article></body>',
+        f'<body><div id="top" class="tags-page">{menu}{main}<div class="tags">{menu}</div></div><div id="site-footer">{_say(12)}</div></body>',
+        f"<body><table><tr><td>{menu}</td><td>{main}</td></tr></table></body>",
+        f'<body><header><h1>{_say(3)}</h1><p>{_say(9)}</p></header><main>{main}<aside><p>{_say(30)}</p></aside></main><dialog><p>{_say(22)}</p></dialog>{foot}</body>',
+        f"<body data-main>{c}</body>",
+        f"<body>{teaser}{main}{teaser}<p><a href=/l>{_say(40)}</a></p></body>",
+        f'<body><div class="cookie-notice"><p>{_say(20)}</p></div>{main}<div class="related-posts"><h3>{_say(2)}</h3>{menu}</div></body>',
+        f"<body>{nav}<article>{main}<p><a href=/l>{_say(40)}</a></p></article>{foot}</body>",
+    ]
+
+
+def labelled_pages() -> list[str]:
+    """Blocks under data-main are main text, all others are not."""
+    bare = [f"<div data-main>{_say(n)}</div>" for n in (30, 80, 200)]
+    return [*_own_pages(), *(page for c in _contents() for page in _layouts(c)), *bare]
+
+
 class Tree:
     """A binary decision tree grown by Gini impurity, kept as arrays."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 6, least: int = 1):
+    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 14, least: int = 1):
         self.feature, self.cut, self.low, self.high, self.value = [], [], [], [], []
         self._grow(x, y, depth, least)
 
@@ -229,7 +305,7 @@ class Tree:
 
 def labelled_table() -> tuple[np.ndarray, np.ndarray]:
     """(features, is main text) of all blocks of the labelled pages."""
-    rows = [(f, marked) for page in _labelled() for _, f, marked in blocks(page)]
+    rows = [(f, marked) for page in labelled_pages() for _, f, marked in blocks(page)]
     return np.array([f for f, _ in rows]), np.array([m for _, m in rows], float)
 
 
