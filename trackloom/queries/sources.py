@@ -67,7 +67,7 @@ def recording_payloads(spark, sf):
 
 
 @query(
-    """select o_orderkey, o_custkey, o_orderpriority || '"}], [{\\\\' || o_orderstatus as note, o_totalprice, [o_orderstatus, '","'] as marks from orders"""
+    """select o_orderkey, o_custkey, o_orderpriority || '"}], [{\\' || o_orderstatus as note, o_totalprice, [o_orderstatus, '","'] as marks from orders"""
 )
 def json_array_rows(spark, sf):
     """The orders written as JSON arrays, with brackets, quotes and backslashes in strings, and read by ranges of 64 kB."""
