@@ -105,14 +105,14 @@ def elements(path: str, size: int, start: int, end: int, state: int, depth: int,
             _check(path, b, depth, at, min(end - at, len(data)))
         starts, ends = b.edges(depth)
         state, depth = b.state, depth + int(b.change.sum())
-        stops = set(ends.tolist())
-        for place in sorted({*starts[starts + at < end].tolist(), *stops}):
+        begins, stops = set(starts[starts + at < end].tolist()), set(ends.tolist())
+        for place in sorted(begins | stops):
             if begin is not None and place in stops:
                 text = b"".join([*parts, data[max(0, begin - at) : place]]).strip(_BLANK)
                 if text:
                     yield begin, text
                 begin, parts = None, []
-            if place in starts and at + place < end:
+            if place in begins:
                 begin = at + place + 1
         if begin is not None:
             parts.append(data[max(0, begin - at) :])
