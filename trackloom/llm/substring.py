@@ -422,12 +422,13 @@ def ends(docs: DataFrame, runs: DataFrame, found: DataFrame) -> DataFrame:
     whole = ["same", "side", "near", "room"]
     near = stage(_contexts(docs, places), "near")
     # places with all the same words around are settled at once; only the first of them goes on
-    firsts = near.groupBy(*whole).agg(F.min(_place()).alias("first"), F.count("*").alias("n"))
+    firsts = stage(near.groupBy(*whole).agg(F.min(_place()).alias("first"), F.count("*").alias("n")), "near")
     equal = near.join(firsts.where("n > 1"), whole).where((_place() != F.col("first")) & (F.col("room") > 0))
     equal = stage(equal.select(*_PLACE, "side", F.col("room").alias("d"), *_to("first")), "ends")
     nothing = [F.lit(None).cast(runs.schema[c].dataType).alias(f"to_{c}") for c in _PLACE]
     state = stage(firsts.select("first.*", "same", "side", "near", "room", F.lit(0).alias("d"), *nothing), "ends")
     discard(near)
+    discard(firsts)
     step = 1 << (REACH.bit_length() - 1)
     while step:
         probe = state.withColumn("next", F.when(F.col("room") >= F.col("d") + step, F.expr(f"substring_index(near, ' ', d + {step})")))
