@@ -102,7 +102,12 @@ def elements(path: str, size: int, start: int, end: int, state: int, depth: int,
             return
         b = Block(data, state)
         if at < end:
-            _check(path, b, depth, at, min(end - at, len(data)))
+            upto = min(end - at, len(data))
+            _check(path, b, depth, at, upto)
+            for place in np.flatnonzero((b.change[:upto] == 1) & (depth + np.cumsum(b.change[:upto]) == 1)).tolist():
+                # nothing but white space and a byte order mark stands before the array
+                if b"".join(d for _, d in source.blocks(0, at + place)).removeprefix(b"\xef\xbb\xbf").strip(_BLANK):
+                    raise ValueError(f"{path}: not a JSON array, or more than one")
         starts, ends = b.edges(depth)
         state, depth = b.state, depth + int(b.change.sum())
         begins, stops = set(starts[starts + at < end].tolist()), set(ends.tolist())
