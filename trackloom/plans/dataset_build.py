@@ -51,11 +51,11 @@ def _case(mapping: dict, col: str, default) -> Column:
 
 
 def key_frames(scenes: DataFrame, b: BuildParams) -> DataFrame:
-    """The samples: every stride-th anchor frame of a scene, with its camera stamps and tokens."""
+    """The samples: every stride-th anchor frame of a scene, with its camera stamps and tokens; one per instant."""
     p = b.yields
     inside = F.expr("(place - 1) % frames_per_scene")
     rows = scenes.where("scene_no is not null").where(inside % b.stride == 0)
-    rows = rows.withColumn("scene_token", token(*p.keys, "segment", "scene_no"))
+    rows = rows.withColumn("scene_token", token(*p.keys, "segment", "scene_no")).dropDuplicates(["scene_token", p.at])
     return rows.select(*p.keys, p.at, *p.gating, "scene_token", token("scene_token", p.at).alias("token"))
 
 
