@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trackloom.functions.boxes import area, intersection, iou
 from trackloom.operators.skew import salted_join
@@ -13,6 +17,8 @@ from trackloom.operators.skew import salted_join
 # Detector class -> road-user group, and the thresholds of the counting rules.
 GROUP = {"person": "ped", "bicycle": "two", "motorcycle": "two", "car": "veh", "bus": "veh", "truck": "veh"}
 BOX = ("x1", "y1", "x2", "y2")
+FRAMES = 64  # frames a stretch holds
+PAIRS = 1 << 18  # pairs of boxes compared at a time
 
 
 def near_boxes(
@@ -111,16 +117,62 @@ def moving_boxes(
     """Adds `moving`: no box of the same kind overlaps it by static_iou in either neighbouring frame.
 
     `frame` counts 0, 1, 2, ... within the scene; a frame the scene lacks (before the first, after the last) is
-    not asked.
+    not asked. Boxes are shuffled once, by camera and stretch of FRAMES frames; the frames at either end of a stretch
+    also go to the stretch beside it.
     """
-    last = boxes.groupBy(*scene).agg(F.max(frame).alias("_max"))
-    # a box is compared with the frames before and after it; a still match in any of them rules motion out
-    sides = boxes.withColumn("_f", F.explode(F.array(F.col(frame) - 1, F.col(frame) + 1)))
-    keys = [*scene, cam, kind, "_f"]
-    other = boxes.select(*scene, cam, kind, F.col(frame).alias("_f"), *BOX)
-    met = near_boxes(sides.select(*keys, frame, box_id, *BOX), other, keys, static_iou, [box_id])
-    still = met.where(iou(BOX, tuple(f"o_{c}" for c in BOX), 1e-9) >= static_iou).select(*scene, frame, cam, box_id).distinct()
-    on = [*scene, frame, cam, box_id]
-    return boxes.join(still.withColumn("_still", F.lit(True)), on, "left").select(
-        *boxes.columns, F.col("_still").isNull().alias("moving")
-    )
+    at = F.coalesce(F.col(frame), F.lit(0)).cast("long")
+    block, inside = F.floor(at / FRAMES), F.pmod(at, F.lit(FRAMES))
+    beside = F.when(inside == 0, -1).when(inside == FRAMES - 1, 1)
+    rows = boxes.withColumn("_side", F.explode(F.array_compact(F.array(F.lit(0), beside)))).withColumn("_block", block + F.col("_side"))
+    same, columns = [frame, kind, box_id], boxes.columns
+
+    def mark(table: pa.Table) -> pa.Table:
+        still = _still([table.column(c) for c in (*scene, cam)], *[table.column(c) for c in same], [table.column(c) for c in BOX], static_iou)
+        own = table.append_column("moving", pa.array(~still)).filter(pc.equal(table.column("_side"), 0))
+        return own.select([*columns, "moving"])
+
+    schema = T.StructType([*boxes.schema.fields, T.StructField("moving", T.BooleanType())])
+    return rows.groupBy(*scene, cam, "_block").applyInArrow(mark, schema)
+
+
+def _still(place: list[pa.ChunkedArray], frame, kind, box_id, box: list[pa.ChunkedArray], least: float) -> np.ndarray:
+    """Which boxes of a stretch of frames meet one of their kind in the frame before or after."""
+    n = len(frame)
+    still = np.zeros(n, bool)
+    if any(c[0].as_py() is None for c in place):
+        return still
+    known = pc.and_(pc.is_valid(frame), pc.is_valid(kind)).to_numpy(zero_copy_only=False)
+    at = pc.fill_null(frame, 0).to_numpy().astype(np.int64)
+    sort = pc.fill_null(kind.combine_chunks().dictionary_encode().indices, -1).to_numpy()
+    x1, y1, x2, y2 = (c.to_numpy().astype(float) for c in box)
+    order = np.lexsort((x1, at, sort))
+    order = order[known[order]]
+    edge = np.flatnonzero(np.diff(sort[order]) | np.diff(at[order])) + 1
+    images = np.split(order, edge)
+    for a, b in zip(images, images[1:]):
+        if sort[a[0]] != sort[b[0]] or at[b[0]] != at[a[0]] + 1:
+            continue
+        # an overlap of `least` leaves this much between the left edges
+        width = np.maximum(x2[a] - x1[a], 0)
+        step = max(1, PAIRS // len(b))
+        for k in range(0, len(a), step):
+            i, w = a[k : k + step], width[k : k + step] * (1 + 1e-9) + 1e-6
+            low, high = np.nanmin(x1[i] - (1 / least - 1) * w, initial=np.inf), np.nanmax(x1[i] + (1 - least) * w, initial=-np.inf)
+            j = b[np.searchsorted(x1[b], low, "left") : np.searchsorted(x1[b], high, "right")]
+            p = i[:, None]
+            wide = np.maximum(np.minimum(x2[p], x2[j]) - np.maximum(x1[p], x1[j]), 0)
+            shared = wide * np.maximum(np.minimum(y2[p], y2[j]) - np.maximum(y1[p], y1[j]), 0)
+            whole = (x2[p] - x1[p]) * (y2[p] - y1[p]) + (x2[j] - x1[j]) * (y2[j] - y1[j]) - shared + 1e-9
+            with np.errstate(divide="ignore", invalid="ignore"):
+                met = shared / whole >= least
+            still[i] |= met.any(axis=1)
+            still[j] |= met.any(axis=0)
+    # rows of one id in one frame are one box
+    ids = box_id.combine_chunks().dictionary_encode().indices
+    if len(pc.unique(ids)) < n and still.any():
+        named = pc.fill_null(ids, -1).to_numpy().astype(np.int64)
+        _, one = np.unique(np.stack([named, at]), axis=1, return_inverse=True)
+        found = np.zeros(one.max() + 1, bool)
+        found[one.ravel()[still & (named >= 0)]] = True
+        still |= found[one.ravel()] & known
+    return still

@@ -398,7 +398,8 @@ def sample_counts(spark, sf):
 select b.scene, b.kind, count(*) as n, count(*) filter (st.id is null) as n_moving from b left join st using (id, frame) group by all"""
 )
 def moving_boxes(spark, sf):
-    m = detections.moving_boxes(_boxes(spark, sf), ["scene"], "frame", "cam", "kind", "id", 0.5)
+    b = _boxes(spark, sf).select("scene", "frame", "cam", "kind", "id", *detections.BOX)
+    m = detections.moving_boxes(b, ["scene"], "frame", "cam", "kind", "id", 0.5)
     return m.groupBy("scene", "kind").agg(F.count(F.lit(1)).alias("n"), F.count_if("moving").alias("n_moving"))
 
 
