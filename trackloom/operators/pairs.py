@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from trackloom.operators.skew import salted_join
 from trackloom.session import stage
 
+REGION = 64  # cells a region is wide
+POINTS = 100_000  # points of the scenes of a block
+PAIRS = 1 << 19  # pairs of points compared at a time
+
 
 def _cells(points: DataFrame, x: str, y: str, size: float) -> DataFrame:
     return points.withColumn("_cx", F.floor(F.col(x) / size)).withColumn("_cy", F.floor(F.col(y) / size))
@@ -23,30 +30,16 @@ def _around(df: DataFrame) -> DataFrame:
     )
 
 
-def candidate_pairs(
-    points: DataFrame, scene: str, x: str, y: str, reach: float, share: float, within: tuple[str, ...] = ()
-) -> DataFrame:
-    """Ordered pairs (a, b) that can still reach `share`: b has a point in or beside enough of a's rare cells.
-
-    Exact pruning: if b covers at least `share` of a's points, it must touch any set of a's cells that holds more
-    than (1 - share) of them. Taking a's rarest cells for that set keeps crowded places from pairing everyone with
-    everyone. `within` names columns both scenes must share, such as the recording.
-    """
-    place = [*within, "_cx", "_cy"]
-    cells = stage(
-        _cells(points.select(scene, *within, x, y), x, y, reach).groupBy(scene, *place).agg(F.count(F.lit(1)).alias("_n")),
-        "cells",
-    )
-    crowd = _around(cells.select(scene, *place)).groupBy(*place).agg(F.count_distinct(scene).alias("_crowd"))
-    ranked = cells.join(crowd, place)
-    w = Window.partitionBy(scene).orderBy("_crowd", "_cx", "_cy")  # a scene is seconds long: few cells
-    before = F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    total = F.sum("_n").over(Window.partitionBy(scene))
-    prefix = ranked.select(scene, *place, before.alias("_before"), total.alias("_total"))
-    prefix = prefix.where(F.col("_before") <= (1.0 - share) * F.col("_total") + 1e-9)
-    probe = _around(prefix.select(F.col(scene).alias("a"), *place)).distinct()
-    target = cells.select(F.col(scene).alias("b"), *place)
-    return salted_join(probe, target, place, ["a"]).where("a <> b").select("a", "b").distinct()
+def _blocks(points: DataFrame, scene: str, x: str, y: str, reach: float, within: tuple[str, ...]) -> DataFrame:
+    """(scene, _block): scenes that begin in one region, in blocks of some POINTS points."""
+    cells = _cells(points, x, y, reach)
+    home = F.struct((F.min("_cx").cast("double") / REGION).cast("long").alias("x"), (F.min("_cy").cast("double") / REGION).cast("long").alias("y"))
+    scenes = cells.where("_cx is not null and _cy is not null").groupBy(scene, *within).agg(F.count(F.lit(1)).alias("_n"), home.alias("_home"))
+    scenes = scenes.dropna(subset=[scene, *within])
+    full = scenes.groupBy(*within, "_home").agg(F.sum("_n").alias("_all"))
+    slices = F.ceil(F.col("_all") / POINTS)
+    block = F.struct(*within, "_home", F.pmod(F.xxhash64(scene), slices).alias("slice"))
+    return scenes.join(full, [*within, "_home"]).select(scene, block.alias("_block"))
 
 
 def place_cover(
@@ -65,28 +58,90 @@ def place_cover(
 
     The heading test uses b's nearest point only (the first one on a tie). Pairs below `share` are left out, and
     with `within` those that differ in one of these columns.
+
+    Scenes are put into blocks by place; two blocks meet if one has points in or beside a cell of the other. A task
+    compares the scenes of a block with those of another, cell by cell, and passes on the pairs that reach `share`.
+    A crowded place thus costs comparisons, but moves every point only once per block it meets.
     """
-    pairs = candidate_pairs(points, scene, x, y, place_m, share, within)
-    pairs = stage(pairs.select("a", "b"), "pairs")
-    pts = _cells(points.select(scene, seq, x, y, heading), x, y, place_m)
-    mine = _around(
-        pts.select(F.col(scene).alias("a"), F.col(seq).alias("_i"), F.col(x).alias("_x"), F.col(y).alias("_y"),
-                   F.col(heading).alias("_h"), "_cx", "_cy")
-    )
-    asked = salted_join(mine, pairs, ["a"], ["_i", "_cx", "_cy"])
-    theirs = pts.select(F.col(scene).alias("b"), F.col(seq).alias("_j"), F.col(x).alias("_x2"),
-                        F.col(y).alias("_y2"), F.col(heading).alias("_h2"), "_cx", "_cy")
-    met = salted_join(asked, theirs, ["b", "_cx", "_cy"], ["a", "_i"])
-    d2 = (F.col("_x") - F.col("_x2")) ** 2 + (F.col("_y") - F.col("_y2")) ** 2
-    best = met.groupBy("a", "b", "_i").agg(
-        F.min(F.struct(F.sqrt(d2).alias("d"), F.col("_j").alias("j"), F.col("_h2").alias("h2"), F.col("_h").alias("h"))).alias("_b")
-    )
-    turn = F.abs(F.pmod(F.col("_b")["h"] - F.col("_b")["h2"] + 180, F.lit(360.0)) - 180)
-    ok = (F.col("_b")["d"] <= place_m) & (turn <= heading_deg)
-    hits = best.groupBy("a", "b").agg(F.count_if(ok).alias("_ok"))
-    sizes = points.groupBy(F.col(scene).alias("a")).agg(F.count(F.lit(1)).alias("_size"))
-    cover = hits.join(sizes, "a").select("a", "b", (F.col("_ok") / F.col("_size")).alias("cover"))
-    return cover.where(F.col("cover") >= share)
+    blocks = stage(_blocks(points, scene, x, y, place_m, within), "blocks")
+    pts = points.select(scene, F.col(seq).alias("_i"), F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"), F.col(heading).cast("double").alias("_h"))
+    pts = stage(pts.join(blocks, scene), "blocked")
+    net = _cells(pts.where("_x is not null and _y is not null"), "_x", "_y", place_m).select("_block", "_cx", "_cy").distinct()
+    net = stage(net, "net")
+    same = [F.col("_block")[c].alias(f"_w{k}") for k, c in enumerate(within)]
+    mine = _around(net.select(F.col("_block").alias("_a"), *same, "_cx", "_cy")).distinct()
+    theirs = net.select(F.col("_block").alias("_b"), *same, "_cx", "_cy")
+    met = mine.join(theirs, [*[f"_w{k}" for k in range(len(within))], "_cx", "_cy"]).select("_a", "_b").distinct()
+    met = stage(met, "met")
+    left = met.join(pts, F.col("_a") == F.col("_block")).withColumn("_left", F.lit(True))
+    right = met.join(pts, F.col("_b") == F.col("_block")).withColumn("_left", F.lit(False))
+
+    def compare(table: pa.Table) -> pa.Table:
+        a, b = table.filter(table.column("_left")), table.filter(pc.invert(table.column("_left")))
+        return _covers(a, b, scene, place_m, heading_deg, share)
+
+    kind = points.schema[scene].dataType
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("cover", T.DoubleType())])
+    sides = [scene, "_i", "_x", "_y", "_h", "_left"]
+    both = left.select("_a", "_b", *sides).unionByName(right.select("_a", "_b", *sides))
+    return both.groupBy("_a", "_b").applyInArrow(lambda t: compare(t.select(sides)), schema)
+
+
+def _covers(a: pa.Table, b: pa.Table, scene: str, reach: float, turn: float, share: float) -> pa.Table:
+    """The pairs (scene of a, scene of b) of two blocks whose cover reaches `share`."""
+    b = b.take(pc.sort_indices(b, [(scene, "ascending"), ("_i", "ascending")]))
+    names = [t.column(scene).combine_chunks().dictionary_encode() for t in (a, b)]
+    code = [n.indices.to_numpy() for n in names]
+    size = np.bincount(code[0], minlength=len(names[0].dictionary))
+    xs, ys, hs = ([t.column(c).to_numpy() for t in (a, b)] for c in ("_x", "_y", "_h"))
+    known = [np.flatnonzero(np.isfinite(x) & np.isfinite(y)) for x, y in zip(xs, ys)]
+    cells = [np.stack([np.floor(x[k] / reach), np.floor(y[k] / reach)], axis=1) for x, y, k in zip(xs, ys, known)]
+    places = [_by_cell(c, k) for c, k in zip(cells, known)]
+    found, counts, held, spare = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
+    for (cx, cy), mine in places[0].items():
+        near = [places[1][c] for c in ((cx + i, cy + j) for i in (-1, 0, 1) for j in (-1, 0, 1)) if c in places[1]]
+        if not near:
+            continue
+        j = np.sort(np.concatenate(near))  # by scene and place in it
+        first = np.flatnonzero(np.diff(code[1][j], prepend=-1))
+        run = np.cumsum(np.diff(code[1][j], prepend=-1) != 0) - 1
+        step = max(1, PAIRS // len(j))
+        for k in range(0, len(mine), step):
+            i = mine[k : k + step]
+            dx, dy = xs[0][i][:, None] - xs[1][j], ys[0][i][:, None] - ys[1][j]
+            d = np.sqrt(dx * dx + dy * dy)
+            best = np.minimum.reduceat(d, first, axis=1)
+            nearest = np.minimum.reduceat(np.where(d == best[:, run], np.arange(len(j)), len(j)), first, axis=1)
+            row, col = np.nonzero(best <= reach)
+            off = np.fmod(hs[0][i][row] - hs[1][j[nearest[row, col]]] + 180, 360.0)
+            off = np.where(off < 0, np.fmod(off + 360.0, 360.0), off)
+            good = np.abs(off - 180) <= turn
+            keys = code[0][i[row[good]]].astype(np.int64) * len(names[1].dictionary) + code[1][j[first[col[good]]]]
+            held.append(keys)
+            spare += len(keys)
+            if spare > 4 * PAIRS + len(found):
+                found, counts = _tally(found, counts, held)
+                held, spare = [], 0
+    found, counts = _tally(found, counts, held)
+    m, n = np.divmod(found, max(1, len(names[1].dictionary)))
+    cover = counts / np.maximum(size, 1)[m] if len(m) else np.zeros(0)
+    one, two = names[0].dictionary.take(pa.array(m)), names[1].dictionary.take(pa.array(n))
+    out = pa.table({"a": one, "b": two, "cover": cover})
+    return out.filter(pc.and_(pc.greater_equal(out.column("cover"), share), pc.not_equal(one, two)))
+
+
+def _by_cell(cells: np.ndarray, rows: np.ndarray) -> dict[tuple[float, float], np.ndarray]:
+    """Rows of each cell, in their order."""
+    order = np.lexsort((cells[:, 1], cells[:, 0]))
+    cut = np.flatnonzero((np.diff(cells[order], axis=0) != 0).any(axis=1)) + 1
+    return {tuple(cells[part[0]].tolist()): rows[part] for part in np.split(order, cut) if len(part)}
+
+
+def _tally(found: np.ndarray, counts: np.ndarray, held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and how often they have been met so far."""
+    more, times = np.unique(np.concatenate([found[:0], *held]), return_counts=True)
+    keys, place = np.unique(np.concatenate([found, more]), return_inverse=True)
+    return keys, np.bincount(place, np.concatenate([counts, times]), len(keys)).astype(np.int64)
 
 
 def ego_distance(v_a: str, w_a: str, v_b: str, w_b: str, s_v: float = 5.0, s_w: float = 2.0) -> Column:
