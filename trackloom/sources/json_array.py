@@ -30,6 +30,8 @@ from trackloom.sources.recording import filesystem
 
 RANGE_BYTES = 32 << 20
 BLOCK_BYTES = 4 << 20
+TASK_BYTES = 64 << 20
+AHEAD_BYTES = 4 << 10  # read behind a range at first, for the end of its last element
 OUTSIDE, INSIDE, ESCAPED = range(3)
 
 _DEPTH = np.zeros(256, np.int64)
@@ -83,6 +85,14 @@ class _File:
             self.file.seek(at)
             yield at, self.file.read(min(size, end - at))
 
+    def onwards(self, start: int, end: int, size: int, block: int = BLOCK_BYTES) -> Iterator[tuple[int, bytes]]:
+        """Blocks of [start, end), then, as long as they are asked for, small ones that grow up to the file's `size`."""
+        yield from self.blocks(start, end, block)
+        at, step = end, min(block, AHEAD_BYTES)
+        while at < size:
+            yield from self.blocks(at, min(size, at + step), step)
+            at, step = at + step, min(block, 2 * step)
+
 
 def summary(blocks: Iterator[bytes]) -> list[tuple[int, int]]:
     """(state behind, change of depth) for each state in front."""
@@ -97,7 +107,7 @@ def elements(path: str, size: int, start: int, end: int, state: int, depth: int,
     """(place, text) of the elements that begin in [start, end), given what is in front of it."""
     source = _File(path)
     begin, parts, last = None, [], depth
-    for at, data in source.blocks(start, size, block):
+    for at, data in source.onwards(start, end, size, block):
         if begin is None and at >= end:
             return
         b = Block(data, state)
@@ -175,12 +185,15 @@ def entries(ranges: DataFrame) -> DataFrame:
 
 def read_elements(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(path, at LONG, value STRING): the text of every element of the array file, or of all in a folder."""
-    files = spark.createDataFrame([f for f in _files(path) if f[1]], "path string, size long")
+    found = [f for f in _files(path) if f[1]]
+    files = spark.createDataFrame(found, "path string, size long")
     n = F.expr(f"(size - 1) div {range_bytes}")
     ranges = files.select("path", "size", F.explode(F.sequence(F.lit(0).cast("long"), n)).alias("k")).select(
         "path", "size", (F.col("k") * range_bytes).alias("first"), F.least(F.col("size"), (F.col("k") + 1) * range_bytes).alias("last")
     )
-    spread = lambda df: df.repartition("path", "first")
+    # a number of its own: the rows are small, and the runtime would put them all into one task
+    tasks = min(sum(-(-size // range_bytes) for _, size in found), max(4 * spark.sparkContext.defaultParallelism, sum(size for _, size in found) // TASK_BYTES))
+    spread = lambda df: df.repartition(max(1, tasks), "path", "first")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
