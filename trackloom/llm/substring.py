@@ -3,11 +3,13 @@
 Texts are told apart by a 128-bit digest; a text that an earlier row holds under another key is a copy and goes whole.
 Of the distinct texts two kinds of paragraphs are matched, A-Z lower-cased:
 
-* lines of at least `line_words` words, on shingles of five words. A line's MinHash signature is cut into bands tuned for
-  recall (8 bands of 3 rows find 99.7 % of the pairs at a Jaccard similarity of 0.8). Equal lines are one; lines that
-  collide in a band are joined with one line of the band and verified by exact Jaccard similarity of their shingle sets.
-  Those unlike it are joined with all others that collided and share one of their rarest shingles, as any pair at that
-  similarity must, and verified too.
+* lines of at least `line_words` words, on shingles of five words. A line's MinHash signature is its smallest shingle
+  hashes, a fifth of them and one more, each a band of its own: two lines at a Jaccard similarity of 0.8 always share
+  one. Equal lines are one. Lines of a band are joined with each other, as far as size and rank of the shared hash allow
+  the similarity, and verified by exact Jaccard similarity of their shingle sets. Bands of more than `FEW` lines are joined
+  with their earliest line instead; those unlike it are joined with all others of such bands that share one of their
+  rarest shingles, as any pair at that similarity must, and verified too. Two lines like the earliest both go and are one
+  component through it.
 * stretches of `PASSAGE` words, for passages copied into the middle of other lines, which no line similarity shows.
   Each stretch is banded by its MinHash shingle, the anchor (a band of one row that overlapping stretches share), and
   the runs of `UNIT` words that end and start with the anchor are the paragraphs. Two texts that share `PASSAGE` words
@@ -43,8 +45,9 @@ from trackloom.operators.graph import components
 from trackloom.session import discard, stage
 
 SHINGLE = 5
-BANDS, ROWS = 8, 3
 SIMILAR = 0.8
+#: lines of a band of which every two are compared; fuller bands go through their earliest line
+FEW = 64
 #: lines of fewer words are no paragraphs: ordinary short lines are common to texts that have nothing else in common
 LINE_WORDS = 20
 PASSAGE = 50
@@ -52,7 +55,7 @@ UNIT = (PASSAGE + SHINGLE - 1) // 2
 REACH = PASSAGE - UNIT  # a repeated stretch of PASSAGE words ends at most so many words from a run that repeats
 LINE, RUN, TEXT, LOST, KEPT = range(5)
 GONE, OTHER, STAY = range(3)
-_ROW = "doc binary, kind int, start int, words int, same binary, bands array<long>"
+_ROW = "doc binary, kind int, start int, words int, same binary, bands array<long>, hashes int"
 
 
 def shingles(words: np.ndarray) -> np.ndarray:
@@ -122,22 +125,30 @@ class Words:
         return list(map(xxhash.xxh3_128_digest, self.texts(first, end)))
 
 
-def lines_of(w: Words, line_words: int = LINE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first word, end, bands) of every long line."""
+def lines_of(w: Words, line_words: int = LINE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, end, bands of all lines in one array, where each line's bands begin, distinct hashes) of every long line.
+
+    The bands are a line's smallest shingle hashes, ascending. At most n - ceil(0.8 n) of a line's n shingles are missing
+    from a similar one, so the smallest hash that both have is among one more than that in both, also where hashes of
+    unlike shingles are equal; n counts shingles with repeats, which can only lengthen the list.
+    """
     first, last = w.lines[:-1], w.lines[1:]
     long = last - first >= max(line_words, SHINGLE)
     first, last = first[long], last[long]
-    bands = np.zeros((len(first), BANDS), np.uint64)
-    if len(first):
-        sh = shingles(w.hash)
-        # minimum over each line's shingles: from its first to its last, and from there to the next line, alternating
-        bounds = np.stack([first, last - SHINGLE + 1], axis=1).reshape(-1)
-        for k in range(BANDS * ROWS):
-            salted = mix(sh ^ np.uint64((0x9E3779B97F4A7C15 * (k + 1)) % 2**64))
-            low = np.minimum.reduceat(salted, bounds)[::2]
-            b = k // ROWS
-            bands[:, b] = mix(bands[:, b] * np.uint64(31) + low + np.uint64(b))
-    return first, last, bands
+    n = last - first - SHINGLE + 1
+    of = np.repeat(np.arange(len(n)), n)
+    at = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+    sh = shingles(w.hash)[at + np.repeat(first, n)]
+    order = np.lexsort((sh, of))
+    sh, of = sh[order], of[order]
+    new = np.ones(len(sh), bool)
+    new[1:] = (sh[1:] != sh[:-1]) | (of[1:] != of[:-1])
+    sh, of = sh[new], of[new]
+    hashes = np.bincount(of, minlength=len(n))
+    rank = np.arange(len(of)) - np.repeat(np.cumsum(hashes) - hashes, hashes)
+    most = n - np.ceil(n * SIMILAR - 1e-9).astype(np.int64) + 1
+    held = np.minimum(hashes, most)
+    return first, last, sh[rank < most[of]], np.cumsum(np.append(0, held)), hashes
 
 
 def runs_of(w: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -193,7 +204,7 @@ def paragraphs(docs: DataFrame, line_words: int = LINE_WORDS) -> DataFrame:
         for batch in slices(batches, "text"):
             w = Words(texts(batch, "text"))
             size = np.diff(w.edges)
-            first, last, bands = lines_of(w, line_words)
+            first, last, bands, cut, hashes = lines_of(w, line_words)
             doc, start = runs_of(w)
             same = w.digests(start, start + UNIT)
             to = repeated_inside(w, doc, start, same)
@@ -212,15 +223,16 @@ def paragraphs(docs: DataFrame, line_words: int = LINE_WORDS) -> DataFrame:
             ]
             for kind, d, at, n, digest in parts:
                 rows = len(d)
-                lists = pa.nulls(rows, pa.list_(pa.int64()))
-                if kind == LINE and rows:
-                    lists = pa.FixedSizeListArray.from_arrays(pa.array(bands.reshape(-1).view(np.int64)), BANDS).cast(pa.list_(pa.int64()))
+                lists, sizes = pa.nulls(rows, pa.list_(pa.int64())), pa.nulls(rows, pa.int32())
+                if kind == LINE:
+                    lists = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(bands.view(np.int64)))
+                    sizes = pa.array(hashes, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array(d)), pa.array(np.full(rows, kind, np.int32)), pa.array((at - w.edges[d]).astype(np.int32)),
-                        pa.array(n.astype(np.int32)), pa.array(digest, pa.binary()), lists,
+                        pa.array(n.astype(np.int32)), pa.array(digest, pa.binary()), lists, sizes,
                     ],
-                    ["doc", "kind", "start", "words", "same", "bands"],
+                    ["doc", "kind", "start", "words", "same", "bands", "hashes"],
                 )
 
     return docs.select("doc", "text").mapInArrow(run, _ROW)
@@ -316,26 +328,42 @@ def _rarest_shared(lines: DataFrame, sets: DataFrame) -> DataFrame:
     return met.select(F.greatest("x", "y").alias("same"), F.least("x", "y").alias("other")).distinct()
 
 
+def _paired(rows: DataFrame) -> DataFrame:
+    """(same, other): the lines of one band (h, same, words, hashes, at) that may be similar.
+
+    At the smallest hash that two lines share, `at` of their own lie before it in each, so the shingles they share are among
+    the others; a line has at least as many distinct shingles as hashes, and at most as many as places for one.
+    """
+    side = lambda p: rows.select("h", F.col("same").alias(p), *(F.col(c).alias(f"{p}_{c}") for c in ("hashes", "at")), (F.col("words") - SHINGLE + 1).alias(f"{p}_n"))
+    fits = "x > y and x_n >= {t} * y_hashes - 1e-9 and y_n >= {t} * x_hashes - 1e-9 and least(x_n - x_at, y_n - y_at) >= {t} / (1 + {t}) * (x_hashes + y_hashes) - 1e-9"
+    return side("x").join(side("y"), "h").where(fits.format(t=SIMILAR)).select(F.col("x").alias("same"), F.col("y").alias("other")).distinct()
+
+
 def similar_lines(docs: DataFrame, lines: DataFrame, contents: DataFrame) -> DataFrame:
     """(key, doc, start, words, to_key, to_doc, to_start): the first place of a line, and that of a similar earlier line.
 
-    `lines`: (doc, start, words, same, bands).
+    `lines`: (doc, start, words, same, bands, hashes). Every line that has a similar earlier one is there with one at least,
+    and all similar lines are joined, directly or through others.
     """
-    each = lines.select("doc", "start", "words", "same", F.explode("bands").alias("h"))
+    each = lines.select("words", "same", "hashes", F.posexplode("bands").alias("at", "h"))
     line = F.xxhash64("same")
     twice = each.groupBy("h").agg(F.min(line).alias("lo"), F.max(line).alias("hi")).where("lo <> hi").select("h")
-    banded = stage(_among(each, "h", stage(twice, "bands")), "bands")
-    own = stage(banded.select("same").distinct(), "lines")
+    banded = stage(_among(each, "h", stage(twice, "bands")).distinct(), "bands")
+    members = stage(banded.join(banded.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "h"), "bands")
+    discard(banded)
+    near = stage(_paired(members.where(F.col("n") <= FEW)), "pairs")
+    many = members.where(F.col("n") > FEW).select("h", "same")
+    own = stage(near.select("same").union(near.select("other")).union(many.select("same")).distinct(), "lines")
     places = stage(_among(lines.select("doc", "start", "words", "same"), "same", own).distinct().join(contents, "doc"), "lines")
     firsts = stage(places.groupBy("same").agg(F.min(F.struct(*_PLACE, "words")).alias("f")).select("same", "f.*"), "lines")
     sets = stage(line_sets(docs, firsts), "sets")
-    members = banded.select("h", "same").distinct()
-    heads = stage(members.groupBy("h").agg(F.min("same").alias("other"), F.count("*").alias("n")).where("n > 1").drop("n"), "bands")
-    met = stage(members.join(heads, "h"), "bands")
-    like = stage(_alike(met.where("same <> other").select("same", "other").distinct(), sets), "pairs")
-    opened = met.join(like.withColumn("taken", F.lit(True)), ["same", "other"], "left").select(
-        "h", "same", (F.col("taken").isNull() & (F.col("same") != F.col("other"))).alias("open")
-    )
+    heads = stage(many.join(firsts, "same").groupBy("h").agg(F.min_by("same", _place()).alias("head")), "bands")
+    met = many.join(heads, "h").select("h", "same", "head", F.greatest("same", "head").alias("a"), F.least("same", "head").alias("b"))
+    met = stage(met, "bands")
+    with_head = met.where("same <> head").select("a", "b")
+    like = stage(_alike(near.union(with_head).distinct(), sets), "pairs")
+    taken = like.select(F.col("same").alias("a"), F.col("other").alias("b"), F.lit(True).alias("taken"))
+    opened = met.join(taken, ["a", "b"], "left").select("h", "same", (F.col("taken").isNull() & (F.col("same") != F.col("head"))).alias("open"))
     opened = stage(opened, "bands")
     bands = opened.groupBy("h").agg(F.max("open").alias("any")).where("any").select("h")
     among = opened.join(bands, "h").groupBy("same").agg(F.max("open").alias("open"))
@@ -350,7 +378,7 @@ def similar_lines(docs: DataFrame, lines: DataFrame, contents: DataFrame) -> Dat
         *(pick(c, True).alias(c) for c in (*_PLACE, "words")), *(pick(c, False).alias(f"to_{c}") for c in _PLACE)
     )
     out = stage(out, "matches")
-    for done in (banded, own, places, firsts, sets, heads, met, like, opened, pairs):
+    for done in (members, near, own, places, firsts, sets, heads, met, like, opened, pairs):
         discard(done)
     return out
 
@@ -469,7 +497,7 @@ def matches(docs: DataFrame, line_words: int = LINE_WORDS) -> tuple[DataFrame, D
     """For `docs` (key, doc, text): the paragraphs that repeat an earlier one, the distinct texts, and their own repeats.
 
     (key, doc, start, words, to_key, to_doc, to_start, whole); `whole` is false for the words around runs that complete a
-    repeated passage. (doc, key, words): the first key of every text, and its words if it is a paragraph. (doc, start,
+    repeated passage, and for lines like one that repeats an earlier one itself. (doc, key, words): the first key of every text, and its words if it is a paragraph. (doc, start,
     words, why): ranges in which a text repeats itself, GONE, and what they repeat, STAY.
     """
     ship(docs.sparkSession)
@@ -483,11 +511,14 @@ def matches(docs: DataFrame, line_words: int = LINE_WORDS) -> tuple[DataFrame, D
     own = rows.where(F.col("kind").isin(LOST, KEPT)).select("doc", "start", "words", F.when(F.col("kind") == LOST, GONE).otherwise(STAY).alias("why"))
     own = stage(own.distinct(), "own")
     lines = rows.where(F.col("kind") == LINE)
-    like = similar_lines(docs, lines.select("doc", "start", "words", "same", "bands"), named)
+    like = similar_lines(docs, lines.select("doc", "start", "words", "same", "bands", "hashes"), named)
     runs = F.col("kind") == RUN
     tails = ends(docs, places.where(runs), again.where(runs))
-    parts = [again.select(*_MATCH), like.select(*_MATCH)]
-    out = reduce(DataFrame.unionByName, parts).withColumn("whole", F.lit(True)).unionByName(tails.withColumn("whole", F.lit(False)))
+    # a line that is itself like an earlier one is no first occurrence: what it gives to later lines does not keep it
+    gone = like.select(*(F.col(c).alias(f"to_{c}") for c in _PLACE)).distinct().withColumn("gone", F.lit(True))
+    first = like.join(gone, [f"to_{c}" for c in _PLACE], "left").select(*_MATCH, F.col("gone").isNull().alias("whole"))
+    parts = [again.select(*_MATCH, F.lit(True).alias("whole")), first, tails.withColumn("whole", F.lit(False))]
+    out = reduce(DataFrame.unionByName, parts)
     out = stage(out, "matches")
     for done in (rows, places, again, like):
         discard(done)
