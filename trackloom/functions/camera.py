@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import math
+from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,8 +48,28 @@ def project_radial(p: Vec, k: tuple[float, float, float, float], d: tuple[float,
     return fx * xd + cx, fy * yd + cy
 
 
-def _ray(x: Column, y: Column, z: Column) -> Column:
-    return F.struct(x.alias("x"), y.alias("y"), z.alias("z"))
+def _rays(solve: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Callable[[Column, Column], Column]:
+    """`solve` on whole batches of pixels as a column expression: struct (x, y, z), null fields where a pixel has a null."""
+
+    def run(u: pa.Array, v: pa.Array) -> pa.Array:
+        unknown = np.logical_or(u.is_null().to_numpy(zero_copy_only=False), v.is_null().to_numpy(zero_copy_only=False))
+        with np.errstate(all="ignore"):
+            ray = solve(*(c.cast(pa.float64()).to_numpy(zero_copy_only=False) for c in (u, v)))
+        return pa.StructArray.from_arrays([pa.array(c, pa.float64(), mask=unknown) for c in ray], ["x", "y", "z"])
+
+    return F.arrow_udf(run, "x double, y double, z double")
+
+
+def _series() -> Callable[[np.ndarray, tuple[float, ...]], np.ndarray]:
+    """1 + k1 t2 + k2 t2^2 + ... by Horner, on arrays; made here so that tasks need no module of this package."""
+
+    def odd(t2: np.ndarray, ks: tuple[float, ...]) -> np.ndarray:
+        out = np.zeros_like(t2)
+        for k in reversed(ks):
+            out = t2 * (k + out)
+        return 1 + out
+
+    return odd
 
 
 def unproject_fisheye(u: Column, v: Column, k: tuple[float, float, float, float], d: tuple[float, float, float, float], rounds: int = 50) -> Column:
@@ -56,51 +78,52 @@ def unproject_fisheye(u: Column, v: Column, k: tuple[float, float, float, float]
     The distance from the image centre grows with the ray's angle, so the angle is bracketed in [0, pi] and the
     bracket is halved `rounds` times; the ray then leans that far from the axis towards the pixel.
     """
-    a, b = (u - k[2]) / k[0], (v - k[3]) / k[1]
-    away = F.hypot(a, b)
-
-    def halve(bracket: Column, _: Column) -> Column:
-        mid = (bracket["low"] + bracket["high"]) / 2
-        inside = mid * _odd(mid * mid, d) < away
-        return F.struct(
-            F.when(inside, mid).otherwise(bracket["low"]).alias("low"), F.when(inside, bracket["high"]).otherwise(mid).alias("high")
-        )
-
-    whole = F.struct(F.lit(0.0).alias("low"), F.lit(math.pi).alias("high"))
-    angle = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), whole, halve, lambda r: (r["low"] + r["high"]) / 2)
-    bearing = F.atan2(b, a)
-    return _ray(F.sin(angle) * F.cos(bearing), F.sin(angle) * F.sin(bearing), F.cos(angle))
+    odd = _series()
 
+    def solve(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        a, b = (u - k[2]) / k[0], (v - k[3]) / k[1]
+        away = np.hypot(a, b)
+        low, high = np.zeros_like(away), np.full_like(away, np.pi)
+        for _ in range(rounds):
+            mid = (low + high) / 2
+            inside = mid * odd(mid * mid, d) < away
+            low, high = np.where(inside, mid, low), np.where(inside, high, mid)
+        angle, bearing = (low + high) / 2, np.arctan2(b, a)
+        return np.sin(angle) * np.cos(bearing), np.sin(angle) * np.sin(bearing), np.cos(angle)
 
-def _slope(r2: Column, ks: tuple[float, ...]) -> Column:
-    """Derivative of 1 + k1 r2 + k2 r2^2 + ... after r2."""
-    return sum((n * c * F.pow(r2, F.lit(n - 1)) for n, c in enumerate(ks, 1)), F.lit(0.0))
+    return _rays(solve)(u, v)
 
 
 def unproject_radial(u: Column, v: Column, k: tuple[float, float, float, float], d: tuple[float, ...], rounds: int = 12) -> Column:
     """Struct (x, y, z) of the unit ray through a pixel: Newton's method in two variables on `project_radial`."""
     t1, t2 = d[2:4]
     upper, lower = (d[0], d[1], d[4]), tuple(d[5:])
-    goal_x, goal_y = (u - k[2]) / k[0], (v - k[3]) / k[1]
-
-    def newton(at: Column, _: Column) -> Column:
-        x, y = at["x"], at["y"]
-        r2 = x * x + y * y
-        num, den = _odd(r2, upper), _odd(r2, lower) if lower else F.lit(1.0)
-        gain = num / den
-        bend = 2 * (_slope(r2, upper) - gain * (_slope(r2, lower) if lower else F.lit(0.0))) / den
-        # what is missing to the goal, and how both coordinates answer to a small step
-        miss_x = goal_x - (gain * x + 2 * t1 * x * y + t2 * (r2 + 2 * x * x))
-        miss_y = goal_y - (gain * y + 2 * t2 * x * y + t1 * (r2 + 2 * y * y))
-        xx = gain + bend * x * x + 2 * t1 * y + 6 * t2 * x
-        yy = gain + bend * y * y + 2 * t2 * x + 6 * t1 * y
-        xy = bend * x * y + 2 * t1 * x + 2 * t2 * y
-        area = xx * yy - xy * xy
-        return F.struct((x + (yy * miss_x - xy * miss_y) / area).alias("x"), (y + (xx * miss_y - xy * miss_x) / area).alias("y"))
-
-    p = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.struct(goal_x.alias("x"), goal_y.alias("y")), newton)
-    length = F.sqrt(1 + p["x"] * p["x"] + p["y"] * p["y"])
-    return _ray(p["x"] / length, p["y"] / length, 1 / length)
+    odd = _series()
+
+    def slope(r2: np.ndarray, ks: tuple[float, ...]) -> np.ndarray:
+        """Derivative of 1 + k1 r2 + k2 r2^2 + ... after r2."""
+        return sum((n * c * r2 ** (n - 1) for n, c in enumerate(ks, 1)), np.zeros_like(r2))
+
+    def solve(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        goal_x, goal_y = (u - k[2]) / k[0], (v - k[3]) / k[1]
+        x, y = goal_x, goal_y
+        for _ in range(rounds):
+            r2 = x * x + y * y
+            den = odd(r2, lower)
+            gain = odd(r2, upper) / den
+            bend = 2 * (slope(r2, upper) - gain * slope(r2, lower)) / den
+            # what is missing to the goal, and how both coordinates answer to a small step
+            miss_x = goal_x - (gain * x + 2 * t1 * x * y + t2 * (r2 + 2 * x * x))
+            miss_y = goal_y - (gain * y + 2 * t2 * x * y + t1 * (r2 + 2 * y * y))
+            xx = gain + bend * x * x + 2 * t1 * y + 6 * t2 * x
+            yy = gain + bend * y * y + 2 * t2 * x + 6 * t1 * y
+            xy = bend * x * y + 2 * t1 * x + 2 * t2 * y
+            area = xx * yy - xy * xy
+            x, y = x + (yy * miss_x - xy * miss_y) / area, y + (xx * miss_y - xy * miss_x) / area
+        length = np.sqrt(1 + x * x + y * y)
+        return x / length, y / length, 1 / length
+
+    return _rays(solve)(u, v)
 
 
 def spline_weights(f: Column) -> list[Column]:
