@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import bisect
 from collections.abc import Iterator
 
 import pandas as pd
@@ -30,44 +29,59 @@ def last_of_each(frames: DataFrame, keys: list[str], ts: str, seq: str, values:
 
 
 def scenes_by_count(
-    frames: DataFrame, key: str, at: str, size: int, max_gap: int, late: str, per_second: int = 1_000_000
+    frames: DataFrame, key: str, at: str, size: int, max_gap: int, late: str, per_second: int = 1_000_000, slices: int = 1024
 ) -> DataFrame:
     """Scenes of exactly `size` frames, whatever order the frames arrive in: (key, scene_no, start_at, end_at).
 
     Frames wait in state until the watermark (`late` behind the newest stamp, in whole milliseconds) has passed them,
-    then they are taken in the order of their stamps, duplicates included; a timer does the same for a key that gets
+    then they are taken in the order of their stamps, duplicates included; a timer does the same for keys that get
     no more data. A step above `max_gap` drops the open scene. State per key: the waiting stamps, that is those of the
-    last `late`, and four numbers. A frame behind the watermark cannot be placed any more: Spark leaves it out and
-    counts it, `late_rows` gives the number.
+    last `late`, and four numbers. The keys are dealt to `slices` by their hash and those of a slice are kept and called
+    together, since a call costs more than the frames that a key gets between two; with many millions of keys take
+    more. A frame behind the watermark cannot be placed any more: Spark leaves it out and counts it, `late_rows` gives
+    the number. Keys are of a type that a cast to string and back preserves.
     """
     kind = frames.schema[key].dataType.simpleString()
-    out = f"{key} {kind}, scene_no bigint, start_at bigint, end_at bigint"
-    state = "waiting array<bigint>, last bigint, n int, start bigint, scene bigint"
+    out = "key string, scene_no bigint, start_at bigint, end_at bigint"
+    state = "key array<string>, last array<bigint>, n array<int>, start array<bigint>, scene array<bigint>, of array<int>, waiting array<bigint>"
     per_ms = per_second // 1_000
 
-    def step(k: tuple, batches: Iterator[pd.DataFrame], st: GroupState) -> Iterator[pd.DataFrame]:
-        waiting, last, n, start, scene = st.get if st.exists else ([], None, 0, None, 0)
-        waiting = sorted([*waiting, *(int(x) for b in batches for x in b[at])])
+    def step(_: tuple, batches: Iterator[pd.DataFrame], st: GroupState) -> Iterator[pd.DataFrame]:
+        keys, last, n, start, scene, of, waiting = map(list, st.get) if st.exists else ([] for _ in range(7))
+        place = {k: i for i, k in enumerate(keys)}
+        for b in batches:
+            for k, t in zip(b["_key"].tolist(), b[at].tolist()):
+                i = place.setdefault(k, len(place))
+                if i == len(keys):
+                    for column, first in ((keys, k), (last, None), (n, 0), (start, None), (scene, 0)):
+                        column.append(first)
+                of.append(i)
+                waiting.append(int(t))
         passed = st.getCurrentWatermarkMs()
-        ready = bisect.bisect_left(waiting, (passed + 1) * per_ms)  # the watermark's own millisecond is passed too
+        edge = (passed + 1) * per_ms  # the watermark's own millisecond is passed too
         rows = []
-        for t in waiting[:ready]:
-            if last is None or t - last > max_gap:
-                n = 0
-            if n == 0:
-                start = t
-            n, last = n + 1, t
-            if n == size:
-                rows.append((k[0], scene, start, t))
-                scene, n = scene + 1, 0
-        waiting = waiting[ready:]
-        st.update((waiting, last, n, start, scene))
-        if waiting:
-            st.setTimeoutTimestamp(max(waiting[0] // per_ms, passed + 1))
-        yield pd.DataFrame(rows, columns=[key, "scene_no", "start_at", "end_at"])
-
-    stamped = frames.select(key, at, F.timestamp_millis(F.floor(F.col(at) / per_ms)).alias("_at")).withWatermark("_at", late)
-    return stamped.groupBy(key).applyInPandasWithState(step, out, state, "append", GroupStateTimeout.EventTimeTimeout)
+        for t, i in sorted((t, i) for t, i in zip(waiting, of) if t < edge):
+            if last[i] is None or t - last[i] > max_gap:
+                n[i] = 0
+            if n[i] == 0:
+                start[i] = t
+            n[i], last[i] = n[i] + 1, t
+            if n[i] == size:
+                rows.append((keys[i], scene[i], start[i], t))
+                scene[i], n[i] = scene[i] + 1, 0
+        left = [(t, i) for t, i in zip(waiting, of) if t >= edge]
+        st.update((keys, last, n, start, scene, [i for _, i in left], [t for t, _ in left]))
+        if left:
+            st.setTimeoutTimestamp(max(min(left)[0] // per_ms, passed + 1))
+        if rows:
+            yield pd.DataFrame(rows, columns=["key", "scene_no", "start_at", "end_at"])
+
+    stamped = frames.select(
+        F.pmod(F.xxhash64(key), F.lit(slices)).alias("_slice"), F.col(key).cast("string").alias("_key"), at,
+        F.timestamp_millis(F.floor(F.col(at) / per_ms)).alias("_at"),
+    ).withWatermark("_at", late)
+    found = stamped.groupBy("_slice").applyInPandasWithState(step, out, state, "append", GroupStateTimeout.EventTimeTimeout)
+    return found.select(F.col("key").cast(kind).alias(key), "scene_no", "start_at", "end_at")
 
 
 class LateRows(StreamingQueryListener):
