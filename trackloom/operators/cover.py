@@ -23,7 +23,7 @@ def representatives(members: DataFrame, labels: DataFrame, group: str, member: s
 
     All groups advance together: a round adds one representative to every group that still needs one, so there are as
     many rounds as representatives in the group that has most. A round joins the open groups' members with one row
-    per group and with the labels; no group is gathered anywhere. Missing values count as 0, members without group or id
+    per group and with the labels of the new representatives; no group is gathered anywhere. Missing values count as 0, members without group or id
     are left out; labels may name pairs in either order, and where they disagree "the same" counts.
     """
     kinds = list(tolerances)
@@ -32,8 +32,12 @@ def representatives(members: DataFrame, labels: DataFrame, group: str, member: s
         F.col(group).alias("g"), F.col(member).alias("m"), *(F.coalesce(F.col(k).cast("double"), F.lit(0.0)).alias(f"v_{k}") for k in kinds)
     )
     m = m.withColumn("rank", F.struct((-over(lambda k: F.col(f"v_{k}") / tolerances[k])).alias("s"), "m"))
-    pairs = labels.select("a", "b", "same").union(labels.select("b", "a", "same")).where("a <> b and same is not null")
-    pairs = stage(pairs.groupBy(F.col("a").alias("m"), F.col("b").alias("r")).agg(F.max("same").alias("same")), "cover")
+    # only labels inside a group count; the others are left behind before the rounds
+    ids = m.select("g", "m").distinct()
+    inside = labels.select("a", "b", "same").where("a <> b and same is not null").join(ids.withColumnRenamed("m", "a"), "a")
+    inside = inside.join(ids.withColumnRenamed("m", "b"), ["g", "b"])
+    pairs = inside.select("g", F.col("a").alias("m"), F.col("b").alias("r"), "same").union(inside.select("g", "b", "a", "same"))
+    pairs = stage(pairs.groupBy("g", "m", "r").agg(F.max("same").alias("same")), "cover")
 
     id_type = m.schema["m"].dataType
     open_ = m.withColumns({
@@ -55,7 +59,8 @@ def representatives(members: DataFrame, labels: DataFrame, group: str, member: s
         if chosen.isEmpty():
             break
         new = lambda c: F.col(f"new.{c}")
-        met = open_.join(chosen, "g").withColumn("r", new("m")).join(pairs, ["m", "r"], "left")
+        told = pairs.join(chosen.select("g", new("m").alias("r")), ["g", "r"], "left_semi").drop("r")  # of the new ones alone
+        met = open_.join(chosen, "g").withColumn("r", new("m")).join(told, ["g", "m"], "left")
         away = F.greatest(*((F.col(f"v_{k}") - new(f"v_{k}")) / tolerances[k] for k in kinds)) if len(kinds) > 1 else (F.col(f"v_{kinds[0]}") - new(f"v_{kinds[0]}")) / tolerances[kinds[0]]
         this = F.struct(away.alias("d"), F.col("r"))
         nearer = F.col("near").isNull() | (this < F.col("near"))

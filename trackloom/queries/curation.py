@@ -335,8 +335,10 @@ def group_representatives(spark, sf):
     each group."""
     p = table(spark, sf, "part").select("p_brand", "p_partkey", "p_size", "p_retailprice", (F.length("p_name") * 1.0).alias("name_length"))
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
-    other = li.select("l_orderkey", F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("b"), F.col("l_returnflag").alias("flag"))
-    labels = li.join(other, "l_orderkey").where("l_linenumber < n and l_partkey <> b").select(  # the few lines of an order
+    brands = p.select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+    li = stage(li.join(brands, "l_partkey"), "lines")  # parts of different brands are never compared
+    other = li.select("l_orderkey", "p_brand", F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("b"), F.col("l_returnflag").alias("flag"))
+    labels = li.join(other, ["l_orderkey", "p_brand"]).where("l_linenumber < n and l_partkey <> b").select(  # the few lines of an order
         F.col("l_partkey").alias("a"), "b", (F.col("l_returnflag") == F.col("flag")).alias("same")
     )
     out = cover.representatives(p, labels, "p_brand", "p_partkey", {"p_size": 6.0, "p_retailprice": 150.0, "name_length": 4.0})
