@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,18 +18,69 @@ def _fingerprint(df: DataFrame, cols: list[str]) -> tuple:
     return r["n"], r["x"]
 
 
+#: links that a task joins at a time before any are shuffled
+FOREST = 1 << 17
+_SORTED = ("tinyint", "smallint", "int", "bigint", "string", "binary")
+
+
+def _forests(links: DataFrame) -> DataFrame:
+    """Links (u, v), v < u, with the same components: those that stand near each other in a task become stars on their smallest node.
+
+    At most one link per node and `FOREST` links is left. Kinds of nodes that Arrow orders unlike Spark stay as they are.
+    """
+    if links.schema["u"].dataType.simpleString() not in _SORTED:
+        return links
+    most = FOREST
+
+    def stars(parts):
+        table = pa.Table.from_batches(parts)
+        u, v = (table[c].combine_chunks() for c in ("u", "v"))
+        names = pa.concat_arrays([u, v]).unique().sort()
+        a, b = (pc.index_in(x, names).to_numpy() for x in (u, v))
+        low = np.arange(len(names))
+        while (low[a] != low[b]).any():
+            least = np.minimum(low[a], low[b])
+            np.minimum.at(low, low[a], least)
+            np.minimum.at(low, low[b], least)
+            while (low != low[low]).any():
+                low = low[low]
+        at = np.flatnonzero(low != np.arange(len(low)))
+        return pa.RecordBatch.from_arrays([names.take(pa.array(at)), names.take(pa.array(low[at]))], schema=parts[0].schema)
+
+    def run(batches):
+        parts, rows = [], 0
+        for batch in batches:
+            parts.append(batch)
+            rows += batch.num_rows
+            if rows >= most:
+                yield stars(parts)
+                parts, rows = [], 0
+        if rows:
+            yield stars(parts)
+
+    return links.mapInArrow(run, links.schema)
+
+
 def components(nodes: DataFrame, edges: DataFrame, node: str, a: str, b: str) -> DataFrame:
     """(node, component): the smallest node of each connected component.
 
-    Alternates two star contractions until the edge set stops changing: every node's larger neighbours are hung
-    on its smallest neighbour, then the same for the smaller ones. Hubs are reduced by a map-side minimum, no
-    neighbour list is ever gathered. The minima are written before they are joined to the links, so that both
-    inputs of that join are plain exchanges, which Spark splits where a hub is skewed. A round's tables are deleted
+    Links that stand near each other are joined inside the tasks. Nodes with one link, to a smaller one, are set aside: their
+    component is that of the smaller node. The links of the others alternate two star contractions until they stop changing:
+    every node's larger neighbours are hung on its smallest neighbour, then the same for the smaller ones. Hubs are reduced by
+    a map-side minimum, no neighbour list is ever gathered. The minima are written before they are joined to the links, so that
+    both inputs of that join are plain exchanges, which Spark splits where a hub is skewed. A round's tables are deleted
     once the next one is written. A logarithmic number of rounds in practice.
     """
-    links = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
-    links = stage(links, "components")
-    mark = _fingerprint(links, ["u", "v"])
+    links = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v")
+    links = stage(_forests(links), "components")
+    ends = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.lit(None).alias("v")))
+    inner = F.max(F.col("v").isNull())  # a smaller end of some link
+    per = stage(ends.groupBy("u").agg(F.min("v").alias("v"), F.max("v").alias("_v"), inner.alias("_in")).where("v is not null"), "components")
+    leaf = F.expr("v = _v and not _in")
+    leaves = per.where(leaf).select("u", "v")
+    core = stage(links.join(per.where(~leaf).select("u"), "u", "left_semi").distinct(), "components")
+    discard(links)
+    links, mark = core, _fingerprint(core, ["u", "v"])
     while mark[0]:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = stage(both.groupBy("u").agg(F.min("v").alias("_m")).select("u", F.least("u", "_m").alias("m")), "components")
@@ -43,7 +97,9 @@ def components(nodes: DataFrame, edges: DataFrame, node: str, a: str, b: str) ->
         if now == mark:
             break
         mark = now
-    root = links.groupBy(F.col("u").alias(node)).agg(F.min("v").alias("component"))
+    root = links.groupBy("u").agg(F.min("v").alias("component"))
+    hung = leaves.join(root.select(F.col("u").alias("v"), "component"), "v", "left").select("u", F.coalesce("component", "v").alias("component"))
+    root = root.unionByName(hung).withColumnRenamed("u", node)
     return nodes.select(node).distinct().join(root, node, "left").select(
         node, F.coalesce("component", F.col(node)).alias("component")
     )

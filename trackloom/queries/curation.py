@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from trackloom.functions.clock import as_micros
 from trackloom.operators import cover, graph, pairs, quota, series
 from trackloom.operators.ordered import Axis, prev, scan
-from trackloom.queries.registry import DAY, events, query, r6, table
+from trackloom.queries.registry import DAY, events, fitted, query, r6, table
 from trackloom.session import stage
 
 
@@ -85,7 +85,7 @@ def traffic_types(spark, sf):
 def _neighbours(spark, sf, within):
     """Each order and the customer's previous one, if not more than `within` days apart."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", as_micros("o_orderdate").alias("at"))
-    s = scan(o, Axis(("o_custkey",), "at", 180 * DAY, ("o_orderkey",)), {"p": prev("o_orderkey"), "pt": prev("at")})
+    s = scan(o, Axis(("o_custkey",), "at", fitted(o, "o_custkey"), ("o_orderkey",)), {"p": prev("o_orderkey"), "pt": prev("at")})
     return o, s.where(F.col("at") - F.col("pt") <= within * DAY).select("o_orderkey", "p")
 
 
