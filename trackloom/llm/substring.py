@@ -325,7 +325,10 @@ def _rarest_shared(lines: DataFrame, sets: DataFrame) -> DataFrame:
     y = large.select("shingle", F.col("same").alias("y"), F.col("open").alias("y_open"), F.col("n").alias("y_n"), F.col("at").alias("y_at"))
     fits = "x <> y and (x_open or y_open) and x_n <= y_n and x_n >= {t} * y_n - 1e-9 and 1 + least(x_n - x_at, y_n - y_at) >= {t} / (1 + {t}) * (x_n + y_n) - 1e-9"
     met = x.join(y, "shingle").where(fits.format(t=SIMILAR))
-    return met.select(F.greatest("x", "y").alias("same"), F.least("x", "y").alias("other")).distinct()
+    met = stage(met.select(F.greatest("x", "y").alias("same"), F.least("x", "y").alias("other")).distinct(), "rare")
+    for done in (each, large):
+        discard(done)
+    return met
 
 
 def _paired(rows: DataFrame) -> DataFrame:
@@ -510,8 +513,10 @@ def matches(docs: DataFrame, line_words: int = LINE_WORDS) -> tuple[DataFrame, D
     again = stage(_again(places, ["kind", "same"]), "again")
     own = rows.where(F.col("kind").isin(LOST, KEPT)).select("doc", "start", "words", F.when(F.col("kind") == LOST, GONE).otherwise(STAY).alias("why"))
     own = stage(own.distinct(), "own")
-    lines = rows.where(F.col("kind") == LINE)
-    like = similar_lines(docs, lines.select("doc", "start", "words", "same", "bands", "hashes"), named)
+    lines = stage(rows.where(F.col("kind") == LINE).select("doc", "start", "words", "same", "bands", "hashes"), "lines")
+    discard(rows)
+    like = similar_lines(docs, lines, named)
+    discard(lines)
     runs = F.col("kind") == RUN
     tails = ends(docs, places.where(runs), again.where(runs))
     # a line that is itself like an earlier one is no first occurrence: what it gives to later lines does not keep it
@@ -520,7 +525,7 @@ def matches(docs: DataFrame, line_words: int = LINE_WORDS) -> tuple[DataFrame, D
     parts = [again.select(*_MATCH, F.lit(True).alias("whole")), first, tails.withColumn("whole", F.lit(False))]
     out = reduce(DataFrame.unionByName, parts)
     out = stage(out, "matches")
-    for done in (rows, places, again, like):
+    for done in (places, again, like):
         discard(done)
     return out, contents, own
 
