@@ -51,6 +51,7 @@ class PieceCache(Cache):
 
     white = np.zeros(256, bool)
     white[32] = True
+    closing = None  # its pieces run from a letter into punctuation
 
     def __init__(self, model: bytes, most: int = 600_000):
         import sentencepiece
