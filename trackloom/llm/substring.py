@@ -15,7 +15,8 @@ Of the distinct texts two kinds of paragraphs are matched, A-Z lower-cased:
   the runs of `UNIT` words that end and start with the anchor are the paragraphs. Two texts that share `PASSAGE` words
   share an anchor, and with it at least one of the two runs, so every repeat of that length is found. These runs must
   be equal by a 128-bit digest of their words. Around them the words themselves are compared with those of all earlier
-  places of the run, by halving the number of words, so that a repeated passage goes from its first word to its last.
+  places of the run, in order or, where it has very many, by halving the number of words, so that a repeated passage
+  goes from its first word to its last.
 
 Of each match the first occurrence in (key, position) order stays and the others are removed, but for words that
 belong to the first occurrence of what a text repeats of itself. Documents that share a paragraph form components.
@@ -53,6 +54,8 @@ LINE_WORDS = 20
 PASSAGE = 50
 UNIT = (PASSAGE + SHINGLE - 1) // 2
 REACH = PASSAGE - UNIT  # a repeated stretch of PASSAGE words ends at most so many words from a run that repeats
+#: places of a run that a task goes through in order; runs of more go by rounds
+MANY = 256
 LINE, RUN, TEXT, LOST, KEPT = range(5)
 GONE, OTHER, STAY = range(3)
 _ROW = "doc binary, kind int, start int, words int, same binary, bands array<long>, hashes int"
@@ -238,6 +241,11 @@ def paragraphs(docs: DataFrame, line_words: int = LINE_WORDS) -> DataFrame:
     return docs.select("doc", "text").mapInArrow(run, _ROW)
 
 
+def listed(lists: pa.ListArray) -> tuple[np.ndarray, pa.Array]:
+    """(row of each item, the items) of a column of lists."""
+    return np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy())), lists.flatten()
+
+
 def _among(rows: DataFrame, column: str, values: DataFrame) -> DataFrame:
     """The rows whose `column` is among the values; a filter of fixed size spares most others the shuffle."""
     may, _ = split_by_ids(rows, column, values.select(column))
@@ -301,10 +309,10 @@ def line_sets(docs: DataFrame, lines: DataFrame) -> DataFrame:
 
 def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (same, other) whose shingle sets have a Jaccard similarity of SIMILAR."""
-    both = F.size(F.array_intersect("set", "other_set"))
-    n, m = F.size("set"), F.size("other_set")
+    # Jaccard similarity by the intersection alone, which is so worked out once for a pair
+    fits = F.expr(f"size(array_intersect(set, other_set)) >= {SIMILAR / (1 + SIMILAR)} * (size(set) + size(other_set)) - 1e-9")
     met = pairs.join(sets, "same").join(sets.select(F.col("same").alias("other"), F.col("set").alias("other_set")), "other")
-    return met.where(both >= SIMILAR * (n + m - both)).select("same", "other")
+    return met.where(fits).select("same", "other")
 
 
 def _rarest_shared(lines: DataFrame, sets: DataFrame) -> DataFrame:
@@ -395,68 +403,142 @@ def _edge_runs(found: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            same, side = [], []
-            for runs in batch.column(0).to_pylist():
-                runs.sort(key=lambda r: r["start"])
-                cover = merged([(r["start"], r["start"] + UNIT) for r in runs])
-                begins = [r["start"] for r in runs]
-                for lo, hi in cover:
-                    left = runs[bisect_left(begins, lo) : bisect_left(begins, lo + REACH)]
-                    right = runs[bisect_right(begins, hi - UNIT - REACH) : bisect_left(begins, hi)][::-1]
+            of, values = listed(batch.column(0))
+            start, holders = (values.field(c).to_numpy() for c in ("start", "holders"))
+            order = np.lexsort((start, of))
+            begins_, holders_ = start[order].tolist(), holders[order].tolist()
+            cuts_ = np.searchsorted(of, np.arange(batch.num_rows + 1)).tolist()
+            at, side = [], []
+            for x, y in zip(cuts_, cuts_[1:]):
+                begins = begins_[x:y]
+                for lo, hi in merged([(b, b + UNIT) for b in begins]):
+                    left = range(bisect_left(begins, lo), bisect_left(begins, lo + REACH))
+                    right = range(bisect_right(begins, hi - UNIT - REACH), bisect_left(begins, hi))[::-1]
                     for k, near in enumerate((left, right)):
                         seen = set()
                         for r in near:
-                            if r["holders"] not in seen:
-                                seen.add(r["holders"])
-                                same.append(r["same"])
+                            if holders_[x + r] not in seen:
+                                seen.add(holders_[x + r])
+                                at.append(x + r)
                                 side.append(k)
-            yield pa.RecordBatch.from_arrays([pa.array(same, pa.binary()), pa.array(side, pa.int32())], ["same", "side"])
+            same = values.field("same").take(pa.array(order[np.array(at, np.int64)]))
+            yield pa.RecordBatch.from_arrays([same, pa.array(side, pa.int32())], ["same", "side"])
 
     return per.select("runs").mapInArrow(run, "same binary, side int").distinct()
 
 
 def _contexts(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """(key, doc, start, side, same, near STRING, room INT): the REACH words before (side 0, last one first) or after a run."""
+    """(key, doc, start, side, same, near STRING, room INT): the REACH words before (side 0, last one first) or after a run.
+
+    A place is there as often as its row (key, doc) is in `docs`.
+    """
     per = places.groupBy("key", "doc").agg(F.collect_set(F.struct("key", "start", "side", "same")).alias("runs"))
     kind = places.schema["key"].dataType
 
     def run(batches):
         for batch in slices(batches, "text"):
             w = Words(texts(batch, "text"))
-            docs_, rows = batch.column(0).to_pylist(), []
-            for i, runs in enumerate(batch.column(1).to_pylist()):
-                lo, hi = int(w.edges[i]), int(w.edges[i + 1])
-                for r in runs:
-                    a = lo + r["start"]
-                    words = w.text(a + UNIT, min(hi, a + UNIT + REACH)).split(b" ") if r["side"] else w.text(max(lo, a - REACH), a).split(b" ")[::-1]
-                    words = words if words != [b""] else []
-                    rows.append({**r, "doc": docs_[i], "near": b" ".join(words).decode("utf-8", "replace"), "room": len(words)})
-            item = batch.schema.field("runs").type.value_type
-            key_type = item.field("key").type
-            fields = [("key", key_type), ("doc", pa.binary()), ("start", pa.int32()), ("side", pa.int32()), ("same", pa.binary()), ("near", pa.string()), ("room", pa.int32())]
-            yield pa.RecordBatch.from_pylist(rows, pa.schema(fields))
+            of, values = listed(batch.column(1))
+            start, side = (values.field(c).to_numpy() for c in ("start", "side"))
+            at = w.edges[of] + start
+            first = np.where(side == 1, at + UNIT, np.maximum(w.edges[of], at - REACH))
+            end = np.maximum(first, np.where(side == 1, np.minimum(w.edges[of + 1], at + UNIT + REACH), at))
+            near = [w.text(a, b) for a, b in zip(first.tolist(), end.tolist())]
+            near = [(t if after else b" ".join(t.split(b" ")[::-1])).decode("utf-8", "replace") for t, after in zip(near, side.tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    values.field("key"), batch.column(0).take(pa.array(of)), values.field("start"), values.field("side"),
+                    values.field("same"), pa.array(near, pa.string()), pa.array((end - first).astype(np.int32)),
+                ],
+                ["key", "doc", "start", "side", "same", "near", "room"],
+            )
 
     fields = f"key {kind.simpleString()}, doc binary, start int, side int, same binary, near string, room int"
-    return _texts_of(docs, per).mapInArrow(run, fields).distinct()
+    return _texts_of(docs, per).mapInArrow(run, fields)
+
+
+def _ends_by_order(near: DataFrame) -> DataFrame:
+    """(key, doc, start, side, d, to_key, to_doc, to_start): for each place the most words around it, `d`, that an earlier
+    place of the same run has too, and the first place with these words; places that share no word are left out.
+
+    The places of a run come to one task in order; a table of the words so far, from the run on, tells what is shared.
+    """
+    kind = near.schema["key"].dataType.simpleString()
+
+    def run(batches):
+        run_, last, whole, begun = None, None, {}, {}
+        for batch in batches:
+            own, words, to = [], [], []
+            columns = (batch.column(i).to_pylist() for i in range(6))
+            for i, (key, doc, start, side, same, text) in enumerate(zip(*columns)):
+                if (same, side) != run_:
+                    run_, last, whole, begun = (same, side), None, {}, {}
+                place = (key, doc, start)
+                if place == last or not text:
+                    continue
+                last = place
+                d, first = 0, whole.setdefault(text, place)
+                if first is not place:  # all the same words
+                    d = text.count(" ") + 1
+                else:
+                    first, end = None, text.find(" ")
+                    while (met := begun.setdefault(text[:end] if end >= 0 else text, place)) is not place:
+                        d, first = d + 1, met
+                        if end < 0:
+                            break
+                        end = text.find(" ", end + 1)
+                    while end >= 0:
+                        end = text.find(" ", end + 1)
+                        begun[text[:end] if end >= 0 else text] = place
+                if d:
+                    own.append(i)
+                    words.append(d)
+                    to.append(first)
+            mine = batch.take(pa.array(own, pa.int64()))
+            to_ = [pa.array([t[k] for t in to], batch.schema.field(k).type) for k in range(3)]
+            yield pa.RecordBatch.from_arrays(
+                [*mine.columns[:4], pa.array(words, pa.int32()), *to_], [*_PLACE, "side", "d", *(f"to_{c}" for c in _PLACE)]
+            )
+
+    ordered = near.repartition("same", "side").sortWithinPartitions("same", "side", *_PLACE).select(*_PLACE, "side", "same", "near")
+    return ordered.mapInArrow(run, f"key {kind}, doc binary, start int, side int, d int, to_key {kind}, to_doc binary, to_start int")
 
 
 def ends(docs: DataFrame, runs: DataFrame, found: DataFrame) -> DataFrame:
     """(key, doc, start, words, to_key, to_doc, to_start): the words around repeated runs up to where the repeat ends.
 
     `runs`: all places of repeated runs; `found`: those that have an earlier one. For each place the most words around it
-    that an earlier place of the run has too are searched by halving. A place that is the first with its next words
-    stays behind with the other firsts, and any later place it may share fewer words with is among these; the rest, and
-    the first beside them as a witness, go on to more words. Each round is one grouping of about a row per place.
+    that an earlier place of the run has too are found by going through the run's places in order, one task a run. Runs of
+    more than `MANY` places go by rounds instead, so that none is gathered; the result is the same.
     """
     edge = stage(_edge_runs(found), "edges")
     places = runs.join(edge, "same").select(*_PLACE, "side", "same")
-    whole = ["same", "side", "near", "room"]
+    run = ["same", "side"]
     near = stage(_contexts(docs, places), "near")
+    full = stage(near.groupBy(*run).agg(F.count("*").alias("n")).where(F.col("n") > MANY).select(*run), "near")
+    got = _ends_by_order(near.join(full, run, "left_anti"))
+    if not full.isEmpty():
+        got = got.unionByName(_ends_by_rounds(near.join(full, run, "left_semi").distinct()))
+    shift = F.when(F.col("side") == 1, F.lit(UNIT)).otherwise(-F.col("d"))
+    return got.select(
+        "key", "doc", (F.col("start") + shift).alias("start"), F.col("d").alias("words"), "to_key", "to_doc", (F.col("to_start") + shift).alias("to_start")
+    )
+
+
+def _ends_by_rounds(near: DataFrame) -> DataFrame:
+    """As `_ends_by_order`, for distinct places: the number of shared words is searched by halving.
+
+    A place that is the first with its next words stays behind with the other firsts, and any later place it may share
+    fewer words with is among these; the rest, and the first beside them as a witness, go on to more words. Each round is
+    one grouping of about a row per place.
+    """
+    whole = ["same", "side", "near", "room"]
+    near = stage(near, "near")
     # places with all the same words around are settled at once; only the first of them goes on
     firsts = stage(near.groupBy(*whole).agg(F.min(_place()).alias("first"), F.count("*").alias("n")), "near")
     equal = near.join(firsts.where("n > 1"), whole).where((_place() != F.col("first")) & (F.col("room") > 0))
     equal = stage(equal.select(*_PLACE, "side", F.col("room").alias("d"), *_to("first")), "ends")
-    nothing = [F.lit(None).cast(runs.schema[c].dataType).alias(f"to_{c}") for c in _PLACE]
+    nothing = [F.lit(None).cast(near.schema[c].dataType).alias(f"to_{c}") for c in _PLACE]
     state = stage(firsts.select("first.*", "same", "side", "near", "room", F.lit(0).alias("d"), *nothing), "ends")
     discard(near)
     discard(firsts)
@@ -477,11 +559,7 @@ def ends(docs: DataFrame, runs: DataFrame, found: DataFrame) -> DataFrame:
         discard(state)
         discard(firsts)
         state, step = after, step // 2
-    shift = F.when(F.col("side") == 1, F.lit(UNIT)).otherwise(-F.col("d"))
-    found = state.where("to_doc is not null").select(*equal.columns).unionByName(equal)
-    return found.select(
-        "key", "doc", (F.col("start") + shift).alias("start"), F.col("d").alias("words"), "to_key", "to_doc", (F.col("to_start") + shift).alias("to_start")
-    )
+    return state.where("to_doc is not null").select(*equal.columns).unionByName(equal)
 
 
 def digest(text: Column) -> Column:
@@ -572,8 +650,14 @@ def spans(found: DataFrame, own_ranges: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             rows, keep = [], []
-            for i, places in enumerate(batch.column(1).to_pylist()):
-                of = [[(p["start"], p["start"] + p["words"]) for p in places if p["why"] == k] for k in (GONE, OTHER, STAY)]
+            doc, values = listed(batch.column(1))
+            start, words, why = (values.field(c).to_numpy() for c in ("start", "words", "why"))
+            places = list(zip(start.tolist(), (start + words).tolist(), why.tolist()))
+            at = np.searchsorted(doc, np.arange(batch.num_rows + 1)).tolist()
+            for i, (x, y) in enumerate(zip(at, at[1:])):
+                of = [], [], []
+                for a, b, k in places[x:y]:
+                    of[k].append((a, b))
                 left = less(merged(of[GONE] + of[OTHER]), less(merged(of[STAY]), merged(of[OTHER])))
                 if left:
                     keep.append(i)
