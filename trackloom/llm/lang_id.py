@@ -57,20 +57,48 @@ def trigrams(docs: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes[inner], of[:-1][inner], n_letters
 
 
+#: trigrams that a task counts before it passes them on
+HELD = 1 << 17
+
+
 def gram_counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
-    """(lang, gram LONG, n LONG) over all rows with a language."""
+    """(lang, gram LONG, n LONG) over all rows with a language.
+
+    A small slice of texts is cut into trigrams at a time, which take some 80 bytes for each character; their counts are
+    kept over several slices.
+    """
     ship(docs.sparkSession)
 
+    def added(parts):
+        if len(parts) == 1:
+            return parts[0]
+        grams, at = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+        total = np.zeros(len(grams), np.int64)
+        np.add.at(total, at, np.concatenate([n for _, n in parts]))
+        return grams, total
+
+    def counted(held):
+        for tag, parts in held.items():
+            grams, n = added(parts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([tag] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(n, pa.int64())],
+                ["lang", "gram", "n"],
+            )
+
     def run(batches):
-        for batch in slices(batches, text, 4 << 20):
+        held, rows = {}, 0
+        for batch in slices(batches, text):
             tags, of = np.unique(np.array(batch.column(0).to_pylist(), object).astype(str), return_inverse=True)
             codes, doc, _ = trigrams(strings(batch, text))
-            for k, tag in enumerate(tags):
-                grams, n = np.unique(codes[of[doc] == k], return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([tag] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(n, pa.int64())],
-                    ["lang", "gram", "n"],
-                )
+            of = of[doc]
+            for k, tag in enumerate(tags.tolist()):
+                grams, n = np.unique(codes[of == k], return_counts=True)
+                held.setdefault(tag, []).append((grams, n))
+                rows += len(grams)
+            if rows >= HELD:
+                yield from counted(held)
+                held, rows = {}, 0
+        yield from counted(held)
 
     rows = docs.select(F.col(lang).cast("string").alias(lang), text).where(F.col(lang).isNotNull())
     return rows.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
