@@ -397,9 +397,7 @@ def same_place_groups(
     parts = math.ceil(math.sqrt(2 * cover.count() / TOGETHER)) or 1
     block = lambda c: F.pmod(F.xxhash64(c), F.lit(parts))
     meet = lambda p, q: (F.least(p, q) * parts + F.greatest(p, q)).alias("_meet")
-    rows = cover.where((F.col("cover") >= share) & (F.col("a") != F.col("b"))).select(
-        meet(block("a"), block("b")), F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (F.col("a") < F.col("b")).alias("_up")
-    )
+    rows = cover.where((F.col("cover") >= share) & (F.col("a") != F.col("b"))).select(meet(block("a"), block("b")), "a", "b")
     kind = cover.schema["a"].dataType
     states = ego.select(F.col(scene).cast(kind).alias("_s"), *(F.col(c).cast("array<double>").alias(c) for c in ("win_v", "win_w"))).where("_s is not null")
     states = states.withColumn("_q", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
@@ -417,21 +415,21 @@ def same_place_groups(
 
 
 def _alike(pairs: pa.Table, states: pa.Table, tau: float) -> pa.Table:
-    """The pairs a < b met both ways (`_up`: from a to b) whose ego states differ by at most `tau`, as `ego_distance` has it."""
+    """The pairs met both ways, once each, whose ego states differ by at most `tau`, as `ego_distance` has it."""
     names = states["_s"].combine_chunks().unique()
     at = [pc.index_in(pairs[c], value_set=names) for c in ("a", "b")]
-    pairs = pairs.append_column("_a", at[0]).append_column("_b", at[1]).filter(pc.and_(pc.is_valid(at[0]), pc.is_valid(at[1])))
-    key = pairs["_a"].to_numpy().astype(np.int64) * len(names) + pairs["_b"].to_numpy()
-    up = pairs["_up"].to_numpy()
-    both = np.intersect1d(key[up], key[~up])
-    one, two = np.divmod(both, max(len(names), 1))
+    known = pc.and_(pc.is_valid(at[0]), pc.is_valid(at[1]))
+    one, two = (c.filter(known).to_numpy().astype(np.int64) for c in at)
+    key = np.sort((np.minimum(one, two) * len(names) + np.maximum(one, two)) * 2 + (one < two))
+    key = key[np.diff(key, prepend=-1) != 0] // 2  # a pair met both ways comes twice
+    one, two = np.divmod(key[1:][key[1:] == key[:-1]], max(len(names), 1))
 
     code = pc.index_in(states["_s"], value_set=names).to_numpy()
     order = np.argsort(code, kind="stable")
     n = np.bincount(code, minlength=len(names))
     start = np.cumsum(n) - n
     times = n[one] * n[two]  # more than 1 where a scene has several states
-    pair = np.repeat(np.arange(len(both)), times)
+    pair = np.repeat(np.arange(len(one)), times)
     k = np.arange(len(pair)) - np.repeat(np.cumsum(times) - times, times)
     i, j = order[start[one[pair]] + k // n[two[pair]]], order[start[two[pair]] + k % n[two[pair]]]
 
@@ -444,7 +442,8 @@ def _alike(pairs: pa.Table, states: pa.Table, tau: float) -> pa.Table:
         total += squares
         equal &= (length[i] == length[j]) & (length[i] > 0)
         size = length[i] if size is None else size
-    near = np.unique(pair[equal & (np.sqrt(total / np.maximum(size, 1)) <= tau)])
+    near = pair[equal & (np.sqrt(total / np.maximum(size, 1)) <= tau)]
+    near = near[np.diff(near, prepend=-1) != 0]
     return pa.table({"a": names.take(pa.array(one[near])), "b": names.take(pa.array(two[near]))})
 
 
